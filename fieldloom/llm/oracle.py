@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-WORDS = r"list_filter(regexp_split_to_array(coalesce({0}, ''), '[\x20\x09-\x0D]+'), x -> x <> '')"
+WORDS = r"list_filter(regexp_split_to_array(coalesce({0}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP1 = f"""
@@ -34,11 +34,23 @@ join (select *, target - whole * source_size as part from part) p on s.source is
 join cums c on s.source is not distinct from c.source and s.h = c.h
 """
 
+OP4 = f"""
+with recursive d as (select doc_id, {WORDS.format(LOWER.format('text'))} as w from documents),
+sh as (select distinct doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda k: array_to_string(w[k:k+4], ' '))) as s from d where len(w) > 0),
+n as (select doc_id, count(*) as n from sh group by 1),
+pairs as (
+  select a.doc_id as a, b.doc_id as b, count(*) as shared from sh a join sh b using (s) group by 1, 2),
+links as (select a, b from pairs join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * shared >= 75 * (na.n + nb.n - shared)),
+reach(a, b) as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, coalesce(c.c, d.doc_id)::bigint as component_id
+from d left join n on n.doc_id = d.doc_id left join (select a, min(b) as c from reach group by a) c on c.a = d.doc_id
+"""
+
 OP6 = f"""
 with d as (select doc_id, {WORDS.format(LOWER.format('text'))} as w from documents),
 i as (select item_id, {WORDS.format(LOWER.format('text'))} as w from benchmark),
-ds as (select distinct doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), k -> array_to_string(w[k:k+4], ' '))) as s from d where len(w) > 0),
-si as (select distinct item_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), k -> array_to_string(w[k:k+4], ' '))) as s from i where len(w) > 0),
+ds as (select distinct doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda k: array_to_string(w[k:k+4], ' '))) as s from d where len(w) > 0),
+si as (select distinct item_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda k: array_to_string(w[k:k+4], ' '))) as s from i where len(w) > 0),
 n as (select item_id, count(*) as n_item from si group by 1)
 select doc_id, ds_i.item_id, n_item::int as n_item, count(*)::int as n_shared
 from ds join si as ds_i using (s) join n on n.item_id = ds_i.item_id
@@ -56,6 +68,19 @@ select doc_id, count(*)::bigint as n_lines, count(*) filter (dropped)::bigint as
 from m group by doc_id
 """
 
+OP10 = f"""
+with d as (select doc_id, {WORDS.format('text')} as w from documents),
+x as (select doc_id, unnest(range(1, len(w) - 11)) as i, w from d where len(w) >= 13),
+win as (select doc_id, i, array_to_string(w[i:i+12], ' ') as s from x),
+f as (select s, min(doc_id) as first from win group by s having count(distinct doc_id) > 1),
+hit as (select doc_id, i from win join f using (s) where doc_id > first),
+gone as (select distinct doc_id, unnest(range(i, i + 13)) as j from hit),
+g as (select doc_id, list(j) as js from gone group by 1)
+select d.doc_id, len(w)::bigint as n_words, coalesce(len(js), 0)::bigint as n_removed,
+  sha256(array_to_string(list_transform(list_filter(range(1, len(w) + 1), lambda j: js is null or not list_contains(js, j)), lambda j: w[j]), ' ')) as kept_sha256
+from d left join g using (doc_id)
+"""
+
 _ESC = r"replace(replace(replace(replace(replace({0}, '\', '\\'), '<s>', '<\s>'), '</s>', '<\/s>'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]')"
 OP9 = f"""
 with c as (
@@ -71,4 +96,4 @@ from c group by conv_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": OP1, "op6_decontaminate": OP6, "op7_line_dedup": OP7, "op9_chat_format": OP9}
+    return {"op1_mix_sources": OP1, "op4_parity_join": OP4, "op6_decontaminate": OP6, "op7_line_dedup": OP7, "op9_chat_format": OP9, "op10_substring_dedup": OP10}

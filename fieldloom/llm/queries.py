@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import chat, decontam, linededup, mixing, secrets
+from . import chat, decontam, linededup, mixing, parityjoin, secrets, subdedup
 from .text import word_count
 
 
@@ -20,6 +20,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op4_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parityjoin.jaccard_components(_table(spark, sf_dir, "documents"), width=5, num=3, den=4)
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(_table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"] != "random")
@@ -44,6 +48,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = subdedup.remove_repeats(_table(spark, sf_dir, "documents"), width=13)
+    return done.select(F.col("key").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 EXTRA_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
 

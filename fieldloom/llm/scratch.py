@@ -11,6 +11,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -51,7 +52,7 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def write(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
-        writer = df.write.mode("overwrite")
+        writer = df.write.mode("overwrite").option("compression", "zstd")
         if by:
             writer = writer.partitionBy(by)
         writer.parquet(self.path(name))
@@ -61,3 +62,9 @@ class Scratch:
         """Delete a table that no later plan reads."""
         at, fs = _fs(self.spark, f"{self.root}/{name}")
         fs.delete(at, True)
+
+
+def small_side(table: DataFrame, limit: int = 1_000_000) -> DataFrame:
+    """A written table of narrow rows (a few numbers each), marked for broadcast if it has at most `limit` rows;
+    beyond that it is left as it is and the join shuffles. The count reads the footers alone."""
+    return F.broadcast(table) if table.count() <= limit else table
