@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import chat, decontam, linededup, mixing, parityjoin, secrets, subdedup
+from . import chat, decontam, linededup, lmscore, mixing, parityjoin, secrets, subdedup
 from .text import word_count
 
 
@@ -20,6 +20,13 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+TOKENIZERS = "/opt/tokenizers"
+
+
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.score_documents(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model", folds=7, fold=2)
+
+
 def op4_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parityjoin.jaccard_components(_table(spark, sf_dir, "documents"), width=5, num=3, den=4)
 
