@@ -68,6 +68,14 @@ select doc_id, count(*)::bigint as n_lines, count(*) filter (dropped)::bigint as
 from m group by doc_id
 """
 
+OP8 = """
+with p as (select page_id, octet_length(encode(coalesce(html, '')))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages),
+f as (select payload_digest as g, min(page_id) as first from p where payload_bytes >= 100 group by 1 having count(*) > 1)
+select page_id, payload_bytes, payload_digest, case when page_id > first then 'revisit' else 'response' end as record_type,
+  case when page_id > first then first end as refers_to
+from p left join f on payload_digest = g
+"""
+
 OP10 = f"""
 with d as (select doc_id, {WORDS.format('text')} as w from documents),
 x as (select doc_id, unnest(range(1, len(w) - 11)) as i, w from d where len(w) >= 13),
@@ -96,4 +104,4 @@ from c group by conv_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": OP1, "op4_parity_join": OP4, "op6_decontaminate": OP6, "op7_line_dedup": OP7, "op9_chat_format": OP9, "op10_substring_dedup": OP10}
+    return {"op1_mix_sources": OP1, "op4_parity_join": OP4, "op6_decontaminate": OP6, "op7_line_dedup": OP7, "op8_warc_zip": OP8, "op9_chat_format": OP9, "op10_substring_dedup": OP10}

@@ -211,7 +211,7 @@ def _may_link(num: int, den: int) -> Column:
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, num: int = 3, den: int = 4, parts: int | None = None) -> DataFrame:
-    """One row for each row of docs: doc_id, n_shingles, component_id.
+    """One row for each row of docs: doc_id, n_shingles, component_id, and d and t, its key and a hash of its text as in linededup.
 
     Documents link when the Jaccard similarity of their sets of `width`-word shingles (A-Z lower-cased) is num / den or
     more; component_id is the smallest doc_id that links reach.
@@ -275,7 +275,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     classes = nodes.select("k", "d").join(final.select(F.col("node").alias("k"), "component"), "k", "left").withColumn("component", F.coalesce("component", "k"))
     smallest = classes.groupBy("component").agg(F.min("d").alias("smallest"))
     classes = classes.join(smallest, "component").select(F.col("k").alias("ck"), "smallest")
-    docs_k = base.select("d", "n", F.when(F.col("n") > 0, F.col("k")).alias("k"))
-    done = docs_k.join(classes, F.col("k") == F.col("ck"), "left").select("d", "n", F.coalesce("smallest", "d").alias("c"))
+    docs_k = base.select("d", "t", "n", F.when(F.col("n") > 0, F.col("k")).alias("k"))
+    done = docs_k.join(classes, F.col("k") == F.col("ck"), "left").select("d", "t", "n", F.coalesce("smallest", "d").alias("c"))
     real = lambda c: F.when(F.col(c) != NO_KEY, F.col(c))
-    return done.select(real("d").alias("doc_id"), F.col("n").alias("n_shingles"), real("c").alias("component_id"))
+    return done.select(real("d").alias("doc_id"), F.col("n").alias("n_shingles"), real("c").alias("component_id"), "d", "t")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import chat, decontam, linededup, lmscore, mixing, parityjoin, secrets, subdedup
+from . import chat, decontam, fertility, linededup, lmscore, mixing, parityjoin, secrets, subdedup, warc
 from .text import word_count
 
 
@@ -27,8 +27,14 @@ def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lmscore.score_documents(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model", folds=7, fold=2)
 
 
+def op3_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = fertility.quality(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model", carry=["doc_id"])
+    return done.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "chars_per_token", "byte_share", "entropy")
+
+
 def op4_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parityjoin.jaccard_components(_table(spark, sf_dir, "documents"), width=5, num=3, den=4)
+    done = parityjoin.jaccard_components(_table(spark, sf_dir, "documents"), width=5, num=3, den=4)
+    return done.select("doc_id", "n_shingles", "component_id")
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +61,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = warc.round_trip(_table(spark, sf_dir, "pages"), least=100)
+    return done.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = subdedup.remove_repeats(_table(spark, sf_dir, "documents"), width=13)
     return done.select(F.col("key").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
