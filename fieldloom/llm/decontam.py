@@ -73,5 +73,7 @@ def find_leaks(
     held = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).join(p, F.col("doc_id").eqNullSafe(F.col("p_doc")))
     full = held.join(items.select("item_id", "s", "n_item", "need"), F.col("p_item").eqNullSafe(F.col("item_id")))
     full = full.withColumn("w", words(ascii_lower(F.col("text")))).withColumn("n_shared", F.size(F.array_intersect("s", _texts("w", width))))
-    found = full.filter(F.col("n_shared") >= F.col("need"))
-    return found.groupBy("doc_id", "item_id", "n_item").agg(F.max("n_shared").alias("n_shared"))
+    # the bound comes after the aggregation: as a filter on the pairs it would be pushed below the projection and split
+    # the text again for each shingle
+    found = full.groupBy("doc_id", "item_id", "n_item", "need").agg(F.max("n_shared").alias("n_shared"))
+    return found.filter(F.col("n_shared") >= F.col("need")).drop("need")
