@@ -64,9 +64,10 @@ def choose_paths(nodes: DataFrame, top: int = 1) -> DataFrame:
             raise ValueError("the replies form a cycle")
         a = rounds[-1]
         b = a.select(F.col("t").alias("t1"), F.col("v").alias("v1"), F.col("up").alias("up1"), F.col("total").alias("total1"), F.col("depth").alias("depth1"))
-        step = a.join(b, F.col("t").eqNullSafe(F.col("t1")) & (F.col("up") == F.col("v1")), "left").select(
-            "t", "v", F.col("up1").alias("up"), (F.col("total") + F.coalesce("total1", F.lit(0.0))).alias("total"), (F.col("depth") + F.coalesce("depth1", F.lit(0))).alias("depth")
-        )
+        # nodes that have reached their root take no part
+        moving = a.filter("up is not null").join(b, F.col("t").eqNullSafe(F.col("t1")) & (F.col("up") == F.col("v1")))
+        moved = moving.select("t", "v", F.col("up1").alias("up"), (F.col("total") + F.col("total1")).alias("total"), (F.col("depth") + F.col("depth1")).alias("depth"))
+        step = moved.unionByName(a.filter("up is null"))
         rounds.append(scratch.write(step, f"up{len(rounds)}"))
     ends = rounds[-1].select("t", "v", "total", (F.col("depth") - 1).alias("depth"))
     pv = parents.select(F.col("t").alias("t1"), F.col("v").alias("v1"))
