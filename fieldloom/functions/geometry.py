@@ -8,8 +8,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-RING = "array<struct<x: double, y: double>>"
+RING = T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]))
 
 
 # boxes: four columns each
@@ -179,12 +180,12 @@ def shared_area(a: np.ndarray, b: np.ndarray) -> float:
     return abs(total)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def polygon_shared_area(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([shared_area(_points(p), _points(q)) for p, q in zip(a, b, strict=True)], dtype=float)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def hausdorff(a: pd.Series, b: pd.Series) -> pd.Series:
     """Discrete Hausdorff distance between the vertices of two rings."""
 
@@ -230,7 +231,7 @@ def rotated_rectangle(p: np.ndarray) -> np.ndarray:
     return corners
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def orientation(ring: pd.Series) -> pd.Series:
     """atan2(height, width) of the bounds of the smallest rotated rectangle."""
 

@@ -163,8 +163,8 @@ def fill_gaps(values: np.ndarray, bad: np.ndarray, reach: int = 50) -> np.ndarra
     return np.rint(out) if np.issubdtype(values.dtype, np.integer) else out
 
 
-def _band_udf(work, kind: str = "array<double>"):
-    @F.pandas_udf(kind)
+def _band_udf(work):
+    @F.pandas_udf("array<double>")
     def run(band: pd.Series) -> pd.Series:
         return pd.Series([work(np.asarray(b, dtype=float)) if b is not None else None for b in band], dtype=object)
 
