@@ -20,14 +20,15 @@ ORACLE_SQL = None
 
 def _without(docs: DataFrame, gone: DataFrame, name: str) -> DataFrame:
     """docs less the rows whose key and text hash are in gone (d, t). Equal rows share their fate."""
-    gone = Scratch(docs.sparkSession, name).write(gone.select("d", "t").distinct(), "gone")
-    d, t = linededup._row_id(F.col("doc_id"), F.col("text"))
-    return docs.withColumns({"d": d, "t": t}).join(small_side(gone), ["d", "t"], "left_anti").select(*docs.columns)
+    gone = Scratch(docs.sparkSession, name).write(gone.selectExpr("d as __gone_d", "t as __gone_t").distinct(), "gone")
+    d, t = linededup.row_id(F.col("doc_id"), F.col("text"))
+    same = (d == F.col("__gone_d")) & (t == F.col("__gone_t"))
+    return docs.join(small_side(gone), same, "left_anti")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or lie outside the fertility bands go."""
-    d, t = linededup._row_id(F.col("doc_id"), F.col("text"))
+    d, t = linededup.row_id(F.col("doc_id"), F.col("text"))
     judged = fertility.quality(docs.select("text", "lang", d, t), f"{TOKENIZERS}/piece_bpe_32k.model", carry=["d", "t"])
     return _without(docs, judged.filter(~F.col("kept")), "rejected")
 
@@ -49,17 +50,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     leaks = decontam.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    gone = Scratch(spark, "leaked").write(leaks.select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    return docs.join(small_side(gone), F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    gone = Scratch(spark, "leaked").write(leaks.select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    return docs.join(small_side(gone), F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes, with how often (copies) and how many words that makes (taken)."""
     plan = mixing.mix_plan(docs, "doc_id", "source", word_count(F.col("text")), weights=(5, 2, 1), share=1.0, cap=3.0)
-    chosen = plan.filter("copies > 0").select("key", F.col("source").alias("of"), "copies", "target").distinct()
+    new = ["copies", "target"]
+    chosen = plan.filter("copies > 0").select(F.col("key").alias("__key"), F.col("source").alias("__of"), *[F.col(c).alias(f"__{c}") for c in new]).distinct()
     chosen = Scratch(spark, "mixed").write(chosen, "chosen")
-    joined = docs.join(small_side(chosen), F.col("doc_id").eqNullSafe(F.col("key")) & F.col("source").eqNullSafe(F.col("of")))
-    return joined.withColumn("taken", F.col("copies") * word_count(F.col("text"))).select(*docs.columns, "copies", "taken", "target")
+    joined = docs.join(small_side(chosen), F.col("doc_id").eqNullSafe(F.col("__key")) & F.col("source").eqNullSafe(F.col("__of")))
+    own = [c for c in docs.columns if c not in (*new, "taken")]
+    taken = (F.col("__copies") * word_count(F.col("text"))).alias("taken")
+    return joined.select(*own, *[F.col(f"__{c}").alias(c) for c in new], taken)
 
 
 STAGES = [

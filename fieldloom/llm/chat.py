@@ -43,7 +43,7 @@ def choose_paths(nodes: DataFrame, top: int = 1) -> DataFrame:
     """The nodes of the `top` best root-to-leaf paths of each tree.
 
     nodes: tree, node, parent (null at a root), score (null: 0), any more. Returns the nodes' columns plus rank
-    (1 for the best leaf) and depth (0 at the root). Leaves rank by the sum of scores on their
+    (1 for the best leaf) and depth (0 at the root), in place of columns of these names. Leaves rank by the sum of scores on their
     path, then the smaller node. Several roots in a tree are ranked together.
 
     Edge cases: tree and node must identify a row and nodes of a cycle never reach a root (no leaf, so no path); a parent that does not exist makes its child a root; a null tree is
@@ -79,7 +79,9 @@ def choose_paths(nodes: DataFrame, top: int = 1) -> DataFrame:
         above = path.join(up, F.col("t").eqNullSafe(F.col("t1")) & (F.col("v") == F.col("v1"))).select("t", F.col("up").alias("v"), "rank")
         path = scratch.write(path.unionByName(above), f"path{k}")
     path = path.join(ends.select(F.col("t").alias("t1"), F.col("v").alias("v1"), "depth"), F.col("t").eqNullSafe(F.col("t1")) & (F.col("v") == F.col("v1"))).select("t", "v", "rank", "depth")
-    return nodes.join(path, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("v"))).drop("t", "v")
+    path = path.withColumnsRenamed({"t": "__path_t", "v": "__path_v"})
+    kept = nodes.drop("rank", "depth")
+    return kept.join(path, F.col("tree").eqNullSafe(F.col("__path_t")) & (F.col("node") == F.col("__path_v"))).drop("__path_t", "__path_v")
 
 
 def format_paths(chosen: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ def line_key(line: Column) -> Column:
     return ascii_lower(F.btrim(line, F.lit(STRIP)))
 
 
-def _row_id(key: Column, text: Column) -> list[Column]:
+def row_id(key: Column, text: Column) -> list[Column]:
     return [F.coalesce(key.cast("long"), F.lit(NO_KEY)).alias("d"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("t")]
 
 
@@ -50,7 +50,7 @@ def line_bitmaps(docs: DataFrame, key: str, text: str, min_chars: int = 10, min_
     texts have one empty line; an empty table gives an empty table; other columns are ignored.
     """
     scratch = Scratch(docs.sparkSession, "lines")
-    at = docs.select(*_row_id(F.col(key), F.col(text)), F.posexplode(lines(F.col(text))).alias("pos", "line"))
+    at = docs.select(*row_id(F.col(key), F.col(text)), F.posexplode(lines(F.col(text))).alias("pos", "line"))
     keyed = at.select("d", "t", "pos", line_key(F.col("line")).alias("k")).filter(F.length("k") >= min_chars)
     occ = scratch.write(
         keyed.select("d", "t", "pos", F.xxhash64("k").alias("h"), F.xxhash64(F.lit("second"), "k").alias("h2")), "occ"
@@ -87,25 +87,25 @@ def apply_bitmaps(docs: DataFrame, maps: DataFrame, key: str, text: str) -> Data
     A document that loses no line has its own text as kept_text (null as empty); one that loses all has an empty one.
     New columns replace any of the same name; all others pass unchanged.
     """
-    d, t = _row_id(F.col(key), F.col(text))
-    maps = maps.select(F.col("d").alias("_d"), F.col("t").alias("_t"), F.map_from_entries("dropped").alias("_m"))
-    joined = docs.withColumns({"_rd": d, "_rt": t}).join(maps, (F.col("_rd") == F.col("_d")) & (F.col("_rt") == F.col("_t")), "left")
-    joined = joined.withColumn("_l", lines(F.col(text)))
+    d, t = row_id(F.col(key), F.col(text))
+    maps = maps.select(F.col("d").alias("__line_d"), F.col("t").alias("__line_t"), F.map_from_entries("dropped").alias("__line_m"))
+    joined = docs.withColumns({"__line_rd": d, "__line_rt": t}).join(maps, (F.col("__line_rd") == F.col("__line_d")) & (F.col("__line_rt") == F.col("__line_t")), "left")
+    joined = joined.withColumn("__line_l", lines(F.col(text)))
 
     def stays(_line: Column, i: Column) -> Column:
-        mask = F.coalesce(F.try_element_at(F.col("_m"), F.shiftright(i, 6)), F.lit(0).cast("long"))
+        mask = F.coalesce(F.try_element_at(F.col("__line_m"), F.shiftright(i, 6)), F.lit(0).cast("long"))
         bit = F.call_function("shiftleft", F.lit(1).cast("long"), i.bitwiseAND(F.lit(63)))
         return mask.bitwiseAND(bit) == 0
 
-    kept = F.when(F.col("_m").isNull(), F.col("_l")).otherwise(F.filter("_l", stays))
-    joined = joined.withColumn("_k", kept)
+    kept = F.when(F.col("__line_m").isNull(), F.col("__line_l")).otherwise(F.filter("__line_l", stays))
+    joined = joined.withColumn("__line_k", kept)
     return joined.withColumns(
         {
-            "n_lines": F.size("_l").cast("long"),
-            "n_dropped": (F.size("_l") - F.size("_k")).cast("long"),
-            "kept_text": F.array_join("_k", "\n"),
+            "n_lines": F.size("__line_l").cast("long"),
+            "n_dropped": (F.size("__line_l") - F.size("__line_k")).cast("long"),
+            "kept_text": F.array_join("__line_k", "\n"),
         }
-    ).drop("_d", "_t", "_m", "_rd", "_rt", "_l", "_k")
+    ).drop("__line_d", "__line_t", "__line_m", "__line_rd", "__line_rt", "__line_l", "__line_k")
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = 10, min_docs: int = 2) -> DataFrame:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .linededup import _row_id
+from .linededup import row_id
 from .scratch import Scratch
 
 # Forms of secrets, fixed values: kind, pattern, least length and of which group.
@@ -116,7 +116,7 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", rate:
     scratch = Scratch(docs.sparkSession, "secrets")
     body = F.coalesce(F.col(text), F.lit(""))
     kinds = [_found(body, k, p) for k, p, *_ in FORMS if k != "hex"] + [_found(body, "hex", r"[0-9a-f]{32,}"), _found(body, "random", TOKEN)]
-    rows = scratch.write(docs.select(F.col(key).alias("key"), *_row_id(F.col(key), F.col(text)), F.filter(F.array(*kinds), lambda k: F.size(k["found"]) > 0).alias("kinds")), "rows")
+    rows = scratch.write(docs.select(F.col(key).alias("key"), *row_id(F.col(key), F.col(text)), F.filter(F.array(*kinds), lambda k: F.size(k["found"]) > 0).alias("kinds")), "rows")
     each = rows.filter(F.size("kinds") > 0).select("d", "t", F.explode("kinds").alias("k")).select("d", "t", "k.kind", F.posexplode(F.arrays_zip("k.found", "k.gaps")).alias("i", "m"))
     each = each.filter(F.col("m.found").isNotNull()).select("d", "t", "kind", "i", F.col("m.found").alias("found"), F.col("m.gaps").alias("gap")).distinct()
     upto = "sum(gap + length(found)) over (partition by d, t, kind order by i)"
