@@ -6,6 +6,7 @@ import struct
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,8 +85,6 @@ def read_rasters(contents: DataFrame) -> DataFrame:
 
 def encode_bands(rows: int, cols: int, kind: str = "uint16", step: float = 10.0):
     """A column function: (bands array<array<...>>, x0, y0) to TIFF bytes."""
-    import pandas as pd
-
     @F.pandas_udf("binary")
     def run(bands: pd.Series, x0: pd.Series, y0: pd.Series) -> pd.Series:
         return pd.Series([encode(np.array([np.asarray(b) for b in bs]).reshape(-1, rows, cols).astype(kind), x, y, step) for bs, x, y in zip(bands, x0, y0, strict=True)], dtype=object)
