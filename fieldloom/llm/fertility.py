@@ -2,7 +2,7 @@
 
 A public vocabulary cuts each word into pieces. Three figures of a document follow: characters per token, the share of
 byte-fallback tokens, and the entropy of its tokens (with the Miller-Madow correction for short texts). Text that the
-base rules pass is held against bands around the median of its language and length class, `width` robust deviations
+base rules pass is held against bands around the median of its language and length class, some robust deviations
 wide, over all documents of the corpus. Where no language is given the script of its letters takes
 its place.
 """
@@ -38,7 +38,11 @@ class Pieces:
 
     def _reset(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.flat, self.start, self.used = np.zeros(1 << 16, dtype=np.int32), [0], 0
+        self.flat, self.bounds, self.used = np.zeros(1 << 16, dtype=np.int32), np.zeros(1 << 16, dtype=np.int64), 0
+
+    @staticmethod
+    def _room(a: np.ndarray, n: int) -> np.ndarray:
+        return a if n <= len(a) else np.concatenate([a, np.zeros(max(len(a), n - len(a)), dtype=a.dtype)])
 
     def of(self, words: list[bytes]) -> np.ndarray:
         if len(self.index) > self.limit:
@@ -46,13 +50,11 @@ class Pieces:
         new = [w for w in dict.fromkeys(words) if w not in self.index]
         if new:
             for w, ids in zip(new, self.proc.encode([w.decode("utf-8", "replace") for w in new], num_threads=1), strict=True):
-                if self.used + len(ids) > len(self.flat):
-                    self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), dtype=np.int32)])
+                k = self.index[w] = len(self.index)
+                self.flat, self.bounds = self._room(self.flat, self.used + len(ids)), self._room(self.bounds, k + 2)
                 self.flat[self.used : self.used + len(ids)] = ids
                 self.used += len(ids)
-                self.index[w] = len(self.start) - 1
-                self.start.append(self.used)
-            self.bounds = np.array(self.start)
+                self.bounds[k + 1] = self.used
         at = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
         lo, n = self.bounds[at], self.bounds[at + 1] - self.bounds[at]
         return self.flat[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())]
@@ -143,8 +145,10 @@ def _band(stats: DataFrame, by: list[str], least: int) -> DataFrame:
     return dev
 
 
-def judge(measured: DataFrame, width: float = 8.0, byte_limit: float = 0.2, least: int = 100) -> DataFrame:
+def judge(measured: DataFrame, chars: tuple[float, float] = (8.0, 8.0), entropy: tuple[float, float] = (4.0, 12.0), byte_limit: float = 0.2, least: int = 100) -> DataFrame:
     """measured plus kept. Rejected: what the base rules fail, and what lies outside its band or above byte_limit in byte-fallback share.
+    chars and entropy: how many robust deviations below and above the median are still good. Poor text repeats its tokens, so entropy is
+    held more tightly below.
 
     A group of a language and length class with fewer than `least` documents takes the band of its language over all lengths, and
     a language with fewer than that none.
@@ -159,11 +163,11 @@ def judge(measured: DataFrame, width: float = 8.0, byte_limit: float = 0.2, leas
     both = measured.join(fine, (F.col("group") == F.col("g1")) & (F.col("length_class") == F.col("l1")), "left").join(rough, F.col("group") == F.col("g2"), "left")
     m = {n: F.coalesce(f"f_{n}", f"r_{n}") for n in names}
 
-    def inside(c: str, floor: float):
-        dev = F.greatest(m[f"{c}_dev"], F.lit(floor))
-        return F.coalesce(F.abs(F.col(c) - m[f"{c}_mid"]) <= dev * width, F.lit(True))
+    def inside(c: str, low: float, high: float):
+        z = (F.col(c) - m[f"{c}_mid"]) / F.greatest(m[f"{c}_dev"], F.lit(0.01))
+        return F.coalesce((z >= -low) & (z <= high), F.lit(True))
 
-    ok = inside("chars_per_token", 0.01) & inside("entropy", 0.01) & (F.col("byte_share") <= byte_limit)
+    ok = inside("chars_per_token", *chars) & inside("entropy", *entropy) & (F.col("byte_share") <= byte_limit)
     return both.withColumn("kept", ~F.col("base_failed") & ok).drop("g1", "l1", "g2", *[f"f_{n}" for n in names], *[f"r_{n}" for n in names])
 
 
