@@ -6,12 +6,12 @@ empty. The number of segments follows from the size band; sets meet in their own
 band below. Only the fullest d + 1 segments of a set are sent (the same order for all sets, so
 none of the meetings is lost); sets that fill too few are sent again with finer segments.
 
-Sets that agree in a segment are candidates. Their 1,024-bit parity sketches, whose Hamming distance is at most the
-symmetric difference, drop most false ones, and shingles are compared for the rest.
+Sets that agree in a segment are candidates. Their parity sketches (1,024 bits, for long sets 16,384 as well), whose Hamming
+distance is at most the symmetric difference, drop most false ones, and shingles are compared for the rest.
 
 Large groups are not multiplied out. Equal sets are one node. In a group of three or more, each member is first
-compared with the smallest only. What these links join into one component needs no further comparison; pairs
-are formed within a group only between members of different components.
+compared with a lead only, then in further rounds with other leads, and what these links join into one component needs no further
+comparison; pairs are formed within a group at last, and only between members of different components.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ from .hashing import U, WordHash, mix, window_hashes, word_hashes
 from .linededup import NO_KEY
 from .scratch import Scratch, small_side
 
-SKETCH_BITS = 1024
+SKETCH_BITS, WIDE_BITS, WIDE_FROM = 1024, 16384, 1024
+ROUNDS = 3
 LEVELS = 4  # finer and finer segments; at the last every element has its own
 
 
@@ -40,8 +41,10 @@ def set_key(u: np.ndarray) -> int:
     return int(both.view(np.int64)[0])
 
 
-def parity_sketch(u: np.ndarray) -> bytes:
-    return np.packbits((np.bincount((u & U(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1).astype(np.uint8)).tobytes()
+def parity_sketch(u: np.ndarray, bits: int = SKETCH_BITS) -> list[int]:
+    """Parity of the number of elements at each of `bits` places, as 64-bit integers."""
+    odd = (np.bincount((u & U(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).tolist()
 
 
 def _apart(n: int, num: int, den: int) -> int:
@@ -80,7 +83,7 @@ def signatures(u: np.ndarray, num: int, den: int) -> np.ndarray:
 
 
 def _mapper(width: int, num: int, den: int, parts: int, word_limit: int = 1_000_000):
-    schema = pa.schema([("kind", pa.int32()), ("d", pa.int64()), ("t", pa.int64()), ("n", pa.int64()), ("k", pa.int64()), ("sketch", pa.binary()), ("p", pa.int32()), ("sigs", pa.binary()), ("keys", pa.binary())])
+    schema = pa.schema([("kind", pa.int32()), ("d", pa.int64()), ("t", pa.int64()), ("n", pa.int64()), ("k", pa.int64()), ("sketch", pa.list_(pa.int64())), ("wide", pa.list_(pa.int64())), ("p", pa.int32()), ("sigs", pa.binary()), ("keys", pa.binary())])
 
     def pack(sigs: list, keys: list):
         """A row for each part: signatures (32 bits beside the part), and each set with how many of them are its."""
@@ -98,7 +101,7 @@ def _mapper(width: int, num: int, den: int, parts: int, word_limit: int = 1_000_
             first = np.flatnonzero(np.r_[True, mine[1:] != mine[:-1]])
             head = np.empty(len(first), dtype=[("key", "<i8"), ("n", "<u4")])
             head["key"], head["n"] = key[mine[first]], np.diff(np.r_[first, len(mine)])
-            for name, v in zip(schema.names, (1, None, None, None, None, None, int(p), s[cuts[p] : cuts[p + 1]].tobytes(), head.tobytes()), strict=True):
+            for name, v in zip(schema.names, (1, None, None, None, None, None, None, int(p), s[cuts[p] : cuts[p + 1]].tobytes(), head.tobytes()), strict=True):
                 rows[name].append(v)
         yield pa.record_batch(rows, schema=schema)
 
@@ -109,7 +112,7 @@ def _mapper(width: int, num: int, den: int, parts: int, word_limit: int = 1_000_
             for d, t, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 u = shingle_set(text.as_py(), cache, width)
                 k = set_key(u) if len(u) else 0
-                for name, v in zip(schema.names, (0, d, t, len(u), k, parity_sketch(u) if len(u) else None, None, None, None), strict=True):
+                for name, v in zip(schema.names, (0, d, t, len(u), k, parity_sketch(u) if len(u) else None, parity_sketch(u, WIDE_BITS) if len(u) >= WIDE_FROM else None, None, None, None), strict=True):
                     rows[name].append(v)
                 if len(u) and k not in seen:
                     seen.add(k)
@@ -137,6 +140,10 @@ def _grouper():
         sigs, keys = sigs[order], keys[order]
         new = np.r_[True, (sigs[1:] != sigs[:-1]) | (keys[1:] != keys[:-1])]
         sigs, keys = sigs[new], keys[new]
+        # the lead of a group is its least member by one of two hashes, so a family of sets has two leads at least
+        draw = mix(keys.view(U) ^ mix((sigs & np.uint32(1)).astype(U) + U(77)))
+        order = np.lexsort((draw, sigs))
+        sigs, keys = sigs[order], keys[order]
         first = np.flatnonzero(np.r_[True, sigs[1:] != sigs[:-1]])
         size = np.diff(np.r_[first, len(sigs)])
         lead = np.repeat(keys[first], size)
@@ -186,28 +193,29 @@ def _sets(width: int):
 
 
 def _verifier(num: int, den: int):
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                u, v = _from_top(x.as_py()), _from_top(y.as_py())
-                both = len(np.intersect1d(u, v))
-                keep.append(den * both >= num * (len(u) + len(v) - both))
-            yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    """Pairs of one task against the sets that they name."""
+
+    def run(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+        of = {k: _from_top(blob.as_py()) for k, blob in zip(sets.column("k").to_pylist(), sets.column("set"), strict=True)}
+        keep = []
+        for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True):
+            u, v = of[a], of[b]
+            both = len(np.intersect1d(u, v, assume_unique=True))
+            keep.append(den * both >= num * (len(u) + len(v) - both))
+        return pairs.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _sketch_longs() -> Column:
-    """The sketch column as 16 longs, for bit_count."""
-    return F.array(*[F.conv(F.hex(F.substring("sketch", 8 * i + 1, 8)), 16, -10).cast("long") for i in range(SKETCH_BITS // 64)])
+def _may_link(num: int, den: int) -> Column:
+    """Sizes and sketches of a pair (na, ska, wa, nb, skb, wb) allow the similarity; two long sets are held against their wide sketches too."""
 
+    def near(x: str, y: str) -> Column:
+        apart = F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+        return apart * (den + num) <= (F.col("na") + F.col("nb")) * (den - num)
 
-def _may_link(num: int, den: int) -> Column:
-    """Sizes and sketches of a pair (na, ska, nb, skb) allow the similarity."""
-    apart = F.aggregate(F.zip_with("ska", "skb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     sizes = (F.col("na") * den >= F.col("nb") * num) & (F.col("nb") * den >= F.col("na") * num)
-    return sizes & (apart * (den + num) <= (F.col("na") + F.col("nb")) * (den - num))
+    return sizes & near("ska", "skb") & F.coalesce(near("wa", "wb"), F.lit(True))
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, num: int = 3, den: int = 4, parts: int | None = None) -> DataFrame:
@@ -224,54 +232,79 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     scratch = Scratch(spark, "parity")
     body = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("d"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("t"), F.col(text).cast("binary").alias("text"))
     if parts is None:
-        # signatures of 4 to 100 MB of text in a part (0.5 to 12 MB), so a part fits a task at any size of the corpus
+        # signatures of 40 MB of text at most in a part (some 3 million), so a part fits a task at any size of the corpus;
+        # no more parts than that, for each set repeats its key in every part
         chars = body.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        parts = max(32, min(chars // 4_000_000, 512), chars // 100_000_000)
-    mapped = "kind int, d bigint, t bigint, n bigint, k bigint, sketch binary, p int, sigs binary, keys binary"
+        parts = max(48, chars // 40_000_000)
+    mapped = "kind int, d bigint, t bigint, n bigint, k bigint, sketch array<bigint>, wide array<bigint>, p int, sigs binary, keys binary"
     out = scratch.write(body.mapInArrow(_mapper(width, num, den, parts), mapped), "mapped", by="kind")
-    base = out.filter("kind = 0").select("d", "t", "n", "k", "sketch")
+    base = out.filter("kind = 0").select("d", "t", "n", "k", "sketch", "wide")
     grouped = out.filter("kind = 1").select("p", "sigs", "keys").groupBy("p").applyInArrow(_grouper(), "gid bigint, a bigint, b bigint")
     grouped = scratch.write(grouped.withColumn("star", F.col("gid").isNull()), "grouped", by="star")
     scratch.drop("mapped/kind=1")
     stars = grouped.filter("star").select("a", "b").distinct()
     members = grouped.filter("not star").select("gid", F.col("a").alias("k")).distinct()
 
-    nodes = base.filter("n > 0").groupBy("k").agg(F.min(F.struct("d", "t")).alias("first"), F.max("n").alias("n"), F.max("sketch").alias("sketch"))
-    nodes = scratch.write(nodes.select("k", "first.d", "first.t", "n", _sketch_longs().alias("sk")), "nodes")
+    nodes = base.filter("n > 0").groupBy("k").agg(F.min(F.struct("d", "t")).alias("first"), F.max("n").alias("n"), F.first("sketch").alias("sk"), F.first("wide").alias("wide"))
+    nodes = scratch.write(nodes.select("k", "first.d", "first.t", "n", "sk", "wide"), "nodes")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        """pairs: a, b, na, ska, nb, skb."""
-        near = scratch.write(pairs.filter(_may_link(num, den)).select("a", "b").distinct(), f"{name}-near")
-        ends = near.select(F.col("a").alias("k")).unionByName(near.select(F.col("b").alias("k"))).distinct()
-        texts = scratch.write(ends.join(nodes.select("k", "d", "t"), "k"), f"{name}-texts")
-        held = body.join(small_side(texts), ["d", "t"]).select("k", "text").mapInArrow(_sets(width), "k bigint, set binary")
+        """pairs: a, b, g (a group that both are in), na, ska, wa, nb, skb, wb. The pairs that link.
+
+        Pairs of one group go to one task, in shares of at most about 20,000, and each set that a task needs goes there once.
+        """
+        near = pairs.filter(_may_link(num, den)).groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("g").alias("g"))
+        near = scratch.write(near, f"{name}-near")
+        load = near.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n > 20000").select("g", F.ceil(F.col("n") / 20_000).alias("shares"))
+        load = scratch.write(load, f"{name}-load")
+        tasks = near.join(small_side(load), "g", "left").select("a", "b", F.xxhash64("g", F.pmod(F.xxhash64("b"), F.coalesce("shares", F.lit(1)))).alias("task"))
+        ends = tasks.select("task", F.explode(F.array("a", "b")).alias("k")).distinct()
+        ends = scratch.write(ends, f"{name}-ends")
+        texts = scratch.write(ends.select("k").distinct().join(nodes.select("k", "d", "t"), "k"), f"{name}-texts")
+        held = body.join(small_side(texts), ["d", "t"]).select("k", "text").dropDuplicates(["k"]).mapInArrow(_sets(width), "k bigint, set binary")
         sets = scratch.write(held, f"{name}-sets")
-        one = near.join(sets.select(F.col("k").alias("a"), F.col("set").alias("seta")), "a")
-        two = one.join(sets.select(F.col("k").alias("b"), F.col("set").alias("setb")), "b")
-        links = two.select("a", "b", "seta", "setb").mapInArrow(_verifier(num, den), "a bigint, b bigint")
-        links = scratch.write(links.distinct(), f"{name}-links")
+        sent = ends.join(sets, "k").select("task", "k", "set")
+        links = tasks.groupBy("task").cogroup(sent.groupBy("task")).applyInArrow(_verifier(num, den), "a bigint, b bigint")
+        links = scratch.write(links, f"{name}-links")
         scratch.drop(f"{name}-sets")
         return links
 
     def with_ends(pairs: DataFrame) -> DataFrame:
-        left = nodes.select(F.col("k").alias("a"), F.col("n").alias("na"), F.col("sk").alias("ska"))
-        right = nodes.select(F.col("k").alias("b"), F.col("n").alias("nb"), F.col("sk").alias("skb"))
+        left = nodes.select(F.col("k").alias("a"), F.col("n").alias("na"), F.col("sk").alias("ska"), F.col("wide").alias("wa"))
+        right = nodes.select(F.col("k").alias("b"), F.col("n").alias("nb"), F.col("sk").alias("skb"), F.col("wide").alias("wb"))
         return pairs.join(left, "a").join(right, "b")
 
-    links = verified(with_ends(stars), "star")
+    def grown(comp: DataFrame, links: DataFrame, name: str) -> DataFrame:
+        """Components (node, component) after more links."""
+        joined = comp.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)
+        return scratch.write(connected_components(joined, scratch, f"cc-{name}"), f"comp-{name}")
+
+    links = verified(with_ends(stars).withColumn("g", F.col("a")), "star")
     comp = scratch.write(connected_components(links, scratch, "cc-star"), "comp-star")
-    # members of one group in different components: these pairs are still open
-    placed = members.join(comp.select(F.col("node").alias("k"), "component"), "k", "left").withColumn("component", F.coalesce("component", "k"))
-    mixed = placed.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("gid")
-    open_members = scratch.write(
-        placed.join(mixed, "gid").join(nodes.select("k", "n", "sk"), "k").select("gid", "k", "component", "n", "sk"), "open"
-    )
-    x = open_members.select(F.col("gid").alias("ga"), F.col("k").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("sk").alias("ska"))
-    y = open_members.select(F.col("gid").alias("gb"), F.col("k").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("sk").alias("skb"))
-    rest = x.join(y, (F.col("ga") == F.col("gb")) & (F.col("ca") < F.col("cb")) & _may_link(num, den)).select("a", "b", "na", "ska", "nb", "skb")
-    more = verified(rest, "rest")
-    joined = comp.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
-    final = scratch.write(connected_components(joined, scratch, "cc"), "comp")
+    turn, before = 0, None
+    while True:
+        # members of one group in different components: these pairs are still open
+        placed = members.join(comp.select(F.col("node").alias("k"), "component"), "k", "left").withColumn("component", F.coalesce("component", "k"))
+        parts_of = placed.groupBy("gid", "component").agg(F.count(F.lit(1)).alias("n"), F.min(F.xxhash64(F.lit(turn), "k")).alias("draw"))
+        mixed = parts_of.groupBy("gid").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.col("n")).alias("same"), F.min("draw").alias("draw"), F.count(F.lit(1)).alias("c")).filter("c > 1")
+        mixed = scratch.write(mixed, f"mixed{turn}")
+        rows, pairs_left = mixed.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2), F.lit(0.0))).first()
+        open_members = scratch.write(placed.join(mixed.select("gid", "draw"), "gid").join(nodes.select("k", "n", "sk", "wide"), "k").select("gid", "k", "component", "n", "sk", "wide", "draw"), f"open{turn}")
+        x = open_members.select(F.col("gid").alias("ga"), F.col("k").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("sk").alias("ska"), F.col("wide").alias("wa"), "draw")
+        y = open_members.select(F.col("gid").alias("gb"), F.col("k").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("sk").alias("skb"), F.col("wide").alias("wb"))
+        # while pairs outnumber members, another lead in each group joins what it can; then all open pairs are compared
+        last = pairs_left <= 4 * rows or turn >= ROUNDS or (turn > 1 and pairs_left > 0.7 * before)
+        if last:
+            lead, apart = x, F.col("ca") < F.col("cb")
+        else:
+            lead, apart = x.filter(F.xxhash64(F.lit(turn), "a") == F.col("draw")), F.col("ca") != F.col("cb")
+        more = lead.join(y, (F.col("ga") == F.col("gb")) & apart & _may_link(num, den)).select("a", "b", F.col("ga").alias("g"), "na", "ska", "wa", "nb", "skb", "wb")
+        comp = grown(comp, verified(more, f"more{turn}"), f"more{turn}")
+        scratch.drop(f"open{turn}")
+        if last:
+            break
+        turn, before = turn + 1, pairs_left
+    final = comp
     classes = nodes.select("k", "d").join(final.select(F.col("node").alias("k"), "component"), "k", "left").withColumn("component", F.coalesce("component", "k"))
     smallest = classes.groupBy("component").agg(F.min("d").alias("smallest"))
     classes = classes.join(smallest, "component").select(F.col("k").alias("ck"), "smallest")
