@@ -6,7 +6,7 @@ import numpy as np
 
 from .hashing import U, mix
 
-BASE = U(0x100000001B3)
+BASE, SLOT_BITS = U(0x100000001B3), 18
 
 
 class Lattice:
@@ -16,14 +16,14 @@ class Lattice:
         self.log_p = np.asarray(log_p, dtype=np.float64)
         self.lengths = sorted({len(p) for p in pieces})
         h = np.array([self._hash_one(p) for p in pieces], dtype=U)
-        self.bits = 20
-        while True:  # a table without collisions, so one look-up decides
-            slot = self._slot(h)
-            if len(np.unique(slot)) == len(h) or self.bits == 26:
-                break
-            self.bits += 1
-        self.table = np.full(1 << self.bits, -1, dtype=np.int32)
-        self.table[slot] = np.arange(len(h), dtype=np.int32)
+        # small tables in turn: pieces whose slot is taken go to the next one, so that a look-up in each finds any piece
+        self.tables, left = [], np.arange(len(h))
+        while len(left):
+            slot, first = np.unique(self._slot(h[left], len(self.tables)), return_index=True)
+            table = np.full(1 << SLOT_BITS, -1, dtype=np.int32)
+            table[slot] = left[first]
+            self.tables.append(table)
+            left = np.delete(left, first)
         self.hash = h
 
     @staticmethod
@@ -33,8 +33,18 @@ class Lattice:
             x = ((x * int(BASE)) + b + 1) & 0xFFFFFFFFFFFFFFFF
         return x
 
-    def _slot(self, h: np.ndarray) -> np.ndarray:
-        return (mix(h) >> U(64 - self.bits)).astype(np.int64)
+    @staticmethod
+    def _slot(h: np.ndarray, turn: int) -> np.ndarray:
+        return (mix(h + U(turn * 0x9E3779B9)) >> U(64 - SLOT_BITS)).astype(np.int64)
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """The piece of each hash, -1 for none."""
+        out = np.full(h.shape, -1, dtype=np.int32)
+        for turn, table in enumerate(self.tables):
+            got = table[self._slot(h, turn)]
+            hit = (got >= 0) & (self.hash[got] == h)
+            out[hit] = got[hit]
+        return out
 
     def edges(self, block: np.ndarray) -> dict[int, np.ndarray]:
         """block: words of one length as rows of bytes. For each piece length the piece at each start, -1 for none."""
@@ -47,8 +57,7 @@ class Lattice:
                 m = block.shape[1] - done
                 h = h[:, :m] * BASE + wide[:, done : done + m]
                 done += 1
-            got = self.table[self._slot(h)]
-            out[n] = np.where(self.hash[got] == h, got, -1)
+            out[n] = self._find(h)
         return out
 
     def _weights(self, edges: dict) -> dict:
@@ -97,7 +106,7 @@ class Lattice:
         return total
 
 
-def _blocks(words: list[bytes], most: int = 2_000_000):
+def _blocks(words: list[bytes], most: int = 250_000):
     """Indices and byte matrix of words of equal length, about `most` bytes at a time."""
     lens = np.array([len(w) for w in words], dtype=np.int64)
     order = np.argsort(lens, kind="stable")
