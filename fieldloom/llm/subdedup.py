@@ -242,7 +242,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     firsts = ids.groupBy("t", "t2").agg(F.min("d").alias("first"), F.max("d").alias("last")).filter("first < last").drop("last")
     copies = scratch.write(ids.join(firsts, ["t", "t2"]).filter("d > first").select("d", "t").distinct(), "copies")
     size = ids.agg(F.sum("size")).first()[0] or 0
-    parts = max(32, min(size // 4_000_000, 512), size // 100_000_000)
+    # windows of 40 MB of text at most in a part (some 6 million); a document repeats its key in every part
+    parts = max(48, size // 40_000_000)
 
     body = full.select("d", "t", "text").join(small_side(copies), ["d", "t"], "left_anti")
     mapped = scratch.write(body.mapInArrow(_mapper(width, parts), "kind int, p int, entries binary, heads binary, d bigint, t bigint, hits binary"), "mapped", by="kind")
