@@ -1,6 +1,6 @@
 """Substring dedup by a compressed FM-index for each shard.
 
-1. Route. Each window of `width` words has a hash; hashes seen in several documents name, for each later document, a
+1. Route. Each window of `width` words has a 64-bit hash; hashes seen in several documents name, for each later document, a
    smaller one that seems to hold the window (its owner). This only decides which shard has to be asked.
 2. Index. Owners are dealt to shards of bounded size, and each shard gets an FM-index over the words of its documents.
 3. Search. The suspected runs of each document are streamed past the index of their shard: backward search over the
@@ -24,11 +24,20 @@ from .hashing import U, WordHash, window_hashes, word_hashes
 from .linededup import NO_KEY
 from .scratch import Scratch, small_side
 
-ENTRY = np.dtype([("sig", "<u4"), ("pos", "<u4")])
+SIG, POS = np.dtype("<u8"), np.dtype("<u4")
 HEAD = np.dtype([("d", "<i8"), ("t", "<i8"), ("n", "<u4")])
 HIT = np.dtype([("pos", "<u4"), ("owner", "<i8")])
 
 
+def _pack_pos(pos: np.ndarray) -> bytes:
+    """Positions byte plane by byte plane, so the high bytes compress."""
+    return np.ascontiguousarray(pos, dtype=POS).view(np.uint8).reshape(-1, POS.itemsize).T.tobytes()
+
+
+def _unpack_pos(x: bytes) -> np.ndarray:
+    return np.frombuffer(x, dtype=np.uint8).reshape(POS.itemsize, -1).T.copy().view(POS)[:, 0]
+
+
 def _hit_rows(d: np.ndarray, t: np.ndarray, pos: np.ndarray, owner: np.ndarray, rows: dict) -> None:
     """Adds one row for each (d, t) with its hits."""
     order = np.lexsort((t, d))
@@ -43,7 +52,7 @@ def _hit_rows(d: np.ndarray, t: np.ndarray, pos: np.ndarray, owner: np.ndarray,
 
 
 def _mapper(width: int, parts: int, limit: int = 1_000_000):
-    schema = pa.schema([("kind", pa.int32()), ("p", pa.int32()), ("entries", pa.binary()), ("heads", pa.binary()), ("d", pa.int64()), ("t", pa.int64()), ("hits", pa.binary())])
+    schema = pa.schema([("kind", pa.int32()), ("p", pa.int32()), ("sigs", pa.binary()), ("pos", pa.binary()), ("heads", pa.binary()), ("d", pa.int64()), ("t", pa.int64()), ("hits", pa.binary())])
 
     def pack(ds: list, ts: list, hs: list):
         if not hs:
@@ -60,20 +69,19 @@ def _mapper(width: int, parts: int, limit: int = 1_000_000):
         later = d > low
         _hit_rows(d[later], t[later], pos[later], low[later], rows)
         k = len(rows["d"])
-        rows["kind"], rows["p"], rows["entries"], rows["heads"] = [2] * k, [None] * k, [None] * k, [None] * k
+        rows["kind"] = [2] * k
+        rows["p"], rows["sigs"], rows["pos"], rows["heads"] = ([None] * k for _ in range(4))
         h, d, t, pos = h[~later], d[~later], t[~later], pos[~later]
         part = ((h >> U(32)) % U(parts)).astype(np.int64)
         order = np.lexsort((pos, t, d, part))
         h, d, t, pos, part = h[order], d[order], t[order], pos[order], part[order]
-        entries = np.empty(len(h), dtype=ENTRY)
-        entries["sig"], entries["pos"] = (h & U(0xFFFFFFFF)).astype(np.uint32), pos
         cuts = np.searchsorted(part, np.arange(parts + 1))
         for p in np.flatnonzero(np.diff(cuts)):
             a, b = cuts[p], cuts[p + 1]
             change = np.flatnonzero(np.r_[True, (d[a + 1 : b] != d[a : b - 1]) | (t[a + 1 : b] != t[a : b - 1])])
             heads = np.empty(len(change), dtype=HEAD)
             heads["d"], heads["t"], heads["n"] = d[a:b][change], t[a:b][change], np.diff(np.r_[change, b - a])
-            for name, v in zip(schema.names, (1, int(p), entries[a:b].tobytes(), heads.tobytes(), None, None, None), strict=True):
+            for name, v in zip(schema.names, (1, int(p), h[a:b].tobytes(), _pack_pos(pos[a:b]), heads.tobytes(), None, None, None), strict=True):
                 rows[name].append(v)
         yield pa.record_batch(rows, schema=schema)
 
@@ -97,11 +105,12 @@ def _mapper(width: int, parts: int, limit: int = 1_000_000):
 
 def _router():
     def run(table: pa.Table) -> pa.Table:
-        entries = np.concatenate([np.frombuffer(x.as_py(), dtype=ENTRY) for x in table.column("entries")])
+        sig = np.concatenate([np.frombuffer(x.as_py(), dtype=SIG) for x in table.column("sigs")])
+        pos = np.concatenate([_unpack_pos(x.as_py()) for x in table.column("pos")])
         heads = np.concatenate([np.frombuffer(x.as_py(), dtype=HEAD) for x in table.column("heads")])
         d, t = np.repeat(heads["d"], heads["n"]), np.repeat(heads["t"], heads["n"])
-        order = np.lexsort((d, entries["sig"]))
-        sig, pos, d, t = entries["sig"][order], entries["pos"][order], d[order], t[order]
+        order = np.lexsort((d, sig))
+        sig, pos, d, t = sig[order], pos[order], d[order], t[order]
         first = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
         low = np.repeat(d[first], np.diff(np.r_[first, len(sig)]))
         later = d > low
@@ -246,8 +255,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     parts = max(48, size // 40_000_000)
 
     body = full.select("d", "t", "text").join(small_side(copies), ["d", "t"], "left_anti")
-    mapped = scratch.write(body.mapInArrow(_mapper(width, parts), "kind int, p int, entries binary, heads binary, d bigint, t bigint, hits binary"), "mapped", by="kind")
-    routed = mapped.filter("kind = 1").select("p", "entries", "heads").groupBy("p").applyInArrow(_router(), "d bigint, t bigint, hits binary")
+    mapped = scratch.write(body.mapInArrow(_mapper(width, parts), "kind int, p int, sigs binary, pos binary, heads binary, d bigint, t bigint, hits binary"), "mapped", by="kind")
+    routed = mapped.filter("kind = 1").select("p", "sigs", "pos", "heads").groupBy("p").applyInArrow(_router(), "d bigint, t bigint, hits binary")
     hits = scratch.write(routed.unionByName(mapped.filter("kind = 2").select("d", "t", "hits")), "hits")
     scratch.drop("mapped")
 

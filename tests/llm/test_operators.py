@@ -466,3 +466,21 @@ def test_substring_dedup(docs, rows, empty, width, shard_words):
     assert Counter((r.key, r.n_words, r.n_removed, r.kept) for r in got) == want
     if width == 13:
         assert subdedup.remove_repeats(empty, width=width).count() == 0
+
+
+def test_substring_dedup_tells_windows_with_equal_low_bits_apart(spark):
+    """Two unrelated windows in one part agree in the low 32 bits of their hash; the one of the smallest document must not hide the other."""
+    width, parts, n = 13, 48, 2_000_000
+    rng = np.random.default_rng(1)
+    vocab = np.array([f"w{i}" for i in range(5000)])
+    at = rng.integers(0, len(vocab), n)
+    h = subdedup.window_hashes(subdedup.word_hashes(" ".join(vocab).encode(), subdedup.WordHash(), False)[at], width)
+    sig = (h & np.uint64(0xFFFFFFFF)) * np.uint64(parts) + (h >> np.uint64(32)) % np.uint64(parts)
+    order = np.argsort(sig, kind="stable")
+    i = np.flatnonzero(np.diff(sig[order]) == 0)[0]
+    a, b = (" ".join(vocab[at[k : k + width]]) for k in order[i : i + 2])
+    assert a != b
+    # one document a partition, so none is settled within a pack
+    docs = spark.createDataFrame(spark.sparkContext.parallelize([(k, x) for k, x in enumerate((a, b + " y", "x " + b + " z"), 1)], 3), "doc_id bigint, text string")
+    got = {r.key: (r.n_removed, r.kept) for r in subdedup.remove_repeats(docs, width=width, shard_words=2).collect()}
+    assert got == {1: (0, a), 2: (0, b + " y"), 3: (width, "x z")}
