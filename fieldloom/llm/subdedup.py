@@ -38,6 +38,14 @@ def _unpack_pos(x: bytes) -> np.ndarray:
     return np.frombuffer(x, dtype=np.uint8).reshape(POS.itemsize, -1).T.copy().view(POS)[:, 0]
 
 
+def _heads(d: np.ndarray, t: np.ndarray) -> bytes:
+    """Runs of equal (d, t)."""
+    change = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (t[1:] != t[:-1])]) if len(d) else np.zeros(0, dtype=np.int64)
+    heads = np.empty(len(change), dtype=HEAD)
+    heads["d"], heads["t"], heads["n"] = d[change], t[change], np.diff(np.r_[change, len(d)])
+    return heads.tobytes()
+
+
 def _hit_rows(d: np.ndarray, t: np.ndarray, pos: np.ndarray, owner: np.ndarray, rows: dict) -> None:
     """Adds one row for each (d, t) with its hits."""
     order = np.lexsort((t, d))
@@ -52,7 +60,7 @@ def _hit_rows(d: np.ndarray, t: np.ndarray, pos: np.ndarray, owner: np.ndarray,
 
 
 def _mapper(width: int, parts: int, limit: int = 1_000_000):
-    schema = pa.schema([("kind", pa.int32()), ("p", pa.int32()), ("sigs", pa.binary()), ("pos", pa.binary()), ("heads", pa.binary()), ("d", pa.int64()), ("t", pa.int64()), ("hits", pa.binary())])
+    schema = pa.schema([("p", pa.int32()), *[(n, pa.binary()) for n in ("sigs", "pos", "heads", "hit_pos", "hit_owner", "hit_heads")]])
 
     def pack(ds: list, ts: list, hs: list):
         if not hs:
@@ -65,23 +73,19 @@ def _mapper(width: int, parts: int, limit: int = 1_000_000):
         first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
         low = np.repeat(d[first], np.diff(np.r_[first, len(h)]))
         rows = {name: [] for name in schema.names}
-        # within the pack the smallest document is owner of the others' windows; only its own go on
+        # within the pack the smallest document is owner of the others' windows; only its own are compared with other packs
         later = d > low
-        _hit_rows(d[later], t[later], pos[later], low[later], rows)
-        k = len(rows["d"])
-        rows["kind"] = [2] * k
-        rows["p"], rows["sigs"], rows["pos"], rows["heads"] = ([None] * k for _ in range(4))
-        h, d, t, pos = h[~later], d[~later], t[~later], pos[~later]
-        part = ((h >> U(32)) % U(parts)).astype(np.int64)
-        order = np.lexsort((pos, t, d, part))
-        h, d, t, pos, part = h[order], d[order], t[order], pos[order], part[order]
+        # the hits go by text, so those of a hot window are spread
+        part = np.where(later, t % parts, ((h >> U(32)) % U(parts)).astype(np.int64))
+        order = np.lexsort((pos, t, d, later, part))
+        h, d, t, pos, low, later, part = h[order], d[order], t[order], pos[order], low[order], later[order], part[order]
         cuts = np.searchsorted(part, np.arange(parts + 1))
         for p in np.flatnonzero(np.diff(cuts)):
             a, b = cuts[p], cuts[p + 1]
-            change = np.flatnonzero(np.r_[True, (d[a + 1 : b] != d[a : b - 1]) | (t[a + 1 : b] != t[a : b - 1])])
-            heads = np.empty(len(change), dtype=HEAD)
-            heads["d"], heads["t"], heads["n"] = d[a:b][change], t[a:b][change], np.diff(np.r_[change, b - a])
-            for name, v in zip(schema.names, (1, int(p), h[a:b].tobytes(), _pack_pos(pos[a:b]), heads.tobytes(), None, None, None), strict=True):
+            m = b - np.count_nonzero(later[a:b])
+            own = (h[a:m].tobytes(), _pack_pos(pos[a:m]), _heads(d[a:m], t[a:m]))
+            hit = (_pack_pos(pos[m:b]), low[m:b].tobytes(), _heads(d[m:b], t[m:b]))
+            for name, v in zip(schema.names, (int(p), *own, *hit), strict=True):
                 rows[name].append(v)
         yield pa.record_batch(rows, schema=schema)
 
@@ -105,17 +109,23 @@ def _mapper(width: int, parts: int, limit: int = 1_000_000):
 
 def _router():
     def run(table: pa.Table) -> pa.Table:
-        sig = np.concatenate([np.frombuffer(x.as_py(), dtype=SIG) for x in table.column("sigs")])
-        pos = np.concatenate([_unpack_pos(x.as_py()) for x in table.column("pos")])
-        heads = np.concatenate([np.frombuffer(x.as_py(), dtype=HEAD) for x in table.column("heads")])
-        d, t = np.repeat(heads["d"], heads["n"]), np.repeat(heads["t"], heads["n"])
+        def flat(name, read):
+            return np.concatenate([read(x.as_py()) for x in table.column(name)])
+
+        def spread(name):
+            heads = flat(name, lambda x: np.frombuffer(x, dtype=HEAD))
+            return np.repeat(heads["d"], heads["n"]), np.repeat(heads["t"], heads["n"])
+
+        sig, pos, (d, t) = flat("sigs", lambda x: np.frombuffer(x, dtype=SIG)), flat("pos", _unpack_pos), spread("heads")
         order = np.lexsort((d, sig))
         sig, pos, d, t = sig[order], pos[order], d[order], t[order]
         first = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
         low = np.repeat(d[first], np.diff(np.r_[first, len(sig)]))
         later = d > low
+        d0, t0 = spread("hit_heads")
+        pos0, low0 = flat("hit_pos", _unpack_pos), flat("hit_owner", lambda x: np.frombuffer(x, dtype="<i8"))
         rows = {"d": [], "t": [], "hits": []}
-        _hit_rows(d[later], t[later], pos[later], low[later], rows)
+        _hit_rows(np.r_[d0, d[later]], np.r_[t0, t[later]], np.r_[pos0, pos[later]], np.r_[low0, low[later]], rows)
         return pa.table(rows, schema=pa.schema([("d", pa.int64()), ("t", pa.int64()), ("hits", pa.binary())]))
 
     return run
@@ -255,10 +265,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     parts = max(48, size // 40_000_000)
 
     body = full.select("d", "t", "text").join(small_side(copies), ["d", "t"], "left_anti")
-    mapped = scratch.write(body.mapInArrow(_mapper(width, parts), "kind int, p int, sigs binary, pos binary, heads binary, d bigint, t bigint, hits binary"), "mapped", by="kind")
-    routed = mapped.filter("kind = 1").select("p", "sigs", "pos", "heads").groupBy("p").applyInArrow(_router(), "d bigint, t bigint, hits binary")
-    hits = scratch.write(routed.unionByName(mapped.filter("kind = 2").select("d", "t", "hits")), "hits")
-    scratch.drop("mapped")
+    # the anti join leaves rows in file order or sorted by (d, t), so a repeated task packs alike
+    mapped = body.mapInArrow(_mapper(width, parts), "p int, sigs binary, pos binary, heads binary, hit_pos binary, hit_owner binary, hit_heads binary")
+    hits = scratch.write(mapped.groupBy("p").applyInArrow(_router(), "d bigint, t bigint, hits binary"), "hits")
 
     owners = hits.select("hits").mapInArrow(_owners, "owner bigint, n bigint").groupBy(F.col("owner").alias("d")).agg(F.sum("n").alias("n"))
     owners = scratch.write(owners, "owners")
