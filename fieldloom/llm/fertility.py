@@ -137,17 +137,20 @@ def measure(docs: DataFrame, model: str, text: str, lang: str, carry: list[str])
     return got.withColumn("base_failed", failed).withColumn("group", group).withColumn("length_class", F.floor(F.log2(F.greatest("n_words", F.lit(1)))).cast("int")).drop("row", "script", "lang")
 
 
+NAMES = ["chars_per_token", "byte_share", "entropy"]
+
+
 def _band(stats: DataFrame, by: list[str], least: int) -> DataFrame:
-    """Median and robust deviation (1.4826 times the median distance from it) of both figures for each group."""
-    names = ["chars_per_token", "entropy"]
+    """Median and robust deviation (1.4826 times the median distance from it) of the three figures for each group."""
+    names = NAMES
     mid = stats.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(c, 0.5, 10_000).alias(f"{c}_mid") for c in names]).filter(F.col("n") >= least)
     dev = stats.join(mid, by).groupBy(*by, *[f"{c}_mid" for c in names]).agg(*[(F.percentile_approx(F.abs(F.col(c) - F.col(f"{c}_mid")), 0.5, 10_000) * 1.4826).alias(f"{c}_dev") for c in names])
     return dev
 
 
-def judge(measured: DataFrame, chars: tuple[float, float] = (8.0, 8.0), entropy: tuple[float, float] = (4.0, 12.0), byte_limit: float = 0.2, least: int = 100) -> DataFrame:
-    """measured plus kept. Rejected: what the base rules fail, and what lies outside its band or above byte_limit in byte-fallback share.
-    chars and entropy: how many robust deviations below and above the median are still good. Poor text repeats its tokens, so entropy is
+def judge(measured: DataFrame, chars: tuple[float, float] = (8.0, 8.0), entropy: tuple[float, float] = (4.0, 12.0), byte_share: tuple[float, float] = (12.0, 12.0), least: int = 100) -> DataFrame:
+    """measured plus kept. Rejected: what the base rules fail, and what lies outside its band in one of the three figures.
+    chars, entropy and byte_share: how many robust deviations below and above the median are still good. Poor text repeats its tokens, so entropy is
     held more tightly below.
 
     A group of a language and length class with fewer than `least` documents takes the band of its language over all lengths, and
@@ -157,7 +160,7 @@ def judge(measured: DataFrame, chars: tuple[float, float] = (8.0, 8.0), entropy:
     good = measured.filter(~F.col("base_failed"))
     fine = scratch.write(_band(good, ["group", "length_class"], least), "fine")
     rough = scratch.write(_band(good, ["group"], least), "rough")
-    names = [f"{c}_{x}" for c in ("chars_per_token", "entropy") for x in ("mid", "dev")]
+    names = [f"{c}_{x}" for c in NAMES for x in ("mid", "dev")]
     fine = fine.select(F.col("group").alias("g1"), F.col("length_class").alias("l1"), *[F.col(n).alias(f"f_{n}") for n in names])
     rough = rough.select(F.col("group").alias("g2"), *[F.col(n).alias(f"r_{n}") for n in names])
     both = measured.join(fine, (F.col("group") == F.col("g1")) & (F.col("length_class") == F.col("l1")), "left").join(rough, F.col("group") == F.col("g2"), "left")
@@ -167,7 +170,7 @@ def judge(measured: DataFrame, chars: tuple[float, float] = (8.0, 8.0), entropy:
         z = (F.col(c) - m[f"{c}_mid"]) / F.greatest(m[f"{c}_dev"], F.lit(0.01))
         return F.coalesce((z >= -low) & (z <= high), F.lit(True))
 
-    ok = inside("chars_per_token", *chars) & inside("entropy", *entropy) & (F.col("byte_share") <= byte_limit)
+    ok = inside("chars_per_token", *chars) & inside("entropy", *entropy) & inside("byte_share", *byte_share)
     return both.withColumn("kept", ~F.col("base_failed") & ok).drop("g1", "l1", "g2", *[f"f_{n}" for n in names], *[f"r_{n}" for n in names])
 
 

@@ -200,6 +200,20 @@ def test_bands_reject_junk_and_keep_prose(spark):
     assert all(got[r[0]] for r in prose) and not any(got[r[0]] for r in junk)
 
 
+def test_byte_share_is_held_against_its_language(spark):
+    """Amharic prose is cut into bytes for the most part and stays; Latin text with as many as a limit of 0.2 lets through goes."""
+    rng = random.Random(6)
+    am = "ሰላም ቤት ውሃ መንገድ ልጅ ትምህርት ከተማ ሀገር ምግብ ጊዜ ወንዝ ድንጋይ ድልድይ".split()
+    en = "the river water under morning light of and stone bridge people walk along every day slow green field when rain".split()
+    amharic = [(i, " ".join(rng.choice(am) + rng.choice(am) for _ in range(120)), "am") for i in range(150)]
+    latin = [(1000 + i, " ".join(rng.choice(en) + rng.choice(["", "", "s", "ing"]) for _ in range(120)), "en") for i in range(150)]
+    odd = [(2000 + i, " ".join("\u16a0" if j % 10 == 0 else rng.choice(en) + rng.choice(["", "", "s", "ing"]) for j in range(120)), "en") for i in range(5)]
+    done = fertility.quality(spark.createDataFrame(amharic + latin + odd, "doc_id bigint, text string, lang string"), MODEL, carry=["doc_id"]).collect()
+    got, share = {r.doc_id: r.kept for r in done}, {r.doc_id: r.byte_share for r in done}
+    assert all(share[r[0]] > 0.2 for r in amharic) and all(0.12 < share[r[0]] < 0.2 for r in odd)
+    assert all(got[r[0]] for r in amharic + latin) and not any(got[r[0]] for r in odd)
+
+
 def shingles(x: str | None, n: int = 5) -> set:
     w = [lower(y) for y in split_words(x)]
     return set() if not w else {tuple(w)} if len(w) < n else {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
