@@ -49,6 +49,12 @@ def test_query_runs(spark, data, name):
     assert registry.queries()[name](spark, data).count() > 0
 
 
+def test_path_template_keeps_long_ids(spark, tmp_path):
+    spark.createDataFrame([(7, "u", "h"), (123456, "u", "h")], "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r.path for r in registry.queries()["k18_path_template"](spark, str(tmp_path)).collect()}
+    assert got == {7: "out/2/chip_00007.tif", 123456: "out/1/chip_123456.tif"}
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
