@@ -61,6 +61,8 @@ class Pieces:
 
 
 def _script(text: str) -> str:
+    if text.isascii():
+        return "latin" if any(map(str.isalpha, text)) else "none"
     points = np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32)
     at = np.searchsorted([s for s, _ in SCRIPTS], points, side="right") - 1
     at = at[(at >= 0) & ~((points > 0x5A) & (points < 0x61)) & ~((points > 0x7A) & (points < 0xC0))]
@@ -93,7 +95,7 @@ FIGURES = pa.schema(
 )
 
 
-def figures(text: bytes | None, pieces: Pieces, cache: WordHash, with_script: bool) -> tuple:
+def figures(text: bytes | None, pieces: Pieces, cache: WordHash) -> tuple:
     text = text or b""
     words = text.split()
     if not words:
@@ -109,7 +111,7 @@ def figures(text: bytes | None, pieces: Pieces, cache: WordHash, with_script: bo
         entropy = float(-(p * np.log2(p)).sum() + (len(counts) - 1) / (2 * n * math.log(2)))
     return (
         len(words), word_chars, len(text) - len(text.translate(None, SYMBOLS)), _dup_lines(text), _repeat_words(word_hashes(text, cache, False)), n,
-        word_chars / max(n, 1), float(pieces.byte[ids].mean()) if n else 0.0, entropy, _script(string) if with_script else "none",
+        word_chars / max(n, 1), float(pieces.byte[ids].mean()) if n else 0.0, entropy, _script(string),
     )
 
 
@@ -117,7 +119,7 @@ def _measure(model: str):
     def run(batches):
         pieces, cache = Pieces(model), WordHash()
         for batch in batches:
-            rows = [(r, *figures(text.as_py(), pieces, cache, lang is None)) for r, lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True)]
+            rows = [(r, *figures(text.as_py(), pieces, cache)) for r, text in zip(batch.column(0).to_pylist(), batch.column(2), strict=True)]
             cols = list(zip(*rows, strict=True)) if rows else [[] for _ in FIGURES]
             yield pa.record_batch([*[pa.array(c, f.type) for c, f in zip(cols, FIGURES, strict=True)], batch.column(1), *batch.columns[3:]], names=[*FIGURES.names, "lang", *batch.schema.names[3:]])
 
@@ -134,44 +136,49 @@ def measure(docs: DataFrame, model: str, text: str, lang: str, carry: list[str])
     got = given.mapInArrow(_measure(model), schema)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     group = F.coalesce("lang", F.concat(F.lit("script:"), F.col("script")))
-    return got.withColumn("base_failed", failed).withColumn("group", group).withColumn("length_class", F.floor(F.log2(F.greatest("n_words", F.lit(1)))).cast("int")).drop("row", "script", "lang")
+    return got.withColumn("base_failed", failed).withColumn("group", group).withColumn("length_class", F.floor(F.log2(F.greatest("n_words", F.lit(1)))).cast("int")).drop("row", "lang")
 
 
 NAMES = ["chars_per_token", "byte_share", "entropy"]
 
 
-def _band(stats: DataFrame, by: list[str], least: int) -> DataFrame:
-    """Median and robust deviation (1.4826 times the median distance from it) of the three figures for each group."""
+def _band(stats: DataFrame, by: list[str], least: int, wide: bool = False) -> DataFrame:
+    """Median and robust deviation (1.4826 times the median distance from it) of the three figures for each group. wide: there are few groups."""
     names = NAMES
     mid = stats.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(c, 0.5, 10_000).alias(f"{c}_mid") for c in names]).filter(F.col("n") >= least)
-    dev = stats.join(mid, by).groupBy(*by, *[f"{c}_mid" for c in names]).agg(*[(F.percentile_approx(F.abs(F.col(c) - F.col(f"{c}_mid")), 0.5, 10_000) * 1.4826).alias(f"{c}_dev") for c in names])
+    dev = stats.join(F.broadcast(mid) if wide else mid, by).groupBy(*by, *[f"{c}_mid" for c in names]).agg(*[(F.percentile_approx(F.abs(F.col(c) - F.col(f"{c}_mid")), 0.5, 10_000) * 1.4826).alias(f"{c}_dev") for c in names])
     return dev
 
 
-def judge(measured: DataFrame, chars: tuple[float, float] = (8.0, 8.0), entropy: tuple[float, float] = (4.0, 12.0), byte_share: tuple[float, float] = (12.0, 12.0), least: int = 100) -> DataFrame:
+def judge(measured: DataFrame, chars: tuple[float, float] = (8.0, 8.0), entropy: tuple[float, float] = (4.0, 12.0), byte_share: tuple[float, float] = (12.0, 12.0), least: int = 100, few: int = 20) -> DataFrame:
     """measured plus kept. Rejected: what the base rules fail, and what lies outside its band in one of the three figures.
     chars, entropy and byte_share: how many robust deviations below and above the median are still good. Poor text repeats its tokens, so entropy is
     held more tightly below.
 
-    A group of a language and length class with fewer than `least` documents takes the band of its language over all lengths, and
-    a language with fewer than that none.
+    A group of a language and length class with fewer than `least` documents takes the band of its language over all lengths, a
+    language with fewer than that the band of its script, and a script with fewer than `few` that of all documents.
     """
     scratch = Scratch(measured.sparkSession, "bands")
     good = measured.filter(~F.col("base_failed"))
     fine = scratch.write(_band(good, ["group", "length_class"], least), "fine")
     rough = scratch.write(_band(good, ["group"], least), "rough")
+    script = scratch.write(_band(good, ["script"], few, wide=True), "script")
+    whole = scratch.write(_band(good.withColumn("one", F.lit(1)), ["one"], 1, wide=True), "whole")
     names = [f"{c}_{x}" for c in NAMES for x in ("mid", "dev")]
     fine = fine.select(F.col("group").alias("g1"), F.col("length_class").alias("l1"), *[F.col(n).alias(f"f_{n}") for n in names])
     rough = rough.select(F.col("group").alias("g2"), *[F.col(n).alias(f"r_{n}") for n in names])
+    script = script.select(F.col("script").alias("s3"), *[F.col(n).alias(f"s_{n}") for n in names])
+    whole = whole.select(*[F.col(n).alias(f"w_{n}") for n in names])
     both = measured.join(fine, (F.col("group") == F.col("g1")) & (F.col("length_class") == F.col("l1")), "left").join(rough, F.col("group") == F.col("g2"), "left")
-    m = {n: F.coalesce(f"f_{n}", f"r_{n}") for n in names}
+    both = both.join(F.broadcast(script), F.col("script") == F.col("s3"), "left").join(F.broadcast(whole), F.lit(True), "left")
+    m = {n: F.coalesce(*[f"{x}_{n}" for x in "frsw"]) for n in names}
 
     def inside(c: str, low: float, high: float):
         z = (F.col(c) - m[f"{c}_mid"]) / F.greatest(m[f"{c}_dev"], F.lit(0.01))
         return F.coalesce((z >= -low) & (z <= high), F.lit(True))
 
     ok = inside("chars_per_token", *chars) & inside("entropy", *entropy) & inside("byte_share", *byte_share)
-    return both.withColumn("kept", ~F.col("base_failed") & ok).drop("g1", "l1", "g2", *[f"f_{n}" for n in names], *[f"r_{n}" for n in names])
+    return both.withColumn("kept", ~F.col("base_failed") & ok).drop("g1", "l1", "g2", "s3", "script", *[f"{x}_{n}" for n in names for x in "frsw"])
 
 
 def quality(docs: DataFrame, model: str, carry: list[str], text: str = "text", lang: str = "lang", **bands) -> DataFrame:

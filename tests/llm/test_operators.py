@@ -214,6 +214,17 @@ def test_byte_share_is_held_against_its_language(spark):
     assert all(got[r[0]] for r in amharic + latin) and not any(got[r[0]] for r in odd)
 
 
+def test_small_groups_take_a_wider_band(spark):
+    rng = random.Random(7)
+    vocab = "the river water under morning light of and stone bridge people walk along every day slow green field when rain".split()
+    prose = lambda: " ".join(rng.choice(vocab) + rng.choice(["", "", "s", "ing"]) for _ in range(120))
+    junk = lambda: " ".join(rng.choice(["xq#", "zz@", "kk%"]) + str(rng.randint(0, 99999)) for _ in range(120))
+    for n, few in ((150, 15), (30, 15)):  # the large group has a band of its own, then none has
+        rows = [(i, prose(), "en") for i in range(n)] + [(1000 + i, prose(), "nl") for i in range(few)] + [(2000 + i, junk(), "nl") for i in range(3)]
+        got = {r.doc_id: r.kept for r in fertility.quality(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), MODEL, carry=["doc_id"]).collect()}
+        assert all(got[r[0]] for r in rows[:-3]) and not any(got[r[0]] for r in rows[-3:])
+
+
 def shingles(x: str | None, n: int = 5) -> set:
     w = [lower(y) for y in split_words(x)]
     return set() if not w else {tuple(w)} if len(w) < n else {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
