@@ -2,7 +2,7 @@
 
 Line keys become hashes, range-partitioned and sorted by hash, document and position, so that the first
 occurrence of each hash streams past before the others. What comes back for each document is not
-text but a sparse bitmap of the lines it loses; `apply_bitmaps` cuts the text by it.
+text but a sparse bitmap of the lines it loses; `apply_bitmaps` cuts the text by it, and only texts that lose lines are shuffled for that.
 """
 
 from __future__ import annotations
@@ -11,12 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .scratch import Scratch
+from .scratch import Scratch, small_side
 from .text import ascii_lower
 
 STRIP = " \t\n\x0b\x0c\r"
 NO_KEY = (1 << 63) - 1
-SLICES = 32
+BUCKET_BITS, SLICE_ROWS = 16, 50_000
 
 
 def lines(text: Column) -> Column:
@@ -42,9 +42,9 @@ def line_bitmaps(docs: DataFrame, key: str, text: str, min_chars: int = 10, min_
     min_chars code points found under at least min_docs document keys are lost by all documents but
     the one with the smallest key, which keeps every occurrence.
 
-    A hash that fills a large share of the rows is dealt over SLICES ranges by document; each range
-    streams its own first occurrence and at most one row for each document and range goes on to the
-    aggregation, which combines before it shuffles.
+    Occurrences are counted in 2^16 buckets of the hash. A bucket with more than SLICE_ROWS and twice its share of them, such as that of a line
+    that fills a large part of the rows, is dealt over as many slices by document as its count asks for; each slice
+    streams its own first occurrences, at most one row for each line and slice goes on to the aggregation, and lost lines are found slice by slice.
 
     Edge cases: rows with one document key are one document; a null key is a document that sorts last; null and empty
     texts have one empty line; an empty table gives an empty table; other columns are ignored.
@@ -55,8 +55,15 @@ def line_bitmaps(docs: DataFrame, key: str, text: str, min_chars: int = 10, min_
     occ = scratch.write(
         keyed.select("d", "t", "pos", F.xxhash64("k").alias("h"), F.xxhash64(F.lit("second"), "k").alias("h2")), "occ"
     )
+    bucket = F.shiftrightunsigned("h", 64 - BUCKET_BITS)
+    counts = scratch.write(occ.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n")), "counts")
+    share = max(SLICE_ROWS, 2 * (counts.agg(F.sum("n")).first()[0] or 0) >> BUCKET_BITS)
+    hot = counts.select("bucket", F.ceil(F.col("n") / F.lit(share)).alias("slices")).filter("slices > 1")
+    # 2^16 rows at most
+    dealt = occ.withColumn("bucket", bucket).join(F.broadcast(hot), "bucket", "left").withColumn("slices", F.coalesce("slices", F.lit(1).cast("long")))
+    dealt = dealt.select("h", "h2", "d", "t", "pos", "slices", F.pmod(F.xxhash64("d"), F.col("slices")).alias("slice"))
     sliced = (
-        occ.select("h", "h2", "d", "pos", F.pmod(F.xxhash64("d"), F.lit(SLICES)).alias("slice"))
+        dealt.select("h", "h2", "slices", "d", "pos", "slice")
         .repartitionByRange("h", "h2", "slice")
         .sortWithinPartitions("h", "h2", "slice", "d", "pos")
     )
@@ -64,13 +71,13 @@ def line_bitmaps(docs: DataFrame, key: str, text: str, min_chars: int = 10, min_
     firsts = (
         sliced.withColumn("before", F.lag("d").over(stream))
         .filter(F.col("before").isNull() | (F.col("before") != F.col("d")))
-        .groupBy("h", "h2")
+        .groupBy("h", "h2", "slices")
         .agg(F.min("d").alias("first"), F.count(F.lit(1)).alias("n_docs"))
         .filter(F.col("n_docs") >= min_docs)
-        .select("h", "h2", "first")
+        .select("h", "h2", "first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"))
     )
     firsts = scratch.write(firsts, "firsts")
-    lost = occ.join(firsts, ["h", "h2"]).filter(F.col("d") > F.col("first"))
+    lost = dealt.join(firsts, ["h", "h2", "slice"]).filter(F.col("d") > F.col("first"))
     masks = lost.groupBy("d", "t", F.shiftright("pos", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, pos & 63)")).alias("mask")
     )
@@ -88,9 +95,14 @@ def apply_bitmaps(docs: DataFrame, maps: DataFrame, key: str, text: str) -> Data
     New columns replace any of the same name; all others pass unchanged.
     """
     d, t = row_id(F.col(key), F.col(text))
-    maps = maps.select(F.col("d").alias("__line_d"), F.col("t").alias("__line_t"), F.map_from_entries("dropped").alias("__line_m"))
-    joined = docs.withColumns({"__line_rd": d, "__line_rt": t}).join(maps, (F.col("__line_rd") == F.col("__line_d")) & (F.col("__line_rt") == F.col("__line_t")), "left")
-    joined = joined.withColumn("__line_l", lines(F.col(text)))
+    maps = maps.select(F.col("d").alias("__line_d"), F.col("t").alias("__line_t"), F.col("dropped").alias("__line_b"))
+    same = (F.col("__line_rd") == F.col("__line_d")) & (F.col("__line_rt") == F.col("__line_t"))
+    ids = small_side(maps.select("__line_d", "__line_t"))
+    rows = docs.withColumns({"__line_rd": d, "__line_rt": t})
+    whole = rows.join(ids, same, "left_anti").withColumn("__line_m", F.lit(None).cast("map<int,bigint>"))
+    # by a shuffle at any size: both sides grow with the corpus
+    cut = rows.join(ids, same, "left_semi").join(maps.hint("shuffle_hash"), same).withColumn("__line_m", F.map_from_entries("__line_b")).drop("__line_d", "__line_t", "__line_b")
+    joined = whole.unionByName(cut).withColumn("__line_l", lines(F.col(text)))
 
     def stays(_line: Column, i: Column) -> Column:
         mask = F.coalesce(F.try_element_at(F.col("__line_m"), F.shiftright(i, 6)), F.lit(0).cast("long"))
@@ -105,7 +117,7 @@ def apply_bitmaps(docs: DataFrame, maps: DataFrame, key: str, text: str) -> Data
             "n_dropped": (F.size("__line_l") - F.size("__line_k")).cast("long"),
             "kept_text": F.array_join("__line_k", "\n"),
         }
-    ).drop("__line_d", "__line_t", "__line_m", "__line_rd", "__line_rt", "__line_l", "__line_k")
+    ).drop("__line_m", "__line_rd", "__line_rt", "__line_l", "__line_k")
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = 10, min_docs: int = 2) -> DataFrame:
