@@ -11,7 +11,7 @@ STEM_COLUMNS = ("filename", "chip_id", "id", "name", "tile_id", "grid_id", "stem
 
 def chip_name(value: Column) -> Column:
     """A name that begins with a letter stays; otherwise its digits make chip_<digits>, chip_0 without any; empty or null is chip_unknown."""
-    text = F.trim(F.coalesce(value.cast("string"), F.lit("")))
+    text = F.coalesce(value.cast("string"), F.lit(""))
     digits = F.regexp_replace(text, "[^0-9]", "")
     return (
         F.when(text == "", "chip_unknown")
@@ -123,35 +123,39 @@ def extension(path: Column) -> Column:
     return out
 
 
-def uint16_action(kind: Column, low: Column, high: Column, documented: bool = False) -> Column:
-    """What turns a band into uint16: skip, cast, scale or clip.
+def uint16_action(kind: Column, low: Column, high: Column, documented: bool = False, target: tuple[int, int] = (0, 65535)) -> Column:
+    """What turns a band into uint16 within the target range: skip, cast, scale or clip.
 
     By default the test for a range that fits comes before the one for reflectance, so bands in [0, 1] are cast (and
-    truncated); documented=True asks for reflectance first.
+    truncated); documented=True asks for reflectance first. A uint16 band outside the target is clipped.
     """
-    fits = (low >= 0) & (high <= 65535)
-    unit = kind.isin("float32", "float64") & (low >= -1e-6) & (high <= 1.0000001)
-    skip = kind == "uint16"
+    fits = (low >= target[0]) & (high <= target[1])
+    unit = kind.isin("float16", "float32", "float64") & (low >= -1e-6) & (high <= 1.0000001)
+    held = F.when(kind == "uint16", "skip").otherwise("cast")
     if documented:
-        return F.when(skip, "skip").when(unit, "scale").when(fits, "cast").otherwise("clip")
-    return F.when(skip, "skip").when(fits, "cast").when(unit, "scale").otherwise("clip")
-
-
-#: Order of numeric kinds for promotion, fixed values.
-KINDS = ["uint8", "int16", "uint16", "int32", "uint32", "float32", "float64"]
+        return F.when(unit, "scale").when(fits, held).otherwise("clip")
+    return F.when(fits, held).when(unit, "scale").otherwise("clip")
 
 
 def common_kind(a: Column, b: Column) -> Column:
-    """The narrowest numeric kind that holds both."""
-    order = F.array(*[F.lit(k) for k in KINDS])
-    hi = F.greatest(F.array_position(order, a), F.array_position(order, b))
-    wide = F.element_at(order, hi.cast("int"))
-    signed, other = F.lit("int16"), F.when(a == "int16", b).otherwise(a)
-    mixed = ((a == signed) | (b == signed)) & other.isin("uint16")
-    deep = ((a == "int32") & (b == "uint32")) | ((a == "uint32") & (b == "int32"))
-    wide32 = ((a == "uint32") & (b == "int16")) | ((a == "int16") & (b == "uint32"))
-    single = ((a == "float32") & b.isin("int32", "uint32")) | ((b == "float32") & a.isin("int32", "uint32"))
-    return F.when(mixed, "int32").when(deep | wide32 | single, F.when(single, "float64").otherwise("int64")).otherwise(wide)
+    """The narrowest numeric kind that holds both: (u)int8 to (u)int64 and float16 to float64; null for another kind.
+
+    Of a signed and an unsigned kind, the signed one if it is wider, else the next wider signed one (float64 beyond int64); floats hold
+    integers of at most half their width, at most 32 bits in float64 exactly and 64 bits by convention.
+    """
+    form = r"^(u?int|float)(8|16|32|64)$"
+    family, bits = (lambda k: F.regexp_extract(k, form, 1)), (lambda k: F.try_to_number(F.regexp_extract(k, form, 2), F.lit("99")).cast("int"))
+    fa, fb, na, nb = family(a), family(b), bits(a), bits(b)
+    wide = F.greatest(na, nb)
+    name = lambda kind, n: F.concat(F.lit(kind), n.cast("string"))
+    # signed and unsigned
+    u, s = F.when(fa == "uint", na).otherwise(nb), F.when(fa == "uint", nb).otherwise(na)
+    mixed = F.when(s > u, name("int", s)).when(u == 64, "float64").otherwise(name("int", u * 2))
+    # a float and an integer
+    f, i = F.when(fa == "float", na).otherwise(nb), F.when(fa == "float", nb).otherwise(na)
+    real = name("float", F.greatest(f, F.when(i == 8, 16).when(i == 16, 32).otherwise(64)))
+    known = a.rlike(form) & b.rlike(form) & (a != "float8") & (b != "float8")
+    return F.when(known, F.when(fa == fb, F.concat(fa, wide.cast("string"))).when((fa == "float") | (fb == "float"), real).otherwise(mixed))
 
 
 def year_of(df: DataFrame, column: str | None, constant: int | None) -> Column:
@@ -175,3 +179,24 @@ def is_geographic(crs: str, unit: str | None = None) -> bool:
 
 def prefix_tags(tags: Column, prefix: str) -> Column:
     return F.transform_keys(tags, lambda k, _: F.concat(F.lit(prefix), k))
+
+
+def date_name(prefix: str, at: Column) -> Column:
+    """<prefix><yyyymmdd>."""
+    return F.concat(F.lit(prefix), F.date_format(at, "yyyyMMdd"))
+
+
+def path_from(template: str, *parts: Column) -> Column:
+    """A path by a printf template, the same for every row."""
+    return F.format_string(template, *parts)
+
+
+def pair_reason(a: dict[str, Column], b: dict[str, Column], bands: int = 4) -> Column:
+    """Why two rasters (bands, crs, transform, width, height) make no pair, by the first test that fails; empty if they do. Unknown equals unknown."""
+    differ = lambda k: ~a[k].eqNullSafe(b[k])
+    # messages, fixed values
+    few = lambda w, c: F.format_string(f"Window {w} has %d bands (expected {bands}).", c)
+    return (
+        F.when(a["bands"] != bands, few("A", a["bands"])).when(b["bands"] != bands, few("B", b["bands"])).when(differ("crs"), "CRS mismatch.")
+        .when(differ("transform"), "Affine transform mismatch.").when(differ("width") | differ("height"), "Raster dimension mismatch.").otherwise("")
+    )

@@ -20,6 +20,16 @@ def search(items: DataFrame, start: str, end: str, cloud: float, inclusive: bool
     return items.filter(keep)
 
 
+def search_shapes(items: DataFrame, area: tuple[float, float, float, float], exact: Column, fallback: bool = False) -> DataFrame:
+    """Items (box x0, y0, x1, y1) whose shape meets an area: the box test goes to the scan, the exact one refines what it lets through.
+
+    fallback: the catalogue could not answer the exact question, so only boxes are compared.
+    """
+    x0, y0, x1, y1 = area
+    near = (F.col("x0") <= x1) & (F.col("x1") >= x0) & (F.col("y0") <= y1) & (F.col("y1") >= y0)
+    return items.filter(near if fallback else near & exact)
+
+
 def rung(c1: Column, c2: Column, ladder: list[float], inclusive: bool = False) -> Column:
     """The first threshold of the ladder under which both clouds fall; null if none does."""
     worst, out = F.greatest(c1, c2), F.lit(None).cast("double")
@@ -37,33 +47,38 @@ def best_pair(scenes: DataFrame, months: float, ladder: list[float], inclusive:
     depend on the rung, so the ladder needs no join.
     """
     s = scenes.filter(F.col("tile").isNotNull()).select("tile", "scene_id", "ts", F.coalesce("cloud", F.lit(100)).alias("cloud"))
-    a = s.select("tile", F.col("scene_id").alias("s1"), F.col("ts").alias("t1"), F.col("cloud").alias("c1"))
-    b = s.select(F.col("tile").alias("tile2"), F.col("scene_id").alias("s2"), F.col("ts").alias("t2"), F.col("cloud").alias("c2"))
-    need = int(round(30 * months))
-    # t2 >= t1 + need days says the same as whole days >= need, and stays a comparison of columns
-    pairs = a.join(b, (F.col("tile") == F.col("tile2")) & (F.col("t2") >= F.expr(f"t1 + interval {need} days")))
-    pairs = pairs.withColumn("gap_days", floor_days(F.col("t2"), F.col("t1"))).withColumn("rung", rung(F.col("c1"), F.col("c2"), ladder, inclusive))
-    inner = W.partitionBy("tile", "s1").orderBy("c2", "t2", "s2")
-    first = pairs.withColumn("rn", F.row_number().over(inner)).filter("rn = 1 and rung is not null").withColumn("cloud_sum", F.col("c1") + F.col("c2"))
-    outer = W.partitionBy("tile").orderBy("rung", "cloud_sum", F.col("gap_days").desc(), "t1", "s1")
-    return first.withColumn("rn", F.row_number().over(outer)).filter("rn = 1").select("tile", "rung", "s1", "s2", "cloud_sum", "gap_days")
+    need = int(round(30 * months)) * 86_400_000_000
+    # from the last scene to the first, the frame of a scene is a growing one: all scenes at least `need` microseconds later
+    later = W.partitionBy("tile").orderBy("back").rangeBetween(W.unboundedPreceding, -need)
+    back = (-F.unix_micros(F.col("ts").cast("timestamp"))).alias("back")
+    best = F.min(F.struct(F.col("cloud").alias("c2"), F.col("ts").alias("t2"), F.col("scene_id").alias("s2"))).over(later)
+    pairs = s.select("*", back).withColumn("best", best).filter("best is not null").select("tile", F.col("scene_id").alias("s1"), F.col("ts").alias("t1"), F.col("cloud").alias("c1"), "best.*")
+    pairs = pairs.withColumn("gap_days", floor_days(F.col("t2"), F.col("t1"))).withColumn("rung", rung(F.col("c1"), F.col("c2"), ladder, inclusive)).filter("rung is not null")
+    order = F.struct("rung", (F.col("c1") + F.col("c2")).alias("cloud_sum"), (-F.col("gap_days")).alias("less"), "t1", "s1", "s2")
+    first = pairs.groupBy("tile").agg(F.min(order).alias("m"))
+    return first.select("tile", "m.rung", "m.s1", "m.s2", "m.cloud_sum", (-F.col("m.less")).alias("gap_days"))
 
 
 def first_two_pairs(scenes: DataFrame, months: int, ladder: list[float]) -> DataFrame:
-    """The first two pairs in scene order for each tile, on the first rung that has two or more (tile, rung, n, s1, s2)."""
-    order = W.partitionBy("tile").orderBy("ts", "scene_id")
-    s = scenes.withColumn("i", F.row_number().over(order))
-    a = s.select("tile", F.col("i").alias("i1"), F.col("scene_id").alias("s1"), F.col("ts").alias("t1"), F.col("cloud").alias("c1"))
-    b = s.select(F.col("tile").alias("tile2"), F.col("i").alias("i2"), F.col("scene_id").alias("s2"), F.col("ts").alias("t2"), F.col("cloud").alias("c2"))
-    pairs = a.join(b, (F.col("tile") == F.col("tile2")) & (F.col("i1") < F.col("i2"))).filter(F.abs(floor_days(F.col("t2"), F.col("t1"))) >= 30 * months)
-    # a pair that a rung admits is admitted by all wider ones
-    least = rung(F.col("c1"), F.col("c2"), ladder)
-    wide = pairs.withColumn("least", least).filter("least is not null")
-    wide = wide.withColumn("rung", F.explode(F.filter(F.array(*[F.lit(float(t)) for t in ladder]), lambda t: t >= F.col("least"))))
-    by = W.partitionBy("tile", "rung")
-    ranked = wide.withColumn("n", F.row_number().over(by.orderBy("i1", "i2"))).withColumn("m", F.count(F.lit(1)).over(by)).filter("m >= 2 and n <= 2")
-    low = F.min("rung").over(W.partitionBy("tile"))
-    return ranked.withColumn("low", low).filter("rung = low").select("tile", "rung", F.col("n").cast("bigint").alias("n"), "s1", "s2")
+    """The first two pairs in scene order for each tile, on the first rung that has two or more (tile, rung, n, s1, s2).
+
+    A later scene has no partner that an earlier one lacks, so the first pair belongs to the first scene that a rung admits, and so does the second
+    if it has two partners; if it has one, the second scene has to have the same. Minima of each tile and rung find these without pairs.
+    """
+    need = 30 * months
+    at = F.struct("ts", "scene_id").alias("at")
+    s = scenes.filter("tile is not null and cloud is not null").withColumn("rung", F.explode(F.filter(F.array(*[F.lit(float(t)) for t in ladder]), lambda t: F.col("cloud") < t))).select("tile", "rung", at)
+    keys = ["tile", "rung"]
+    one = s.groupBy(*keys).agg(F.min("at").alias("e1"))
+    far = lambda a, b: F.col(f"{b}.ts") >= F.expr(f"{a}.ts + interval {need} days")
+    two = s.join(one, keys).groupBy(*keys, "e1").agg(F.min(F.when(F.col("at") > F.col("e1"), F.col("at"))).alias("e2"), F.min(F.when(far("e1", "at"), F.col("at"))).alias("p1"))
+    two = two.filter("p1 is not null")
+    three = s.join(two, keys).groupBy(*keys, "e1", "e2", "p1").agg(F.min(F.when(F.col("at") > F.col("p1"), F.col("at"))).alias("p2"))
+    second = F.when(F.col("p2").isNotNull(), F.struct(F.col("e1").alias("a"), F.col("p2").alias("b"))).when((F.col("e2") < F.col("p1")) & far("e2", "p1"), F.struct(F.col("e2").alias("a"), F.col("p1").alias("b")))
+    full = three.withColumn("second", second).filter("second is not null")
+    pair = lambda n, a, b: F.struct(F.lit(n).cast("bigint").alias("n"), F.col(f"{a}.scene_id").alias("s1"), F.col(f"{b}.scene_id").alias("s2"))
+    low = full.groupBy("tile").agg(F.min(F.struct("rung", F.array(pair(1, "e1", "p1"), pair(2, "second.a", "second.b")).alias("pairs"))).alias("m"))
+    return low.select("tile", "m.rung", F.explode("m.pairs").alias("p")).select("tile", "rung", "p.*")
 
 
 def tiers(scenes: DataFrame, harvest: bool) -> DataFrame:
@@ -91,5 +106,5 @@ def tiers(scenes: DataFrame, harvest: bool) -> DataFrame:
     )
     key = F.when(tier == 1, F.abs(away)).when(tier == 3, months).otherwise(0)
     got = scenes.filter(c.isNotNull()).withColumns({"tier": tier, "_key": key}).filter("tier is not null")
-    by = W.partitionBy("chip").orderBy("tier", "_key", F.when(F.col("tier") == 1, 0.0).otherwise(c), "ts", "scene_id")
-    return got.withColumn("rn", F.row_number().over(by)).filter("rn = 1").select("chip", "scene_id", "tier")
+    order = F.struct("tier", "_key", F.when(F.col("tier") == 1, 0.0).otherwise(c).alias("c"), "ts", "scene_id")
+    return got.groupBy("chip").agg(F.min(order).alias("m")).select("chip", "m.scene_id", "m.tier")

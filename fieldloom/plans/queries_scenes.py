@@ -25,11 +25,17 @@ def s7b(spark, d):
 
 @query("s8_search_refine", sql("fields", "select field_id from fields where x0 <= 9000 and x1 >= 4000 and y0 <= 9000 and y1 >= 4000 and abs((x0 + x1) - 13000) + abs((y0 + y1) - 13000) <= 10000"))
 def s8(spark, d):
-    # box predicate and exact predicate in one filter
     from .views import fields
 
-    near = "x0 <= 9000 and x1 >= 4000 and y0 <= 9000 and y1 >= 4000"
-    return fields(spark, d).filter(f"{near} and abs((x0 + x1) - 13000) + abs((y0 + y1) - 13000) <= 10000").select("field_id")
+    exact = F.expr("abs((x0 + x1) - 13000) + abs((y0 + y1) - 13000) <= 10000")
+    return S.search_shapes(fields(spark, d), (4000, 4000, 9000, 9000), exact).select("field_id")
+
+
+@query("s8_search_boxes", sql("fields", "select field_id from fields where x0 <= 9000 and x1 >= 4000 and y0 <= 9000 and y1 >= 4000"))
+def s8b(spark, d):
+    from .views import fields
+
+    return S.search_shapes(fields(spark, d), (4000, 4000, 9000, 9000), F.lit(False), fallback=True).select("field_id")
 
 
 @query("g4_group_by_tile", sql("scenes", "select tile, count(*) as n, min(ts) as first_ts, max(ts) as last_ts, string_agg(scene_id::varchar, ',' order by ts, scene_id) as scene_ids from scenes where tile is not null group by tile"))
@@ -143,7 +149,7 @@ def k11(spark, d):
 
 @query("k14_date_names", "select o_orderkey, 'S2_' || strftime(o_orderdate, '%Y%m%d') as name from orders")
 def k14(spark, d):
-    return table(spark, d, "orders").select("o_orderkey", F.concat(F.lit("S2_"), F.date_format("o_orderdate", "yyyyMMdd")).alias("name"))
+    return table(spark, d, "orders").select("o_orderkey", X.date_name("S2_", F.col("o_orderdate")).alias("name"))
 
 
 @query("k12_utm_epsg", sql("fields", "select field_id, (floor((x0 / 20000.0 * 360 - 180 + 180) / 6) + 1 + case when y0 / 20000.0 * 180 - 90 >= 0 then 32600 else 32700 end)::int as epsg from fields"))
