@@ -126,6 +126,35 @@ def distance_to_ring(x: Column, y: Column, ring: Column) -> Column:
     return F.array_min(F.zip_with(a, b, edge))
 
 
+def _edges(ring: Column) -> Column:
+    return F.zip_with(F.slice(ring, F.lit(1), F.size(ring) - 1), _next(ring), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
+
+
+def _turn(p: Column, q: Column, r: Column) -> Column:
+    """Sign of the turn from pq to r."""
+    return F.signum((q["x"] - p["x"]) * (r["y"] - p["y"]) - (q["y"] - p["y"]) * (r["x"] - p["x"]))
+
+
+def _between(p: Column, q: Column, r: Column) -> Column:
+    """r in the box of pq."""
+    return (r["x"] >= F.least(p["x"], q["x"])) & (r["x"] <= F.greatest(p["x"], q["x"])) & (r["y"] >= F.least(p["y"], q["y"])) & (r["y"] <= F.greatest(p["y"], q["y"]))
+
+
+def edges_meet(e: Column, f: Column) -> Column:
+    """Two edges (p, q) share a point."""
+    a, b = _turn(e["p"], e["q"], f["p"]), _turn(e["p"], e["q"], f["q"])
+    c, d = _turn(f["p"], f["q"], e["p"]), _turn(f["p"], f["q"], e["q"])
+    on = ((a == 0) & _between(e["p"], e["q"], f["p"])) | ((b == 0) & _between(e["p"], e["q"], f["q"])) | ((c == 0) & _between(f["p"], f["q"], e["p"])) | ((d == 0) & _between(f["p"], f["q"], e["q"]))
+    return ((a * b < 0) & (c * d < 0)) | on
+
+
+def rings_touch(a: Column, b: Column) -> Column:
+    """Two simple polygons share at least a point: edges meet, or one lies inside the other."""
+    crossing = F.exists(_edges(a), lambda e: F.exists(_edges(b), lambda f: edges_meet(e, f)))
+    held = lambda r, s: point_in_ring(F.element_at(r, 1)["x"], F.element_at(r, 1)["y"], s)
+    return crossing | held(a, b) | held(b, a)
+
+
 # NumPy geometry
 
 
@@ -305,6 +334,21 @@ def utm(lon: Column, lat: Column, zone: Column) -> Column:
     return F.struct(x.alias("x"), F.when(lat >= 0, y).otherwise(y + 10_000_000).alias("y"))
 
 
+def utm_inverse(x: Column, y: Column, zone: Column, south: bool) -> Column:
+    """Struct (lon, lat) in degrees: the inverse of `utm`, by the usual footpoint series."""
+    a, f, k0 = 6378137.0, 1 / 298.257223563, 0.9996
+    e2 = f * (2 - f)
+    ep, e1 = e2 / (1 - e2), (1 - math.sqrt(1 - e2)) / (1 + math.sqrt(1 - e2))
+    mu = (y - (10_000_000 if south else 0)) / k0 / (a * (1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256))
+    foot = mu + (3 * e1 / 2 - 27 * e1**3 / 32) * F.sin(2 * mu) + (21 * e1**2 / 16 - 55 * e1**4 / 32) * F.sin(4 * mu) + (151 * e1**3 / 96) * F.sin(6 * mu) + (1097 * e1**4 / 512) * F.sin(8 * mu)
+    w = 1 - e2 * F.pow(F.sin(foot), 2)
+    n, r = a / F.sqrt(w), a * (1 - e2) / F.pow(w, 1.5)
+    t, c, d = F.pow(F.tan(foot), 2), ep * F.pow(F.cos(foot), 2), (x - 500000) / (n * k0)
+    lat = foot - n * F.tan(foot) / r * (d * d / 2 - (5 + 3 * t + 10 * c - 4 * c * c - 9 * ep) * F.pow(d, 4) / 24 + (61 + 90 * t + 298 * c + 45 * t * t - 252 * ep - 3 * c * c) * F.pow(d, 6) / 720)
+    lon = (d - (1 + 2 * t + c) * F.pow(d, 3) / 6 + (5 - 2 * c + 28 * t - 3 * c * c + 8 * ep + 24 * t * t) * F.pow(d, 5) / 120) / F.cos(foot)
+    return F.struct((F.degrees(lon) + zone * 6 - 183).alias("lon"), F.degrees(lat).alias("lat"))
+
+
 def densified_bounds(x0: Column, y0: Column, x1: Column, y1: Column, zone: Column, points: int = 21) -> Column:
     """Bounds of a lon/lat box after projection, from `points` samples on each edge."""
     steps = F.transform(F.sequence(F.lit(0), F.lit(points)), lambda i: i / points)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fieldloom.functions import geometry as G
@@ -26,16 +25,16 @@ def pair_measures(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
 
 def best_overlap(pairs: DataFrame) -> DataFrame:
     """For each left shape the right one of greatest iou above 0, the smallest r_id among equals. A right shape may serve several."""
-    by = W.partitionBy("l_id").orderBy(F.col("iou").desc(), "r_id")
-    return pairs.filter("iou > 0").withColumn("_rn", F.row_number().over(by)).filter("_rn = 1").drop("_rn")
+    best = F.max_by(F.struct(*pairs.columns), F.struct("iou", (-F.col("r_id")).alias("r"))).alias("m")
+    return pairs.filter("iou > 0").groupBy(F.col("l_id").alias("_l")).agg(best).select("m.*")
 
 
 def matches(pairs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """True shapes matched to predicted ones above the threshold (strict), the first prediction for each."""
     if threshold < 0.5:
         raise ValueError("a threshold below 0.5 lets one shape match several")
-    by = W.partitionBy("l_id").orderBy("r_id")
-    return pairs.filter(F.col("iou") > threshold).withColumn("_rn", F.row_number().over(by)).filter("_rn = 1").drop("_rn")
+    first = F.min_by(F.struct(*pairs.columns), "r_id").alias("m")
+    return pairs.filter(F.col("iou") > threshold).groupBy(F.col("l_id").alias("_l")).agg(first).select("m.*")
 
 
 def largest_overlap(rasters: DataFrame, boxes: DataFrame, cell: float) -> DataFrame:
@@ -58,13 +57,51 @@ def points_to_fields(points: DataFrame, fields: DataFrame, cell: float) -> DataF
     return both.groupBy("field_id").agg(F.min("point_id").alias("point_id"))
 
 
+def quantiles(df: DataFrame, value: str, at: list[float], cells: int = 4096, few: int = 10_000) -> list[float | None]:
+    """Exact quantiles, interpolated between neighbours as usual; None without values.
+
+    The two order statistics of each quantile are narrowed down by histograms of equal cells: one row for each cell goes through a shuffle, the cell
+    of the rank is cut again, and at most `few` different values with their counts come to the driver in the end.
+    """
+    v = df.select(F.col(value).cast("double").alias("v")).filter("v is not null and not isnan(v)")
+    n, low, high = v.agg(F.count(F.lit(1)), F.min("v"), F.max("v")).first()
+    if not n:
+        return [None] * len(at)
+
+    def order(k: int) -> float:
+        """The value with k smaller ones before it."""
+        lo, hi, before = low, high, 0
+        while lo < hi:
+            inside = v.filter(F.col("v").between(lo, hi))
+            some = inside.groupBy("v").agg(F.count(F.lit(1)).alias("n")).orderBy("v").limit(few + 1).collect()
+            if len(some) <= few:
+                for x, c in some:
+                    before += c
+                    if k < before:
+                        return x
+            cell = F.least(F.floor((F.col("v") - lo) / (hi - lo) * cells), F.lit(cells - 1))
+            for r in sorted(inside.groupBy(cell.alias("c")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()):
+                if k < before + r.n:
+                    lo, hi = r.lo, r.hi
+                    break
+                before += r.n
+        return lo
+
+    found: dict[int, float] = {}
+    out = []
+    for p in at:
+        k, part = divmod(p * (n - 1), 1)
+        a, b = (found.setdefault(i, order(i)) if i not in found else found[i] for i in (int(k), min(int(k) + 1, n - 1)))
+        out.append(a + (b - a) * part)
+    return out
+
+
 def quartiles(df: DataFrame, value: str) -> DataFrame:
     """df plus quartile 0..3 by interpolated edges, closed on the right, the lowest included; null outside (no value)."""
-    cuts = df.agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))
+    cuts = quantiles(df, value, [0.25, 0.5, 0.75])
     v = F.col(value)
-    q = F.when(v.isNull(), None).when(v <= F.col("_q")[0], 0).when(v <= F.col("_q")[1], 1).when(v <= F.col("_q")[2], 2).otherwise(3)
-    # one row of three numbers
-    return df.join(F.broadcast(cuts), F.lit(True)).withColumn("quartile", q).drop("_q")
+    q = F.when(v.isNull() | F.lit(cuts[0] is None), None).when(v <= cuts[0], 0).when(v <= cuts[1], 1).when(v <= cuts[2], 2).otherwise(3)
+    return df.withColumn("quartile", q)
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:

@@ -36,6 +36,29 @@ def box_semi_join(left: DataFrame, right: DataFrame, key: str, cell: float, lp:
     return left.join(hit, F.col(key) == F.col("_k"), "left_semi")
 
 
+def with_bounds(df: DataFrame, ring: str, prefix: str) -> DataFrame:
+    """df plus the bounds of its polygon as <prefix>x0, y0, x1, y1."""
+    return df.withColumn("_b", G.ring_bounds(F.col(ring))).select("*", *[F.col(f"_b.{k}").alias(f"{prefix}{k}") for k in ("x0", "y0", "x1", "y1")]).drop("_b")
+
+
+def ring_join(left: DataFrame, right: DataFrame, cell: float, lr: str = "l_ring", rr: str = "r_ring", exact: Column | None = None) -> DataFrame:
+    """Pairs of polygons that share a point (inner join): bins and bounds first, then the edges of what is left. All names distinct.
+
+    exact: a further predicate on the pair, such as an area that both share.
+    """
+    touch = G.rings_touch(F.col(lr), F.col(rr))
+    met = box_join(with_bounds(left, lr, "_l_"), with_bounds(right, rr, "_r_"), cell, "_l_", "_r_", touch if exact is None else touch & exact)
+    return met.drop(*[f"_{s}_{k}" for s in "lr" for k in ("x0", "y0", "x1", "y1")])
+
+
+def points_in_rings(points: DataFrame, fields: DataFrame, cell: float, ring: str = "ring") -> DataFrame:
+    """Points (x, y, more) with the polygons that hold them (inner join, even-odd rule)."""
+    p = points.withColumns({"_p_x0": F.col("x"), "_p_y0": F.col("y"), "_p_x1": F.col("x"), "_p_y1": F.col("y")})
+    inside = G.point_in_ring(F.col("x").cast("double"), F.col("y").cast("double"), F.col(ring))
+    met = box_join(p, with_bounds(fields, ring, "_z_"), cell, "_p_", "_z_", inside)
+    return met.drop(*[f"_{s}_{k}" for s in "pz" for k in ("x0", "y0", "x1", "y1")])
+
+
 def nearest_cell(df: DataFrame, x: str, y: str, x_start: float, y_start: float, step: float) -> DataFrame:
     """Row and column of the raster cell that holds each point (nearest resampling into a grid)."""
     return df.withColumns({"col": F.floor((F.col(x) - x_start) / step).cast("bigint"), "row": F.floor((F.col(y) - y_start) / step).cast("bigint")})

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -148,3 +149,135 @@ def edge_weights(pixels: DataFrame, rows: int, cols: int, scale: float, size: in
     spread = spread.select("chip", (F.col("rr") - F.col("t.i")).alias("r"), (F.col("cc") - F.col("t.j")).alias("c"), F.col("t.k").alias("k"))
     blur = spread.filter(F.col("r").between(0, rows - 1) & F.col("c").between(0, cols - 1)).groupBy("chip", "r", "c").agg(F.sum("k").alias("blur"))
     return pixels.join(blur, ["chip", "r", "c"], "left").withColumn("weight", 1 + scale * F.coalesce("blur", F.lit(0.0))).drop("blur")
+
+
+# the losses by the names that training configurations use; df has a row for each pixel and class: cls, p, y (0 or 1), truth, and for the
+# pixel-weighted one chip, r and c
+
+
+def _present(each: Column, y: Column) -> Column:
+    """A class loss, 0 for a class without pixels."""
+    return F.when(F.sum(y) > 0, each).otherwise(F.lit(0.0))
+
+
+def _overlap(kind: str, p: Column, y: Column, alpha: float = 0.5, beta: float = 0.5, eps: float = 1e-7) -> Column:
+    """One minus Jaccard, Dice or Tversky overlap without smoothing, the denominator at least eps."""
+    tp, fp, fn = _sums(p, y)
+    top, below = {"jaccard": (tp, tp + fp + fn), "dice": (2 * tp, 2 * tp + fp + fn), "tversky": (tp, tp + alpha * fp + beta * fn)}[kind]
+    return _present(1 - top / F.greatest(below, F.lit(eps)), y)
+
+
+def _mapped(values: dict[int, float] | None, default: float) -> Column:
+    if not values:
+        return F.lit(default)
+    return F.coalesce(reduce(lambda c, kv: c.when(F.col("cls") == kv[0], float(kv[1])), values.items(), F.when(F.lit(False), 0.0)), F.lit(default))
+
+
+def _mean_over(df: DataFrame, each: Column, weights: dict[int, float] | None = None) -> DataFrame:
+    """The mean of a class loss over the classes or, with weights, its weighted sum; 0 without pixels."""
+    by = df.groupBy("cls").agg(each.alias("loss"))
+    total = F.sum(F.col("loss") * _mapped(weights, 0.0)) if weights else F.avg("loss")
+    return by.agg(F.coalesce(total, F.lit(0.0)).alias("loss"))
+
+
+def _entropy(df: DataFrame, weights: dict[int, float] | None, **_) -> DataFrame:
+    w = _mapped(weights, 1.0)
+    return df.filter("y = 1").agg(F.coalesce(cross_entropy(F.col("p"), w), F.lit(0.0)).alias("loss"))
+
+
+def _pixel_weighted(df: DataFrame, weights: dict[int, float] | None, rows: int, cols: int, pixel_weight_scale: float = 1.0, every: DataFrame | None = None, **_) -> DataFrame:
+    """Cross-entropy by the weights of edge_weights, which see all pixels, those of the ignored class too."""
+    pixel = (df if every is None else every).filter("y = 1").select("chip", "r", "c", F.col("truth").alias("y"))
+    w = edge_weights(pixel, rows, cols, pixel_weight_scale).select("chip", "r", "c", "weight")
+    true = df.filter("y = 1").join(w, ["chip", "r", "c"])
+    return true.agg(F.coalesce(F.sum(-F.ln(F.greatest("p", F.lit(1e-12))) * _mapped(weights, 1.0) * F.col("weight")) / F.sum("weight"), F.lit(0.0)).alias("loss"))
+
+
+def _focal(df: DataFrame, gamma: float = 2.0, **_) -> DataFrame:
+    """Class by class against the rest, each divided by the sum of its focal factors, and added up."""
+    q = F.greatest(F.when(F.col("y") == 1, F.col("p")).otherwise(1 - F.col("p")), F.lit(1e-12))
+    factor = F.pow(1 - q, F.lit(gamma))
+    by = df.groupBy("cls").agg((F.avg(-factor * F.ln(q)) / F.greatest(F.sum(factor), F.lit(1e-6))).alias("loss"))
+    return by.agg(F.coalesce(F.sum("loss"), F.lit(0.0)).alias("loss"))
+
+
+def _class(kind: str):
+    def run(df: DataFrame, alpha: float = 0.5, beta: float = 0.5, **_) -> DataFrame:
+        return _mean_over(df, _overlap(kind, F.col("p"), F.col("y"), alpha, beta))
+
+    return run
+
+
+def _custom_tversky(df: DataFrame, weights: dict[int, float] | None = None, alphas: dict[int, float] | None = None, betas: dict[int, float] | None = None, alpha: float = 0.5, beta: float = 0.5, per_class: bool = False, **_) -> DataFrame:
+    """One alpha and beta for all classes, or with per_class their own and a weighted sum (0.33, 0.34, 0.33 by default)."""
+    if not per_class:
+        return _class("tversky")(df, alpha=alpha, beta=beta)
+    tp, fp, fn = _sums(F.col("p"), F.col("y"))
+    sums = df.groupBy("cls").agg(tp.alias("tp"), fp.alias("fp"), fn.alias("fn"), F.sum("y").alias("n"))
+    each = 1 - F.col("tp") / F.greatest(F.col("tp") + _mapped(alphas, 0.5) * F.col("fp") + _mapped(betas, 0.5) * F.col("fn"), F.lit(1e-7))
+    weighted = F.when(F.col("n") > 0, each).otherwise(0.0) * _mapped(weights or {0: 0.33, 1: 0.34, 2: 0.33}, 0.0)
+    return sums.agg(F.coalesce(F.sum(weighted), F.lit(0.0)).alias("loss"))
+
+
+def _log_cosh(df: DataFrame, weights: dict[int, float] | None = None, **_) -> DataFrame:
+    """ln cosh of the mean Dice loss."""
+    return _mean_over(df, _overlap("dice", F.col("p"), F.col("y")), weights).select(F.ln(F.cosh("loss")).alias("loss"))
+
+
+def _ftnmt(df: DataFrame, weights: dict[int, float] | None = None, depth: int = 5, **_) -> DataFrame:
+    return _mean_over(df, tanimoto_fractal(F.col("p"), F.col("y"), depth), weights)
+
+
+def _tversky_focal(df: DataFrame, weights: dict[int, float] | None = None, **_) -> DataFrame:
+    return _mean_over(df, tversky_focal(F.col("p"), F.col("y"), 0.7, 1.33, 1.0), weights)
+
+
+def _local_tversky(df: DataFrame, **_) -> DataFrame:
+    """The Tversky-focal loss, each class weighted by its inverse frequency among the pixels at hand."""
+    n = F.sum("y")
+    by = df.groupBy("cls").agg(tversky_focal(F.col("p"), F.col("y"), 0.7, 1.33, 1.0).alias("each"), F.when(n > 0, 1 / n).otherwise(1e-5).alias("raw"))
+    return by.agg(F.coalesce(F.sum(F.col("each") * F.col("raw")) / F.sum("raw"), F.lit(0.0)).alias("loss"))
+
+
+def _blend(a, wa: float, b, wb: float):
+    def run(df: DataFrame, **how) -> DataFrame:
+        x, y = a(df, **how).withColumnRenamed("loss", "_a"), b(df, **how).withColumnRenamed("loss", "_b")
+        # one row each
+        return x.crossJoin(y).select((wa * F.col("_a") + wb * F.col("_b")).alias("loss"))
+
+    return run
+
+
+def _tversky_ce(df: DataFrame, tversky_weight: float = 0.5, **how) -> DataFrame:
+    return _blend(_tversky_focal, tversky_weight, _entropy, 1 - tversky_weight)(df, **how)
+
+
+#: The loss names of training configurations.
+NAMED = {
+    "ce": _entropy,
+    "pixel_weighted_ce": _pixel_weighted,
+    "jaccard": _class("jaccard"),
+    "focal": _focal,
+    "tversky": _class("tversky"),
+    "dice": _class("dice"),
+    "ce+dice": _blend(_entropy, 1.0, _class("dice"), 1.0),
+    "logcoshdice": _log_cosh,
+    "logcoshdice+ce": _blend(_log_cosh, 0.5, _entropy, 0.5),
+    "ftnmt": _ftnmt,
+    "ce+ftnmt": _blend(_entropy, 0.5, _ftnmt, 0.5),
+    "localtversky": _local_tversky,
+    "tversky_ce": _tversky_ce,
+    "customtversky": _custom_tversky,
+}
+
+
+def loss(df: DataFrame, name: str, weights: dict[int, float] | None = None, ignore: int | None = None, **how) -> DataFrame:
+    """One row with the loss of that name (NAMED), over pixels whose truth is not `ignore`; 0 if none is left. weights: by class."""
+    if name not in NAMED:
+        raise ValueError(f"no loss is named {name}; there are {', '.join(sorted(NAMED))}")
+    kept = df if ignore is None else df.filter(F.col("truth") != ignore)
+    if name == "pixel_weighted_ce":
+        how["every"] = df
+    if name in ("jaccard", "focal", "tversky", "dice", "localtversky"):
+        return NAMED[name](kept, **how)
+    return NAMED[name](kept, weights=weights, **how)

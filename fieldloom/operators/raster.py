@@ -68,6 +68,23 @@ def round_clip(x: Column) -> Column:
     return F.least(F.greatest(F.rint(x), F.lit(0.0)), F.lit(65535.0)).cast("int")
 
 
+def normalize(x: Column, how: str = "by_10000", divisor: Column | None = None) -> Column:
+    """Reflectance by a fixed divisor (by_10000, by_3000), or by one drawn for each sample (random, 1,500 to 4,500)."""
+    if how == "random":
+        return x / divisor
+    return x / {"by_10000": 10000.0, "by_3000": 3000.0}[how]
+
+
+def random_divisor(key: Column, seed: int) -> Column:
+    """1,500 to 4,500 by a seeded hash of the sample's key, the same in every run."""
+    return 1500.0 + 3000.0 * F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1_000_003)) / 1_000_003
+
+
+def remap_unlabeled(y: Column, edge: Column, unlabeled: int = 3) -> Column:
+    """Labels stay on the labelled margin only; elsewhere they are unlabeled."""
+    return F.when(edge > 0, y).otherwise(unlabeled)
+
+
 def softmax(logits: Column) -> Column:
     top = F.array_max(logits)
     e = F.transform(logits, lambda x: F.exp(x - top))
@@ -103,6 +120,38 @@ def rasterize(chip_pixels: DataFrame, fields: DataFrame, cell: float) -> DataFra
     return p.join(f, on, "left").groupBy("chip", "r", "c").agg(F.coalesce(F.max("instance"), F.lit(0)).alias("instance"))
 
 
+def _met_by_bins(chip_pixels: DataFrame, fields: DataFrame, cell: float, reach: float, how: str, exact: Column) -> DataFrame:
+    """Pixels joined to the fields of their chip whose bounds, widened by reach, hold the centre, and for which `exact` is true."""
+    b = G.ring_bounds(F.col("ring"))
+    f = fields.select(F.col("chip").alias("_chip"), "instance", "ring", b.alias("b")).select("*", *[(F.col(f"b.{k}") + (reach if k[1] == "1" else -reach)).alias(f"z_{k}") for k in ("x0", "y0", "x1", "y1")])
+    p = chip_pixels.withColumns({"_gx": F.floor(F.col("x") / cell), "_gy": F.floor(F.col("y") / cell)})
+    cover = lambda a, b: F.explode(F.sequence(F.floor(a / cell), F.floor(b / cell)))
+    f = f.withColumn("_hx", cover(F.col("z_x0"), F.col("z_x1"))).withColumn("_hy", cover(F.col("z_y0"), F.col("z_y1")))
+    on = (F.col("chip") == F.col("_chip")) & (F.col("_gx") == F.col("_hx")) & (F.col("_gy") == F.col("_hy"))
+    on = on & (F.col("x") >= F.col("z_x0")) & (F.col("x") <= F.col("z_x1")) & (F.col("y") >= F.col("z_y0")) & (F.col("y") <= F.col("z_y1"))
+    return p.join(f, on & exact, how)
+
+
+def rasterize_rings(chip_pixels: DataFrame, fields: DataFrame, cell: float) -> DataFrame:
+    """Instance id of each pixel by its centre (x, y): the highest id among the polygons (chip, instance, ring) that hold it, 0 without any."""
+    inside = G.point_in_ring(F.col("x").cast("double"), F.col("y").cast("double"), F.col("ring"))
+    return _met_by_bins(chip_pixels, fields, cell, 0.0, "left", inside).groupBy("chip", "r", "c").agg(F.coalesce(F.max("instance"), F.lit(0)).alias("instance"))
+
+
+def ribbon(chip_pixels: DataFrame, fields: DataFrame, cell: float, reach: float) -> DataFrame:
+    """Pixels (chip, r, c) whose centre lies within reach of the outline of a polygon of their chip; corners are round."""
+    away = F.round(G.distance_to_ring(F.col("x").cast("double"), F.col("y").cast("double"), F.col("ring")), 6) <= reach
+    return _met_by_bins(chip_pixels, fields, cell, reach, "inner", away).select("chip", "r", "c").distinct()
+
+
+def three_class_mask(chip_pixels: DataFrame, fields: DataFrame, cell: float, reach: float, inner_first: bool = False) -> DataFrame:
+    """Background 0, interior 1 and boundary ribbon 2 of polygons, the boundary over the interior or, with inner_first, under it."""
+    edge = ribbon(chip_pixels, fields, cell, reach).withColumn("edge", F.lit(True))
+    both = rasterize_rings(chip_pixels, fields, cell).join(edge, ["chip", "r", "c"], "left").withColumn("edge", F.coalesce("edge", F.lit(False)))
+    mask = (mask_three_inner if inner_first else mask_three)(F.col("instance"), F.col("edge"))
+    return both.select("chip", "r", "c", mask.alias("cls"))
+
+
 def edge_crops(side: int, crop: int) -> dict[str, tuple[int, int]]:
     """Row and column where each corner crop begins."""
     far = side - crop
@@ -194,40 +243,55 @@ def pad(rows: int, cols: int, side: int, value: float):
     return _band_udf(work)
 
 
-def augment(rows: int, cols: int, turn: int = 0, flip_h: bool = False, flip_v: bool = False, brightness: float = 1.0):
+def sharpen(v: np.ndarray, factor: float) -> np.ndarray:
+    """Away from (factor above 1) or towards (below 1) a 3 x 3 smoothing whose centre counts 5 of 13; the border stays."""
+    soft = v.copy()
+    if min(v.shape) > 2:
+        around = sum(v[1 + i : v.shape[0] - 1 + i, 1 + j : v.shape[1] - 1 + j] for i in (-1, 0, 1) for j in (-1, 0, 1))
+        soft[1:-1, 1:-1] = (around + 4 * v[1:-1, 1:-1]) / 13
+    return soft + (v - soft) * factor
+
+
+def augment(rows: int, cols: int, turn: int = 0, flip_h: bool = False, flip_v: bool = False, brightness: float = 1.0, sharpness: float = 1.0, crop: tuple[int, int, int, int] | None = None):
+    """Quarter turns, flips, sharpness, brightness, and a crop (row, column, height, width) brought back to the full size."""
+
     def work(b: np.ndarray) -> np.ndarray:
         v = np.rot90(b.reshape(rows, cols), turn)
         v = v[:, ::-1] if flip_h else v
         v = v[::-1] if flip_v else v
+        v = sharpen(np.ascontiguousarray(v), sharpness) if sharpness != 1.0 else v
+        if crop is not None:
+            r, c, height, width = crop
+            v = bilinear(v[r : r + height, c : c + width], *v.shape)
         return (v * brightness).ravel()
 
     return _band_udf(work)
 
 
 def regions(values: np.ndarray) -> np.ndarray:
-    """Labels of connected 4-neighbour regions of one value, numbered in row-major order of their first pixel from 1."""
+    """Labels of connected 4-neighbour regions of one value, numbered in row-major order of their first pixel from 1.
+
+    Every pixel takes the least label of its equal neighbours and then that label's own, until nothing changes.
+    """
     rows, cols = values.shape
-    parent = np.arange(rows * cols)
-
-    def find(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    flat = values.ravel()
-    for i in range(rows * cols):
-        if i % cols and flat[i] == flat[i - 1]:
-            parent[find(i)] = find(i - 1)
-        if i >= cols and flat[i] == flat[i - cols]:
-            a, b = find(i), find(i - cols)
-            parent[max(a, b)] = min(a, b)
-    root = np.array([find(i) for i in range(rows * cols)])
-    _, first = np.unique(root, return_index=True)
-    order = np.argsort(first)
-    label = np.empty(len(first), dtype=int)
-    label[order] = np.arange(1, len(first) + 1)
-    return label[np.searchsorted(np.unique(root), root)].reshape(rows, cols)
+    label = np.arange(rows * cols).reshape(rows, cols)
+    across, down = values[:, 1:] == values[:, :-1], values[1:] == values[:-1]
+    a = np.r_[label[:, :-1][across], label[:-1][down]]
+    b = np.r_[label[:, 1:][across], label[1:][down]]
+    flat = label.ravel()
+    while True:
+        low = np.minimum(flat[a], flat[b])
+        new = flat.copy()
+        # the roots of both ends hang on the lower one
+        np.minimum.at(new, flat[a], low)
+        np.minimum.at(new, flat[b], low)
+        while (deeper := new[new]).tobytes() != new.tobytes():
+            new = deeper
+        if (new == flat).all():
+            break
+        flat = new
+    _, place = np.unique(flat, return_inverse=True)
+    return (place + 1).reshape(rows, cols)
 
 
 def polygonize(rows: int, cols: int):
@@ -260,8 +324,3 @@ def sample_points(points: DataFrame, most: int = 10) -> DataFrame:
         return got
 
     return points.select("field_id", "px", "py").groupBy("field_id").applyInPandas(run, "field_id bigint, rank bigint, px bigint, py bigint")
-
-
-def boxes_near_edge(x: Column, y: Column, prefix: str, reach: float) -> Column:
-    """A point within reach of the outline of a box (round corners)."""
-    return G.distance_to_ring(x, y, G.box_ring(*G.box(prefix))) <= reach

@@ -10,7 +10,7 @@ from fieldloom.operators import agreement as A
 from fieldloom.operators import grid, joins, manifest, metrics, raster
 
 from .registry import query
-from .views import SIDE, chips, fields, pixels, shifted, sql, table
+from .views import SHAPE_HOLDS, SHAPE_TOUCHES, SIDE, chips, fields, shapes, shifted, sql, table
 
 BOX = ("x0", "y0", "x1", "y1")
 TOUCH = "a.x0 <= b.x1 and b.x0 <= a.x1 and a.y0 <= b.y1 and b.y0 <= a.y1"
@@ -65,6 +65,22 @@ def j1(spark, d):
     return joins.box_join(_pre(fields(spark, d), "l_"), _pre(chips(spark, d), "r_", "chip_id"), SIDE).select("field_id", "chip_id")
 
 
+def _shape_pairs(spark, d):
+    boxes = chips(spark, d).select("chip_id", G.box_ring(*G.box()).alias("r_ring"))
+    return joins.ring_join(shapes(spark, d).withColumnRenamed("ring", "l_ring"), boxes, SIDE)
+
+
+@query("j1_shapes_in_chips", sql("shapes chips", f"select s.field_id, b.chip_id from shapes s join chips b on {SHAPE_TOUCHES}"))
+def j1s(spark, d):
+    return _shape_pairs(spark, d).select("field_id", "chip_id")
+
+
+@query("j8_points_in_shapes", sql("shapes", f"&px as (select p_partkey as id, (p_partkey * 613) % 20000 + 0.25 as x, (p_partkey * 421) % 20000 + 0.5 as y from part) select px.id, s.field_id from px join shapes s on {SHAPE_HOLDS}"))
+def j8s(spark, d):
+    pts = table(spark, d, "part").selectExpr("p_partkey as id", "(p_partkey * 613) % 20000 + 0.25D as x", "(p_partkey * 421) % 20000 + 0.5D as y")
+    return joins.points_in_rings(pts, shapes(spark, d), 700).select("id", "field_id")
+
+
 @query("j2_chips_left_join", sql("fields chips", f"select b.chip_id, count(a.field_id) as n, coalesce(string_agg(a.field_id::varchar, ',' order by a.field_id), '') as field_ids from chips b left join fields a on {TOUCH} group by 1"))
 def j2(spark, d):
     got = manifest.manifest(chips(spark, d), fields(spark, d), SIDE, "s", (0.8, 0.1, 0.1))
@@ -104,15 +120,15 @@ def k5(spark, d):
     return table(spark, d, "documents").select("doc_id", X.split_name(key, "field-split", 0.85, 0.10, 0.05).alias("split"), X.split_fraction(key, "field-split").alias("fraction"))
 
 
-@query("j3_touched_chips", sql("fields chips", f"select distinct b.chip_id from fields a join chips b on {TOUCH} where a.c_nationkey = 7"))
+@query("j3_touched_chips", sql("fields chips", f"select distinct b.chip_id from fields a join chips b on {TOUCH}"))
 def j3(spark, d):
-    f = fields(spark, d).filter("c_nationkey = 7")
+    f = fields(spark, d)
     return joins.box_semi_join(_pre(chips(spark, d), "l_", "chip_id"), _pre(f, "r_"), "chip_id", SIDE).select("chip_id")
 
 
-@query("j4_overlapped_chips", sql("fields chips", f"select distinct b.chip_id from fields a join chips b on {TOUCH} where a.c_nationkey = 7 and {SHARED} > 0"))
+@query("j4_overlapped_chips", sql("fields chips", f"select distinct b.chip_id from fields a join chips b on {TOUCH} where {SHARED} > 0"))
 def j4(spark, d):
-    f = fields(spark, d).filter("c_nationkey = 7")
+    f = fields(spark, d)
     return joins.box_semi_join(_pre(chips(spark, d), "l_", "chip_id"), _pre(f, "r_"), "chip_id", SIDE, overlap=True).select("chip_id")
 
 
@@ -175,11 +191,11 @@ def u3(spark, d):
     return shifted(spark, d).select("field_id").join(m, "field_id", "left_anti")
 
 
-@query("j12_largest_overlap_box", sql("fields shifted", f"""&m as (select a.field_id as id, b.field_id as box_id, row_number() over (partition by a.field_id order by {SHARED} desc, b.field_id) as rn from fields a join shifted b on {TOUCH} and b.field_id % 3 = 0 where {SHARED} > 0)
+@query("j12_largest_overlap_box", sql("fields shifted", f"""&m as (select a.field_id as id, b.field_id as box_id, row_number() over (partition by a.field_id order by {SHARED} desc, b.field_id) as rn from fields a join shifted b on {TOUCH} where {SHARED} > 0)
 select f.field_id as id, m.box_id, coalesce(s.x0, f.x0) as x0, coalesce(s.y0, f.y0) as y0, coalesce(s.x1, f.x1) as x1, coalesce(s.y1, f.y1) as y1, m.id is null as from_raster
 from fields f left join m on m.id = f.field_id and rn = 1 left join shifted s on s.field_id = m.box_id"""))
 def j12(spark, d):
-    return A.largest_overlap(fields(spark, d).withColumnRenamed("field_id", "id").drop("c_nationkey"), shifted(spark, d).filter("field_id % 3 = 0").withColumnRenamed("field_id", "id"), 700)
+    return A.largest_overlap(fields(spark, d).withColumnRenamed("field_id", "id").drop("c_nationkey"), shifted(spark, d).withColumnRenamed("field_id", "id"), 700)
 
 
 @query("w5_quartiles", sql("fields", """&q as (select quantile_cont((x1 - x0) * (y1 - y0), 0.25) as a, quantile_cont((x1 - x0) * (y1 - y0), 0.5) as b, quantile_cont((x1 - x0) * (y1 - y0), 0.75) as c from fields)
@@ -200,7 +216,7 @@ def g12(spark, d):
 
 @query("g11_mean_median", sql("fields shifted", PAIRS + "select count(*) as n, round(sum(shared_area)::double / count(*), 4) as mean_shared, round(median(shared_area), 4)::double as median_shared from pairs where iou > 0.3"))
 def g11(spark, d):
-    return _pairs(spark, d).filter("iou > 0.3").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("shared_area").cast("double") / F.count(F.lit(1)), 4).alias("mean_shared"), F.round(F.median("shared_area"), 4).alias("median_shared"))
+    return _pairs(spark, d).filter("iou > 0.3").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("shared_area").cast("double") / F.count(F.lit(1)), 4).alias("mean_shared"), F.round(F.lit(A.quantiles(_pairs(spark, d).filter("iou > 0.3"), "shared_area", [0.5])[0]), 4).alias("median_shared"))
 
 
 @query("g13_histogram", sql("fields", "&s as (select (x1 - x0) * (y1 - y0) as a from fields), m as (select min(a) as lo, max(a) as hi from s) select least(cast(floor((a - lo) * 20 / (hi - lo)::double) as bigint), 19) as bin, count(*) as n from s, m group by 1"))
@@ -238,19 +254,34 @@ def e4(spark, d):
     return f.select("field_id", F.round("c.x", 3).alias("cx"), F.round("c.y", 3).alias("cy"))
 
 
-@query("e3_polygon_overlay", sql("fields shifted", PAIRS + "select l_id, r_id, shared_area::bigint as shared_area from pairs where l_id % 5 = 0"))
+ELL = "(greatest(least(s.x0 + 2 * s.a, b.x1) - greatest(s.x0, b.x0), 0) * greatest(least(s.y0 + s.b, b.y1) - greatest(s.y0, b.y0), 0) + greatest(least(s.x0 + s.a, b.x1) - greatest(s.x0, b.x0), 0) * greatest(least(s.y0 + 2 * s.b, b.y1) - greatest(s.y0 + s.b, b.y0), 0))"
+
+
+@query("e3_polygon_overlay", sql("fields shapes chips", f"select s.field_id, b.chip_id, {ELL}::bigint as shared_area from shapes s join chips b on s.kind = 1 and {SHAPE_TOUCHES}"))
 def e3p(spark, d):
-    """Polygons against polygons: the general overlay, on rings."""
-    pairs = joins.box_join(_pre(fields(spark, d).filter("field_id % 5 = 0"), "l_", as_key="l_id"), _pre(shifted(spark, d), "r_", as_key="r_id"), 700)
-    area = G.polygon_shared_area(G.box_ring(*G.box("l_")), G.box_ring(*G.box("r_")))
-    return pairs.select("l_id", "r_id", F.round(area, 0).cast("bigint").alias("shared_area"))
+    """Polygons against polygons: the general overlay, on L-shaped rings (six corners)."""
+    p = _shape_pairs(spark, d).filter(F.size("l_ring") == 7)
+    return p.select("field_id", "chip_id", F.round(G.polygon_shared_area(F.col("l_ring"), F.col("r_ring")), 0).cast("bigint").alias("shared_area"))
+
+
+@query("e2_shape_area", sql("shapes", """select field_id, case kind when 0 then 2.0 * a * b when 1 then 3.0 * a * b else a * b / 2.0 end::double as area,
+ round(case kind when 0 then 4 * sqrt(a * a + b * b) when 1 then 4.0 * (a + b) else a + b + sqrt(a * a + b * b) end, 6)::double as length from shapes"""))
+def e2s(spark, d):
+    return shapes(spark, d).select("field_id", G.ring_area(F.col("ring")).alias("area"), F.round(G.ring_length(F.col("ring")), 6).alias("length"))
+
 
+@query("e4_shape_centroid", sql("shapes", """select field_id, round(x0 + case kind when 0 then a when 1 then a * 5 / 6.0 else a / 3.0 end, 6)::double as cx,
+ round(y0 + case kind when 0 then b when 1 then b * 5 / 6.0 else b / 3.0 end, 6)::double as cy from shapes"""))
+def e4s(spark, d):
+    return shapes(spark, d).withColumn("c", G.ring_centroid(F.col("ring"))).select("field_id", F.round("c.x", 6).alias("cx"), F.round("c.y", 6).alias("cy"))
 
-@query("e5_hausdorff", sql("fields shifted", f"&p as (select a.field_id, a.x0 as ax0, a.y0 as ay0, a.x1 as ax1, a.y1 as ay1, b.* exclude (field_id) from fields a join shifted b on a.field_id = b.field_id) select field_id from p"))
+
+@query("e5_hausdorff", sql("fields shifted", """&u as (select field_id, unnest([[x0, y0], [x1, y0], [x1, y1], [x0, y1]]) as p from fields), v as (select field_id, unnest([[x0, y0], [x1, y0], [x1, y1], [x0, y1]]) as q from shifted),
+m as (select u.field_id, p, q, sqrt(pow(p[1] - q[1], 2) + pow(p[2] - q[2], 2)) as h from u join v using (field_id)),
+k as (select field_id, max(h) as h from (select field_id, p, min(h) as h from m group by 1, 2 union all select field_id, q, min(h) from m group by 1, 2) group by 1) select field_id, round(h, 6) as h from k"""))
 def e5(spark, d):
     p = _pre(fields(spark, d), "l_").join(_pre(shifted(spark, d), "r_"), "field_id")
-    got = p.withColumn("h", G.hausdorff(G.box_ring(*G.box("l_")), G.box_ring(*G.box("r_")))).withColumn("o", G.orientation(G.box_ring(*G.box("l_"))))
-    return got.filter("h >= 0 and o > 0").select("field_id")
+    return p.select("field_id", F.round(G.hausdorff(G.box_ring(*G.box("l_")), G.box_ring(*G.box("r_"))), 6).alias("h"))
 
 
 @query("e6_orientation", sql("fields", "select field_id, round(atan2((y1 - y0)::double, (x1 - x0)::double), 9) as angle from fields"))
@@ -265,24 +296,45 @@ def e7(spark, d):
     return p.select("field_id", F.round(ratio, 9).alias("ratio"), (F.size("a") - F.size("b")).alias("vertex_diff"))
 
 
-@query("e10_bounds_transform")
+_PHI, _LAM = "radians({lat})", "radians({lon} - (23 * 6 - 183))"
+_N = f"(6378137.0 / sqrt(1 - e2 * pow(sin({_PHI}), 2)))"
+_T, _C, _A = f"pow(tan({_PHI}), 2)", f"(ep * pow(cos({_PHI}), 2))", f"(cos({_PHI}) * {_LAM})"
+_M = f"(6378137.0 * ((1 - e2 / 4 - 3 * pow(e2, 2) / 64 - 5 * pow(e2, 3) / 256) * {_PHI} - (3 * e2 / 8 + 3 * pow(e2, 2) / 32 + 45 * pow(e2, 3) / 1024) * sin(2 * {_PHI}) + (15 * pow(e2, 2) / 256 + 45 * pow(e2, 3) / 1024) * sin(4 * {_PHI}) - 35 * pow(e2, 3) / 3072 * sin(6 * {_PHI})))"
+UTM_X = f"(0.9996 * {_N} * ({_A} + (1 - {_T} + {_C}) * pow({_A}, 3) / 6 + (5 - 18 * {_T} + pow({_T}, 2) + 72 * {_C} - 58 * ep) * pow({_A}, 5) / 120) + 500000)"
+UTM_Y = f"(0.9996 * ({_M} + {_N} * tan({_PHI}) * (pow({_A}, 2) / 2 + (5 - {_T} + 9 * {_C} + 4 * pow({_C}, 2)) * pow({_A}, 4) / 24 + (61 - 58 * {_T} + pow({_T}, 2) + 600 * {_C} - 330 * ep) * pow({_A}, 6) / 720)) + case when {{lat}} >= 0 then 0 else 10000000 end)"
+_E = "&ell as (select e2, e2 / (1 - e2) as ep from (select (1 / 298.257223563::double) * (2 - 1 / 298.257223563::double) as e2)),\n"
+_XY = lambda lon, lat: (UTM_X.format(lon=lon, lat=lat), UTM_Y.format(lon=lon, lat=lat))
+
+
+@query("e10_bounds_transform", sql("fields", _E + """g as (select field_id, x0 / 20000.0::double - 47 as a0, -12 + y0 / 20000.0::double as b0, x1 / 20000.0::double - 47 as a1, -12 + y1 / 20000.0::double as b1 from fields),
+s as (select range / 21.0::double as s from range(22)),
+p as (select field_id, a0 + (a1 - a0) * s as lon, b0 as lat from g, s union all select field_id, a0 + (a1 - a0) * s, b1 from g, s union all select field_id, a0, b0 + (b1 - b0) * s from g, s union all select field_id, a1, b0 + (b1 - b0) * s from g, s)
+select field_id, round(min(X), 3) as x0, round(min(Y), 3) as y0, round(max(X), 3) as x1, round(max(Y), 3) as y1 from p, ell group by 1""".replace("X)", _XY("lon", "lat")[0] + ")").replace("Y)", _XY("lon", "lat")[1] + ")")))
 def e10(spark, d):
     f = fields(spark, d).selectExpr("field_id", "x0 / 20000.0D - 47 as lon0", "-12 + y0 / 20000.0D as lat0", "x1 / 20000.0D - 47 as lon1", "-12 + y1 / 20000.0D as lat1")
     b = G.densified_bounds(F.col("lon0"), F.col("lat0"), F.col("lon1"), F.col("lat1"), F.lit(23))
-    return f.select("field_id", b.alias("b")).select("field_id", "b.*")
+    return f.select("field_id", b.alias("b")).select("field_id", *[F.round(f"b.{k}", 3).alias(k) for k in BOX])
 
 
-@query("e9_utm", None)
+@query("e9_utm", sql("fields", _E + "g as (select field_id, x0 / 20000.0::double - 47 as lon, -12 + y0 / 20000.0::double as lat from fields) select field_id, round({}, 3) as x, round({}, 3) as y from g, ell".format(*_XY("lon", "lat"))))
 def e9(spark, d):
     f = fields(spark, d).selectExpr("field_id", "x0 / 20000.0D - 47 as lon", "-12 + y0 / 20000.0D as lat")
-    return f.select("field_id", G.utm(F.col("lon"), F.col("lat"), F.lit(23)).alias("p")).select("field_id", "p.*")
+    return f.select("field_id", G.utm(F.col("lon"), F.col("lat"), F.lit(23)).alias("p")).select("field_id", F.round("p.x", 3).alias("x"), F.round("p.y", 3).alias("y"))
 
 
-@query("e12_simplify", sql("fields", "select field_id, 5 as n from fields"))
+@query("e9_round_trip", sql("fields", "select field_id, round(x0 / 20000.0 - 47, 6)::double as lon, round(-12 + y0 / 20000.0, 6)::double as lat from fields"))
+def e9r(spark, d):
+    """To the projected plane and back."""
+    f = fields(spark, d).selectExpr("field_id", "x0 / 20000.0D - 47 as lon", "-12 + y0 / 20000.0D as lat")
+    p = f.select("field_id", G.utm(F.col("lon"), F.col("lat"), F.lit(23)).alias("p"))
+    return p.select("field_id", G.utm_inverse(F.col("p.x"), F.col("p.y"), F.lit(23), south=True).alias("q")).select("field_id", F.round("q.lon", 6).alias("lon"), F.round("q.lat", 6).alias("lat"))
+
+
+@query("e12_simplify", sql("fields", "&c as (select field_id, unnest([0, 1, 2, 3, 4]) as pos, unnest([x0, x1, x1, x0, x0]) as x, unnest([y0, y0, y1, y1, y0]) as y from fields) select field_id, pos, x::double as x, y::double as y from c"))
 def e12(spark, d):
     mid = F.struct(((F.col("x0") + F.col("x1")) / 2).alias("x"), (F.col("y0") + 0.1).alias("y"))
     ring = F.array_insert(G.box_ring(*G.box()), 2, mid)
-    return fields(spark, d).select("field_id", F.size(G.simplify(0.5)(ring)).alias("n"))
+    return fields(spark, d).select("field_id", F.posexplode(G.simplify(0.5)(ring)).alias("pos", "p")).select("field_id", "pos", "p.x", "p.y")
 
 
 @query("e14_clip", sql("fields chips", f"select a.field_id, b.chip_id, {SHARED}::bigint as area from fields a join chips b on {TOUCH} where {SHARED} > 0"))
@@ -292,10 +344,10 @@ def e14(spark, d):
     return p.withColumn("ring", ring).filter("ring is not null").select("field_id", "chip_id", F.round(G.ring_area(F.col("ring")), 0).cast("bigint").alias("area")).filter("area > 0")
 
 
-@query("e17_affine", sql("fields", "select field_id, (x0 * 10 + 500000)::double as x, (9000000 - y0 * 10)::double as y from fields"))
+@query("e17_affine", sql("shapes", "select field_id, (i - 1)::int as pos, (p[1] * 10 + 500000)::double as x, (9000000 - p[2] * 10)::double as y from corners"))
 def e17(spark, d):
-    ring = G.affine_ring(G.box_ring(*G.box()), 10.0, 0.0, 500000.0, 0.0, -10.0, 9000000.0)
-    return fields(spark, d).select("field_id", ring[0]["x"].alias("x"), ring[0]["y"].alias("y"))
+    ring = G.affine_ring(F.col("ring"), 10.0, 0.0, 500000.0, 0.0, -10.0, 9000000.0)
+    return shapes(spark, d).select("field_id", F.posexplode(ring).alias("pos", "p")).select("field_id", "pos", "p.x", "p.y")
 
 
 POINTS = """&s as (select *, (x1 - x0) * (y1 - y0) / 10000.0 as ha from fields),
@@ -328,9 +380,9 @@ def w2(spark, d):
     return p.selectExpr("chip_id", "field_id", "cast(row_number() over (partition by chip_id order by field_id) as int) as instance")
 
 
-@query("j17_fields_for_chip", sql("fields chips", f"select a.field_id, b.chip_id from fields a join chips b on {TOUCH} where b.chip_id % 3 = 0"))
+@query("j17_fields_for_chip", sql("fields chips", f"select a.field_id, b.chip_id from fields a join chips b on {TOUCH}"))
 def j17(spark, d):
-    return joins.box_join(_pre(chips(spark, d).filter("chip_id % 3 = 0"), "l_", "chip_id"), _pre(fields(spark, d), "r_"), SIDE).select("field_id", "chip_id")
+    return joins.box_join(_pre(chips(spark, d), "l_", "chip_id"), _pre(fields(spark, d), "r_"), SIDE).select("field_id", "chip_id")
 
 
 RASTER_CTE = f"""&px as (select chip_id as chip, r, c, x0 + c * 160 + 80 as x, y0 + r * 160 + 80 as y from chips, (select range as r from range(16)) a, (select range as c from range(16)) b),
@@ -357,16 +409,37 @@ def r11(spark, d):
     return _masks(spark, d)[0].groupBy("chip").agg(F.count_if(F.col("instance") > 0).alias("inside"), F.count(F.lit(1)).alias("n"))
 
 
-EDGE = "(case when abs(px.x - f.x0) <= 80 and px.y between f.y0 - 80 and f.y1 + 80 then 1 when abs(px.x - f.x1) <= 80 and px.y between f.y0 - 80 and f.y1 + 80 then 1 else 0 end)"
+SHAPE_CTE = f"""&px as (select chip_id as chip, r, c, x0 + c * 160 + 80.25::double as x, y0 + r * 160 + 80.5::double as y from chips, (select range as r from range(16)) a, (select range as c from range(16)) b),
+f as (select b.chip_id as chip, s.*, row_number() over (partition by b.chip_id order by s.field_id)::int as instance from shapes s join chips b on {SHAPE_TOUCHES}),
+i as (select px.chip, px.r, px.c, coalesce(max(s.instance), 0) as instance from px left join f s on px.chip = s.chip and {SHAPE_HOLDS} group by all),
+n as (select px.*, s.field_id from px join f s on px.chip = s.chip and px.x between s.x0 - 81 and s.x0 + 2 * s.a + 81 and px.y between s.y0 - 81 and s.y0 + 2 * s.b + 81),
+t as (select n.*, e.*, greatest(0, least(1, ((n.x - e.px) * (e.qx - e.px) + (n.y - e.py) * (e.qy - e.py)) / (pow(e.qx - e.px, 2) + pow(e.qy - e.py, 2)))) as t from n join edges e on n.field_id = e.field_id),
+g as (select distinct chip, r, c, true as edge from t where round(sqrt(pow(x - px - t * (qx - px), 2) + pow(y - py - t * (qy - py), 2)), 6) <= 80),
+m as (select i.*, coalesce(edge, false) as edge from i left join g using (chip, r, c))
+"""
 
 
-@query("r10_three_class_mask")
+def _shape_masks(spark, d):
+    sixteen = lambda: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(15).cast("bigint")))
+    p = chips(spark, d).select(F.col("chip_id").alias("chip"), "x0", "y0", sixteen().alias("r")).withColumn("c", sixteen())
+    p = p.selectExpr("chip", "r", "c", "x0 + c * 160 + 80.25D as x", "y0 + r * 160 + 80.5D as y")
+    f = _shape_pairs(spark, d).selectExpr("chip_id as chip", "cast(row_number() over (partition by chip_id order by field_id) as int) as instance", "l_ring as ring")
+    return p, f
+
+
+@query("r9_shape_mask", sql("shapes chips", SHAPE_CTE + "select chip, r, c, instance from i"))
+def r9s(spark, d):
+    return raster.rasterize_rings(*_shape_masks(spark, d), 640)
+
+
+@query("r10_three_class_mask", sql("shapes chips", SHAPE_CTE + "select chip, r, c, case when edge then 2 when instance > 0 then 1 else 0 end as cls from m"))
 def r10(spark, d):
-    inst, p, f = _masks(spark, d)
-    near = p.join(f.withColumnsRenamed({"chip": "k", **{c: f"z_{c}" for c in BOX}}), (F.col("chip") == F.col("k")) & F.col("x").between(F.col("z_x0") - 80, F.col("z_x1") + 80) & F.col("y").between(F.col("z_y0") - 80, F.col("z_y1") + 80))
-    edge = near.filter(raster.boxes_near_edge(F.col("x").cast("double"), F.col("y").cast("double"), "z_", 80.0)).select("chip", "r", "c").distinct().withColumn("edge", F.lit(True))
-    both = inst.join(edge, ["chip", "r", "c"], "left").withColumn("edge", F.coalesce("edge", F.lit(False)))
-    return both.select("chip", "r", "c", raster.mask_three(F.col("instance"), F.col("edge")).alias("cls"), raster.mask_three_inner(F.col("instance"), F.col("edge")).alias("cls_inner"))
+    return raster.three_class_mask(*_shape_masks(spark, d), 640, 80.0)
+
+
+@query("r10_boundary_under", sql("shapes chips", SHAPE_CTE + "select chip, r, c, case when instance > 0 then 1 when edge then 2 else 0 end as cls from m"))
+def r10b(spark, d):
+    return raster.three_class_mask(*_shape_masks(spark, d), 640, 80.0, inner_first=True)
 
 
 @query("j15_land_cover_cells", sql("fields", "select field_id, cast(floor((x0 + 5) / 30) as bigint) as col, cast(floor((y0 + 5) / 30) as bigint) as row from fields"))

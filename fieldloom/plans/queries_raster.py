@@ -124,18 +124,18 @@ def _bands(spark, d):
     return rasters(spark, d).groupBy("chip", "label").agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "c", "q"))), lambda s: s["q"]).alias("band"))
 
 
-@query("r3_stack_and_split", "select vec_id as chip, 128 as n, embedding[1]::double as a0, embedding[64]::double as b0 from embeddings")
+@query("r3_stack_and_split", "select vec_id as chip, (unnest(range(64)))::int as pos, unnest(embedding)::double as a, unnest(list_reverse(embedding))::double as b from embeddings")
 def r3(spark, d):
     e = table(spark, d, "embeddings").withColumn("s", raster.stack(F.col("embedding"), F.reverse("embedding")))
     a, b = raster.split_stack(F.col("s"), 64)
-    return e.select(F.col("vec_id").alias("chip"), F.size("s").alias("n"), a[0].cast("double").alias("a0"), b[0].cast("double").alias("b0"))
+    both = e.select(F.col("vec_id").alias("chip"), F.posexplode(F.arrays_zip(a.alias("a"), b.alias("b"))).alias("pos", "v"))
+    return both.select("chip", "pos", F.col("v.a").cast("double").alias("a"), F.col("v.b").cast("double").alias("b"))
 
 
-@query("k7_band_order", "select vec_id as chip, embedding[33]::double as first, embedding[1]::double as middle from embeddings")
+@query("k7_band_order", "select vec_id as chip, (unnest(range(64)))::int as pos, unnest(list_concat(embedding[33:64], embedding[1:32]))::double as v from embeddings")
 def k7(spark, d):
     a, b = raster.split_stack(F.col("embedding"), 32)
-    s = F.concat(b, a)
-    return table(spark, d, "embeddings").select(F.col("vec_id").alias("chip"), s[0].cast("double").alias("first"), s[32].cast("double").alias("middle"))
+    return table(spark, d, "embeddings").select(F.col("vec_id").alias("chip"), F.posexplode(raster.stack(b, a)).alias("pos", "v")).withColumn("v", F.col("v").cast("double"))
 
 
 @query("r12_to_uint16", sql("rasters", "select chip, r, c, case when q % 13 = 0 then 0 else least(65535, greatest(0, q * 400)) end::int as v from rasters"))
@@ -144,16 +144,16 @@ def r12(spark, d):
     return rasters(spark, d).select("chip", "r", "c", raster.to_uint16(v, F.lit("clip")).alias("v"))
 
 
-@query("k16_dtype_action", sql("rasters", "&b as (select chip, min(q) as lo, max(q) as hi from rasters group by 1) select chip, case when chip % 5 = 0 then 'skip' when lo >= 0 and hi <= 65535 then 'cast' when chip % 2 = 0 and lo >= 0 and hi <= 1 then 'scale' else 'clip' end as action from b"))
+@query("k16_dtype_action", sql("rasters", "&b as (select chip, min(q) as lo, max(q) as hi from rasters group by 1) select chip, case when lo >= 0 and hi <= 65535 then case when chip % 5 = 0 then 'skip' else 'cast' end when chip % 5 <> 0 and chip % 2 = 0 and lo >= 0 and hi <= 1 then 'scale' else 'clip' end as action from b"))
 def k16(spark, d):
     b = rasters(spark, d).groupBy("chip").agg(F.min("q").alias("lo"), F.max("q").alias("hi"))
     kind = F.when(F.col("chip") % 5 == 0, "uint16").when(F.col("chip") % 2 == 0, "float32").otherwise("int32")
     return b.select("chip", X.uint16_action(kind, F.col("lo"), F.col("hi")).alias("action"))
 
 
-@query("r2_round_clip", sql("rasters", "select chip, r, c, least(greatest(case when (q * 5) % 2 = 0 or ((q * 5 - 1) / 2) % 2 = 0 then floor(q * 5 / 2.0) else ceil(q * 5 / 2.0) end, 0), 65535)::int as v from rasters where q >= 0"))
+@query("r2_round_clip", sql("rasters", "select chip, r, c, least(greatest(case when (q * 5) % 2 = 0 or ((q * 5 - 1) / 2) % 2 = 0 then floor(q * 5 / 2.0) else ceil(q * 5 / 2.0) end, 0), 65535)::int as v from rasters"))
 def r2(spark, d):
-    return rasters(spark, d).filter("q >= 0").select("chip", "r", "c", raster.round_clip(F.col("q") * 5 / 2.0).alias("v"))
+    return rasters(spark, d).select("chip", "r", "c", raster.round_clip(F.col("q") * 5 / 2.0).alias("v"))
 
 
 @query("r13_confidence", "select vec_id as chip, (list_position(embedding, list_max(embedding)) - 1)::int as cls, round(1 / list_sum(list_transform(embedding, lambda x: exp(x::double - list_max(embedding)::double))), 9) as confidence from embeddings")
@@ -164,12 +164,12 @@ def r13(spark, d):
 
 @query("r14_normalize", sql("rasters", "select chip, r, c, q / 3000.0::double as v from rasters"))
 def r14(spark, d):
-    return rasters(spark, d).select("chip", "r", "c", (F.col("q") / 3000.0).alias("v"))
+    return rasters(spark, d).select("chip", "r", "c", raster.normalize(F.col("q"), "by_3000").alias("v"))
 
 
 @query("r15_remap_unlabeled", sql("rasters", "select chip, r, c, case when bad > 0 then abs(q) % 3 else 3 end as y from rasters"))
 def r15(spark, d):
-    return rasters(spark, d).select("chip", "r", "c", F.when(F.col("bad") > 0, F.abs("q") % 3).otherwise(3).alias("y"))
+    return rasters(spark, d).select("chip", "r", "c", raster.remap_unlabeled(F.abs("q") % 3, F.col("bad")).alias("y"))
 
 
 @query("r16_corner_crops", sql("rasters", """&k as (select * from (values ('tl', 0, 0), ('tr', 0, 2), ('bl', 2, 0), ('br', 2, 2)) t(corner, r0, c0))
@@ -211,9 +211,12 @@ def g22b(spark, d):
     return a.join(b, ["chip", "r", "c"]).select("chip", "r", "c", ((F.col("qa") + F.col("qb")) / 2.0).cast("int").alias("v"))
 
 
-@query("r1_bilinear")
+@query("r1_bilinear", sql("rasters", """&g as (select (i * 15 + j)::int as pos, unnest([i // 2, (i + 1) // 2]) as r, j from (select range as i from range(15)), (select range as j from range(15))),
+h as (select pos, r, unnest([j // 2, (j + 1) // 2]) as c from g)
+select chip, pos, sum(q) / 4.0::double as v from h join rasters using (r, c) group by 1, 2"""))
 def r1(spark, d):
-    return _bands(spark, d).select("chip", F.posexplode(raster.resample(8, 8, 15, 15)(F.transform("band", lambda x: x.cast("double")))).alias("pos", "v")).filter("pos % 2 = 0 and pos div 15 % 2 = 0")
+    """All positions: every second one lies halfway between two samples."""
+    return _bands(spark, d).select("chip", F.posexplode(raster.resample(8, 8, 15, 15)(F.transform("band", lambda x: x.cast("double")))).alias("pos", "v"))
 
 
 @query("r7_fill_gaps")
@@ -222,16 +225,31 @@ def r7(spark, d):
     return _bands(spark, d).select("chip", F.posexplode(raster.fill(8, 8, -9999.0)(b)).alias("pos", "v"))
 
 
-@query("r8_pad", sql("rasters", "select chip, 100 as n, sum(q)::double as total from rasters group by 1"))
+@query("r8_pad", sql("rasters", "&g as (select distinct chip, p::int as pos from rasters, (select range as p from range(100))) select g.chip, pos, coalesce(q, 0)::double as v from g left join rasters b on b.chip = g.chip and b.r = pos // 10 and b.c = pos % 10"))
 def r8(spark, d):
     p = raster.pad(8, 8, 10, 0.0)(F.transform("band", lambda x: x.cast("double")))
-    return _bands(spark, d).withColumn("p", p).select("chip", F.size("p").alias("n"), F.aggregate("p", F.lit(0.0), lambda s, x: s + x).alias("total"))
+    return _bands(spark, d).select("chip", F.posexplode(p).alias("pos", "v"))
 
 
-@query("r20_augment", sql("rasters", "select chip, sum(q)::double as total, max(case when r = 0 and c = 7 then q end)::double as first from rasters group by 1"))
+def _augmented(spark, d, **how):
+    p = raster.augment(8, 8, **how)(F.transform("band", lambda x: x.cast("double")))
+    return _bands(spark, d).select("chip", F.posexplode(p).alias("pos", "v"))
+
+
+@query("r20_augment", sql("rasters", "select chip, ((7 - c) * 8 + 7 - r)::int as pos, q * 2.0::double as v from rasters"))
 def r20(spark, d):
-    p = raster.augment(8, 8, turn=0, flip_h=True)(F.transform("band", lambda x: x.cast("double")))
-    return _bands(spark, d).withColumn("p", p).select("chip", F.aggregate("p", F.lit(0.0), lambda s, x: s + x).alias("total"), F.col("p")[0].alias("first"))
+    return _augmented(spark, d, turn=1, flip_h=True, brightness=2.0)
+
+
+@query("r20_flip_down", sql("rasters", "select chip, ((7 - r) * 8 + c)::int as pos, q::double as v from rasters"))
+def r20v(spark, d):
+    return _augmented(spark, d, flip_v=True)
+
+
+@query("r20_sharpness", sql("rasters", """&k as (select a.chip, a.r, a.c, a.q, (sum(b.q) + 4 * a.q) / 13.0::double as soft from rasters a join rasters b on a.chip = b.chip and abs(a.r - b.r) <= 1 and abs(a.c - b.c) <= 1 group by 1, 2, 3, 4)
+select chip, (r * 8 + c)::int as pos, round(case when r in (0, 7) or c in (0, 7) then q else soft + (q - soft) * 1.5 end, 6)::double as v from k"""))
+def r20s(spark, d):
+    return _augmented(spark, d, sharpness=1.5).withColumn("v", F.round("v", 6))
 
 
 @query("e16_polygonize")
@@ -335,13 +353,64 @@ def l7(spark, d):
     return a.crossJoin(b).select(F.round(0.5 * F.col("a") + 0.5 * F.col("b"), 8).alias("loss"))
 
 
-@query("l3_edge_weighted_ce")
+@query("l3_edge_weighted_ce", sql("rasters", """&px as (select chip, r, c, abs(q) % 3 as y, greatest(abs(q) % 101 / 100.0::double, 0.01) as p from rasters),
+tap as (select i, j, exp(-(i * i + j * j) / 18.0::double) as k from (select unnest(range(-3, 4)) as i), (select unnest(range(-3, 4)) as j)),
+near as (select a.chip, a.r, a.c, a.p, sum(case when b.y = 2 then t.k else 0 end) / (select sum(k) from tap) as blur from px a, tap t join px b on true
+  where b.chip = a.chip and b.r = case when a.r + t.i < 0 then -(a.r + t.i) when a.r + t.i > 7 then 14 - (a.r + t.i) else a.r + t.i end and b.c = case when a.c + t.j < 0 then -(a.c + t.j) when a.c + t.j > 7 then 14 - (a.c + t.j) else a.c + t.j end group by 1, 2, 3, 4)
+select chip, round(sum((1 + 4 * blur) * -ln(p)) / sum(1 + 4 * blur), 8) as loss from near group by 1"""))
 def l3(spark, d):
     px = rasters(spark, d).selectExpr("chip", "r", "c", "abs(q) % 3 as y", "greatest(abs(q) % 101 / 100.0D, 0.01D) as p")
     w = metrics.edge_weights(px, 8, 8, scale=4.0)
     return w.groupBy("chip").agg(F.round(metrics.cross_entropy(F.col("p"), F.col("weight")), 8).alias("loss"))
 
 
+SUMS = """, z as (select cls, sum(p * y) as tp, sum(p * (1 - y)) as fp, sum((1 - p) * y) as fn, sum(y) as n, sum(p * p) as pp, sum(y * y) as yy, sum((1 - p) * (1 - p)) as cp, sum((1 - y) * (1 - y)) as cy, sum((1 - p) * (1 - y)) as tn from l where truth <> 2 group by 1),
+ce as (select sum(-w * ln(greatest(p, 1e-12))) / sum(w) as v from (select p, case truth when 0 then 0.2 when 1 then 0.3 else 0.5 end as w from l where y = 1 and truth <> 2))
+"""
+_DICE = "case when n > 0 then 1 - 2 * tp / greatest(2 * tp + fp + fn, 1e-7) else 0 end"
+_TVF = "pow(1 - (tp + 1) / (tp + 0.7 * fn + 0.3 * fp + 1), 1 / 1.33)"
+_FT = f"(1 - ((tp + 1e-5) * ({_D('tp', 'pp', 'yy')}) / 5 + (tn + 1e-5) * ({_D('tn', 'cp', 'cy')}) / 5) / 2)"
+_W = "case cls when 0 then 0.2 when 1 then 0.3 else 0.5 end"
+#: Each named loss over pixels whose truth is not 2, with class weights where it takes them.
+NAMED_SQL = {
+    "ce": "select v from ce",
+    "jaccard": "select avg(case when n > 0 then 1 - tp / greatest(tp + fp + fn, 1e-7) else 0 end) as v from z",
+    "focal": "select sum(f) as v from (select cls, avg(-pow(1 - q, 2) * ln(q)) / greatest(sum(pow(1 - q, 2)), 1e-6) as f from (select cls, greatest(case when y = 1 then p else 1 - p end, 1e-12) as q from l where truth <> 2) group by 1)",
+    "tversky": "select avg(case when n > 0 then 1 - tp / greatest(tp + 0.5 * fp + 0.5 * fn, 1e-7) else 0 end) as v from z",
+    "dice": f"select avg({_DICE}) as v from z",
+    "ce+dice": f"select (select v from ce) + avg({_DICE}) as v from z",
+    "logcoshdice": f"select ln((exp(x) + exp(-x)) / 2) as v from (select sum({_W} * {_DICE}) as x from z)",
+    "logcoshdice+ce": f"select 0.5 * ln((exp(x) + exp(-x)) / 2) + 0.5 * (select v from ce) as v from (select sum({_W} * {_DICE}) as x from z)",
+    "ftnmt": f"select sum({_W} * {_FT}) as v from z",
+    "ce+ftnmt": f"select 0.5 * (select v from ce) + 0.5 * sum({_W} * {_FT}) as v from z",
+    "localtversky": f"select sum({_TVF} * raw) / sum(raw) as v from (select *, case when n > 0 then 1.0::double / n else 1e-5 end as raw from z)",
+    "tversky_ce": f"select 0.5 * sum({_W} * {_TVF}) + 0.5 * (select v from ce) as v from z",
+    "customtversky": f"select sum({_W} * case when n > 0 then 1 - tp / greatest(tp + case cls when 0 then 0.3 else 0.5 end * fp + case cls when 0 then 0.7 else 0.5 end * fn, 1e-7) else 0 end) as v from z",
+}
+HOW = {"customtversky": {"per_class": True, "alphas": {0: 0.3}, "betas": {0: 0.7}}}
+
+
+def _named_loss(name: str, body: str):
+    @query(f"l1_{name.replace('+', '_and_')}", sql("rasters", LOSS + SUMS + f", o1 as ({body}) select round(v, 8)::double as loss from o1"))
+    def run(spark, d):
+        return metrics.loss(_long(spark, d), name, {0: 0.2, 1: 0.3, 2: 0.5}, ignore=2, **HOW.get(name, {})).select(F.round("loss", 8).alias("loss"))
+
+    return run
+
+
+for _name, _body in NAMED_SQL.items():
+    _named_loss(_name, _body)
+
+
+@query("l1_pixel_weighted_ce", sql("rasters", """&px as (select chip, r, c, abs(q) % 3 as y, greatest(case abs(q) % 3 when 0 then abs(q) % 101 / 100.0::double when 1 then (1 - abs(q) % 101 / 100.0) * 0.75 else (1 - abs(q) % 101 / 100.0) * 0.25 end, 1e-12) as p from rasters),
+tap as (select i, j, exp(-(i * i + j * j) / 18.0::double) as k from (select unnest(range(-3, 4)) as i), (select unnest(range(-3, 4)) as j)),
+near as (select a.chip, a.r, a.c, a.p, a.y, sum(case when b.y = 2 then t.k else 0 end) / (select sum(k) from tap) as blur from px a, tap t join px b on true
+  where b.chip = a.chip and b.r = case when a.r + t.i < 0 then -(a.r + t.i) when a.r + t.i > 7 then 14 - (a.r + t.i) else a.r + t.i end and b.c = case when a.c + t.j < 0 then -(a.c + t.j) when a.c + t.j > 7 then 14 - (a.c + t.j) else a.c + t.j end group by 1, 2, 3, 4, 5)
+select round(sum((1 + 3 * blur) * -ln(p) * case y when 0 then 0.2 else 0.3 end) / sum(1 + 3 * blur), 8) as loss from near where y <> 2"""))
+def l1p(spark, d):
+    return metrics.loss(_long(spark, d), "pixel_weighted_ce", {0: 0.2, 1: 0.3, 2: 0.5}, ignore=2, rows=8, cols=8, pixel_weight_scale=3.0).select(F.round("loss", 8).alias("loss"))
+
+
 @query("l9_log_cosh_ce", sql("rasters", LOSS + """select round((select avg(ln((exp(z) + exp(-z)) / 2)) from (select cls, 1 - (2 * sum(p * y) + 1) / (2 * sum(p * y) + sum(p * (1 - y)) + sum((1 - p) * y) + 1) as z from l group by 1))
  + (select avg(-ln(greatest(p, 1e-12))) from l where y = 1), 8) as loss"""))
 def l9(spark, d):
