@@ -61,6 +61,11 @@ def remaining(every: DataFrame, done: list[DataFrame], name: str) -> DataFrame:
     return every.select(name).distinct().join(gone, name, "left_anti")
 
 
+def all_logs(logs: dict[str, DataFrame]) -> DataFrame:
+    """Logs of one set of columns as one table, each row with its log's name (kind); none gives an error."""
+    return reduce(DataFrame.unionByName, [df.withColumn("kind", F.lit(name)) for name, df in logs.items()])
+
+
 def same_group(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Groups of two or more: keys, sorted values joined by commas, n."""
     got = df.groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias("v"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -65,16 +66,27 @@ def least_confident(scores: DataFrame, n: int, key: str, least_ag: float | None
     return scores.orderBy("confidence_mean", key).limit(n)
 
 
+def seeded(key: str, seed: int):
+    """An order of keys by a seeded hash, the same in every run and engine."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+
+
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """n rows chosen by a seeded hash of the key: the same rows in every run."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    return df.orderBy(seeded(key, seed), key).limit(n)
+
+
+def score_lines(scores: DataFrame, *columns: str):
+    """Each row's scores as one JSON object; NaN is written as a string."""
+    return scores.withColumn("line", F.to_json(F.struct(*columns)))
 
 
 def disjoint_split(df: DataFrame, key: str, seed: int, sizes: dict[str, int]) -> DataFrame:
     """Rows of disjoint seeded samples of these sizes, with the sample's name in `part`."""
     total = sum(sizes.values())
     ranked = seeded_sample(df, key, total, seed)
-    ranked = ranked.withColumn("_rn", F.expr(f"row_number() over (order by xxhash64({seed}, {key}), {key})"))
+    # `total` rows
+    ranked = ranked.withColumn("_rn", F.row_number().over(W.orderBy(seeded(key, seed), key)))
     part, upto = F.lit(None).cast("string"), total
     for name, size in reversed(list(sizes.items())):
         part = F.when(F.col("_rn") <= upto, name) if upto == total else F.when(F.col("_rn") <= upto, name).otherwise(part)

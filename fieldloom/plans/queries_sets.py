@@ -56,15 +56,17 @@ def k15(spark, d):
     return _pages(spark, d).select("page_id", X.human_bytes(F.length("html") * 37).alias("shown"), X.extension(name).alias("ext"))
 
 
-@query("k17_common_kind", "select * from (values ('uint16', 'uint16', 'uint16'), ('uint16', 'int16', 'int32'), ('float32', 'uint16', 'float32'), ('uint8', 'uint16', 'uint16'), ('int32', 'uint32', 'int64'), ('float32', 'float64', 'float64')) t(a, b, kind)")
+@query("k17_common_kind", """select * from (values ('uint16', 'uint16', 'uint16'), ('uint16', 'int16', 'int32'), ('float32', 'uint16', 'float32'), ('uint8', 'uint16', 'uint16'), ('int32', 'uint32', 'int64'), ('float32', 'float64', 'float64'),
+ ('int8', 'uint8', 'int16'), ('int8', 'int64', 'int64'), ('uint64', 'int64', 'float64'), ('uint64', 'uint32', 'uint64'), ('int32', 'uint16', 'int32'), ('float16', 'int8', 'float16'), ('float16', 'uint16', 'float32'), ('float32', 'int32', 'float64'), ('uint64', 'float32', 'float64'), ('int16', 'int8', 'int16'), ('bool8', 'int8', null)) t(a, b, kind)""")
 def k17(spark, d):
-    pairs = spark.createDataFrame([("uint16", "uint16"), ("uint16", "int16"), ("float32", "uint16"), ("uint8", "uint16"), ("int32", "uint32"), ("float32", "float64")], "a string, b string")
+    given = "uint16 uint16, uint16 int16, float32 uint16, uint8 uint16, int32 uint32, float32 float64, int8 uint8, int8 int64, uint64 int64, uint64 uint32, int32 uint16, float16 int8, float16 uint16, float32 int32, uint64 float32, int16 int8, bool8 int8"
+    pairs = spark.createDataFrame([tuple(x.split()) for x in given.split(", ")], "a string, b string")
     return pairs.select("a", "b", X.common_kind(F.col("a"), F.col("b")).alias("kind"))
 
 
-@query("k18_path_template", "select page_id, 'out/' || (page_id % 5) || '/chip_' || lpad(page_id::varchar, 5, '0') || '.tif' as path from pages where page_id < 100000")
+@query("k18_path_template", "select page_id, 'out/' || (page_id % 5) || '/chip_' || printf('%05d', page_id) || '.tif' as path from pages")
 def k18(spark, d):
-    return _pages(spark, d).select("page_id", F.format_string("out/%d/chip_%05d.tif", F.col("page_id") % 5, F.col("page_id")).alias("path"))
+    return _pages(spark, d).select("page_id", X.path_from("out/%d/chip_%05d.tif", F.col("page_id") % 5, F.col("page_id")).alias("path"))
 
 
 @query("d6_prefixed_tags", "select doc_id, lang as a_lang, source as b_source, 2 as n from documents")
@@ -76,12 +78,17 @@ def d6(spark, d):
 
 @query("f3_drop_columns", "select c_custkey, c_name from customer")
 def f3(spark, d):
-    return table(spark, d, "customer").drop("c_nationkey", "c_acctbal", "c_mktsegment")
+    return manifest.drop_columns(table(spark, d, "customer"), ("C_NationKey", "c_acctbal", "C_MKTSEGMENT"))
 
 
 @query("f4_window_a_chips", "select doc_id from documents where doc_id in (select doc_id from labels)")
 def f4(spark, d):
-    return manifest.restrict(table(spark, d, "documents").select("doc_id"), table(spark, d, "labels"), "doc_id")
+    return manifest.only_present(table(spark, d, "documents").select("doc_id"), table(spark, d, "labels"), "doc_id")
+
+
+@query("f4_window_a_empty", "select doc_id from documents where false")
+def f4e(spark, d):
+    return manifest.only_present(table(spark, d, "documents").select("doc_id"), table(spark, d, "labels").filter("doc_id < 0"), "doc_id")
 
 
 @query("f5_empty_set_skipped", "select doc_id from documents")
@@ -98,41 +105,51 @@ def f6(spark, d):
     return manifest.usable_samples(s, bad, [files], "train").select("country", "idx")
 
 
-@query("f7_pair_reason", "select doc_id, case when doc_id % 3 = 0 then 'bands' when doc_id % 5 = 0 then 'crs' when doc_id % 7 = 0 then 'size' else 'ok' end as reason from documents")
+F7 = """with p as (select c_custkey as k, case when c_custkey % 11 = 0 then 3 else 4 end as na, case when c_custkey % 13 = 0 then 5 else 4 end as nb, c_nationkey % 4 as ca, case when c_nationkey = 3 then null else c_nationkey % 4 end as cb, c_custkey % 3 as ta, c_custkey % 9 % 4 as tb, c_custkey % 5 as w, c_custkey % 10 as v from customer)
+select k, case when na <> 4 then 'Window A has ' || na || ' bands (expected 4).' when nb <> 4 then 'Window B has ' || nb || ' bands (expected 4).' when ca is distinct from cb then 'CRS mismatch.' when ta <> tb then 'Affine transform mismatch.' when w <> v then 'Raster dimension mismatch.' else '' end as reason from p"""
+
+
+@query("f7_pair_reason", F7)
 def f7(spark, d):
-    k = F.col("doc_id")
-    return table(spark, d, "documents").select("doc_id", F.when(k % 3 == 0, "bands").when(k % 5 == 0, "crs").when(k % 7 == 0, "size").otherwise("ok").alias("reason"))
+    p = table(spark, d, "customer").selectExpr(
+        "c_custkey as k", "case when c_custkey % 11 = 0 then 3 else 4 end as na", "case when c_custkey % 13 = 0 then 5 else 4 end as nb", "c_nationkey % 4 as ca", "case when c_nationkey = 3 then null else c_nationkey % 4 end as cb",
+        "c_custkey % 3 as ta", "c_custkey % 9 % 4 as tb", "c_custkey % 5 as w", "c_custkey % 10 as v",
+    )
+    side = lambda n, c, t, w: {"bands": F.col(n), "crs": F.col(c), "transform": F.col(t), "width": F.col(w), "height": F.lit(256)}
+    return p.select("k", X.pair_reason(side("na", "ca", "ta", "w"), side("nb", "cb", "tb", "v")).alias("reason"))
 
 
-@query("f11_exact_size", "select vec_id from embeddings where len(embedding) = 64")
+@query("f11_exact_size", "select vec_id from embeddings where vec_id % 3 <> 0 and vec_id % 4 <> 0 and vec_id % 7 <> 0")
 def f11(spark, d):
-    return table(spark, d, "embeddings").filter(F.size("embedding") == 64).select("vec_id")
+    e = table(spark, d, "embeddings").selectExpr("vec_id", "case when vec_id % 3 = 0 then 255 else 256 end as width", "case when vec_id % 4 = 0 then 300 else 256 end as height", "case when vec_id % 7 <> 0 then 'EPSG:32723' end as crs")
+    return manifest.exact_chips(e).select("vec_id")
 
 
-@query("f13_distinct_tiles", "select distinct n_name as tile from nation where n_regionkey = 1")
+@query("f13_distinct_tiles", "select distinct n_name as tile from nation where n_regionkey in (1, 3)")
 def f13(spark, d):
-    return table(spark, d, "nation").filter("n_regionkey = 1").select(F.col("n_name").alias("tile")).distinct()
+    return manifest.tiles_of(table(spark, d, "nation"), "n_name", n_regionkey=[1, 3])
 
 
-@query("f16_drop_suffixed", "select a.n_nationkey, r_name from nation a join region on n_regionkey = r_regionkey")
+@query("f16_drop_suffixed", "select n_nationkey, n_name, r_name as area from nation join region on n_regionkey = r_regionkey")
 def f16(spark, d):
-    n = table(spark, d, "nation").withColumn("area_left", F.lit(1)).withColumn("area_right", F.lit(2)).join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return n.select("n_nationkey", "r_name", *[c for c in n.columns if c.startswith("area") and not c.endswith(("_left", "_right"))])
+    n = table(spark, d, "nation").withColumnsRenamed({"n_comment": "comment_left", "n_regionkey": "key_left"})
+    r = table(spark, d, "region").selectExpr("r_regionkey as key_right", "r_name as area")
+    return manifest.drop_suffixed(n.join(r, F.col("key_left") == F.col("key_right")))
 
 
-@query("f17_dropna", "select doc_id from (select doc_id, case when doc_id % 4 = 0 then null else n_chars end as n from documents) where n is not null")
+@query("f17_dropna", "select doc_id, n from (select doc_id, lang, case when doc_id % 4 = 0 then null else n_chars end as n from documents) where n is not null and lang is not null")
 def f17(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 4 != 0, F.col("n_chars")).alias("n")).dropna(subset=["n"]).select("doc_id")
+    return table(spark, d, "documents").select("doc_id", "lang", F.when(F.col("doc_id") % 4 != 0, F.col("n_chars")).alias("n")).dropna(subset=["n", "lang"]).select("doc_id", "n")
 
 
 @query("f18_tile_names", "select distinct p_brand as name from part")
 def f18(spark, d):
-    return table(spark, d, "part").select(F.col("p_brand").alias("name")).distinct().orderBy("name")
+    return manifest.tile_names(table(spark, d, "part"), "p_brand")
 
 
 @query("j5_paired_names", "select a.doc_id as name from documents a join labels b on a.doc_id = b.doc_id")
 def j5(spark, d):
-    return table(spark, d, "documents").select(F.col("doc_id").alias("name")).join(table(spark, d, "labels").select(F.col("doc_id").alias("name")), "name")
+    return manifest.paired(table(spark, d, "documents").select(F.col("doc_id").alias("name")), table(spark, d, "labels").select(F.col("doc_id").alias("name")), "name")
 
 
 @query("j13_models_by_stacks", "select n_nationkey as stack, r_name || '/' || n_name as path from nation, region where not (n_nationkey % 4 = 0 and r_regionkey = 0)")
@@ -157,33 +174,47 @@ def u2(spark, d):
     return ledger.remaining(every, [done, active], "tile")
 
 
-@query("u4_logs", "select c_name as name, 'missing' as kind from customer where c_custkey % 50 = 0 union all select s_name, 'error' from supplier where s_suppkey % 10 = 0")
+@query("u4_logs", "select c_name as name, 'missing' as kind from customer union all select s_name, 'error' from supplier")
 def u4(spark, d):
-    a = table(spark, d, "customer").filter("c_custkey % 50 = 0").select(F.col("c_name").alias("name"), F.lit("missing").alias("kind"))
-    return a.unionByName(table(spark, d, "supplier").filter("s_suppkey % 10 = 0").select(F.col("s_name").alias("name"), F.lit("error").alias("kind")))
+    return ledger.all_logs({"missing": table(spark, d, "customer").select(F.col("c_name").alias("name")), "error": table(spark, d, "supplier").select(F.col("s_name").alias("name"))})
+
 
+@query("u5_lists_by_country", "select doc_id, lang as kind from documents where lang in ('en', 'de')")
+def u5(spark, d):
+    docs = table(spark, d, "documents")
+    return ledger.all_logs({c: docs.filter(F.col("lang") == c).select("doc_id") for c in ("en", "de")})
 
-@query("u6_columns", "select count(*) as n from customer")
+
+@query("u6_columns", "select c_custkey, c_name from customer")
 def u6(spark, d):
     c = table(spark, d, "customer")
     ledger.require_columns(c, ["c_custkey", "c_name"])
-    return c.agg(F.count(F.lit(1)).alias("n"))
+    return c.select("c_custkey", "c_name")
+
+
+@query("u8_layer_ids", "select page_id::varchar as stem from pages")
+def u8(spark, d):
+    layer = _pages(spark, d).select(F.col("page_id").alias("row"), F.concat(F.lit("x/"), F.col("page_id").cast("string"), F.lit(".TIF")).alias("FileName"))
+    return manifest.id_set(layer)
+
+
+SAMPLE = "md5('{seed}:' || doc_id::varchar), doc_id"
 
 
-@query("u7_disjoint_splits")
+@query("u7_disjoint_splits", f"with r as (select doc_id, row_number() over (order by {SAMPLE.format(seed=42)}) as n from documents) select doc_id, case when n <= 100 then 'train' when n <= 140 then 'val' else 'test' end as part from r where n <= 170")
 def u7(spark, d):
     return score.disjoint_split(table(spark, d, "documents").select("doc_id"), "doc_id", 42, {"train": 100, "val": 40, "test": 30})
 
 
-@query("w13_seeded_sample")
+@query("w13_seeded_sample", f"select doc_id from documents order by {SAMPLE.format(seed=7)} limit 100")
 def w13(spark, d):
     return score.seeded_sample(table(spark, d, "documents").select("doc_id"), "doc_id", 100, 7)
 
 
-@query("w12_first_row", "select c_nationkey, min(c_custkey) as c_custkey from customer group by 1")
+@query("w12_first_row", "select c_nationkey, c_custkey, c_name from customer qualify row_number() over (partition by c_nationkey order by c_acctbal, c_custkey) = 1")
 def w12(spark, d):
-    c = table(spark, d, "customer").select("c_nationkey", "c_custkey")
-    return c.withColumn("rn", F.expr("row_number() over (partition by c_nationkey order by c_custkey)")).filter("rn = 1").drop("rn")
+    c = table(spark, d, "customer").select("c_nationkey", "c_custkey", "c_name", "c_acctbal")
+    return manifest.first_rows(c, "c_nationkey", ["c_acctbal", "c_custkey"]).drop("c_acctbal")
 
 
 @query("g14_same_group", "select lang, source, string_agg(doc_id::varchar, ',' order by doc_id) as members, count(*)::int as n from documents group by 1, 2 having count(*) > 1")
@@ -240,16 +271,16 @@ def s24(spark, d):
     return ledger.checksums_ok(listed, p.select(F.col("page_id").cast("string").alias("path"), F.col("html").cast("binary").alias("content")))
 
 
-@query("s12_unique_check", "select count(*) as n from customer")
+@query("s12_unique_check", "select c_custkey as aoi_id, 'train' as split, true as has_fields, 1 as n_fields from customer")
 def s12(spark, d):
     c = table(spark, d, "customer").selectExpr("c_custkey as aoi_id", "'train' as split", "true as has_fields", "1 as n_fields")
     manifest.check_manifest(c)
-    return c.agg(F.count(F.lit(1)).alias("n"))
+    return c
 
 
 @query("s14_score_json", """select doc_id, '{"doc_id":' || doc_id || ',"lang":"' || lang || '","n":' || n_chars || '}' as line from documents""")
 def s14(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.to_json(F.struct("doc_id", "lang", F.col("n_chars").alias("n"))).alias("line"))
+    return score.score_lines(table(spark, d, "documents").select("doc_id", "lang", F.col("n_chars").alias("n")), "doc_id", "lang", "n").select("doc_id", "line")
 
 
 @query("s17_missing_outputs", "select doc_id from documents where doc_id not in (select doc_id from labels)")
@@ -257,9 +288,9 @@ def s17(spark, d):
     return manifest.missing(table(spark, d, "documents").select("doc_id"), table(spark, d, "labels"), "doc_id")
 
 
-@query("s18_countries", "select source as country from documents where doc_id % 11 = 0 group by 1 having count(*) = 1")
+@query("s18_countries", "select site as country from (select regexp_extract(url, '^https?://([^/]+)', 1) as site from pages) group by 1 having count(*) = 1")
 def s18(spark, d):
-    f = table(spark, d, "documents").filter("doc_id % 11 = 0").select(F.col("source").alias("country"), F.concat(F.lit("chips_"), F.col("doc_id").cast("string"), F.lit(".parquet")).alias("name"))
+    f = _pages(spark, d).select(F.regexp_extract("url", "^https?://([^/]+)", 1).alias("country"), F.concat(F.lit("chips_"), F.col("page_id").cast("string"), F.lit(".parquet")).alias("name"))
     return manifest.single_manifest_countries(f)
 
 
@@ -271,26 +302,25 @@ def s19(spark, d):
     return manifest.preferred_file(f, "bahia")
 
 
-@query("s20_selected_chips", "select d.doc_id, l.doc_id is not null as found from documents d left join labels l using (doc_id) where d.doc_id % 3 = 0")
+@query("s20_selected_chips", "select d.doc_id, l.doc_id is not null as found from documents d left join labels l using (doc_id)")
 def s20(spark, d):
-    have = table(spark, d, "labels").select("doc_id", F.lit(True).alias("found"))
-    return table(spark, d, "documents").filter("doc_id % 3 = 0").select("doc_id").join(have, "doc_id", "left").withColumn("found", F.coalesce("found", F.lit(False)))
+    return manifest.selected(table(spark, d, "documents").select("doc_id"), table(spark, d, "labels"), "doc_id")
 
 
 @query("s22_years_by_region", "select r_regionkey, y::int as year, 'map/' || r_name || '_' || y || '.tif' as path from region, (select unnest(range(1985, 2024)) as y) where not (r_regionkey = 0 and y < 2000)")
 def s22(spark, d):
     r = table(spark, d, "region")
-    every = r.withColumn("year", F.explode(F.sequence(F.lit(1985), F.lit(2023)))).select("r_regionkey", "year", F.concat(F.lit("map/"), "r_name", F.lit("_"), F.col("year").cast("string"), F.lit(".tif")).alias("path"))
+    every = manifest.by_year(r, 1985, 2023, "map/%s_%d.tif", "r_name").select("r_regionkey", "year", "path")
     return manifest.missing(every, every.filter("r_regionkey = 0 and year < 2000"), "path")
 
 
 @query("s28_triples_present", "select doc_id from documents where doc_id in (select doc_id from labels) and doc_id in (select vec_id from embeddings)")
 def s28(spark, d):
-    return table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels"), "doc_id", "left_semi").join(table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id")), "doc_id", "left_semi")
+    return manifest.complete(table(spark, d, "documents").select("doc_id"), [table(spark, d, "labels"), table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"))], "doc_id")
 
 
-@query("s15_packed_samples", "select vec_id, label, 128 as n, embedding[1]::double as last_half_first from embeddings")
+@query("s15_packed_samples", "select vec_id, label, (unnest(range(128)))::int as pos, unnest(list_concat(list_reverse(embedding), embedding))::double as v from embeddings")
 def s15(spark, d):
     e = table(spark, d, "embeddings")
-    b = e.select("vec_id", F.reverse("embedding").alias("b"))
-    return e.join(b, "vec_id").select("vec_id", "label", F.size(F.concat("b", "embedding")).alias("n"), F.concat("b", "embedding")[64].cast("double").alias("last_half_first"))
+    packed = manifest.pack_samples(e.select("vec_id", "label", F.col("embedding").alias("bands")), e.select("vec_id", F.reverse("embedding").alias("bands")), "vec_id")
+    return packed.select("vec_id", "label", F.posexplode("image").alias("pos", "v")).withColumn("v", F.col("v").cast("double"))

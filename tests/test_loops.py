@@ -300,3 +300,73 @@ def test_consensus_and_scores(spark):
     s = {r.chip: r for r in score.chip_scores(px).collect()}
     assert s[1].confidence_std == 5 and s[1].metric_all == 0 and math.isnan(s[2].confidence_mean_ag) and s[2].metric_all == -1 and s[2].metric_interiors == 0
     assert score.least_confident(score.chip_scores(px), 5, "chip", least_ag=0.2).count() == 1
+
+
+def test_quantiles_are_numpy_s(spark):
+    rng = random.Random(21)
+    for values in ([5.0], [1.0, 2.0], [rng.gauss(0, 1) for _ in range(997)], [float(rng.randint(0, 3)) for _ in range(500)], [rng.expovariate(1e-6) for _ in range(300)] + [1e12]):
+        df = spark.createDataFrame([(v,) for v in values] + [(None,), (math.nan,)], "v double").repartition(3)
+        at = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+        assert agreement.quantiles(df, "v", at) == pytest.approx(np.quantile(values, at).tolist(), rel=1e-12)
+        assert agreement.quantiles(df, "v", at, cells=3, few=2) == pytest.approx(np.quantile(values, at).tolist(), rel=1e-12)
+    assert agreement.quantiles(df.limit(0), "v", [0.5]) == [None]
+
+
+def test_rings_touch_is_a_shared_area_or_contact(spark):
+    rng = random.Random(22)
+
+    def star(cx, cy):
+        n = rng.randint(3, 9)
+        p = [(cx + r * math.cos(a), cy + r * math.sin(a)) for a, r in ((2 * math.pi * i / n, rng.uniform(1, 6)) for i in range(n))]
+        return [*p, p[0]]
+
+    pairs = [(star(0, 0), star(rng.uniform(-9, 9), rng.uniform(-9, 9))) for _ in range(200)]
+    box = lambda a, b, c, d: [(a, b), (c, b), (c, d), (a, d), (a, b)]
+    edge = [(box(0, 0, 2, 2), box(2, 0, 4, 2), True), (box(0, 0, 2, 2), box(2, 2, 3, 3), True), (box(0, 0, 9, 9), box(3, 3, 4, 4), True), (box(3, 3, 4, 4), box(0, 0, 9, 9), True), (box(0, 0, 1, 1), box(1.01, 0, 2, 1), False)]
+    rows = [(i, a, b) for i, (a, b) in enumerate(pairs)] + [(1000 + i, [tuple(map(float, q)) for q in a], [tuple(map(float, q)) for q in b]) for i, (a, b, _) in enumerate(edge)]
+    df = spark.createDataFrame(rows, "id int, a array<struct<x: double, y: double>>, b array<struct<x: double, y: double>>")
+    got = {r.id: r.t for r in df.select("id", G.rings_touch(F.col("a"), F.col("b")).alias("t")).collect()}
+    for i, (a, b) in enumerate(pairs):
+        assert got[i] == (G.shared_area(np.array(a), np.array(b)) > 1e-12), i
+    assert [got[1000 + i] for i in range(len(edge))] == [t for *_, t in edge]
+
+
+def test_chip_names_are_not_trimmed(spark):
+    given = {" abc": "chip_0", "abc ": "abc ", " 12a3": "chip_123", "": "chip_unknown", None: "chip_unknown", "Éa1": "Éa1", "  ": "chip_0"}
+    got = spark.createDataFrame([(k,) for k in given], "v string").select("v", X.chip_name(F.col("v")).alias("n")).collect()
+    assert {r.v: r.n for r in got} == given
+
+
+def test_uint16_action_by_target(spark):
+    rows = [("uint16", 0.0, 60000.0), ("uint16", 0.0, 300.0), ("int32", 5.0, 200.0), ("float32", 0.0, 1.0), ("float32", -1e-7, 1.0), ("int16", -5.0, 5.0)]
+    df = spark.createDataFrame(rows, "k string, a double, b double")
+    act = lambda **how: [r[0] for r in df.select(X.uint16_action(F.col("k"), F.col("a"), F.col("b"), **how)).collect()]
+    assert act() == ["skip", "skip", "cast", "cast", "scale", "clip"]
+    assert act(target=(0, 255)) == ["clip", "clip", "cast", "cast", "scale", "clip"]
+    assert act(documented=True) == ["skip", "skip", "cast", "scale", "scale", "clip"]
+
+
+def test_common_kind_is_numpy_s(spark):
+    kinds = ["uint8", "int8", "uint16", "int16", "uint32", "int32", "uint64", "int64", "float16", "float32", "float64"]
+    df = spark.createDataFrame([(a, b) for a in kinds for b in kinds], "a string, b string")
+    assert {(r.a, r.b): r.k for r in df.select("a", "b", X.common_kind(F.col("a"), F.col("b")).alias("k")).collect()} == {(a, b): np.result_type(np.dtype(a), np.dtype(b)).name for a in kinds for b in kinds}
+
+
+def test_id_set_and_window_folder(spark):
+    layer = spark.createDataFrame([("a\\b/x1.TIF",), ("x2.tiff",), ("x2.tiff",), (None,)], "FileName string")
+    assert {r.stem for r in manifest.id_set(layer).collect()} == {"x1", "x2"}
+    assert manifest.id_set(None) is None and manifest.id_set(spark.range(2).toDF("n")) is None
+    assert manifest.only_present(layer, layer.limit(0), "FileName").count() == 0 and manifest.restrict(layer, layer.limit(0), "FileName").count() == 4
+
+
+@pytest.mark.parametrize("name", sorted(metrics.NAMED))
+def test_named_losses_without_pixels_are_zero(spark, name):
+    df = spark.createDataFrame([(1, 0, 0, c, 0.5, int(c == 1), 1) for c in range(2)], "chip int, r int, c int, cls int, p double, y int, truth int")
+    got = metrics.loss(df, name, ignore=1, **({"rows": 1, "cols": 1} if name == "pixel_weighted_ce" else {})).first().loss
+    assert got == pytest.approx(0.0)
+    assert math.isfinite(metrics.loss(df, name, **({"rows": 1, "cols": 1} if name == "pixel_weighted_ce" else {})).first().loss)
+
+
+def test_unknown_loss_is_an_error(spark):
+    with pytest.raises(ValueError, match="no loss is named"):
+        metrics.loss(spark.range(1), "hinge")
