@@ -3,15 +3,18 @@
 A document is its set of hashed shingles. XORing the elements into the segments of a sketch makes two sets
 that differ in d elements differ in d segments at most, so if both fill more than d segments they agree in one that is not
 empty. The number of segments follows from the size band; sets meet in their own band and, near its lower end, in the
-band below. Only the fullest d + 1 segments of a set are sent (the same order for all sets, so
-none of the meetings is lost); sets that fill too few are sent again with finer segments.
+band below; sets that fill too few segments are sent again with finer ones.
 
-Sets that agree in a segment are candidates. Their parity sketches (1,024 bits, for long sets 16,384 as well), whose Hamming
+All segments are counted first. In the one order of rarest first (number of sets that fill a segment alike, ties by value), the
+first segment that two such sets share is among the first d + 1 of both, so each set keeps only these: a passage that many
+documents share sorts last, and forms groups only of documents that consist of little else. What nobody shares is dropped at once.
+
+Sets that agree in a kept segment are candidates. Their parity sketches (1,024 bits, for long sets 16,384 as well), whose Hamming
 distance is at most the symmetric difference, drop most false ones, and shingles are compared for the rest.
 
-Large groups are not multiplied out. Equal sets are one node. In a group of three or more, each member is first
-compared with a lead only, then in further rounds with other leads, and what these links join into one component needs no further
-comparison; pairs are formed within a group at last, and only between members of different components.
+Large groups are not multiplied out. Equal sets are one node, and groups of equal members one group. Each member is first
+compared with its group's lead only. Where a group is then still in several components, each member is compared with its few nearest sketches in
+other components, then with more of them (4, 64, 1,024, ...), until no member has more; pairs whose sketches are too far apart never leave the task.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .components import connected_components
@@ -27,8 +31,10 @@ from .linededup import NO_KEY
 from .scratch import Scratch, small_side
 
 SKETCH_BITS, WIDE_BITS, WIDE_FROM = 1024, 16384, 1024
-ROUNDS = 3
 LEVELS = 4  # finer and finer segments; at the last every element has its own
+TASK_ROWS = 50_000  # members of groups of one lead that one task compares
+BLOCK = 2048  # members of a group that one task compares with as many others
+SHARE_PAIRS, SHARE_SHINGLES = 500, 1_000_000  # pairs and shingles that one share of a group's verification holds
 
 
 def shingle_set(text: bytes | None, cache: WordHash, width: int) -> np.ndarray:
@@ -53,44 +59,54 @@ def _apart(n: int, num: int, den: int) -> int:
     return n * (den - num) // num
 
 
-def signatures(u: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Signatures of one set; any two sets with the similarity have one in common, or are equal."""
+def segments(u: np.ndarray, num: int, den: int) -> list[tuple[int, np.ndarray, int]]:
+    """Segments of one set as (tag, values, spare); any two sets with the similarity have a value in common, or are equal.
+
+    The tag names the band and the level. Of its values, in any one order, the last `spare` need not be looked at.
+    """
     n = len(u)
     most = _apart(n, num, den)
     if most < 1:
-        return u[:0]
+        return []
     out = []
     band = n.bit_length() - 1
     # a smaller partner has at least n * num / den elements
     for b in {band, (-(-n * num // den)).bit_length() - 1}:
         for level in range(LEVELS):
             if level == LEVELS - 1:
-                value, count = mix(u ^ U(0xA5A5 + b)), np.ones(n, dtype=np.int64)
+                value = mix(u ^ U(0xA5A5 + b))
             else:
                 k = (1 << b) << level
-                seg = ((mix(u ^ U(level + 1)) >> U(8)) % U(k)).astype(np.int64)
+                seg = (mix(u ^ U(level + 1)) >> U(8)) % U(k)
+                seg = seg.astype(np.uint16 if k <= 1 << 16 else np.int64)
                 order = np.argsort(seg, kind="stable")
                 seg = seg[order]
                 first = np.flatnonzero(np.r_[True, seg[1:] != seg[:-1]])
-                count = np.diff(np.r_[first, n])
                 value = mix(np.bitwise_xor.reduceat(u[order], first) ^ mix(seg[first].astype(U) + U(((b * LEVELS + level) << 40) + 1)))
+            out.append((b * LEVELS + level, value, max(0, len(value) - most - 1)))
             if len(value) > most:
-                # fullest first, ties by value: one order for all sets
-                out.append(value[np.lexsort((value, -count))[: most + 1]])
                 break
-            out.append(value)
-    return np.unique(np.concatenate(out))
+    return out
+
+
+def signatures(u: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The values of all segments."""
+    return np.unique(np.concatenate([u[:0], *[v for _, v, _ in segments(u, num, den)]]))
+
 
+HEAD = np.dtype([("key", "<i8"), ("n", "<u4"), ("spare", "<u4"), ("tag", "<u2")])
 
-def _mapper(width: int, num: int, den: int, parts: int, word_limit: int = 1_000_000):
+
+def _mapper(width: int, num: int, den: int, parts: int, word_limit: int = 600_000):
     schema = pa.schema([("kind", pa.int32()), ("d", pa.int64()), ("t", pa.int64()), ("n", pa.int64()), ("k", pa.int64()), ("sketch", pa.list_(pa.int64())), ("wide", pa.list_(pa.int64())), ("p", pa.int32()), ("sigs", pa.binary()), ("keys", pa.binary())])
 
-    def pack(sigs: list, keys: list):
-        """A row for each part: signatures (32 bits beside the part), and each set with how many of them are its."""
-        if not sigs:
+    def pack(sets: list):
+        """A row for each part: values (32 bits beside the part), and each set and tag with how many of them are its."""
+        if not sets:
             return
-        who = np.repeat(np.arange(len(sigs)), [len(s) for s in sigs])
-        s, key = np.concatenate(sigs), np.array(keys, dtype=np.int64)
+        who = np.repeat(np.arange(len(sets)), [len(v) for _, _, v, _ in sets])
+        s = np.concatenate([v for _, _, v, _ in sets])
+        key, tag, spare = (np.array([x[i] for x in sets], dtype=np.int64) for i in (0, 1, 3))
         part = ((s >> U(32)) % U(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         s, who, part = (s[order] & U(0xFFFFFFFF)).astype(np.uint32), who[order], part[order]
@@ -99,14 +115,15 @@ def _mapper(width: int, num: int, den: int, parts: int, word_limit: int = 1_000_
         for p in np.flatnonzero(np.diff(cuts)):
             mine = who[cuts[p] : cuts[p + 1]]
             first = np.flatnonzero(np.r_[True, mine[1:] != mine[:-1]])
-            head = np.empty(len(first), dtype=[("key", "<i8"), ("n", "<u4")])
-            head["key"], head["n"] = key[mine[first]], np.diff(np.r_[first, len(mine)])
+            head = np.empty(len(first), dtype=HEAD)
+            at = mine[first]
+            head["key"], head["tag"], head["spare"], head["n"] = key[at], tag[at], spare[at], np.diff(np.r_[first, len(mine)])
             for name, v in zip(schema.names, (1, None, None, None, None, None, None, int(p), s[cuts[p] : cuts[p + 1]].tobytes(), head.tobytes()), strict=True):
                 rows[name].append(v)
         yield pa.record_batch(rows, schema=schema)
 
     def run(batches):
-        cache, sigs, keys, seen, held = WordHash(), [], [], set(), 0
+        cache, sets, seen, held = WordHash(), [], set(), 0
         for batch in batches:
             rows = {name: [] for name in schema.names}
             for d, t, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
@@ -116,57 +133,97 @@ def _mapper(width: int, num: int, den: int, parts: int, word_limit: int = 1_000_
                     rows[name].append(v)
                 if len(u) and k not in seen:
                     seen.add(k)
-                    sigs.append(signatures(u, num, den))
-                    keys.append(k)
-                    held += len(sigs[-1])
+                    for tag, value, spare in segments(u, num, den):
+                        sets.append((k, tag, value, spare))
+                        held += len(value)
                 if held > word_limit:
-                    yield from pack(sigs, keys)
-                    sigs, keys, seen, held = [], [], set(), 0
+                    yield from pack(sets)
+                    sets, seen, held = [], set(), 0
             yield pa.record_batch(rows, schema=schema)
-        yield from pack(sigs, keys)
+        yield from pack(sets)
 
     return run
 
 
-def _grouper():
-    """Signatures of one part to candidates: star links (gid null) of all groups, and members of groups of three or more."""
-    schema = pa.schema([("gid", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+def _counter():
+    """Values of one part to those that two or more sets have: (sig, k, tag, spare, df)."""
+    schema = pa.schema([("sig", pa.int64()), ("k", pa.int64()), ("tag", pa.int32()), ("spare", pa.int32()), ("df", pa.int32())])
 
     def run(table: pa.Table) -> pa.Table:
         sigs = np.concatenate([np.frombuffer(x.as_py(), dtype=np.uint32) for x in table.column("sigs")])
-        heads = np.concatenate([np.frombuffer(x.as_py(), dtype=[("key", "<i8"), ("n", "<u4")]) for x in table.column("keys")])
-        keys = np.repeat(heads["key"], heads["n"])
-        order = np.lexsort((keys, sigs))
-        sigs, keys = sigs[order], keys[order]
-        new = np.r_[True, (sigs[1:] != sigs[:-1]) | (keys[1:] != keys[:-1])]
-        sigs, keys = sigs[new], keys[new]
-        # the lead of a group is its least member by one of two hashes, so a family of sets has two leads at least
-        draw = mix(keys.view(U) ^ mix((sigs & np.uint32(1)).astype(U) + U(77)))
-        order = np.lexsort((draw, sigs))
-        sigs, keys = sigs[order], keys[order]
-        first = np.flatnonzero(np.r_[True, sigs[1:] != sigs[:-1]])
-        size = np.diff(np.r_[first, len(sigs)])
-        lead = np.repeat(keys[first], size)
-        star = lead != keys
-        pairs = np.unique(np.stack([lead[star], keys[star]], axis=1), axis=0)
-        # groups of three or more, one for each different set of members
-        gid = np.zeros(len(first), dtype=U)
-        if len(keys):
-            gid = np.add.reduceat(mix(keys.view(U)), first) + mix(size.astype(U))
-        big = size >= 3
-        _, once = np.unique(gid[big], return_index=True)
-        groups = np.flatnonzero(big)[once]
-        member = np.concatenate([np.arange(first[g], first[g] + size[g]) for g in groups]) if len(groups) else np.zeros(0, dtype=np.int64)
-        ids = np.repeat(gid[groups].view(np.int64), size[groups]) if len(groups) else np.zeros(0, dtype=np.int64)
-        none = pa.nulls(len(pairs), pa.int64())
-        return pa.table(
-            {
-                "gid": pa.concat_arrays([none, pa.array(ids, pa.int64())]),
-                "a": pa.concat_arrays([pa.array(np.ascontiguousarray(pairs[:, 0]), pa.int64()), pa.array(keys[member], pa.int64())]),
-                "b": pa.concat_arrays([pa.array(np.ascontiguousarray(pairs[:, 1]), pa.int64()), pa.nulls(len(member), pa.int64())]),
-            },
-            schema=schema,
-        )
+        heads = np.concatenate([np.frombuffer(x.as_py(), dtype=HEAD) for x in table.column("keys")])
+        head = np.repeat(np.arange(len(heads), dtype=np.int64), heads["n"])
+        order = np.argsort(sigs, kind="stable")
+        sigs, head = sigs[order], head[order]
+        alike = np.flatnonzero(np.r_[sigs[1:] == sigs[:-1], False] | np.r_[False, sigs[1:] == sigs[:-1]])
+        sigs, head = sigs[alike], heads[head[alike]]
+        order = np.lexsort((head["tag"], head["key"], sigs))
+        sigs, head = sigs[order], head[order]
+        # a set that several packs have sent counts once
+        new = np.r_[True, (sigs[1:] != sigs[:-1]) | (head["key"][1:] != head["key"][:-1]) | (head["tag"][1:] != head["tag"][:-1])] if len(sigs) else np.zeros(0, dtype=bool)
+        sigs, head = sigs[new], head[new]
+        first = np.flatnonzero(np.r_[True, sigs[1:] != sigs[:-1]]) if len(sigs) else np.zeros(0, dtype=np.int64)
+        df = np.repeat(np.diff(np.r_[first, len(sigs)]), np.diff(np.r_[first, len(sigs)]))
+        sigs, head, df = sigs[df > 1], head[df > 1], df[df > 1]
+        cols = [(np.int64(table.column("p")[0].as_py()) << 32) | sigs.astype(np.int64), head["key"], head["tag"], head["spare"], df]
+        return pa.table([pa.array(np.ascontiguousarray(c), f.type, safe=False) for c, f in zip(cols, schema, strict=True)], schema=schema)
+
+    return run
+
+
+def _nearest(num: int, den: int, most: int):
+    """Members of open groups (gid, i, j, side, k, component, n, sk, wide) to pairs that their sketches allow: for each member its `most` nearest
+    ones in other components, over all groups of the task. A row of a null pair tells that there are more."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("g", pa.int64()), ("w", pa.int64())])
+
+    def words(values: pa.Array) -> np.ndarray:
+        return values.to_numpy(zero_copy_only=False).view(U)
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("gid", "ascending"), ("i", "ascending"), ("j", "ascending")])
+        gid, i, j, side, k, comp, n = (table.column(c).to_numpy() for c in ("gid", "i", "j", "side", "k", "component", "n"))
+        sk, wide = words(table.column("sk").combine_chunks().flatten()).reshape(len(k), -1), table.column("wide").combine_chunks()
+        first = np.flatnonzero(np.r_[True, (gid[1:] != gid[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
+        end = np.repeat(np.r_[first[1:], len(k)], np.diff(np.r_[first, len(k)]))
+        count = end - np.arange(len(k)) - 1
+        upto = np.cumsum(count)
+        held, more, at = [np.zeros((5, 0), dtype=np.int64)], False, 0
+
+        def compact() -> None:
+            """Each pair once at either end, and of each end's partners the nearest `most`."""
+            nonlocal held, more
+            every = np.concatenate(held, axis=1)
+            end, far, other = every[0], every[1], every[2]
+            every = every[:, np.lexsort((other, far, end))]
+            every = every[:, np.r_[True, (every[0][1:] != every[0][:-1]) | (every[2][1:] != every[2][:-1])]] if every.shape[1] else every
+            first = np.flatnonzero(np.r_[True, every[0][1:] != every[0][:-1]]) if every.shape[1] else np.zeros(0, dtype=np.int64)
+            rank = np.arange(every.shape[1]) - np.repeat(first, np.diff(np.r_[first, every.shape[1]]))
+            more |= bool((rank >= most).any())
+            held = [every[:, rank < most]]
+
+        while at < len(k):
+            stop = max(at + 1, int(np.searchsorted(upto, upto[at] - count[at] + 250_000, side="right")))
+            x = np.repeat(np.arange(at, stop), count[at:stop])
+            y = np.arange(len(x)) - np.repeat(upto[at:stop] - count[at:stop] - (upto[at] - count[at]), count[at:stop]) + x + 1
+            ok = (comp[x] != comp[y]) & (k[x] != k[y]) & ((i[x] == j[x]) | (side[x] != side[y])) & (n[x] * den >= n[y] * num) & (n[y] * den >= n[x] * num)
+            x, y = x[ok], y[ok]
+            apart = np.bitwise_count(sk[x] ^ sk[y]).sum(axis=1, dtype=np.int64)
+            ok = apart * (den + num) <= (n[x] + n[y]) * (den - num)
+            x, y, apart = x[ok], y[ok], apart[ok]
+            long = np.flatnonzero((n[x] >= WIDE_FROM) & (n[y] >= WIDE_FROM))
+            bad = [p for p in long if np.bitwise_count(words(wide[int(x[p])].values) ^ words(wide[int(y[p])].values)).sum() * (den + num) > (n[x[p]] + n[y[p]]) * (den - num)]
+            x, y, apart = np.delete(x, bad), np.delete(y, bad), np.delete(apart, bad)
+            w = n[x] + n[y]
+            held += [np.stack([k[x], apart, k[y], gid[x], w]), np.stack([k[y], apart, k[x], gid[x], w])]
+            if sum(h.shape[1] for h in held) > 1_000_000:
+                compact()
+            at = stop
+        compact()
+        end, _, other, g, w = held[0]
+        a, b = np.minimum(end, other), np.maximum(end, other)
+        _, once = np.unique(np.stack([a, b], axis=1), axis=0, return_index=True)
+        pairs = pa.table([pa.array(np.ascontiguousarray(c[once]), pa.int64()) for c in (a, b, g, w)], schema=schema)
+        return pa.concat_tables([pairs, pa.table([[None]] * 4, schema=schema)]) if more else pairs
 
     return run
 
@@ -219,10 +276,10 @@ def _may_link(num: int, den: int) -> Column:
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, num: int = 3, den: int = 4, parts: int | None = None) -> DataFrame:
-    """One row for each row of docs: doc_id, n_shingles, component_id, and d and t, its key and a hash of its text as in linededup.
+    """One row for each row of docs: doc_id, n_shingles, component_id, group, and d and t, its key and a hash of its text as in linededup.
 
     Documents link when the Jaccard similarity of their sets of `width`-word shingles (A-Z lower-cased) is num / den or
-    more; component_id is the smallest doc_id that links reach.
+    more; component_id is the smallest doc_id that links reach. group names the component also where keys repeat; it is null for an empty set.
 
     Edge cases: with fewer words the whole sequence is the one shingle; without words or text the set is empty and links
     with nothing; a null key stands last and is null again in the result; each row gets a result of its own, repeated rows equal ones; other columns are ignored; an empty
@@ -239,25 +296,36 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     mapped = "kind int, d bigint, t bigint, n bigint, k bigint, sketch array<bigint>, wide array<bigint>, p int, sigs binary, keys binary"
     out = scratch.write(body.mapInArrow(_mapper(width, num, den, parts), mapped), "mapped", by="kind")
     base = out.filter("kind = 0").select("d", "t", "n", "k", "sketch", "wide")
-    grouped = out.filter("kind = 1").select("p", "sigs", "keys").groupBy("p").applyInArrow(_grouper(), "gid bigint, a bigint, b bigint")
-    grouped = scratch.write(grouped.withColumn("star", F.col("gid").isNull()), "grouped", by="star")
+    shared = out.filter("kind = 1").select("p", "sigs", "keys").groupBy("p").applyInArrow(_counter(), "sig bigint, k bigint, tag int, spare int, df int")
+    # rarest first: the `spare` most frequent segments of a set are left out; those that no other set has come before all of these
+    last = W.partitionBy("k", "tag").orderBy(F.col("df").desc(), F.col("sig").desc())
+    prefix = shared.withColumn("r", F.row_number().over(last)).filter("r > spare").select("sig", "k")
+    prefix = scratch.write(prefix, "prefix")
     scratch.drop("mapped/kind=1")
-    stars = grouped.filter("star").select("a", "b").distinct()
-    members = grouped.filter("not star").select("gid", F.col("a").alias("k")).distinct()
+    # groups of equal members are one; its lead is its least member by one of two hashes, so a family of sets has two leads at least
+    draw = F.struct(F.xxhash64(F.pmod("sig", F.lit(2)), "k").alias("h"), "k")
+    each = prefix.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("k")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "k")).alias("y"), F.min(draw).alias("lead"))
+    groups = each.filter("m > 1").groupBy("m", "x", "y").agg(F.min(F.struct("sig", "lead")).alias("g")).select("g.sig", F.col("g.lead.k").alias("lead"))
+    members = scratch.write(prefix.join(groups, "sig").select(F.col("sig").alias("gid"), "lead", "k"), "members")
+    scratch.drop("prefix")
+    stars = members.filter("k <> lead").select(F.col("lead").alias("a"), F.col("k").alias("b")).distinct()
 
     nodes = base.filter("n > 0").groupBy("k").agg(F.min(F.struct("d", "t")).alias("first"), F.max("n").alias("n"), F.first("sketch").alias("sk"), F.first("wide").alias("wide"))
     nodes = scratch.write(nodes.select("k", "first.d", "first.t", "n", "sk", "wide"), "nodes")
 
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        """pairs: a, b, g (a group that both are in), na, ska, wa, nb, skb, wb. The pairs that link.
+    def verified(near: DataFrame, name: str) -> DataFrame:
+        """near: a, b, g (a group that both are in), w (shingles of both). The pairs that link.
 
-        Pairs of one group go to one task, in shares of at most about 20,000, and each set that a task needs goes there once.
+        Pairs of one group are verified together, so that a set goes to few tasks; a group of more pairs or shingles than a share
+        holds is split, and the shares are dealt to as many tasks as all of them need.
         """
-        near = pairs.filter(_may_link(num, den)).groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("g").alias("g"))
-        near = scratch.write(near, f"{name}-near")
-        load = near.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n > 20000").select("g", F.ceil(F.col("n") / 20_000).alias("shares"))
+        near = scratch.write(near.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("g").alias("g"), F.max("w").alias("w")), f"{name}-near")
+        load = near.groupBy("g").agg(F.greatest(F.ceil(F.count(F.lit(1)) / SHARE_PAIRS), F.ceil(F.sum("w") / SHARE_SHINGLES)).alias("shares")).filter("shares > 1")
         load = scratch.write(load, f"{name}-load")
-        tasks = near.join(small_side(load), "g", "left").select("a", "b", F.xxhash64("g", F.pmod(F.xxhash64("b"), F.coalesce("shares", F.lit(1)))).alias("task"))
+        n, w = near.agg(F.count(F.lit(1)), F.coalesce(F.sum("w"), F.lit(0))).first()
+        buckets = max(256, 2 * n // SHARE_PAIRS, 2 * w // SHARE_SHINGLES)
+        share = F.pmod(F.xxhash64("a", "b"), F.coalesce("shares", F.lit(1).cast("long")))
+        tasks = near.join(small_side(load), "g", "left").select("a", "b", F.pmod(F.xxhash64("g", share), F.lit(buckets)).alias("task"))
         ends = tasks.select("task", F.explode(F.array("a", "b")).alias("k")).distinct()
         ends = scratch.write(ends, f"{name}-ends")
         texts = scratch.write(ends.select("k").distinct().join(nodes.select("k", "d", "t"), "k"), f"{name}-texts")
@@ -279,36 +347,37 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         joined = comp.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)
         return scratch.write(connected_components(joined, scratch, f"cc-{name}"), f"comp-{name}")
 
-    links = verified(with_ends(stars).withColumn("g", F.col("a")), "star")
-    comp = scratch.write(connected_components(links, scratch, "cc-star"), "comp-star")
-    turn, before = 0, None
+    near = with_ends(stars).filter(_may_link(num, den)).select("a", "b", F.col("a").alias("g"), (F.col("na") + F.col("nb")).alias("w"))
+    comp = scratch.write(connected_components(verified(near, "star"), scratch, "cc-star"), "comp-star")
+    turn, most = 0, 4
     while True:
         # members of one group in different components: these pairs are still open
-        placed = members.join(comp.select(F.col("node").alias("k"), "component"), "k", "left").withColumn("component", F.coalesce("component", "k"))
-        parts_of = placed.groupBy("gid", "component").agg(F.count(F.lit(1)).alias("n"), F.min(F.xxhash64(F.lit(turn), "k")).alias("draw"))
-        mixed = parts_of.groupBy("gid").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.col("n")).alias("same"), F.min("draw").alias("draw"), F.count(F.lit(1)).alias("c")).filter("c > 1")
-        mixed = scratch.write(mixed, f"mixed{turn}")
-        rows, pairs_left = mixed.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2), F.lit(0.0))).first()
-        open_members = scratch.write(placed.join(mixed.select("gid", "draw"), "gid").join(nodes.select("k", "n", "sk", "wide"), "k").select("gid", "k", "component", "n", "sk", "wide", "draw"), f"open{turn}")
-        x = open_members.select(F.col("gid").alias("ga"), F.col("k").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("sk").alias("ska"), F.col("wide").alias("wa"), "draw")
-        y = open_members.select(F.col("gid").alias("gb"), F.col("k").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("sk").alias("skb"), F.col("wide").alias("wb"))
-        # while pairs outnumber members, another lead in each group joins what it can; then all open pairs are compared
-        last = pairs_left <= 4 * rows or turn >= ROUNDS or (turn > 1 and pairs_left > 0.7 * before)
-        if last:
-            lead, apart = x, F.col("ca") < F.col("cb")
-        else:
-            lead, apart = x.filter(F.xxhash64(F.lit(turn), "a") == F.col("draw")), F.col("ca") != F.col("cb")
-        more = lead.join(y, (F.col("ga") == F.col("gb")) & apart & _may_link(num, den)).select("a", "b", F.col("ga").alias("g"), "na", "ska", "wa", "nb", "skb", "wb")
-        comp = grown(comp, verified(more, f"more{turn}"), f"more{turn}")
-        scratch.drop(f"open{turn}")
-        if last:
+        placed = members.join(comp.select(F.col("node").alias("k"), "component"), "k", "left").select("gid", "lead", "k", F.coalesce("component", "k").alias("component"))
+        mixed = placed.groupBy("gid", "lead").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+        mixed = scratch.write(mixed.select("gid", "lead", F.ceil(F.col("m") / BLOCK).alias("blocks"), "m"), f"mixed{turn}")
+        # groups of one lead overlap, so they go to one task, or to as many as their members fill
+        load = mixed.groupBy("lead").agg(F.ceil(F.sum(F.col("m") * F.col("blocks")) / TASK_ROWS).alias("shares"))
+        mixed = mixed.join(load, "lead").drop("lead")
+        rows = mixed.agg(F.coalesce(F.sum(F.col("m") * F.col("blocks")), F.lit(0))).first()[0]
+        # a group of more than BLOCK members is compared block by block
+        mine = F.pmod(F.xxhash64(F.lit(turn), "k"), F.col("blocks"))
+        opened = placed.join(mixed, "gid").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        home = F.xxhash64("lead", F.pmod(F.xxhash64("gid", F.least("mine", "other"), F.greatest("mine", "other")), F.col("shares")))
+        opened = opened.select(F.pmod(home, F.lit(max(256, 2 * rows // TASK_ROWS))).alias("task"), "gid", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).cast("int").alias("side"), "k", "component")
+        opened = opened.join(nodes.select("k", "n", "sk", "wide"), "k")
+        found = opened.groupBy("task").applyInArrow(_nearest(num, den, most), "a bigint, b bigint, g bigint, w bigint")
+        found = scratch.write(found, f"found{turn}")
+        links = verified(found.filter("a is not null"), f"more{turn}")
+        if not links.isEmpty():
+            comp = grown(comp, links, f"more{turn}")
+        if found.filter("a is null").isEmpty():
             break
-        turn, before = turn + 1, pairs_left
+        turn, most = turn + 1, most * 16
     final = comp
     classes = nodes.select("k", "d").join(final.select(F.col("node").alias("k"), "component"), "k", "left").withColumn("component", F.coalesce("component", "k"))
     smallest = classes.groupBy("component").agg(F.min("d").alias("smallest"))
-    classes = classes.join(smallest, "component").select(F.col("k").alias("ck"), "smallest")
+    classes = classes.join(smallest, "component").select(F.col("k").alias("ck"), "smallest", "component")
     docs_k = base.select("d", "t", "n", F.when(F.col("n") > 0, F.col("k")).alias("k"))
-    done = docs_k.join(classes, F.col("k") == F.col("ck"), "left").select("d", "t", "n", F.coalesce("smallest", "d").alias("c"))
+    done = docs_k.join(classes, F.col("k") == F.col("ck"), "left").select("d", "t", "n", F.coalesce("smallest", "d").alias("c"), "component")
     real = lambda c: F.when(F.col(c) != NO_KEY, F.col(c))
-    return done.select(real("d").alias("doc_id"), F.col("n").alias("n_shingles"), real("c").alias("component_id"), "d", "t")
+    return done.select(real("d").alias("doc_id"), F.col("n").alias("n_shingles"), real("c").alias("component_id"), F.col("component").alias("group"), "d", "t")
