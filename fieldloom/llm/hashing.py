@@ -11,7 +11,7 @@ U = np.uint64
 class WordHash(dict):
     """Word to 64-bit hash. It forgets everything when it holds `limit` words, so memory stays bounded."""
 
-    limit = 1 << 20
+    limit = 1 << 19
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:

@@ -68,16 +68,19 @@ def _mapper(width: int, parts: int, limit: int = 1_000_000):
         lens = [len(h) for h in hs]
         d, t = np.repeat(np.array(ds, dtype=np.int64), lens), np.repeat(np.array(ts, dtype=np.int64), lens)
         h, pos = np.concatenate(hs), np.concatenate([np.arange(n, dtype=np.uint32) for n in lens])
-        order = np.lexsort((d, h))
-        h, d, t, pos = h[order], d[order], t[order], pos[order]
-        first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-        low = np.repeat(d[first], np.diff(np.r_[first, len(h)]))
+        order = np.argsort(h)
+        sorted_h = h[order]
+        first = np.flatnonzero(np.r_[True, sorted_h[1:] != sorted_h[:-1]])
+        low = np.empty_like(d)
+        low[order] = np.repeat(np.minimum.reduceat(d[order], first), np.diff(np.r_[first, len(h)]))
         rows = {name: [] for name in schema.names}
         # within the pack the smallest document is owner of the others' windows; only its own are compared with other packs
         later = d > low
         # the hits go by text, so those of a hot window are spread
         part = np.where(later, t % parts, ((h >> U(32)) % U(parts)).astype(np.int64))
-        order = np.lexsort((pos, t, d, later, part))
+        # rows stand by document and position, and a stable sort by part leaves them so
+        place = 2 * part + later
+        order = np.argsort(place.astype(np.uint16) if parts < 1 << 15 else place, kind="stable")
         h, d, t, pos, low, later, part = h[order], d[order], t[order], pos[order], low[order], later[order], part[order]
         cuts = np.searchsorted(part, np.arange(parts + 1))
         for p in np.flatnonzero(np.diff(cuts)):
@@ -117,10 +120,11 @@ def _router():
             return np.repeat(heads["d"], heads["n"]), np.repeat(heads["t"], heads["n"])
 
         sig, pos, (d, t) = flat("sigs", lambda x: np.frombuffer(x, dtype=SIG)), flat("pos", _unpack_pos), spread("heads")
-        order = np.lexsort((d, sig))
-        sig, pos, d, t = sig[order], pos[order], d[order], t[order]
+        order = np.argsort(sig)
+        sig = sig[order]
         first = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
-        low = np.repeat(d[first], np.diff(np.r_[first, len(sig)]))
+        low = np.empty_like(d)
+        low[order] = np.repeat(np.minimum.reduceat(d[order], first), np.diff(np.r_[first, len(sig)])) if len(sig) else sig.astype(np.int64)
         later = d > low
         d0, t0 = spread("hit_heads")
         pos0, low0 = flat("hit_pos", _unpack_pos), flat("hit_owner", lambda x: np.frombuffer(x, dtype="<i8"))
@@ -279,15 +283,15 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
 
     # a shard that many documents ask is searched by several tasks
     load = owners.select("d", "n").mapInArrow(lambda b: _shard_column(b, shards), "d bigint, shard bigint, n bigint")
-    load = scratch.write(load.groupBy("shard").agg(F.ceil(F.sum("n") / F.lit(2_000_000)).alias("salts")), "load")
+    load = small_side(scratch.write(load.groupBy("shard").agg(F.ceil(F.sum("n") / F.lit(2_000_000)).alias("salts")), "load"))
     who = scratch.write(hits.select("d", "t").distinct(), "who")
     asked = hits.groupBy("d", "t").agg(F.collect_list("hits").alias("hits"))
     texts = body.join(small_side(who), ["d", "t"])
     texts = texts.dropDuplicates(["d", "t"]).join(asked, ["d", "t"]).select("d", "t", "text", "hits")
     runs = texts.mapInArrow(_query_runs(width, shards), "shard bigint, d bigint, t bigint, start bigint, run binary")
-    runs = runs.join(F.broadcast(load), "shard").withColumn("salt", F.pmod(F.xxhash64("d"), F.col("salts")))
+    runs = runs.join(load, "shard").withColumn("salt", F.pmod(F.xxhash64("d"), F.col("salts")))
     left = runs.select("shard", "salt", "d", "t", "start", "run").groupBy("shard", "salt")
-    right = index.join(F.broadcast(load), "shard").select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), "index").groupBy("shard", "salt")
+    right = index.join(load, "shard").select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), "index").groupBy("shard", "salt")
     found = scratch.write(left.cogroup(right).applyInArrow(_searcher(width), "d bigint, t bigint, starts binary"), "found")
     scratch.drop("index")
     scratch.drop("hits")
