@@ -1,24 +1,27 @@
 """Quality rules by tokeniser fertility, after plain base rules.
 
-A public vocabulary cuts each word into pieces. Three figures of a document follow: characters per token, the share of
-byte-fallback tokens, and the entropy of its tokens (with the Miller-Madow correction for short texts). Text that the
+Public vocabularies cut each word into pieces. Three figures of a document follow for each of them: characters per token, the share of
+byte-fallback tokens (of a byte-level vocabulary: of single bytes beyond ASCII), and the entropy of its tokens (with the Miller-Madow correction for short texts). Text that the
 base rules pass is held against bands around the median of its language and length class, some robust deviations
-wide, over all documents of the corpus. Where no language is given the script of its letters takes
+wide, over all documents of the corpus, for each vocabulary. Where no language is given the script of its letters takes
 its place.
 """
 
 from __future__ import annotations
 
+import base64
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import DataFrame
+import tiktoken
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import WordHash, window_hashes, word_hashes
-from .scratch import Scratch
+from .scratch import Scratch, small_side
 
 SPACE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -26,38 +29,72 @@ SYMBOLS = b"#*$%&|<>"
 SCRIPTS = [(0x41, "latin"), (0x370, "greek"), (0x400, "cyrillic"), (0x590, "hebrew"), (0x600, "arabic"), (0x900, "indic"), (0xE00, "thai"), (0x1100, "hangul"), (0x1E00, "latin"), (0x3040, "kana"), (0x3400, "han"), (0xAC00, "hangul"), (0xD7B0, "other")]
 
 
+# How byte-level vocabularies part a text before they merge bytes, a fixed value.
+PARTS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+# Longer words are cut piece by piece of so many characters: merging takes the square of a word's length.
+LONG = 1000
+
+
+def _spans(word: str) -> list[str]:
+    return [word[i : i + LONG] for i in range(0, len(word), LONG)]
+
+
+def _piece_model(path: str):
+    """Pieces of a word by a sentencepiece model, and which ids stand for single bytes."""
+    proc = sentencepiece.SentencePieceProcessor(model_file=path)
+    return (lambda words: [[i for x in proc.encode(_spans(w), num_threads=1) for i in x] if len(w) > LONG else ids for w, ids in zip(words, proc.encode([w[:LONG] for w in words], num_threads=1), strict=True)]), np.array([proc.is_byte(i) for i in range(proc.get_piece_size())])
+
+
+def _rank_file(path: str):
+    """Pieces of a word by a byte-level vocabulary of ranks, each word after a space."""
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
+    proc = tiktoken.Encoding("ranks", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={})
+    byte = np.zeros(max(ranks.values()) + 1, dtype=bool)
+    byte[[r for t, r in ranks.items() if len(t) == 1 and t[0] > 0x7F]] = True
+    return (lambda words: [[i for x in _spans(" " + w) for i in proc.encode_ordinary(x)] for w in words]), byte
+
+
 class Pieces:
-    """Pieces of words in one flat array; a word is cut once. Starts over when it holds `limit` words."""
+    """Pieces of words by several vocabularies, each in one flat array; a word is cut once. Starts over when it holds `limit` words."""
 
-    limit = 400_000
+    limit = 250_000
 
-    def __init__(self, model: str):
-        self.proc = sentencepiece.SentencePieceProcessor(model_file=model)
-        self.byte = np.array([self.proc.is_byte(i) for i in range(self.proc.get_piece_size())])
+    def __init__(self, models: list[str]):
+        self.cut = [_rank_file(m) if m.endswith(".tiktoken") else _piece_model(m) for m in models]
         self._reset()
 
     def _reset(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.flat, self.bounds, self.used = np.zeros(1 << 16, dtype=np.int32), np.zeros(1 << 16, dtype=np.int64), 0
+        self.flat = [np.zeros(1 << 16, dtype=np.int32) for _ in self.cut]
+        self.bounds = [np.zeros(1 << 16, dtype=np.int64) for _ in self.cut]
 
     @staticmethod
     def _room(a: np.ndarray, n: int) -> np.ndarray:
         return a if n <= len(a) else np.concatenate([a, np.zeros(max(len(a), n - len(a)), dtype=a.dtype)])
 
-    def of(self, words: list[bytes]) -> np.ndarray:
+    def of(self, words: list[bytes]) -> list[np.ndarray]:
+        """The ids of the words' pieces in order, for each vocabulary."""
         if len(self.index) > self.limit:
             self._reset()
         new = [w for w in dict.fromkeys(words) if w not in self.index]
         if new:
-            for w, ids in zip(new, self.proc.encode([w.decode("utf-8", "replace") for w in new], num_threads=1), strict=True):
-                k = self.index[w] = len(self.index)
-                self.flat, self.bounds = self._room(self.flat, self.used + len(ids)), self._room(self.bounds, k + 2)
-                self.flat[self.used : self.used + len(ids)] = ids
-                self.used += len(ids)
-                self.bounds[k + 1] = self.used
+            strings, first = [w.decode("utf-8", "replace") for w in new], len(self.index)
+            self.index.update(zip(new, range(first, first + len(new)), strict=True))
+            for v, (cut, _) in enumerate(self.cut):
+                got = cut(strings)
+                ends = self.bounds[v][first] + np.cumsum([len(x) for x in got])
+                self.flat[v], self.bounds[v] = self._room(self.flat[v], int(ends[-1])), self._room(self.bounds[v], first + len(new) + 1)
+                self.flat[v][self.bounds[v][first] : ends[-1]] = [i for x in got for i in x]
+                self.bounds[v][first + 1 : first + len(new) + 1] = ends
         at = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
-        lo, n = self.bounds[at], self.bounds[at + 1] - self.bounds[at]
-        return self.flat[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        out = []
+        for flat, bounds in zip(self.flat, self.bounds, strict=True):
+            lo, n = bounds[at], bounds[at + 1] - bounds[at]
+            out.append(flat[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())])
+        return out
 
 
 def _script(text: str) -> str:
@@ -90,103 +127,105 @@ def _dup_lines(text: bytes) -> int:
     return found
 
 
-FIGURES = pa.schema(
-    [(n, pa.int64()) for n in ("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_pieces")] + [("chars_per_token", pa.float64()), ("byte_share", pa.float64()), ("entropy", pa.float64()), ("script", pa.string())]
-)
+BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+KINDS = ("chars_per_token", "byte_share", "entropy")
+
+
+def names(models: list[str]) -> list[str]:
+    """The figures' columns: plain for the first vocabulary, numbered from 2 for the others."""
+    return [k if i == 0 else f"{k}_{i + 1}" for i in range(len(models)) for k in KINDS]
 
 
 def figures(text: bytes | None, pieces: Pieces, cache: WordHash) -> tuple:
     text = text or b""
     words = text.split()
     if not words:
-        return 0, 0, len(text) - len(text.translate(None, SYMBOLS)), 0, 0, 0, 0.0, 0.0, 0.0, "none"
+        return 0, 0, len(text) - len(text.translate(None, SYMBOLS)), 0, 0, *[0.0] * 3 * len(pieces.cut), "none"
     string = text.decode("utf-8", "replace")
     word_chars = len(string) - (len(text) - len(text.translate(None, SPACE)))
-    ids = pieces.of(words)
-    n = len(ids)
-    entropy = 0.0
-    if n:
-        counts = np.unique(ids, return_counts=True)[1]
-        p = counts / n
-        entropy = float(-(p * np.log2(p)).sum() + (len(counts) - 1) / (2 * n * math.log(2)))
-    return (
-        len(words), word_chars, len(text) - len(text.translate(None, SYMBOLS)), _dup_lines(text), _repeat_words(word_hashes(text, cache, False)), n,
-        word_chars / max(n, 1), float(pieces.byte[ids].mean()) if n else 0.0, entropy, _script(string),
-    )
-
-
-def _measure(model: str):
+    found = []
+    for ids, (_, byte) in zip(pieces.of(words), pieces.cut, strict=True):
+        n, entropy = len(ids), 0.0
+        if n:
+            counts = np.unique(ids, return_counts=True)[1]
+            p = counts / n
+            entropy = float(-(p * np.log2(p)).sum() + (len(counts) - 1) / (2 * n * math.log(2)))
+        found += [word_chars / max(n, 1), float(byte[ids].mean()) if n else 0.0, entropy]
+    return len(words), word_chars, len(text) - len(text.translate(None, SYMBOLS)), _dup_lines(text), _repeat_words(word_hashes(text, cache, False)), *found, _script(string)
+
+
+def _measure(models: list[str]):
+    schema = pa.schema([(n, pa.int64()) for n in BASE] + [(n, pa.float64()) for n in names(models)] + [("script", pa.string())])
+
     def run(batches):
-        pieces, cache = Pieces(model), WordHash()
+        pieces, cache = Pieces(models), WordHash()
         for batch in batches:
-            rows = [(r, *figures(text.as_py(), pieces, cache)) for r, text in zip(batch.column(0).to_pylist(), batch.column(2), strict=True)]
-            cols = list(zip(*rows, strict=True)) if rows else [[] for _ in FIGURES]
-            yield pa.record_batch([*[pa.array(c, f.type) for c, f in zip(cols, FIGURES, strict=True)], batch.column(1), *batch.columns[3:]], names=[*FIGURES.names, "lang", *batch.schema.names[3:]])
+            rows = [figures(text.as_py(), pieces, cache) for text in batch.column(1)]
+            cols = list(zip(*rows, strict=True)) if rows else [[] for _ in schema]
+            yield pa.record_batch([*[pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], batch.column(0), *batch.columns[2:]], names=[*schema.names, "lang", *batch.schema.names[2:]])
 
     return run
 
 
-def measure(docs: DataFrame, model: str, text: str, lang: str, carry: list[str]) -> DataFrame:
-    """Base figures and the three figures of the method for each row, and the `carry` columns (named c0, c1, ...)."""
-    given = docs.select(F.lit(0).cast("long").alias("row"), F.col(lang).cast("string").alias("lang"), F.col(text).cast("binary").alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)])
+def measure(docs: DataFrame, models: list[str], text: str, lang: str, carry: list[str]) -> DataFrame:
+    """Base figures and those of the method for each row, and the `carry` columns (named c0, c1, ...)."""
+    given = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("binary").alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)])
     kinds = {f.name: f.dataType for f in given.schema.fields}
-    longs = "row bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, n_pieces bigint"
-    schema = f"{longs}, chars_per_token double, byte_share double, entropy double, script string, lang string"
-    schema += "".join(f", c{i} {kinds[f'c{i}'].simpleString()}" for i in range(len(carry)))
-    got = given.mapInArrow(_measure(model), schema)
+    schema = ", ".join([f"{n} bigint" for n in BASE] + [f"{n} double" for n in names(models)] + ["script string", "lang string"] + [f"c{i} {kinds[f'c{i}'].simpleString()}" for i in range(len(carry))])
+    got = given.mapInArrow(_measure(models), schema)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     group = F.coalesce("lang", F.concat(F.lit("script:"), F.col("script")))
-    return got.withColumn("base_failed", failed).withColumn("group", group).withColumn("length_class", F.floor(F.log2(F.greatest("n_words", F.lit(1)))).cast("int")).drop("row", "lang")
+    return got.withColumn("base_failed", failed).withColumn("group", group).withColumn("length_class", F.floor(F.log2(F.greatest("n_words", F.lit(1)))).cast("int")).drop("lang")
 
 
-NAMES = ["chars_per_token", "byte_share", "entropy"]
+def _band(stats: DataFrame, by: list[str], least: int, figure: list[str], scratch: Scratch, name: str) -> DataFrame:
+    """Median and robust deviation (1.4826 times the median distance from it) of the figures for each group of `least` rows or more.
 
-
-def _band(stats: DataFrame, by: list[str], least: int, wide: bool = False) -> DataFrame:
-    """Median and robust deviation (1.4826 times the median distance from it) of the three figures for each group. wide: there are few groups."""
-    names = NAMES
-    mid = stats.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(c, 0.5, 10_000).alias(f"{c}_mid") for c in names]).filter(F.col("n") >= least)
-    dev = stats.join(F.broadcast(mid) if wide else mid, by).groupBy(*by, *[f"{c}_mid" for c in names]).agg(*[(F.percentile_approx(F.abs(F.col(c) - F.col(f"{c}_mid")), 0.5, 10_000) * 1.4826).alias(f"{c}_dev") for c in names])
-    return dev
+    The medians are written first: a row for each group, which documents then look up without being shuffled by their group.
+    """
+    mid = stats.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[F.percentile_approx(c, 0.5, 10_000).alias(f"{c}_mid") for c in figure]).filter(F.col("n") >= least).drop("n")
+    mid = small_side(scratch.write(mid, f"{name}-mid"))
+    away = stats.join(mid, by).groupBy(*by, *[f"{c}_mid" for c in figure]).agg(*[(F.percentile_approx(F.abs(F.col(c) - F.col(f"{c}_mid")), 0.5, 10_000) * 1.4826).alias(f"{c}_dev") for c in figure])
+    return scratch.write(away, name)
 
 
-def judge(measured: DataFrame, chars: tuple[float, float] = (8.0, 8.0), entropy: tuple[float, float] = (4.0, 12.0), byte_share: tuple[float, float] = (12.0, 12.0), least: int = 100, few: int = 20) -> DataFrame:
-    """measured plus kept. Rejected: what the base rules fail, and what lies outside its band in one of the three figures.
+def judge(measured: DataFrame, figure: list[str], chars: tuple[float, float] = (8.0, 8.0), entropy: tuple[float, float] = (4.0, 12.0), byte_share: tuple[float, float] = (12.0, 12.0), least: int = 100, few: int = 20) -> DataFrame:
+    """measured plus kept. Rejected: what the base rules fail, and what lies outside its band in one of the figures (names()).
     chars, entropy and byte_share: how many robust deviations below and above the median are still good. Poor text repeats its tokens, so entropy is
     held more tightly below.
 
     A group of a language and length class with fewer than `least` documents takes the band of its language over all lengths, a
-    language with fewer than that the band of its script, and a script with fewer than `few` that of all documents.
+    language with fewer than that the band of its script, and a script with fewer than `few` that of all documents. So every document has a band, at any
+    size of the corpus.
     """
     scratch = Scratch(measured.sparkSession, "bands")
-    good = measured.filter(~F.col("base_failed"))
-    fine = scratch.write(_band(good, ["group", "length_class"], least), "fine")
-    rough = scratch.write(_band(good, ["group"], least), "rough")
-    script = scratch.write(_band(good, ["script"], few, wide=True), "script")
-    whole = scratch.write(_band(good.withColumn("one", F.lit(1)), ["one"], 1, wide=True), "whole")
-    names = [f"{c}_{x}" for c in NAMES for x in ("mid", "dev")]
-    fine = fine.select(F.col("group").alias("g1"), F.col("length_class").alias("l1"), *[F.col(n).alias(f"f_{n}") for n in names])
-    rough = rough.select(F.col("group").alias("g2"), *[F.col(n).alias(f"r_{n}") for n in names])
-    script = script.select(F.col("script").alias("s3"), *[F.col(n).alias(f"s_{n}") for n in names])
-    whole = whole.select(*[F.col(n).alias(f"w_{n}") for n in names])
-    both = measured.join(fine, (F.col("group") == F.col("g1")) & (F.col("length_class") == F.col("l1")), "left").join(rough, F.col("group") == F.col("g2"), "left")
-    both = both.join(F.broadcast(script), F.col("script") == F.col("s3"), "left").join(F.broadcast(whole), F.lit(True), "left")
-    m = {n: F.coalesce(*[f"{x}_{n}" for x in "frsw"]) for n in names}
-
-    def inside(c: str, low: float, high: float):
+    good = measured.filter(~F.col("base_failed")).withColumn("one", F.lit(1))
+    levels = [("fine", ["group", "length_class"], least), ("rough", ["group"], least), ("script", ["script"], few), ("whole", ["one"], 1)]
+    columns = [f"{c}_{x}" for c in figure for x in ("mid", "dev")]
+    both = measured.withColumn("one", F.lit(1))
+    for name, by, n in levels:
+        band = _band(good, by, n, figure, scratch, name).select(*[F.col(c).alias(f"{name}_{c}") for c in [*by, *columns]])
+        both = both.join(small_side(band), reduce(lambda a, b: a & b, [F.col(c) == F.col(f"{name}_{c}") for c in by]), "left")
+    m = {c: F.coalesce(*[f"{name}_{c}" for name, *_ in levels]) for c in columns}
+    wide = dict(zip(KINDS, (chars, byte_share, entropy), strict=True))
+
+    def inside(c: str) -> Column:
+        low, high = wide[c.rstrip("_0123456789")]
         z = (F.col(c) - m[f"{c}_mid"]) / F.greatest(m[f"{c}_dev"], F.lit(0.01))
         return F.coalesce((z >= -low) & (z <= high), F.lit(True))
 
-    ok = inside("chars_per_token", *chars) & inside("entropy", *entropy) & inside("byte_share", *byte_share)
-    return both.withColumn("kept", ~F.col("base_failed") & ok).drop("g1", "l1", "g2", "s3", "script", *[f"{x}_{n}" for n in names for x in "frsw"])
+    ok = reduce(lambda a, b: a & b, [inside(c) for c in figure])
+    gone = [f"{name}_{c}" for name, by, _ in levels for c in [*by, *columns]]
+    return both.withColumn("kept", ~F.col("base_failed") & ok).drop("script", "one", *gone)
 
 
-def quality(docs: DataFrame, model: str, carry: list[str], text: str = "text", lang: str = "lang", **bands) -> DataFrame:
-    """Figures and verdict for each row of docs, with the `carry` columns under their own names.
+def quality(docs: DataFrame, models: str | list[str], carry: list[str], text: str = "text", lang: str = "lang", **bands) -> DataFrame:
+    """Figures and verdict for each row of docs, with the `carry` columns under their own names. models: vocabulary files, sentencepiece models or ranks.
 
-    Edge cases: null, empty and white-space texts have no words and fail the base rules; a null language stands for the script; repeated rows
+    Edge cases: a word of more than LONG characters is cut into spans of that many before it is cut into pieces; null, empty and white-space texts have no words and fail the base rules; a null language stands for the script; repeated rows
     are judged alike; other columns are ignored; an empty table gives an empty table.
     """
     scratch = Scratch(docs.sparkSession, "quality")
-    done = judge(scratch.write(measure(docs, model, text, lang, carry), "figures"), **bands)
+    models = [models] if isinstance(models, str) else models
+    done = judge(scratch.write(measure(docs, models, text, lang, carry), "figures"), names(models), **bands)
     return done.withColumnsRenamed({f"c{i}": c for i, c in enumerate(carry)})

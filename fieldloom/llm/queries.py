@@ -27,9 +27,12 @@ def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lmscore.score_documents(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model", folds=7, fold=2)
 
 
+VOCABULARIES = [f"{TOKENIZERS}/piece_bpe_32k.model", f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken"]
+
+
 def op3_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = fertility.quality(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model", carry=["doc_id"])
-    return done.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "chars_per_token", "byte_share", "entropy")
+    done = fertility.quality(_table(spark, sf_dir, "documents"), VOCABULARIES, carry=["doc_id"])
+    return done.select("doc_id", *fertility.BASE, "base_failed", "kept", *fertility.names(VOCABULARIES))
 
 
 def op4_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
