@@ -2,15 +2,21 @@
 
 A long token is a discovery if it looks drawn uniformly from the alphabet of its inferred encoding.
 For each token three statistics are computed: chi-squared of its symbols against
-uniformity, runs above and below the middle of the alphabet, and serial correlation at lag one. The null
-hypothesis of the discovery is ordinary text, whose symbols repeat: its chi-squared grows with the length, so
-longer random tokens give smaller p-values. A Benjamini-Hochberg bound over all tokens of the corpus, read off a
-histogram of p-values, controls the share of false discoveries.
+uniformity, runs above and below the middle of the alphabet, and serial correlation at lag one. Each gives a p-value under two
+hypotheses, and the three of a hypothesis are combined by Fisher's method:
+
+* ordinary text, whose symbols repeat, so its chi-squared grows with the length and longer random tokens give smaller p-values, and whose runs
+  and serial correlation are spread more widely than chance spreads them. This is the null hypothesis of the discovery: a Benjamini-Hochberg bound over all
+  tokens of the corpus, read off a histogram of the combined p-values, controls the share of false discoveries;
+* uniform draws, two-sided. A token that these refute (an alphabet in order, one symbol after another) is no discovery.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .linededup import row_id
@@ -35,6 +41,8 @@ ALPHABETS = [
 TOKEN = r"[A-Za-z0-9+/_-]{20,}"
 # Sum of squared letter frequencies that ordinary text has at least, a fixed value (random letters of 26: 0.038).
 COINCIDENCE = 0.055
+# Standard deviations of the runs and serial statistics of ordinary text; of uniform draws they are 1. Fixed values.
+TEXT_SPREAD = 2.5
 BINS = 400
 
 
@@ -45,13 +53,40 @@ def _found(text: Column, kind: str, pattern: str) -> Column:
     return F.struct(F.lit(kind).alias("kind"), got.alias("found"), gaps.alias("gaps"))
 
 
-def _normal_cdf(z: Column) -> Column:
-    """Tail of the normal distribution by the logistic form of Page (1977), in error below 0.0002."""
-    return 1 / (1 + F.exp(-(1.5957691216 * z + 0.0713548162726 * F.pow(z, 3))))
+def _ln_tail(x: Column) -> Column:
+    """ln of the normal distribution's upper tail for x of 0 or more, right to some 12 digits: a series below 2, the continued fraction of Mills' ratio above."""
+    density = -x * x / 2 - 0.5 * math.log(2 * math.pi)
+    terms = F.aggregate(F.sequence(F.lit(1), F.lit(40)), F.struct(x.alias("term"), x.alias("sum")), lambda s, k: F.struct((s["term"] * x * x / (2 * k + 1)).alias("term"), (s["sum"] + s["term"] * x * x / (2 * k + 1)).alias("sum")))
+    near = F.ln(0.5 - F.exp(density) * terms["sum"])
+    far = density - F.ln(x + F.aggregate(F.sequence(F.lit(60), F.lit(1), F.lit(-1)), F.lit(0.0), lambda s, k: k / (x + s)))
+    return F.when(x < 2, near).otherwise(far)
+
+
+def _ln_lower(z: Column) -> Column:
+    """ln of the distribution below z."""
+    tail = _ln_tail(F.abs(z))
+    return F.when(z < 0, tail).otherwise(F.log1p(-F.exp(tail)))
+
+
+def _ln_two_sided(z: Column) -> Column:
+    """ln of the probability of more than |z| on either side."""
+    return F.least(math.log(2) + _ln_tail(F.abs(z)), F.lit(0.0))
+
+
+def _ln_within(z: Column) -> Column:
+    """ln of the probability of less than |z| on either side."""
+    return F.ln(F.greatest(-F.expm1(_ln_two_sided(z)), F.lit(1e-12)))
+
+
+def _fisher(*ln_p: Column) -> Column:
+    """ln of the combined p-value of three: minus twice the sum of their logarithms is chi-squared with 6 degrees of freedom."""
+    half = -sum(ln_p[1:], ln_p[0])
+    return -half + F.ln(1 + half + half * half / 2)
 
 
 def battery(tokens: DataFrame, token: str) -> DataFrame:
-    """tokens plus encoding, p_text (that text of this length looks so uniform), z_runs and z_serial.
+    """tokens plus encoding, z_text, z_chi, z_runs and z_serial (the statistics in standard deviations, chi-squared under either hypothesis),
+    and ln_text and ln_random, the logarithms of the combined p-values.
 
     Of a constant or very short token some statistics are undefined; they come out as 0.
     """
@@ -72,7 +107,10 @@ def battery(tokens: DataFrame, token: str) -> DataFrame:
     excess = F.greatest(excess, F.lit(0.6))
     mean = (F.col("_k") - 1) + (F.col("_n") - 1) * excess
     spread = F.sqrt(2 * (F.col("_k") - 1) + 4 * F.col("_n") * excess)
-    out = out.withColumn("p_text", _normal_cdf((F.col("_chi") - mean) / spread))
+    out = out.withColumn("z_text", (F.col("_chi") - mean) / spread)
+    # chi-squared to a normal deviate by the cube root (Wilson and Hilferty)
+    free = F.col("_k") - 1
+    out = out.withColumn("z_chi", (F.cbrt(F.col("_chi") / free) - (1 - 2 / (9 * free))) / F.sqrt(2 / (9 * free)))
     high = F.transform("_x", lambda x: (x >= F.col("_k") / 2).cast("int"))
     out = out.withColumn("_h", high).withColumn("_h1", F.aggregate("_h", F.lit(0), lambda s, x: s + x).cast("double"))
     pairs = F.zip_with(F.slice("_h", F.lit(1), F.size("_h") - 1), F.slice("_h", F.lit(2), F.size("_h") - 1), lambda a, b: (a != b).cast("int"))
@@ -80,29 +118,34 @@ def battery(tokens: DataFrame, token: str) -> DataFrame:
     both = 2 * F.col("_h1") * (F.col("_n") - F.col("_h1"))
     var = both * (both - F.col("_n")) / (F.col("_n") * F.col("_n") * (F.col("_n") - 1))
     out = out.withColumn("z_runs", F.coalesce(F.when(var > 0, (F.col("_r") - 1 - both / F.col("_n")) / F.sqrt(var)), zero))
-    m = F.aggregate("_x", zero, lambda s, x: s + x) / F.col("_n")
-    out = out.withColumn("_m", m)
-    out = out.withColumn("_d", F.transform("_x", lambda x: x - F.col("_m")))
-    lagged = F.zip_with(F.slice("_d", F.lit(1), F.size("_d") - 1), F.slice("_d", F.lit(2), F.size("_d") - 1), lambda a, b: a * b)
-    top, low = F.aggregate(lagged, zero, lambda s, x: s + x), F.aggregate("_d", zero, lambda s, x: s + x * x)
+    # sums of x, x squared and neighbours' products: deviations from the mean follow from them, and no mean is worked out symbol by symbol
+    lagged = F.zip_with(F.slice("_x", F.lit(1), F.size("_x") - 1), F.slice("_x", F.lit(2), F.size("_x") - 1), lambda a, b: a * b)
+    total = lambda c, f: F.aggregate(c, zero, lambda s, x: s + f(x))
+    out = out.withColumns({"_s": total(F.col("_x"), lambda x: x), "_q": total(F.col("_x"), lambda x: x * x), "_l": total(lagged, lambda x: x), "_b": F.element_at("_x", 1) + F.element_at("_x", -1)})
+    m = F.col("_s") / F.col("_n")
+    top, low = F.col("_l") - m * (2 * F.col("_s") - F.col("_b")) + (F.col("_n") - 1) * m * m, F.col("_q") - F.col("_s") * m
     out = out.withColumn("z_serial", F.coalesce(F.when(low > 0, top / low * F.sqrt("_n")), zero))
-    return out.drop("_e", "_a", "_x", "_n", "_k", "_chi", "_h", "_h1", "_r", "_m", "_d")
+    out = out.withColumn("ln_text", _fisher(_ln_lower(F.col("z_text")), _ln_within(F.col("z_runs") / TEXT_SPREAD), _ln_within(F.col("z_serial") / TEXT_SPREAD)))
+    out = out.withColumn("ln_random", _fisher(*[_ln_two_sided(F.col(z)) for z in ("z_chi", "z_runs", "z_serial")]))
+    return out.drop("_e", "_a", "_x", "_n", "_k", "_chi", "_h", "_h1", "_r", "_s", "_q", "_l", "_b")
 
 
-def discover(tested: DataFrame, rate: float = 0.01, z_limit: float = 3.3) -> DataFrame:
-    """Rows of tested that are discoveries at this false-discovery rate and fail neither other test.
+def discover(tested: DataFrame, rate: float = 0.01, refuted: float = 0.001) -> DataFrame:
+    """Rows of tested that are discoveries at this false-discovery rate and whose randomness is not refuted at the level `refuted`.
 
     Benjamini-Hochberg: the largest bin edge p with p * (number of tokens) <= rate * (tokens up to p). The histogram has BINS + 1 rows
     of -log10 p in steps of 0.1, whatever the size of the corpus, so its one threshold row is broadcast.
     """
-    step = F.least(F.floor(-10 * F.log10(F.greatest("p_text", F.lit(1e-300)))), F.lit(BINS)).cast("int")
+    step = F.least(F.floor(F.col("ln_text") * (-10 / math.log(10))), F.lit(BINS)).cast("int")
+    # written, for the statistics are read several times and a filter on them would repeat their expressions
+    tested = Scratch(tested.sparkSession, "battery").write(tested, "tested")
     binned = tested.withColumn("_bin", step)
     hist = binned.groupBy("_bin").agg(F.count(F.lit(1)).alias("n"))
     edges = hist.select(F.collect_list(F.struct("_bin", "n")).alias("b"), F.sum("n").alias("m"))
     upto = F.transform("b", lambda e: F.struct(e["_bin"].alias("bin"), F.aggregate(F.filter("b", lambda o: o["_bin"] >= e["_bin"]), F.lit(0).cast("long"), lambda s, o: s + o["n"]).alias("c")))
     passing = F.filter(upto, lambda e: F.pow(F.lit(10.0), -e["bin"] / 10.0) * F.col("m") <= rate * e["c"])
     limit = edges.select(F.array_min(F.transform(passing, lambda e: e["bin"])).alias("_limit"))
-    return binned.join(F.broadcast(limit), F.col("_bin") >= F.col("_limit")).filter((F.abs("z_runs") <= z_limit) & (F.abs("z_serial") <= z_limit)).drop("_bin", "_limit")
+    return binned.join(F.broadcast(limit), F.col("_bin") >= F.col("_limit")).filter(F.col("ln_random") >= math.log(refuted)).drop("_bin", "_limit")
 
 
 def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", rate: float = 0.01) -> DataFrame:
@@ -128,12 +171,13 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", rate:
         (F.col("kind").isin("access", "hex") & (F.length("found") >= F.when(F.col("kind") == "access", 16).otherwise(32))) | ((F.col("kind") == "assign") & (F.length(value) >= 8))
     ).drop("found")
     known = scratch.write(known, "known")
-    tested = scratch.write(battery(spans.filter(F.col("kind") == "random"), "found").drop("found"), "tested")
-    new = discover(tested, rate).select("d", "t", "kind", "start", "end")
-    k = known.select(F.col("d").alias("d1"), F.col("t").alias("t1"), F.col("start").alias("s1"), F.col("end").alias("e1"))
-    inside = (F.col("d") == F.col("d1")) & (F.col("t") == F.col("t1")) & (F.col("start") >= F.col("s1")) & (F.col("end") <= F.col("e1"))
-    new = new.join(k, inside, "left_anti")
-    got = known.unionByName(new).groupBy(F.col("d").alias("d1"), F.col("t").alias("t1")).agg(F.array_sort(F.collect_list(F.struct("start", order, "kind", "end"))).alias("spans"))
+    new = discover(battery(spans.filter(F.col("kind") == "random"), "found").drop("found"), rate).select("d", "t", "kind", "start", "end")
+    # in order of start, known spans first: one that begins at or before a new span and reaches its end holds it
+    every = known.withColumn("known", F.lit(1)).unionByName(new.withColumn("known", F.lit(0)))
+    sweep = W.partitionBy("d", "t").orderBy("start", F.col("known").desc()).rowsBetween(W.unboundedPreceding, 0)
+    every = every.withColumn("_far", F.max(F.when(F.col("known") == 1, F.col("end"))).over(sweep))
+    every = every.filter((F.col("known") == 1) | F.col("_far").isNull() | (F.col("_far") < F.col("end")))
+    got = every.groupBy(F.col("d").alias("d1"), F.col("t").alias("t1")).agg(F.array_sort(F.collect_list(F.struct("start", order, "kind", "end"))).alias("spans"))
     empty = F.expr("cast(array() as array<struct<start: bigint, order: int, kind: string, end: bigint>>)")
     return rows.join(got, (F.col("d") == F.col("d1")) & (F.col("t") == F.col("t1")), "left").select("key", F.coalesce("spans", empty).alias("spans"))
 
