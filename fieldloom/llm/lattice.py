@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 
 from .hashing import U, mix
 
 BASE, SLOT_BITS = U(0x100000001B3), 18
+LONG = 4096
 
 
 class Lattice:
@@ -79,17 +82,53 @@ class Lattice:
                     a[end] = np.log(np.exp(stack - safe).sum(axis=0)) + safe
         return a
 
+    def _long(self, word: bytes, step: int = 1 << 16) -> float:
+        """Log probability of one long word, block by block: only the forward values of the last bytes, as many as the longest piece has, go on to
+        the next block, scaled so that they stay in range."""
+        reach, p = self.lengths[-1], np.exp(self.log_p)
+        carry, scale = [0.0] * (reach - 1) + [1.0], 0.0
+        for start in range(0, len(word), step):
+            left = min(start, reach - 1)
+            block = np.frombuffer(word[start - left : start + step], dtype=np.uint8)
+            found = [(np.flatnonzero(e[0] >= 0) + n - left, n, e[0]) for n, e in self.edges(block[None]).items()]
+            end = np.concatenate([f for f, *_ in found])
+            size = np.concatenate([np.full(len(f), n) for f, n, _ in found])
+            value = np.concatenate([p[e[e >= 0]] for *_, e in found])
+            order = np.argsort(end, kind="stable")
+            order = order[end[order] > 0]
+            end, size, value = end[order].tolist(), size[order].tolist(), value[order].tolist()
+            a, k, most = carry, 0, len(end)
+            for e in range(1, len(block) - left + 1):
+                total, at = 0.0, reach - 1 + e
+                while k < most and end[k] == e:
+                    total += a[at - size[k]] * value[k]
+                    k += 1
+                a.append(total)
+                if 0.0 < total < 1e-150:
+                    a[at - reach + 1 :] = [x / total for x in a[at - reach + 1 :]]
+                    scale += math.log(total)
+            carry = a[-reach:]
+        return math.log(carry[-1]) + scale if carry[-1] > 0 else -math.inf
+
     def score(self, words: list[bytes]) -> np.ndarray:
-        """Log probability of each word (forward recursion in log space)."""
+        """Log probability of each word (forward recursion in log space; words above LONG bytes in scaled blocks)."""
         out = np.empty(len(words))
-        for at, block in _blocks(words):
+        long = [i for i, w in enumerate(words) if len(w) > LONG]
+        for i in long:
+            out[i] = self._long(words[i])
+        rest = np.delete(np.arange(len(words)), long) if long else np.arange(len(words))
+        for at, block in _blocks([words[i] for i in rest]):
             weights = self._weights(self.edges(block))
-            out[at] = self._forward(weights, *block.shape)[-1]
+            out[rest[at]] = self._forward(weights, *block.shape)[-1]
         return out
 
     def expect(self, words: list[bytes], times: np.ndarray) -> np.ndarray:
-        """Expected number of uses of each piece when each word occurs so many times (forward and backward)."""
+        """Expected number of uses of each piece when each word occurs so many times (forward and backward). Words above LONG bytes count
+        piece by piece of LONG bytes, without the pieces that would cross their ends."""
         total = np.zeros(len(self.log_p))
+        if any(len(w) > LONG for w in words):
+            times = np.repeat(times, [-(-len(w) // LONG) for w in words])
+            words = [w[i : i + LONG] for w in words for i in range(0, len(w), LONG)]
         for at, block in _blocks(words):
             edges = self.edges(block)
             weights = self._weights(edges)

@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 
 from .lattice import Lattice
 from .linededup import NO_KEY
-from .scratch import Scratch
+from .scratch import Scratch, small_side
 
 HOT = 20_000
+SHARE = 48_000_000
 TALLY = 300_000
 
 
@@ -187,12 +188,24 @@ def _meet():
     return run
 
 
+def fit_pieces(words: DataFrame, pieces: list[bytes], p: np.ndarray, rounds: int, floor: float = 0.05) -> np.ndarray:
+    """Probabilities of the pieces after rounds of expectation maximisation over the words, each once; every piece has `floor` uses besides."""
+    for _ in range(rounds):
+        uses = words.mapInArrow(_expect(pieces, np.log(p)), "piece int, uses double")
+        count = np.full(len(pieces), floor)
+        # as many rows as the vocabulary has pieces
+        for row in uses.groupBy("piece").agg(F.sum("uses").alias("uses")).collect():
+            count[row[0]] += row[1]
+        p = count / count.sum()
+    return p
+
+
 def score_documents(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", folds: int = 7, fold: int = 2, rounds: int = 2) -> DataFrame:
     """One row for each row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     docs whose crc32(key as text) mod `folds` is `fold` are held out, the others train the model (a null key trains).
 
-    Edge cases: a null or empty text is one end token; without training documents the lattice alone
+    Edge cases: a word of any length is scored whole, in blocks of bounded memory; a null or empty text is one end token; without training documents the lattice alone
     gives the score; repeated rows count as often as they occur and get equal scores; other columns are ignored; an empty
     table gives an empty table.
     """
@@ -209,14 +222,8 @@ def score_documents(docs: DataFrame, model: str, key: str = "doc_id", text: str
     d = of[2] / (of[2] + 2 * of[3]) if of[2] and of[3] else 0.5
 
     pieces, p = load_pieces(model)
-    for k in range(rounds if of[1] else 0):
-        uses = vocab.filter("c > 0").select("word").mapInArrow(_expect(pieces, np.log(p)), "piece int, uses double")
-        # as many rows as the vocabulary has pieces
-        got = uses.groupBy("piece").agg(F.sum("uses").alias("uses")).collect()
-        count = np.full(len(pieces), 0.05)
-        for row in got:
-            count[row[0]] += row[1]
-        p = count / count.sum()
+    if of[1]:
+        p = fit_pieces(vocab.filter("c > 0").select("word"), pieces, p, rounds)
     scores = vocab.select("h", "word", "c").mapInArrow(_word_scores(pieces, np.log(p), n, v, d), "h bigint, c bigint, base double, score double")
     scores = scratch.write(scores, "scores")
 
@@ -224,11 +231,18 @@ def score_documents(docs: DataFrame, model: str, key: str = "doc_id", text: str
     frequent = vocab.filter(F.col("n") * HOT >= of[5]).select("h", "word").join(scores, "h")
     hot = {bytes(r["word"]): (int(r["c"] > 0), r["base"], r["score"]) for r in frequent.collect()}
     end = (int(ends > 0), math.log10((ends + 1) / (n + 1 * (v + 1))), math.log10(max(ends - d, 0.5) / n if n else 0.5))
+    # words of a part: a million at most; the documents' words that meet them come in shares of about SHARE bytes
     parts = max(12, of[4] // 1_000_000)
     sums = full.select("d", "t", "text").mapInArrow(_score_docs(hot, parts, end), "p int, entries binary, heads binary, d bigint, t bigint, rows bigint, n_tokens bigint, n_known bigint, base double, score double")
     sums = scratch.write(sums.withColumn("tail", F.col("p").isNotNull()), "sums", by="tail")
     part = F.pmod(F.shiftrightunsigned("h", 40), F.lit(parts)).cast("int")
-    tail = sums.filter("tail").select("p", "entries", "heads").groupBy("p").cogroup(scores.select(part.alias("p"), "h", "c", "base", "score").groupBy("p"))
+    rare = sums.filter("tail").select("p", "entries", "heads")
+    load = rare.groupBy("p").agg(F.ceil(F.sum(F.octet_length("entries") + F.octet_length("heads")) / SHARE).alias("shares"))
+    load = small_side(scratch.write(load, "load"))
+    dealt = rare.join(load, "p").withColumn("share", F.pmod(F.xxhash64("heads"), F.col("shares"))).select("p", "share", "entries", "heads")
+    known = scores.select(part.alias("p"), "h", "c", "base", "score").join(load, "p")
+    known = known.select("p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share"), "h", "c", "base", "score")
+    tail = dealt.groupBy("p", "share").cogroup(known.groupBy("p", "share"))
     tail = tail.applyInArrow(_meet(), "d bigint, t bigint, rows bigint, n_tokens bigint, n_known bigint, base double, score double")
     head = sums.filter("not tail").select("d", "t", "rows", "n_tokens", "n_known", "base", "score")
     total = head.unionByName(tail).groupBy("d", "t").agg(*[F.sum(c).alias(c) for c in ("rows", "n_tokens", "n_known", "base", "score")])
