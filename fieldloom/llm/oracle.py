@@ -49,11 +49,12 @@ from d left join n on n.doc_id = d.doc_id left join (select a, min(b) as c from
 OP6 = f"""
 with d as (select doc_id, {WORDS.format(LOWER.format('text'))} as w from documents),
 i as (select item_id, {WORDS.format(LOWER.format('text'))} as w from benchmark),
-ds as (select distinct doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda k: array_to_string(w[k:k+4], ' '))) as s from d where len(w) > 0),
-si as (select distinct item_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda k: array_to_string(w[k:k+4], ' '))) as s from i where len(w) > 0),
+wd as (select distinct least(len(w), 5) as k from i where len(w) > 0),
+ds as (select distinct doc_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda j: array_to_string(w[j:j+k-1], ' '))) as s from d, wd where len(w) >= k),
+si as (select distinct item_id, least(len(w), 5) as k, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda j: array_to_string(w[j:j+4], ' '))) as s from i where len(w) > 0),
 n as (select item_id, count(*) as n_item from si group by 1)
 select doc_id, ds_i.item_id, n_item::int as n_item, count(*)::int as n_shared
-from ds join si as ds_i using (s) join n on n.item_id = ds_i.item_id
+from ds join si as ds_i using (s, k) join n on n.item_id = ds_i.item_id
 group by 1, 2, 3 having count(*) * 100 >= 75 * n_item
 """
 
