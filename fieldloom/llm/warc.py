@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from .scratch import Scratch
 from .zipfmt import data_offset, list_members, write_zip
 
+SLICE_BYTES = 4_000_000
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = "page_id bigint, url string, record_type string, refers_to bigint, payload_bytes bigint, payload_digest string, payload binary"
@@ -47,18 +48,22 @@ def _clean(value: str) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", value)
 
 
+def _record_id(page_id, digest: str) -> str:
+    """The id of a page's record follows from the page and its payload, so a revisit can name the record that it refers to."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}')}>"
+
+
 def render(page_id, url, kind, refers_to, size, digest, payload, date: str) -> bytes:
     """One record as WARC/1.1 text."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % size
     block = http + payload if kind == "response" else http
-    name = uuid.uuid5(uuid.NAMESPACE_URL, f"page:{page_id}:{digest}")
-    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{name}>", f"WARC-Date: {date}", f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {size}"]
+    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {_record_id(page_id, digest)}", f"WARC-Date: {date}", f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {size}"]
     if page_id is not None:
         head.append(f"X-Page-ID: {page_id}")
     if url is not None:
         head.append(f"WARC-Target-URI: {_clean(url)}")
     if kind == "revisit":
-        head += [f"WARC-Profile: {REVISIT_PROFILE}", f"X-Refers-To-Page: {refers_to}"]
+        head += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: {_record_id(refers_to, digest)}", f"WARC-Refers-To-Date: {date}", f"X-Refers-To-Page: {refers_to}"]
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -174,8 +179,10 @@ def read_archives(archives: DataFrame) -> DataFrame:
     """All records of the archives (path, bytes). Directories and indexes are read first; the records, dealt by archive and
     place, are then read by byte range, neighbours together."""
     entries = archives.select("path", "bytes").mapInArrow(_list, "path string, offset bigint, length bigint")
-    # slices of about 16 MB of an archive, so a large one is read by several tasks
-    dealt = entries.repartition(F.col("path"), F.floor(F.col("offset") / 16_000_000)).sortWithinPartitions("path", "offset")
+    # slices of an archive, so a large one is read by several tasks; the rows to be dealt are small, so the bytes that they stand for give the number of tasks
+    size = archives.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    tasks = max(12, 2 * size // SLICE_BYTES)
+    dealt = entries.repartition(tasks, F.col("path"), F.floor(F.col("offset") / SLICE_BYTES)).sortWithinPartitions("path", "offset")
     return dealt.mapInArrow(_fetch, RECORD)
 
 
