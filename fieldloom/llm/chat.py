@@ -46,7 +46,8 @@ def choose_paths(nodes: DataFrame, top: int = 1) -> DataFrame:
     (1 for the best leaf) and depth (0 at the root), in place of columns of these names. Leaves rank by the sum of scores on their
     path, then the smaller node. Several roots in a tree are ranked together.
 
-    Edge cases: tree and node must identify a row and nodes of a cycle never reach a root (no leaf, so no path); a parent that does not exist makes its child a root; a null tree is
+    Edge cases: tree and node must identify a row; nodes of a cycle, and those that hang from one, never reach a root, so no path
+    holds them, and the other paths of the tree are as without them; a parent that does not exist makes its child a root; a null tree is
     a tree of its own; an empty table gives an empty table.
     """
     scratch = Scratch(nodes.sparkSession, "paths")
@@ -59,9 +60,9 @@ def choose_paths(nodes: DataFrame, top: int = 1) -> DataFrame:
     )
     parents = now.select("t", F.col("up").alias("v")).filter("v is not null").distinct()
     rounds = [now]
-    while not rounds[-1].filter("up is not null").isEmpty():
-        if len(rounds) > 40:
-            raise ValueError("the replies form a cycle")
+    # after k rounds nodes look 2^k steps up, and no path is longer than its tree is large: what still moves then is held by a cycle
+    largest = base.groupBy("t").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    while 1 << (len(rounds) - 1) <= largest and not rounds[-1].filter("up is not null").isEmpty():
         a = rounds[-1]
         b = a.select(F.col("t").alias("t1"), F.col("v").alias("v1"), F.col("up").alias("up1"), F.col("total").alias("total1"), F.col("depth").alias("depth1"))
         # nodes that have reached their root take no part
@@ -69,7 +70,7 @@ def choose_paths(nodes: DataFrame, top: int = 1) -> DataFrame:
         moved = moving.select("t", "v", F.col("up1").alias("up"), (F.col("total") + F.col("total1")).alias("total"), (F.col("depth") + F.col("depth1")).alias("depth"))
         step = moved.unionByName(a.filter("up is null"))
         rounds.append(scratch.write(step, f"up{len(rounds)}"))
-    ends = rounds[-1].select("t", "v", "total", (F.col("depth") - 1).alias("depth"))
+    ends = rounds[-1].filter("up is null").select("t", "v", "total", (F.col("depth") - 1).alias("depth"))
     pv = parents.select(F.col("t").alias("t1"), F.col("v").alias("v1"))
     leaves = ends.join(pv, F.col("t").eqNullSafe(F.col("t1")) & (F.col("v") == F.col("v1")), "left_anti")
     best = W.partitionBy("t").orderBy(F.col("total").desc(), "v")
