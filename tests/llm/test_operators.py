@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import io
 import math
@@ -13,6 +14,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import sentencepiece
+import tiktoken
 from pyspark.sql import functions as F
 
 from fieldloom.llm import chat, decontam, fertility, linededup, lmscore, mixing, parityjoin, secrets, subdedup, warc, zipfmt
@@ -22,7 +25,7 @@ from fieldloom.llm.lattice import Lattice
 from fieldloom.llm.scratch import Scratch
 from fieldloom.llm.text import word_count, words
 
-MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+MODEL, RANKS = "/opt/tokenizers/piece_bpe_32k.model", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, d string, t int, key string, h double, k int, kind string"
 ODD = "\x1c\x85\u00a0é"  # white space elsewhere, not here
 
@@ -164,9 +167,63 @@ def test_lm_scores(docs, rows, empty):
         want[r[0], held(r[0]), len(w) + 1, 1 + sum(c[x] > 0 for x in w), n, round(base, 6)] += 1
     assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
     assert all(math.isfinite(r.score) and r.score < 0 for r in got)
+    # the score by a literal recursion over each word's bytes
+    pieces, p = lmscore.load_pieces(MODEL)
+    lattice_words = [b" " + w.encode() for w in c]
+    for _ in range(2):
+        p = (u := Lattice(pieces, np.log(p)).expect(lattice_words, np.ones(len(lattice_words))) + 0.05) / u.sum()
+    prob, longest = dict(zip(pieces, p, strict=True)), max(map(len, pieces))
+
+    def marginal(w: bytes) -> float:
+        a = [1.0]
+        for e in range(1, len(w) + 1):
+            a.append(sum(a[e - k] * prob.get(w[e - k : e], 0.0) for k in range(1, min(e, longest) + 1)))
+        return math.log(a[-1])
+
+    n1, n2 = (sum(v == k for v in c.values()) for k in (1, 2))
+    d = n1 / (n1 + 2 * n2)
+    word = lambda x: np.logaddexp(math.log(max(c[x] - d, 0) / n) if c[x] > d else -math.inf, math.log(d * v / n) + marginal(b" " + x.encode()))
+    scores = defaultdict(list)
+    for r in got:
+        scores[r.doc_id, r.n_tokens].append(r.score)
+    for r in rows:
+        w = [lower(x) for x in split_words(r[1])]
+        want_score = (math.log(max(ends - d, 0.5) / n) + sum(map(word, w))) / math.log(10)
+        assert any(abs(x - want_score) < 1e-6 * abs(want_score) for x in scores[r[0], len(w) + 1]), r[0]
     assert lmscore.score_documents(empty, MODEL).count() == 0
 
 
+def test_long_words_in_blocks():
+    """A word of many blocks, and one just above the limit, against the recursion in log space."""
+    rng = random.Random(3)
+    pieces, p = lmscore.load_pieces(MODEL)
+    lattice = Lattice(pieces, np.log(p))
+    for n, step in ((300, 7), (5000, 64), (5000, 1 << 16)):
+        w = b" " + "".join(rng.choice("abcdefghié") for _ in range(n)).encode()
+        block = np.frombuffer(w, dtype=np.uint8)[None]
+        assert lattice._long(w, step) == pytest.approx(float(lattice._forward(lattice._weights(lattice.edges(block)), *block.shape)[-1][0]), rel=1e-10)
+    w = b" " + b"ab" * 5000
+    assert lattice.score([w, b" ab"]) == pytest.approx([lattice._long(w), lattice.score([b" ab"])[0]])
+    assert lattice.expect([w], np.ones(1)).sum() > 3000
+
+
+def test_long_texts(spark):
+    """One word of 300,000 bytes, one line of 30,000 words, 20,000 lines and 40,000 line feeds go through every operator that reads texts."""
+    rng = random.Random(4)
+    word = lambda: f"w{rng.randint(0, 9000)}"
+    texts = ["x" + "ab" * 150_000, " ".join(word() for _ in range(30_000)), "\n".join(word() + " some line of its own " + word() for _ in range(20_000)), "\n" * 40_000, None, "short text"]
+    rows = [(i, x, "en", "s") for i, x in enumerate(texts)] + [(10 + i, x, "en", "s") for i, x in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").repartition(4)
+    score = {r.doc_id: r.score for r in lmscore.score_documents(df, MODEL).collect()}
+    assert all(math.isfinite(x) for x in score.values()) and all(score[i] == pytest.approx(score[10 + i]) for i in range(6))
+    assert {r.doc_id: r.n_words for r in fertility.quality(df, [MODEL, RANKS], carry=["doc_id"]).collect()} == {r[0]: len(split_words(r[1])) for r in rows}
+    assert {r.doc_id: r.component_id for r in parityjoin.jaccard_components(df).collect()} == {r[0]: r[0] % 10 if split_words(r[1]) else r[0] for r in rows}
+    assert {r.doc_id: r.n_dropped for r in linededup.dedup_lines(df).collect()} == {r[0]: 0 if r[0] < 10 else len([x for x in (r[1] or "").split("\n") if len(x) >= 10]) for r in rows}
+    assert {r.key: r.n_removed for r in subdedup.remove_repeats(df).collect()} == {r[0]: 0 if r[0] < 10 or len(split_words(r[1])) < 13 else len(split_words(r[1])) for r in rows}
+    assert all(not r.spans for r in secrets.find_secrets(df).collect() if r.key % 10 != 0)
+    assert decontam.find_leaks(df, spark.createDataFrame([(1, texts[1])], "item_id bigint, text string")).count() == 2
+
+
 def test_lm_probabilities_sum_to_one_at_most():
     pieces, p = lmscore.load_pieces(MODEL)
     start = np.array([x.startswith(b" ") for x in pieces])
@@ -174,8 +231,35 @@ def test_lm_probabilities_sum_to_one_at_most():
 
 
 def test_quality_figures(docs, rows, empty):
-    got = fertility.quality(docs, MODEL, carry=["doc_id", "text"]).collect()
+    got = fertility.quality(docs, [MODEL, RANKS], carry=["doc_id", "text"]).collect()
     assert len(got) == len(rows)
+    proc = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    multi = tiktoken.Encoding("own", pat_str=fertility.PARTS, mergeable_ranks=ranks, special_tokens={})
+    plain = {v: k for k, v in ranks.items()}
+    for r in got:
+        w = split_words(r.text)
+        for cut, byte, c, b, e in ((proc.encode, proc.is_byte, r.chars_per_token, r.byte_share, r.entropy), (lambda x: multi.encode_ordinary(" " + x), lambda i: len(plain[i]) == 1 and plain[i][0] > 127, r.chars_per_token_2, r.byte_share_2, r.entropy_2)):
+            ids = [i for x in w for i in cut(x)]
+            n = len(ids)
+            if not n:
+                continue
+            counts = Counter(ids)
+            h = -sum(k / n * math.log2(k / n) for k in counts.values()) + (len(counts) - 1) / (2 * n * math.log(2))
+            assert (c, b, e) == pytest.approx((sum(map(len, w)) / n, sum(map(byte, ids)) / n, h))
+    # the verdict: bands by language and length class, by language, by script, by all
+    good = [r for r in got if not r.base_failed]
+    figure = fertility.names([MODEL, RANKS])
+    for r in got:
+        want = not r.base_failed
+        for f in figure:
+            levels = [([x for x in good if (x.group, x.length_class) == (r.group, r.length_class)], 100), ([x for x in good if x.group == r.group], 100), (good, 20)]
+            own = next((x for x, least in levels if len(x) >= least), good)
+            mid = sorted(x[f] for x in own)[(len(own) - 1) // 2]
+            dev = 1.4826 * sorted(abs(x[f] - mid) for x in own)[(len(own) - 1) // 2]
+            low, high = {"chars": (8, 8), "byte_": (12, 12), "entro": (4, 12)}[f[:5]]
+            want = want and -low <= (r[f] - mid) / max(dev, 0.01) <= high
+        assert r.kept == want, r.doc_id
     for r in got:
         w = split_words(r.text)
         grams = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
@@ -289,6 +373,42 @@ def test_signatures_never_miss():
                 assert len(np.intersect1d(parityjoin.signatures(a, 3, 4), parityjoin.signatures(b, 3, 4))), (len(a), len(b), both)
 
 
+def test_open_groups_in_blocks(spark, monkeypatch):
+    """Many sets that share most of their shingles with a base but not with each other, compared in small blocks and small tasks."""
+    monkeypatch.setattr(parityjoin, "BLOCK", 8)
+    monkeypatch.setattr(parityjoin, "TASK_ROWS", 40)
+    monkeypatch.setattr(parityjoin, "SHARE_PAIRS", 5)
+    rng = random.Random(14)
+    word = lambda: f"w{rng.randint(0, 90000)}"
+    base, rows = [word() for _ in range(120)], []
+    for i in range(70):
+        w = list(base)
+        for _ in range(rng.choice([1, 3, 4, 5])):
+            w[rng.randrange(len(w))] = word()
+        rows.append((i, " ".join(w)))
+    got = parityjoin.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == classes(rows)
+
+
+def test_rarest_first_prefixes_meet():
+    """The first segments of two similar sets in any common order have one in common."""
+    rng = np.random.default_rng(5)
+    for n in [4, 7, 12, 33, 100, 260]:
+        for _ in range(20):
+            a = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+            gone = int(rng.integers(1, max(2, n // 7 + 1)))
+            b = np.unique(np.concatenate([a[rng.permutation(len(a))[gone:]], rng.integers(0, 1 << 62, gone).astype(np.uint64)]))
+            both = len(np.intersect1d(a, b))
+            if 4 * both < 3 * (len(a) + len(b) - both):
+                continue
+            order = lambda v: (v * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(7)
+            kept = []
+            for u in (a, b):
+                own = [v[np.argsort(order(v))][: len(v) - spare] for _, v, spare in parityjoin.segments(u, 3, 4)]
+                kept.append(np.concatenate(own))
+            assert len(np.intersect1d(*kept)), (n, gone)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, x) for x in range(101, 160)] + [(7, 7), (300, 200), (200, 300)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a bigint, b bigint"), Scratch(spark, "t")).collect()}
@@ -325,6 +445,63 @@ def test_secret_base_spans(spark, empty):
     assert secrets.find_secrets(empty).count() == 0
 
 
+def literal_battery(x: str) -> tuple[float, float]:
+    """ln of the two combined p-values, by the definitions and math.erfc."""
+    letters = next(a for _, p, a in secrets.ALPHABETS if re.match(p.replace("\\z", "\\Z"), x))
+    v, n, k = [max(letters.find(c), 0) for c in x], len(x), len(letters)
+    chi = sum(c * c for c in Counter(v).values()) * k / n - n
+    excess = max(k * secrets.COINCIDENCE - 1, 0.6)
+    z_text = (chi - (k - 1) - (n - 1) * excess) / math.sqrt(2 * (k - 1) + 4 * n * excess)
+    z_chi = ((chi / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / math.sqrt(2 / (9 * (k - 1)))
+    h = [a >= k / 2 for a in v]
+    r, both = 1 + sum(a != b for a, b in zip(h, h[1:])), 2 * sum(h) * (n - sum(h))
+    var = both * (both - n) / (n * n * (n - 1))
+    z_runs = (r - 1 - both / n) / math.sqrt(var) if var > 0 else 0.0
+    d = [a - sum(v) / n for a in v]
+    z_serial = sum(a * b for a, b in zip(d, d[1:])) / sum(a * a for a in d) * math.sqrt(n) if sum(a * a for a in d) else 0.0
+    lower, two = (lambda z: math.erfc(-z / math.sqrt(2)) / 2), (lambda z: math.erfc(abs(z) / math.sqrt(2)))
+
+    def fisher(*p):
+        half = -sum(math.log(q) for q in p)
+        return math.log(math.exp(-half) * (1 + half + half * half / 2))
+
+    within = lambda z: max(1 - two(z / secrets.TEXT_SPREAD), 1e-12)
+    return fisher(lower(z_text), within(z_runs), within(z_serial)), fisher(two(z_chi), two(z_runs), two(z_serial))
+
+
+def test_battery_is_the_literal_one(spark):
+    rng = random.Random(12)
+    some = ["".join(rng.choice(a) for _ in range(rng.randint(20, 90))) for _, _, a in secrets.ALPHABETS for _ in range(12)]
+    some += ["internationalizationalities", "thequickbrownfoxjumpsoverthelazydog", "0123456789" * 4, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "aabbccddeeffgghhiijjkkll"]
+    got = {r.tok: (r.ln_text, r.ln_random) for r in secrets.battery(spark.createDataFrame([(x,) for x in some], "tok string"), "tok").collect()}
+    for x in some:
+        assert got[x] == pytest.approx(literal_battery(x), rel=1e-7, abs=1e-9), x
+
+
+def test_normal_tail(spark):
+    z = [0.0, 0.1, 0.5, 1.0, 1.9, 1.999, 2.0, 2.1, 3.0, 6.0, 8.0, 12.0, 30.0]
+    got = spark.createDataFrame([(x,) for x in z], "x double").select("x", secrets._ln_tail(F.col("x")).alias("t")).collect()
+    for r in got:
+        assert r.t == pytest.approx(math.log(math.erfc(r.x / math.sqrt(2)) / 2), rel=1e-11, abs=1e-12)
+
+
+def test_secret_spans_are_swept(spark):
+    """A random token inside a known span goes, one that reaches beyond it stays; 3,000 of each in one text."""
+    rng = random.Random(13)
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    tok = lambda n: "".join(rng.choice(b64) for _ in range(n))
+    text = " ".join(f"token={tok(44)} {tok(60)}" for _ in range(3000))
+    r = secrets.find_secrets(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    known = [(s.start, s.end) for s in r.spans if s.kind != "random"]
+    new = [(s.start, s.end) for s in r.spans if s.kind == "random"]
+    assert len(known) >= 3000 and len(new) > 2500
+    ends, far, at = sorted(known), -1, 0
+    for a, b in sorted(new):
+        while at < len(ends) and ends[at][0] <= a:
+            far, at = max(far, ends[at][1]), at + 1
+        assert far < b
+
+
 def test_battery_tells_random_from_text(spark):
     rng = random.Random(2)
     b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
@@ -349,7 +526,9 @@ def test_decontamination(spark, docs, rows, empty):
     for d, x in texts:
         for i, y in items:
             s = shingles(y)
-            both = len(s & shingles(x))
+            k = min(5, len(split_words(y)))
+            w = [lower(z) for z in split_words(x)]
+            both = len(s & {tuple(w[j : j + k]) for j in range(len(w) - k + 1)}) if k else 0
             if s and 100 * both >= 75 * len(s):
                 want[d, i, len(s)] = max(both, want.get((d, i, len(s)), 0))
     assert {(r.doc_id, r.item_id, r.n_item): r.n_shared for r in got} == want and len(got) == len(want)
@@ -375,6 +554,16 @@ def test_line_dedup(docs, rows, empty):
     assert linededup.dedup_lines(empty).count() == 0
 
 
+def test_hot_lines_are_sliced(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "SLICE_ROWS", 20)
+    rows = [(i, f"the line that all documents share\nown line number {i} of this document\nanother line {i % 50} of some") for i in range(400)]
+    rows += [(None, "the line that all documents share"), (3, "the line that all documents share")]
+    got = {(r.doc_id, r.text): r.kept_text for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()}
+    for d, x in rows:
+        want = [y for k, y in enumerate(x.split("\n")) if not (k == 0 and d != 0) and not (k == 2 and d >= 50)]
+        assert got[d, x] == "\n".join(want)
+
+
 @pytest.mark.parametrize("zip64", [False, True])
 def test_zip_round_trip(zip64):
     members = [("a/b.txt", b"hello"), ("é.bin", bytes(range(256)) * 9), ("empty", b"")]
@@ -418,6 +607,14 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(df.limit(0)).count() == 0
 
 
+def test_warc_revisits_name_their_response():
+    first = warc.render(3, "http://b", "response", None, 5, "ab", b"hello", "2024-01-01T00:00:00Z").decode()
+    again = warc.render(9, "http://c", "revisit", 3, 5, "ab", None, "2024-01-01T00:00:00Z").decode()
+    of = lambda x, name: re.search(rf"^{name}: (.*)\r$", x, re.M)[1]
+    assert of(again, "WARC-Refers-To") == of(first, "WARC-Record-ID") != of(again, "WARC-Record-ID")
+    assert of(again, "WARC-Profile") == warc.REVISIT_PROFILE and of(again, "WARC-Refers-To-Date") == of(first, "WARC-Date")
+
+
 def test_chat_trees_and_template(spark):
     rng = random.Random(6)
     nodes = []
@@ -456,6 +653,13 @@ def test_chat_trees_and_template(spark):
     assert chat.format_paths(chat.choose_paths(df.limit(0))).count() == 0
 
 
+def test_reply_cycles_hold_no_path(spark):
+    nodes = [(1, 0, None), (1, 1, 0), (1, 2, 3), (1, 3, 2), (1, 4, 3), (1, 5, 4), (2, 0, 0), (3, 0, None), (4, 0, 1), (4, 1, 2), (4, 2, 0)]
+    df = spark.createDataFrame(nodes, "tree int, node int, parent int").selectExpr("*", "1.0D as score", "'user' as role", "cast(node as string) as text")
+    got = sorted((r.tree, r.node, r["rank"], r.depth) for r in chat.choose_paths(df, top=3).collect())
+    assert got == [(1, 0, 1, 0), (1, 1, 1, 1), (3, 0, 1, 0)]
+
+
 def test_fm_index_matching_statistics():
     rng = np.random.default_rng(1)
     docs = [(i * 3, rng.integers(0, 4, rng.integers(1, 60)).astype(np.uint64)) for i in range(40)]
