@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import math
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .hashing import WordHash, window_hashes, word_hashes
+from .hashing import U, mix, window_hashes
 from .scratch import Scratch, small_side
 
 SPACE = b" \t\n\x0b\x0c\r"
@@ -44,7 +45,13 @@ def _spans(word: str) -> list[str]:
 def _piece_model(path: str):
     """Pieces of a word by a sentencepiece model, and which ids stand for single bytes."""
     proc = sentencepiece.SentencePieceProcessor(model_file=path)
-    return (lambda words: [[i for x in proc.encode(_spans(w), num_threads=1) for i in x] if len(w) > LONG else ids for w, ids in zip(words, proc.encode([w[:LONG] for w in words], num_threads=1), strict=True)]), np.array([proc.is_byte(i) for i in range(proc.get_piece_size())])
+
+    def cut(words: list[str]) -> list[list[int]]:
+        if max(map(len, words)) <= LONG:
+            return proc.encode(words, num_threads=1)
+        return [[i for x in proc.encode(_spans(w), num_threads=1) for i in x] for w in words]
+
+    return cut, np.array([proc.is_byte(i) for i in range(proc.get_piece_size())])
 
 
 def _rank_file(path: str):
@@ -54,20 +61,33 @@ def _rank_file(path: str):
     proc = tiktoken.Encoding("ranks", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={})
     byte = np.zeros(max(ranks.values()) + 1, dtype=bool)
     byte[[r for t, r in ranks.items() if len(t) == 1 and t[0] > 0x7F]] = True
-    return (lambda words: [[i for x in _spans(" " + w) for i in proc.encode_ordinary(x)] for w in words]), byte
+    return (lambda words: [proc.encode_ordinary(" " + w) if len(w) < LONG else [i for x in _spans(" " + w) for i in proc.encode_ordinary(x)] for w in words]), byte
+
+
+class _Index(dict):
+    """Words to numbers in the order in which they come; `new` holds those that nobody has cut yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        k = self[word] = len(self)
+        self.new.append(word)
+        return k
 
 
 class Pieces:
     """Pieces of words by several vocabularies, each in one flat array; a word is cut once. Starts over when it holds `limit` words."""
 
-    limit = 250_000
+    limit = 500_000
 
     def __init__(self, models: list[str]):
         self.cut = [_rank_file(m) if m.endswith(".tiktoken") else _piece_model(m) for m in models]
         self._reset()
 
     def _reset(self) -> None:
-        self.index: dict[bytes, int] = {}
+        self.index = _Index()
         self.flat = [np.zeros(1 << 16, dtype=np.int32) for _ in self.cut]
         self.bounds = [np.zeros(1 << 16, dtype=np.int64) for _ in self.cut]
 
@@ -75,44 +95,58 @@ class Pieces:
     def _room(a: np.ndarray, n: int) -> np.ndarray:
         return a if n <= len(a) else np.concatenate([a, np.zeros(max(len(a), n - len(a)), dtype=a.dtype)])
 
-    def of(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of the words' pieces in order, for each vocabulary."""
+    def of(self, words: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The words' numbers, and the ids of their pieces in order for each vocabulary."""
         if len(self.index) > self.limit:
             self._reset()
-        new = [w for w in dict.fromkeys(words) if w not in self.index]
-        if new:
-            strings, first = [w.decode("utf-8", "replace") for w in new], len(self.index)
-            self.index.update(zip(new, range(first, first + len(new)), strict=True))
+        at = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
+        if self.index.new:
+            strings, last = [w.decode("utf-8", "replace") for w in self.index.new], len(self.index)
+            first = last - len(strings)
             for v, (cut, _) in enumerate(self.cut):
                 got = cut(strings)
-                ends = self.bounds[v][first] + np.cumsum([len(x) for x in got])
-                self.flat[v], self.bounds[v] = self._room(self.flat[v], int(ends[-1])), self._room(self.bounds[v], first + len(new) + 1)
-                self.flat[v][self.bounds[v][first] : ends[-1]] = [i for x in got for i in x]
-                self.bounds[v][first + 1 : first + len(new) + 1] = ends
-        at = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
+                ends = self.bounds[v][first] + np.cumsum(np.fromiter(map(len, got), dtype=np.int64, count=len(got)))
+                self.flat[v], self.bounds[v] = self._room(self.flat[v], int(ends[-1])), self._room(self.bounds[v], last + 1)
+                self.flat[v][self.bounds[v][first] : ends[-1]] = np.fromiter(chain.from_iterable(got), dtype=np.int32, count=int(ends[-1] - self.bounds[v][first]))
+                self.bounds[v][first + 1 : last + 1] = ends
+            self.index.new.clear()
         out = []
         for flat, bounds in zip(self.flat, self.bounds, strict=True):
             lo, n = bounds[at], bounds[at + 1] - bounds[at]
             out.append(flat[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())])
-        return out
+        return at, out
+
+
+def _script_table() -> np.ndarray:
+    """The script of each code point below 0x30000 as a place in SCRIPTS; 255 for Latin's neighbours that are no letters."""
+    points = np.arange(0x30000)
+    table = (np.searchsorted([s for s, _ in SCRIPTS], points, side="right") - 1).astype(np.int64)
+    table[(table < 0) | ((points > 0x5A) & (points < 0x61)) | ((points > 0x7A) & (points < 0xC0))] = 255
+    return table.astype(np.uint8)
+
+
+SCRIPT_OF = _script_table()
 
 
 def _script(text: str) -> str:
     if text.isascii():
         return "latin" if any(map(str.isalpha, text)) else "none"
     points = np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32)
-    at = np.searchsorted([s for s, _ in SCRIPTS], points, side="right") - 1
-    at = at[(at >= 0) & ~((points > 0x5A) & (points < 0x61)) & ~((points > 0x7A) & (points < 0xC0))]
-    return SCRIPTS[np.bincount(at).argmax()][1] if len(at) else "none"
+    counts = np.bincount(SCRIPT_OF[np.minimum(points, len(SCRIPT_OF) - 1)], minlength=256)[: len(SCRIPTS)]
+    return SCRIPTS[counts.argmax()][1] if counts.any() else "none"
 
 
-def _repeat_words(h: np.ndarray, width: int = 3) -> int:
-    """Words inside windows of `width` words that occur twice or more."""
-    if len(h) < width:
+def _repeat_words(at: np.ndarray, width: int = 3) -> int:
+    """Words inside windows of `width` words that occur twice or more; at: a number for each word."""
+    if len(at) < width:
+        return 0
+    h = window_hashes(mix(at.astype(U)), width)
+    order = np.argsort(h)
+    same = h[order][1:] == h[order][:-1]
+    starts = order[np.r_[same, False] | np.r_[False, same]]
+    if not len(starts):
         return 0
-    _, back, n = np.unique(window_hashes(h, width), return_inverse=True, return_counts=True)
-    starts = np.flatnonzero(n[back] > 1)
-    cover = np.zeros(len(h) + 1, dtype=np.int64)
+    cover = np.zeros(len(at) + 1, dtype=np.int64)
     np.add.at(cover, starts, 1)
     np.add.at(cover, starts + width, -1)
     return int((np.cumsum(cover)[:-1] > 0).sum())
@@ -136,7 +170,7 @@ def names(models: list[str]) -> list[str]:
     return [k if i == 0 else f"{k}_{i + 1}" for i in range(len(models)) for k in KINDS]
 
 
-def figures(text: bytes | None, pieces: Pieces, cache: WordHash) -> tuple:
+def figures(text: bytes | None, pieces: Pieces) -> tuple:
     text = text or b""
     words = text.split()
     if not words:
@@ -144,23 +178,24 @@ def figures(text: bytes | None, pieces: Pieces, cache: WordHash) -> tuple:
     string = text.decode("utf-8", "replace")
     word_chars = len(string) - (len(text) - len(text.translate(None, SPACE)))
     found = []
-    for ids, (_, byte) in zip(pieces.of(words), pieces.cut, strict=True):
+    at, cut = pieces.of(words)
+    for ids, (_, byte) in zip(cut, pieces.cut, strict=True):
         n, entropy = len(ids), 0.0
         if n:
             counts = np.unique(ids, return_counts=True)[1]
             p = counts / n
             entropy = float(-(p * np.log2(p)).sum() + (len(counts) - 1) / (2 * n * math.log(2)))
         found += [word_chars / max(n, 1), float(byte[ids].mean()) if n else 0.0, entropy]
-    return len(words), word_chars, len(text) - len(text.translate(None, SYMBOLS)), _dup_lines(text), _repeat_words(word_hashes(text, cache, False)), *found, _script(string)
+    return len(words), word_chars, len(text) - len(text.translate(None, SYMBOLS)), _dup_lines(text), _repeat_words(at), *found, _script(string)
 
 
 def _measure(models: list[str]):
     schema = pa.schema([(n, pa.int64()) for n in BASE] + [(n, pa.float64()) for n in names(models)] + [("script", pa.string())])
 
     def run(batches):
-        pieces, cache = Pieces(models), WordHash()
+        pieces = Pieces(models)
         for batch in batches:
-            rows = [figures(text.as_py(), pieces, cache) for text in batch.column(1)]
+            rows = [figures(text.as_py(), pieces) for text in batch.column(1)]
             cols = list(zip(*rows, strict=True)) if rows else [[] for _ in schema]
             yield pa.record_batch([*[pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], batch.column(0), *batch.columns[2:]], names=[*schema.names, "lang", *batch.schema.names[2:]])
 
