@@ -125,6 +125,13 @@ def pack_samples(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return a.join(late, F.col(key) == F.col("_k")).withColumn("image", F.concat("_b", "bands")).drop("_k", "_b", "bands")
 
 
+def stage_samples(samples: DataFrame, stage: str, key: str, seed: int = 0) -> DataFrame:
+    """The samples of a stage in the order in which it sees them: fit takes the train split by a seeded hash, validate and test theirs by key."""
+    split = {"fit": "train", "validate": "val", "test": "test"}[stage]
+    rows = samples.filter(F.col("split") == split)
+    return rows.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key) if stage == "fit" else rows.orderBy(key)
+
+
 def usable_samples(samples: DataFrame, bad: DataFrame, files: list[DataFrame], split: str) -> DataFrame:
     """Samples of a split that are not listed as bad (country, idx) and have a row in each table of files (country, idx)."""
     out = samples.filter(F.col("split") == split).join(bad, ["country", "idx"], "left_anti")

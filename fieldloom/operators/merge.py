@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -39,3 +39,18 @@ def apply(base: DataFrame, delta: DataFrame, k: float = 1.0) -> DataFrame:
     """base + k * delta; weights without a delta stay."""
     d = delta.select("key", "idx", F.col("v").alias("dv"))
     return base.join(d, ["key", "idx"], "left").select("key", "idx", (F.col("v") + k * F.coalesce("dv", F.lit(0.0))).alias("v"))
+
+
+def save_weights(weights: DataFrame, path: str) -> None:
+    """A model's state as a table (key, shape, kind, values), replacing what is there."""
+    weights.select("key", "shape", "kind", "values").write.mode("overwrite").parquet(path)
+
+
+def load_weights(spark: SparkSession, path: str) -> DataFrame:
+    """The state that save_weights wrote, one row a tensor; a row without values is no tensor and is left out."""
+    return spark.read.parquet(path).select("key", "shape", "kind", "values").filter("values is not null")
+
+
+def long_weights(weights: DataFrame) -> DataFrame:
+    """Tensors to one row a number (key, idx, v), as the merges take them; only of floating kinds."""
+    return weights.filter(F.col("kind").startswith("float")).select("key", F.posexplode("values").alias("idx", "v")).withColumn("idx", F.col("idx").cast("bigint"))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import struct
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fieldloom.functions.geometry import ring_bounds
+from fieldloom.functions.geometry import RING, ring_bounds
 
 FEATURE = (
     "struct<type: string, features: array<struct<type: string, properties: map<string, string>, "
@@ -52,3 +56,74 @@ def drop_helpers(df: DataFrame) -> DataFrame:
 
 def write_grid(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
+
+
+def _wkb(points: list) -> bytes:
+    return struct.pack("<I", len(points)) + b"".join(struct.pack("<dd", p["x"], p["y"]) for p in points)
+
+
+@F.pandas_udf(T.BinaryType())
+def to_wkb(parts: pd.Series) -> pd.Series:
+    """Polygons (array of rings, outer first) as one WKB geometry: a Polygon, or a MultiPolygon of several; null for none."""
+
+    def polygon(rings) -> bytes:
+        return struct.pack("<BII", 1, 3, len(rings)) + b"".join(_wkb(r) for r in rings)
+
+    def one(polygons):
+        if polygons is None or not len(polygons):
+            return None
+        if len(polygons) == 1:
+            return polygon(polygons[0])
+        return struct.pack("<BII", 1, 6, len(polygons)) + b"".join(map(polygon, polygons))
+
+    return pd.Series([one(p) for p in parts], dtype=object)
+
+
+def _read_wkb(blob: bytes) -> list | None:
+    """Polygons of a WKB Polygon or MultiPolygon in either byte order, further dimensions left out; None for another kind."""
+    at = 0
+
+    def number(form: str, order: str):
+        nonlocal at
+        got = struct.unpack_from(order + form, blob, at)
+        at += struct.calcsize(order + form)
+        return got
+
+    def geometry():
+        nonlocal at
+        order = "<" if blob[at] == 1 else ">"
+        at += 1
+        kind = number("I", order)[0]
+        if kind & 0x20000000:
+            at += 4  # a reference system
+        extra = (kind & 0xC0000000).bit_count() + {0: 0, 1: 1, 2: 1, 3: 2}.get((kind & 0xFFFF) // 1000, 0)
+        kind = (kind & 0xFFFF) % 1000
+        if kind == 3:
+            rings = []
+            for _ in range(number("I", order)[0]):
+                flat = [number(f"{2 + extra}d", order) for _ in range(number("I", order)[0])]
+                rings.append([{"x": p[0], "y": p[1]} for p in flat])
+            return [rings] if rings else []
+        if kind == 6:
+            return [p for _ in range(number("I", order)[0]) for p in geometry() or []]
+        return None
+
+    return geometry()
+
+
+@F.pandas_udf(T.ArrayType(T.ArrayType(RING)))
+def from_wkb(blobs: pd.Series) -> pd.Series:
+    """Polygons of WKB geometries; null for null, empty and other kinds."""
+    return pd.Series([(_read_wkb(bytes(b)) or None) if b is not None else None for b in blobs], dtype=object)
+
+
+def read_geoparquet(spark: SparkSession, path: str, geometry: str = "geometry") -> DataFrame:
+    """A table whose geometry column holds WKB: polygons (parts, null for others) and bounds x0, y0, x1, y1 in its place."""
+    df = spark.read.parquet(path).withColumn("parts", from_wkb(F.col(geometry))).drop(geometry)
+    every = F.flatten(F.flatten("parts"))
+    return df.withColumn("_b", F.when(F.col("parts").isNotNull(), ring_bounds(every))).select("*", *[F.col(f"_b.{k}") for k in ("x0", "y0", "x1", "y1")]).drop("_b")
+
+
+def write_geoparquet(df: DataFrame, path: str, parts: str = "parts", geometry: str = "geometry") -> None:
+    """The table with its polygons as WKB in a geometry column, replacing what is there."""
+    df.withColumn(geometry, to_wkb(F.col(parts))).drop(parts).write.mode("overwrite").parquet(path)

@@ -370,3 +370,64 @@ def test_named_losses_without_pixels_are_zero(spark, name):
 def test_unknown_loss_is_an_error(spark):
     with pytest.raises(ValueError, match="no loss is named"):
         metrics.loss(spark.range(1), "hinge")
+
+
+@pytest.mark.parametrize("kind", ["uint8", "uint16", "int16", "float32"])
+@pytest.mark.parametrize("tile", [None, 16, 32])
+def test_tiff_tiles_windows_and_differences(kind, tile):
+    rng = np.random.default_rng(3)
+    b = (rng.integers(0, 250, (3, 41, 37)) - (100 if kind == "int16" else 0)).astype(kind)
+    for predictor in (1, 2) if kind != "float32" else (1,):
+        blob = tiff.encode(b, 500000.0, 9000000.0, 10.0, tile, predictor, 32723, 0)
+        about = tiff.info(blob)
+        assert (about["width"], about["height"], about["count"], about["dtype"], about["tile"], about["epsg"], about["nodata"]) == (37, 41, 3, kind, tile, 32723, 0.0)
+        assert (tiff.decode(blob)[0] == b).all()
+        got, corner = tiff.decode(blob, (10, 5, 20, 100), [2, 0])
+        assert (got == b[[2, 0], 10:30, 5:]).all() and corner == (500050.0, 8999900.0, 10.0)
+        assert tiff.decode(blob, (41, 0, 5, 5))[0].shape == (3, 0, 5)
+
+
+def test_raster_writer_skips_what_is_there(spark, tmp_path):
+    rows = [("a", 2, 3, [[1.0] * 6, [2.0] * 6], 0.0, 0.0, 10.0, 32723), ("b", 2, 3, [[3.0] * 6, [4.0] * 6], 5.0, 5.0, 10.0, None)]
+    df = spark.createDataFrame(rows, "name string, rows int, cols int, bands array<array<double>>, x0 double, y0 double, step double, epsg int")
+    root = f"file://{tmp_path}/out"
+    assert all(r.written for r in tiff.write_rasters(df, root, tile=16).collect()) and not any(r.written for r in tiff.write_rasters(df, root, tile=16).collect())
+    got = {r.path.rpartition("/")[2]: r.bands for r in tiff.read_rasters(files.read_contents(spark, f"{tmp_path}/out", "*.tif"), window=(1, 1, 1, 2), bands=[1]).collect()}
+    assert got == {"a.tif": [[2.0, 2.0]], "b.tif": [[4.0, 4.0]]}
+
+
+def test_profiles():
+    like = {"driver": "X", "dtype": "uint16", "width": 300, "height": 200, "count": 4, "nodata": 0, "photometric": "rgb", "predictor": 3}
+    assert tiff.output_profile(like, 100, 500) == {"driver": "GTiff", "dtype": "uint16", "width": 100, "height": 500, "count": 4, "nodata": 0, "photometric": "rgb", "compress": "deflate", "tiled": True, "blockxsize": 100, "blockysize": 256, "predictor": 2}
+    assert "tiled" not in tiff.output_profile(like, 9, 9, compress=None) and "predictor" not in tiff.output_profile(like, 9, 9, compress=None)
+    assert tiff.mask_profile(like, "uint8") == {"driver": "GTiff", "dtype": "uint8", "width": 300, "height": 200, "count": 1, "nodata": 0, "compress": "deflate", "tiled": True, "blockxsize": 256, "blockysize": 200}
+    assert "nodata" not in tiff.prediction_profile(like, "float32") and tiff.prediction_profile(like, "float32")["count"] == 1
+
+
+def test_geoparquet_round_trip(spark, tmp_path):
+    ring = lambda *p: [{"x": float(x), "y": float(y)} for x, y in (*p, p[0])]
+    a, hole, b = ring((0, 0), (9, 0), (9, 9)), ring((1, 1), (2, 1), (2, 2)), ring((20, 5), (30, 5), (25, 9))
+    rows = [(1, [[a, hole]]), (2, [[a], [b]]), (3, None)]
+    df = spark.createDataFrame(rows, "id int, parts array<array<array<struct<x: double, y: double>>>>")
+    vector.write_geoparquet(df, f"{tmp_path}/g.parquet")
+    got = {r.id: r for r in vector.read_geoparquet(spark, f"{tmp_path}/g.parquet").collect()}
+    plain = lambda parts: None if parts is None else [[[{"x": p["x"], "y": p["y"]} for p in r] for r in q] for q in parts]
+    assert {k: plain(r.parts) for k, r in got.items()} == {k: plain(p) for k, p in rows}
+    assert (got[2].x0, got[2].y0, got[2].x1, got[2].y1) == (0.0, 0.0, 30.0, 9.0) and got[3].x0 is None
+    big_endian_z = b"\x00\x00\x00\x03\xeb" + b"\x00\x00\x00\x01" + b"\x00\x00\x00\x04" + b"".join(__import__("struct").pack(">ddd", x, y, 7.0) for x, y in ((0, 0), (1, 0), (1, 1), (0, 0)))
+    assert vector._read_wkb(big_endian_z) == [[[{"x": float(x), "y": float(y)} for x, y in ((0, 0), (1, 0), (1, 1), (0, 0))]]]
+    assert vector._read_wkb(b"\x01\x01\x00\x00\x00" + b"\x00" * 16) is None
+
+
+def test_weights_round_trip(spark, tmp_path):
+    rows = [("a", "2", "float32", [1.0, 2.0]), ("b", "1", "int64", [3.0]), ("c", "", "float32", None)]
+    merge.save_weights(spark.createDataFrame(rows, "key string, shape string, kind string, values array<double>"), f"{tmp_path}/w")
+    back = merge.load_weights(spark, f"{tmp_path}/w")
+    assert {r.key for r in back.collect()} == {"a", "b"} and sorted((r.key, r.idx, r.v) for r in merge.long_weights(back).collect()) == [("a", 0, 1.0), ("a", 1, 2.0)]
+
+
+def test_stage_samples(spark):
+    df = spark.createDataFrame([(i, "train" if i % 3 else "val") for i in range(30)], "idx int, split string")
+    fit = [r.idx for r in manifest.stage_samples(df, "fit", "idx", 5).collect()]
+    assert sorted(fit) == [i for i in range(30) if i % 3] and fit != sorted(fit) and fit == [r.idx for r in manifest.stage_samples(df.repartition(4), "fit", "idx", 5).collect()]
+    assert [r.idx for r in manifest.stage_samples(df, "validate", "idx").collect()] == list(range(0, 30, 3))
