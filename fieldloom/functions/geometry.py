@@ -202,10 +202,14 @@ def shared_area(a: np.ndarray, b: np.ndarray) -> float:
 
     total = 0.0
     fb = list(fan(b))
+    if not fb:
+        return 0.0
+    low, high = np.array([t.min(0) for _, t in fb]), np.array([t.max(0) for _, t in fb])
     for sa, ta in fan(a):
-        for sb, tb in fb:
-            if (ta.max(0) >= tb.min(0)).all() and (tb.max(0) >= ta.min(0)).all():
-                total += sa * sb * signed_area(clip_convex(ta, tb))
+        # triangles whose bounds meet
+        for k in np.flatnonzero((ta.max(0) >= low).all(axis=1) & (high >= ta.min(0)).all(axis=1)):
+            sb, tb = fb[k]
+            total += sa * sb * signed_area(clip_convex(ta, tb))
     return abs(total)
 
 
@@ -221,8 +225,13 @@ def hausdorff(a: pd.Series, b: pd.Series) -> pd.Series:
     def one(p: np.ndarray, q: np.ndarray) -> float:
         if not len(p) or not len(q):
             return math.nan
-        d = np.hypot(p[:, None, 0] - q[None, :, 0], p[:, None, 1] - q[None, :, 1])
-        return float(max(d.min(1).max(), d.min(0).max()))
+        far, near = 0.0, np.full(len(q), np.inf)
+        step = max(1, 1_000_000 // len(q))
+        for k in range(0, len(p), step):
+            # a block of the distances at a time
+            d = np.hypot(p[k : k + step, None, 0] - q[None, :, 0], p[k : k + step, None, 1] - q[None, :, 1])
+            far, near = max(far, float(d.min(1).max())), np.minimum(near, d.min(0))
+        return max(far, float(near.max()))
 
     return pd.Series([one(_points(p), _points(q)) for p, q in zip(a, b, strict=True)], dtype=float)
 

@@ -431,3 +431,21 @@ def test_stage_samples(spark):
     fit = [r.idx for r in manifest.stage_samples(df, "fit", "idx", 5).collect()]
     assert sorted(fit) == [i for i in range(30) if i % 3] and fit != sorted(fit) and fit == [r.idx for r in manifest.stage_samples(df.repartition(4), "fit", "idx", 5).collect()]
     assert [r.idx for r in manifest.stage_samples(df, "validate", "idx").collect()] == list(range(0, 30, 3))
+
+
+def test_regions_are_the_flood_fill():
+    rng = np.random.default_rng(6)
+    for _ in range(60):
+        v = rng.integers(0, rng.integers(1, 4) + 1, (rng.integers(1, 13), rng.integers(1, 13)))
+        want, k = np.zeros(v.shape, dtype=int), 0
+        for r, c in np.ndindex(*v.shape):
+            if want[r, c]:
+                continue
+            k += 1
+            todo = [(r, c)]
+            while todo:
+                i, j = todo.pop()
+                if 0 <= i < v.shape[0] and 0 <= j < v.shape[1] and not want[i, j] and v[i, j] == v[r, c]:
+                    want[i, j] = k
+                    todo += [(i + 1, j), (i - 1, j), (i, j + 1), (i, j - 1)]
+        assert raster.regions(v).tolist() == want.tolist()
