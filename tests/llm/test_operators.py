@@ -208,10 +208,10 @@ def test_long_words_in_blocks():
 
 
 def test_long_texts(spark):
-    """One word of 300,000 bytes, one line of 30,000 words, 20,000 lines and 40,000 line feeds go through every operator that reads texts."""
+    """One word of 80,000 bytes, one line of 9,000 words, 4,000 lines and 20,000 line feeds go through every operator that reads texts."""
     rng = random.Random(4)
     word = lambda: f"w{rng.randint(0, 9000)}"
-    texts = ["x" + "ab" * 150_000, " ".join(word() for _ in range(30_000)), "\n".join(word() + " some line of its own " + word() for _ in range(20_000)), "\n" * 40_000, None, "short text"]
+    texts = ["x" + "ab" * 40_000, " ".join(word() for _ in range(9_000)), "\n".join(word() + " some line of its own " + word() for _ in range(4_000)), "\n" * 20_000, None, "short text"]
     rows = [(i, x, "en", "s") for i, x in enumerate(texts)] + [(10 + i, x, "en", "s") for i, x in enumerate(texts)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").repartition(4)
     score = {r.doc_id: r.score for r in lmscore.score_documents(df, MODEL).collect()}
