@@ -26,7 +26,9 @@ def shared_dir(spark: SparkSession) -> str:
         named = "file://" + tempfile.mkdtemp(prefix="fieldloom-")
         spark.conf.set("spark.checkpoint.dir", named)
         _delete_on_exit(spark, named)
-    return named.rstrip("/")
+    at, fs = _fs(spark, named.rstrip("/"))
+    # with its file system, so that tasks which write files of their own write them where Spark does
+    return re.sub(r"^file:/(?=[^/])", "file:///", fs.makeQualified(at).toString())
 
 
 def _fs(spark: SparkSession, path: str):

@@ -14,10 +14,10 @@ import re
 import uuid
 
 import pyarrow as pa
-import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import open_read, open_write
 from .scratch import Scratch
 from .zipfmt import data_offset, list_members, write_zip
 
@@ -81,11 +81,6 @@ def parse(record: bytes) -> tuple:
     return page, fields.get("WARC-Target-URI"), kind, None, len(payload), hashlib.sha256(payload).hexdigest(), payload
 
 
-def _open(path: str):
-    fs, at = pyarrow.fs.FileSystem.from_uri(path)
-    return fs, at
-
-
 def _writer(root: str, archive_bytes: int, date: str, zip64: bool):
     schema = pa.schema([("path", pa.string()), ("bytes", pa.int64()), ("records", pa.int64())])
 
@@ -96,9 +91,7 @@ def _writer(root: str, archive_bytes: int, date: str, zip64: bool):
             nonlocal data, index
             path = f"{root}/{uuid.uuid4().hex}.zip"
             blob = write_zip([(DATA, bytes(data)), (INDEX, "".join(index).encode())], zip64)
-            fs, at = _open(path)
-            fs.create_dir(at.rpartition("/")[0], recursive=True)
-            with fs.open_output_stream(at) as out:
+            with open_write(path) as out:
                 out.write(blob)
             rows = pa.record_batch([[path], [len(blob)], [len(index)]], schema=schema)
             data, index = bytearray(), []
@@ -128,8 +121,7 @@ def write_archives(records: DataFrame, root: str, archive_bytes: int = 32_000_00
 
 
 def _ranged(path: str):
-    fs, at = _open(path)
-    file = fs.open_input_file(at)
+    file = open_read(path)
 
     def read(offset: int, length: int) -> bytes:
         file.seek(offset)
