@@ -104,5 +104,31 @@ from c group by conv_id
 """
 
 
+# crc32 of a decimal number: each byte comes in by xor, then eight steps (-1) of the reflected polynomial
+CRC32 = """xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(string_split({0}::varchar, ''), lambda x: [ascii(x)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, x: case when x >= 0 then xor(c, x) else xor(c // 2, case when c % 2 = 1 then 3988292384 else 0 end) end), 4294967295::bigint)"""
+
+OP13 = f"""
+with given as (select doc_id, {WORDS.format('text')} as w, {CRC32.format('doc_id')} as h from documents),
+plan as (select *, len(w)::bigint as n, case when len(w) > 0 then (h // 10) % len(w) end as a from given),
+period as (select *, 1 + (n - a) // (3 + (h // 10) % 8) as p from plan),
+d as (select doc_id, n, case when h % 10 = 0 and n > 0 then list_transform(range(n), lambda i: w[1 + case when i < a then i else a + (i - a) % p end]) else w end as w from period),
+six as (select doc_id, i, array_to_string(w[i + 1 : i + 6], ' ') as s from (select doc_id, w, unnest(range(n - 5)) as i from d where n >= 12)),
+pair as (select x.doc_id, x.i, y.i - x.i as q from six x join six y on x.doc_id = y.doc_id and x.s = y.s and x.i < y.i),
+stretch as (select doc_id, q, min(i) as start, count(*) + 5 + q as length from (select *, i - row_number() over (partition by doc_id, q order by i) as island from pair) group by doc_id, q, island),
+run as (select doc_id, start, length, min(q) as period from stretch where length >= greatest(12, 2 * q) group by 1, 2, 3),
+told as (
+  select doc_id, count(*) as n_runs, arg_max([start, length, period], [length, -start, -period]) as best,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as lines from run group by 1),
+gone as (select doc_id, list(distinct i) as js from (select doc_id, unnest(range(start + period, start + length)) as i from run) group by 1),
+kept as (
+  select d.doc_id, string_agg(x, ' ' order by i) as body
+  from (select doc_id, unnest(w) as x, unnest(range(n)) as i from d) d left join (select doc_id, unnest(js) as i from gone) g using (doc_id, i) where g.doc_id is null group by 1)
+select d.doc_id, coalesce(n_runs, 0)::bigint as n_runs, best[1]::bigint as start, best[2]::bigint as length, best[3]::bigint as period, (1000 * best[2] // best[3])::bigint as exponent_milli,
+  sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(body, '')) as collapsed_sha256
+from d left join told using (doc_id) left join kept using (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": OP1, "op4_parity_join": OP4, "op6_decontaminate": OP6, "op7_line_dedup": OP7, "op8_warc_zip": OP8, "op9_chat_format": OP9, "op10_substring_dedup": OP10}
+    return {"op1_mix_sources": OP1, "op4_parity_join": OP4, "op6_decontaminate": OP6, "op7_line_dedup": OP7, "op8_warc_zip": OP8, "op9_chat_format": OP9, "op10_substring_dedup": OP10, "op13_periodic_runs": OP13}

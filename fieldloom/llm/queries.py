@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import chat, decontam, fertility, linededup, lmscore, mixing, parityjoin, secrets, subdedup, warc
-from .text import word_count
+from . import chat, decontam, fertility, idplanes, linededup, lmscore, mixing, parityjoin, periodic, secrets, subdedup, warc, whitening
+from .text import word_count, words
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,5 +97,44 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whiten_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), k=32).withColumnRenamed("key", "vec_id")
+
+
+def op12_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = idplanes.round_trip(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", end_id=2)
+    return done.select(F.col("key").alias("doc_id"), "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def planted_period(key: Column, text: Column) -> Column:
+    """The text; of every tenth document (crc32 of the key ends in 0) with words its words, from some place on with a period."""
+    h, w = F.crc32(key.cast("string")), words(text)
+    n = F.size(w)
+    g = F.floor(h / 10)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    times = F.ceil((n - a) / p).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice(w, a + 1, p), times)), F.lit(1), n - a)
+    return F.when((h % 10 == 0) & text.rlike(r"[^\x20\x09-\x0D]"), F.array_join(F.concat(F.slice(w, F.lit(1), a), tail), " ")).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    done = periodic.collapse_runs(docs, text=planted_period(F.col("doc_id"), F.col("text")), least=12)
+    # greatest length, then smallest start, then smallest period
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("less"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    return done.withColumn("best", best).select(
+        F.col("key").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.back")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.less")).alias("period"),
+        F.expr("(1000 * best.length) div (-best.less)").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
