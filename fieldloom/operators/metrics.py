@@ -46,13 +46,27 @@ def consensus(crops: DataFrame, by: str) -> DataFrame:
     return pixel.groupBy(by).agg(F.avg("same").alias("consensus"))
 
 
-def class_weights(df: DataFrame, cls: str, n_classes: int) -> DataFrame:
-    """Inverse frequencies that sum to 1 (cls, weight); a class without pixels starts from 1e-5."""
-    spark = df.sparkSession
-    counts = df.groupBy(F.col(cls).alias("cls")).agg(F.count(F.lit(1)).alias("n"))
+#: The weight of a class without pixels, fixed value.
+ABSENT = 1e-5
+
+
+def inverse_frequency(n: Column, total: Column) -> Column:
+    """Weight of a class of n pixels: its inverse share, where those of the classes present sum to 1 (total: sum of 1 / n over them)."""
+    return F.when(n > 0, 1 / (n * total)).otherwise(F.lit(ABSENT))
+
+
+def class_weights(df: DataFrame, cls: str, n_classes: int, ignore: int | None = None) -> DataFrame:
+    """Inverse frequencies of classes 0 .. n_classes - 1 (cls, weight): those of the classes present sum to 1, the others weigh 1e-5.
+
+    Pixels of the ignored class and of classes out of range count nowhere.
+    """
+    spark, kept = df.sparkSession, df.filter(F.col(cls).between(0, n_classes - 1))
+    if ignore is not None:
+        kept = kept.filter(F.col(cls) != ignore)
+    counts = kept.groupBy(F.col(cls).cast("int").alias("cls")).agg(F.count(F.lit(1)).alias("n"))
     every = spark.range(n_classes).select(F.col("id").cast("int").alias("cls")).join(counts, "cls", "left")
-    raw = F.when(F.col("n") > 0, 1 / F.col("n")).otherwise(F.lit(1e-5))
-    return every.withColumn("raw", raw).withColumn("weight", F.col("raw") / F.sum("raw").over(W.partitionBy())).select("cls", "weight")
+    # one row a class
+    return every.withColumn("total", F.sum(1 / F.col("n")).over(W.partitionBy())).select("cls", inverse_frequency(F.col("n"), F.col("total")).alias("weight"))
 
 
 # losses: each an aggregate column over one row a pixel and class (p probability, y 0 or 1), or one row a pixel
@@ -233,10 +247,11 @@ def _tversky_focal(df: DataFrame, weights: dict[int, float] | None = None, **_)
 
 
 def _local_tversky(df: DataFrame, **_) -> DataFrame:
-    """The Tversky-focal loss, each class weighted by its inverse frequency among the pixels at hand."""
-    n = F.sum("y")
-    by = df.groupBy("cls").agg(tversky_focal(F.col("p"), F.col("y"), 0.7, 1.33, 1.0).alias("each"), F.when(n > 0, 1 / n).otherwise(1e-5).alias("raw"))
-    return by.agg(F.coalesce(F.sum(F.col("each") * F.col("raw")) / F.sum("raw"), F.lit(0.0)).alias("loss"))
+    """The Tversky-focal loss, each class weighted by its inverse frequency among the pixels at hand (class_weights)."""
+    by = df.groupBy("cls").agg(tversky_focal(F.col("p"), F.col("y"), 0.7, 1.33, 1.0).alias("each"), F.sum("y").alias("n"))
+    # one row a class
+    total = F.sum(F.when(F.col("n") > 0, 1 / F.col("n"))).over(W.partitionBy())
+    return by.withColumn("weight", inverse_frequency(F.col("n"), total)).agg(F.coalesce(F.sum(F.col("each") * F.col("weight")), F.lit(0.0)).alias("loss"))
 
 
 def _blend(a, wa: float, b, wb: float):

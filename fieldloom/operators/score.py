@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def zonal_mode(pixels: DataFrame, zone: str, value: str) -> DataFrame:
@@ -59,10 +62,9 @@ def most_discrepant(scores: DataFrame, metric: str, n: int, key: str) -> DataFra
 
 
 def least_confident(scores: DataFrame, n: int, key: str, least_ag: float | None = None) -> DataFrame:
-    """The n least confident, by key among equals; only chips with enough agriculture where that is asked."""
+    """The n least confident over all their pixels, by key among equals; only chips with enough agriculture where that is asked."""
     if least_ag is not None:
-        scores = scores.filter(F.col("lc_ag_frac") >= least_ag).filter(~F.isnan("confidence_mean_ag"))
-        return scores.orderBy("confidence_mean_ag", key).limit(n)
+        scores = scores.filter(F.col("lc_ag_frac") >= least_ag)
     return scores.orderBy("confidence_mean", key).limit(n)
 
 
@@ -77,8 +79,16 @@ def seeded_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
 
 
 def score_lines(scores: DataFrame, *columns: str):
-    """Each row's scores as one JSON object; NaN is written as a string."""
-    return scores.withColumn("line", F.to_json(F.struct(*columns)))
+    """Each row's scores as one JSON object; a number that is none is written as NaN, without quotes (as Python's json does)."""
+    fields = []
+    for c in columns:
+        name, kind = F.lit(json.dumps(c) + ":"), scores.schema[c].dataType
+        # to_json of a one-field object, without its braces and name, writes any other value
+        value = F.regexp_extract(F.to_json(F.struct(F.col(c).alias("v")), {"ignoreNullFields": "false"}), r'(?s)^\{"v":(.*)\}$', 1)
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
+            value = F.when(F.isnan(c), "NaN").when(F.col(c) == float("inf"), "Infinity").when(F.col(c) == float("-inf"), "-Infinity").otherwise(value)
+        fields.append(F.concat(name, value))
+    return scores.withColumn("line", F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}")))
 
 
 def disjoint_split(df: DataFrame, key: str, seed: int, sizes: dict[str, int]) -> DataFrame:

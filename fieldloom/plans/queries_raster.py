@@ -68,9 +68,9 @@ def w7(spark, d):
     return score.least_confident(_scores(spark, d).withColumn("confidence_mean", F.round("confidence_mean", 9)), 25, "chip").select("chip")
 
 
-@query("f9_low_confidence_ag", sql("pixels", SCORES + "select chip from s where ag_frac >= 0.2 and mean_ag is not null order by round(mean_ag, 9), chip limit 25"))
+@query("f9_low_confidence_ag", sql("pixels", SCORES + "select chip from s where ag_frac >= 0.2 order by round(mean, 9), chip limit 25"))
 def f9(spark, d):
-    return score.least_confident(_scores(spark, d).withColumn("confidence_mean_ag", F.round("confidence_mean_ag", 9)), 25, "chip", least_ag=0.2).select("chip")
+    return score.least_confident(_scores(spark, d).withColumn("confidence_mean", F.round("confidence_mean", 9)), 25, "chip", least_ag=0.2).select("chip")
 
 
 @query("f8_padding", sql("rasters", "select chip from rasters group by chip having count(*) filter (abs(q) < 20) / count(*)::double <= 0.15"))
@@ -283,9 +283,10 @@ def g17b(spark, d):
     return m.select(*[F.round(c, 9).alias(c) for c in m.columns])
 
 
-@query("g19_class_weights", "with r as (select range::int as cls, coalesce(1.0::double / nullif((select count(*) from embeddings where label = range), 0), 1e-5) as raw from range(12)) select cls, round(raw / sum(raw) over (), 12) as weight from r")
+@query("g19_class_weights", """with v as (select label from embeddings where label <> 3), n as (select label, (select count(*) from v)::double / count(*) as ratio from v where label between 0 and 11 group by 1),
+w as (select label, ratio / sum(ratio) over () as weight from n) select range::int as cls, round(coalesce(weight, 1e-5), 12) as weight from range(12) left join w on label = range""")
 def g19(spark, d):
-    return metrics.class_weights(table(spark, d, "embeddings"), "label", 12).select("cls", F.round("weight", 12).alias("weight"))
+    return metrics.class_weights(table(spark, d, "embeddings"), "label", 12, ignore=3).select("cls", F.round("weight", 12).alias("weight"))
 
 
 LOSS = """&o as (select chip, r, c, abs(q) % 3 as truth, abs(q) % 101 / 100.0::double as p0 from rasters),
@@ -335,13 +336,12 @@ def l5(spark, d):
     return metrics.multiclass(_long(spark, d), "dice", ignore=2).select(F.round("loss", 8).alias("loss"))
 
 
-@query("l6_locally_weighted", sql("rasters", LOSS + """, w as (select truth as cls, 1.0::double / count(*) as raw from l where y = 1 group by 1), v as (select cls, raw / sum(raw) over () as weight from w)
-select round(sum(weight * x), 8) as loss from (select cls, 1 - (sum(p * y) + 1) / (sum(p * y) + 0.3 * sum(p * (1 - y)) + 0.7 * sum((1 - p) * y) + 1) as x from l group by 1) join v using (cls)"""))
+@query("l6_locally_weighted", sql("rasters", LOSS + """, m as (select * from l where truth <> 1), n as (select truth as cls, (select count(*) from m where y = 1)::double / count(*) as ratio from m where y = 1 group by 1),
+w as (select cls, ratio / sum(ratio) over () as weight from n),
+x as (select cls, pow(1 - (sum(p * y) + 1) / (sum(p * y) + 0.7 * sum((1 - p) * y) + 0.3 * sum(p * (1 - y)) + 1), 1 / 1.33) as x from m group by 1)
+select round(sum(coalesce(weight, 1e-5) * x), 8) as loss from x left join w using (cls)"""))
 def l6(spark, d):
-    long = _long(spark, d)
-    w = metrics.class_weights(long.filter("y = 1").withColumn("t", F.col("truth").cast("int")), "t", 3)
-    each = long.groupBy("cls").agg(metrics.LOSSES["tversky"](F.col("p"), F.col("y")).alias("loss"))
-    return each.join(w, "cls").agg(F.round(F.sum(F.col("weight") * F.col("loss")), 8).alias("loss"))
+    return metrics.loss(_long(spark, d), "localtversky", ignore=1).select(F.round("loss", 8).alias("loss"))
 
 
 @query("l7_tversky_ce", sql("rasters", LOSS + """select round(0.5 * (select avg(x) from (select cls, pow(1 - (sum(p * y) + 1) / (sum(p * y) + 0.7 * sum((1 - p) * y) + 0.3 * sum(p * (1 - y)) + 1), 1 / 1.33) as x from l group by 1))
@@ -383,7 +383,7 @@ NAMED_SQL = {
     "logcoshdice+ce": f"select 0.5 * ln((exp(x) + exp(-x)) / 2) + 0.5 * (select v from ce) as v from (select sum({_W} * {_DICE}) as x from z)",
     "ftnmt": f"select sum({_W} * {_FT}) as v from z",
     "ce+ftnmt": f"select 0.5 * (select v from ce) + 0.5 * sum({_W} * {_FT}) as v from z",
-    "localtversky": f"select sum({_TVF} * raw) / sum(raw) as v from (select *, case when n > 0 then 1.0::double / n else 1e-5 end as raw from z)",
+    "localtversky": f"select sum({_TVF} * case when n > 0 then inv / (select sum((select sum(n) from z)::double / n) from z where n > 0) else 1e-5 end) as v from (select *, (select sum(n) from z)::double / nullif(n, 0) as inv from z)",
     "tversky_ce": f"select 0.5 * sum({_W} * {_TVF}) + 0.5 * (select v from ce) as v from z",
     "customtversky": f"select sum({_W} * case when n > 0 then 1 - tp / greatest(tp + case cls when 0 then 0.3 else 0.5 end * fp + case cls when 0 then 0.7 else 0.5 end * fn, 1e-7) else 0 end) as v from z",
 }

@@ -82,13 +82,15 @@ def s13(spark, d):
 
 
 @query("j7_first_two_pairs", sql("scenes", """&s as (select *, row_number() over (partition by tile order by ts, scene_id) as i from scenes),
-p as (select a.tile, a.i as i1, b.i as i2, a.scene_id as s1, b.scene_id as s2, greatest(a.cloud, b.cloud) as c from s a join s b on a.tile = b.tile and a.i < b.i and b.ts >= a.ts + interval 60 days),
-r as (select p.*, l.rung from p join (select unnest([1.0, 2.0, 5.0, 10.0, 20.0])::double as rung) l on p.c < l.rung),
-k as (select *, row_number() over (partition by tile, rung order by i1, i2) as n, count(*) over (partition by tile, rung) as m from r),
-q as (select *, min(rung) over (partition by tile) as low from k where m >= 2 and n <= 2)
-select tile, rung, n, s1, s2 from q where rung = low"""))
+l as (select unnest([1, 2, 3, 4, 5]) as place, unnest([1.0, 2.0, 5.0, 10.0, 20.0])::double as rung, unnest([8, 7, 6, 4, 2]) as months),
+r as (
+  select a.tile, a.i as i1, b.i as i2, a.scene_id as s1, b.scene_id as s2, l.place, l.rung
+  from s a join s b on a.tile = b.tile and a.i < b.i join l on a.cloud <= l.rung and b.cloud <= l.rung and b.ts - a.ts >= to_days((30 * l.months)::int)),
+k as (select *, row_number() over (partition by tile, place order by i1, i2) as n, count(*) over (partition by tile, place) as m from r),
+q as (select *, min(place) over (partition by tile) as low from k where m >= 2 and n <= 2)
+select tile, rung, n, s1, s2 from q where place = low"""))
 def j7(spark, d):
-    return S.first_two_pairs(scenes(spark, d), 2, LADDER)
+    return S.first_two_pairs(scenes(spark, d), [(1, 8), (2, 7), (5, 6), (10, 4), (20, 2)])
 
 
 TIER = """&b as (
@@ -100,7 +102,7 @@ m as (select *, case when doy is null then case when year(day) = y and c <= 0.08
    when day between {lo} and {hi} and c <= 0.02 then 2
    when {m2} and c <= 0.08 then 3 end as tier,
    case when {k2} then 2 when {k3} then 3 when {k4} then 4 when {k5} then 5 end as months from t),
-k as (select *, case tier when 1 then abs(date_diff('day', target, day)) when 3 then months else 0 end as key from m where tier is not null),
+k as (select *, case tier when 1 then abs(epoch_us(ts) - epoch_us(target::timestamp)) when 3 then months else 0 end as key from m where tier is not null),
 w as (select *, row_number() over (partition by chip order by tier, key, case when tier = 1 then 0.0 else c end, ts, scene_id) as rn from k)
 select chip, scene_id, tier from w where rn = 1"""
 _P = {"target": "dt + 45", "lo": "dt + 14", "hi": "dt + 30"} | {f"k{m}": f"day between dt and (dt + interval {m} months)::date" for m in (2, 3, 4, 5)}

@@ -278,9 +278,10 @@ def s12(spark, d):
     return c
 
 
-@query("s14_score_json", """select doc_id, '{"doc_id":' || doc_id || ',"lang":"' || lang || '","n":' || n_chars || '}' as line from documents""")
+@query("s14_score_json", """select doc_id, '{"doc_id":' || doc_id || ',"lang":"' || lang || '","n":' || n_chars || ',"mean":' || case when n_chars % 3 = 0 then 'NaN' else (n_chars // 3) || '.5' end || '}' as line from documents""")
 def s14(spark, d):
-    return score.score_lines(table(spark, d, "documents").select("doc_id", "lang", F.col("n_chars").alias("n")), "doc_id", "lang", "n").select("doc_id", "line")
+    mean = F.expr("if(n_chars % 3 = 0, double('NaN'), n_chars div 3 + 0.5D)").alias("mean")
+    return score.score_lines(table(spark, d, "documents").select("doc_id", "lang", F.col("n_chars").alias("n"), mean), "doc_id", "lang", "n", "mean").select("doc_id", "line")
 
 
 @query("s17_missing_outputs", "select doc_id from documents where doc_id not in (select doc_id from labels)")

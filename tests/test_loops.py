@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import json
 import math
 import random
 
@@ -61,20 +62,61 @@ def test_best_pair_is_the_loop(spark, seed):
     assert got == want
 
 
-def test_first_two_pairs_is_the_loop(spark):
+def literal_two_pairs(items, clouds, gaps):
+    """Rung by rung: scenes of that cloud or less, all pairs in order, the first two that are far enough apart."""
+    for cloud, gap in zip(clouds, gaps, strict=True):
+        fit = sorted((s for s in items if s[3] <= cloud), key=lambda s: (s[2], s[1]))
+        pairs = []
+        for i in range(len(fit)):
+            for j in range(i + 1, len(fit)):
+                if abs((fit[j][2] - fit[i][2]).days) >= gap * 30:
+                    pairs.append((float(cloud), fit[i][1], fit[j][1]))
+                    if len(pairs) == 2:
+                        return dict(enumerate(pairs, 1))
+    return None
+
+
+@pytest.mark.parametrize("gaps", [[2, 2, 2, 2, 2], [6, 5, 4, 3, 1], [0, 0, 0, 0, 0], [1, 2, 3, 4, 5]])
+def test_first_two_pairs_is_the_loop(spark, gaps):
     rows = [(t, k, ts, 0 if c is None else c) for t, k, ts, c in make_scenes(random.Random(9)) if t is not None]
     got = {}
-    for r in scenes.first_two_pairs(spark.createDataFrame(rows, "tile int, scene_id int, ts timestamp_ntz, cloud int"), 2, LADDER).collect():
+    for r in scenes.first_two_pairs(spark.createDataFrame(rows, "tile int, scene_id int, ts timestamp_ntz, cloud int"), list(zip(LADDER, gaps, strict=True))).collect():
         got.setdefault(r.tile, {})[r.n] = (r.rung, r.s1, r.s2)
-    want = {}
-    for t in range(25):
-        items = sorted([r for r in rows if r[0] == t], key=lambda s: (s[2], s[1]))
-        for th in LADDER:
-            pairs = [(float(th), a[1], b[1]) for i, a in enumerate(items) for b in items[i + 1 :] if abs((b[2] - a[2]).days) >= 60 and max(a[3], b[3]) < th][:2]
-            if len(pairs) == 2:
-                want[t] = dict(enumerate(pairs, 1))
-                break
-    assert got == want
+    want = {t: p for t in range(25) if (p := literal_two_pairs([r for r in rows if r[0] == t], LADDER, gaps))}
+    assert got == want and len(want) > 5
+
+
+def test_a_cloud_equal_to_the_rung_is_in(spark):
+    rows = [(1, k, dt.datetime(2021, 1, 1) + dt.timedelta(days=91 * k), 1.0) for k in range(3)]
+    got = scenes.first_two_pairs(spark.createDataFrame(rows, "tile int, scene_id int, ts timestamp_ntz, cloud double"), [(1, 3)])
+    assert sorted((r.n, r.s1, r.s2) for r in got.collect()) == [(1, 0, 1), (2, 0, 2)]
+
+
+def test_the_target_day_is_reached_in_seconds(spark):
+    at = dt.datetime(2021, 1, 1) + dt.timedelta(days=99 + 45)
+    rows = [(1, 1, at - dt.timedelta(hours=66), 0.0, 100, 2021), (1, 2, at + dt.timedelta(hours=71), 0.0, 100, 2021), (2, 3, at - dt.timedelta(hours=66), 0.011, 100, 2021), (2, 4, at + dt.timedelta(hours=71), 0.01, 100, 2021)]
+    df = spark.createDataFrame(rows, "chip int, scene_id int, ts timestamp_ntz, cloud_fraction double, doy int, year int")
+    assert sorted(tuple(r) for r in scenes.tiers(df, False).collect()) == [(1, 1, 1), (2, 4, 1)]
+    assert sorted(tuple(r) for r in scenes.tiers(df, False, target_cloud=0.02).collect()) == [(1, 1, 1), (2, 3, 1)]
+
+
+def test_class_weights_are_of_the_classes_present(spark):
+    df = spark.createDataFrame([(0,)] * 300 + [(1,)] * 100 + [(7,)] * 50 + [(-100,)] * 9, "t int")
+    assert {r.cls: round(r.weight, 9) for r in metrics.class_weights(df, "t", 3, ignore=-100).collect()} == {0: 0.25, 1: 0.75, 2: 1e-5}
+    assert {r.cls: round(r.weight, 9) for r in metrics.class_weights(df, "t", 3, ignore=0).collect()} == {0: 1e-5, 1: 1.0, 2: 1e-5}
+    assert {r.weight for r in metrics.class_weights(df.filter("t < 0"), "t", 3, ignore=-100).collect()} == {1e-5}
+
+
+def test_least_confident_with_agriculture(spark):
+    rows = [(1, 5.0, 9.0, 0.5), (2, 1.0, float("nan"), 0.3), (3, 2.0, 20.0, 0.2), (4, 0.5, 1.0, 0.19)]
+    s = spark.createDataFrame(rows, "chip int, confidence_mean double, confidence_mean_ag double, lc_ag_frac double")
+    assert [r.chip for r in score.least_confident(s, 2, "chip", least_ag=0.2).collect()] == [2, 3]
+
+
+def test_score_lines_are_python_s(spark):
+    rows = [(1, 'a"b\\', 0.5, None), (2, None, float("nan"), float("inf")), (3, "é", 1e-7, -2.0)]
+    got = [r.line for r in score.score_lines(spark.createDataFrame(rows, "id int, name string, a double, b double"), "id", "name", "a", "b").collect()]
+    assert [repr(json.loads(x)) for x in got] == [repr(dict(zip(("id", "name", "a", "b"), r, strict=True))) for r in rows]
 
 
 def test_best_window_is_the_loop(spark):
