@@ -170,16 +170,36 @@ def _load(path: str):
     return tok, bool(plain), re.compile("|".join(added) or "(?!)")
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class _Known(dict):
-    """Ids of chunks as bytes, encoded when first asked for; it starts over at `limit` chunks."""
+    """Ids of chunks as bytes, encoded when first asked for; it starts over at `limit` chunks.
+
+    The pattern keeps ASCII letters, with the space before them, in one piece, and ends it at a stop: such pieces go straight to the tokenizer's model,
+    in whose alphabet ASCII letters stand for themselves.
+    """
 
     def __init__(self, tok, lead: str, limit: int):
-        self.tok, self.lead, self.limit = tok, lead, limit
+        self.tok, self.model, self.lead, self.limit = tok, tok.model, lead, limit
+        self.head = "\u0120" if lead else ""
+        self.stops = {x: self._whole(x) for x in ".,;:!?"}
+
+    def _whole(self, chunk: str) -> bytes:
+        return _packed(self.tok.encode(chunk, add_special_tokens=False).ids)
 
     def __missing__(self, part: str) -> bytes:
         if len(self) >= self.limit:
             self.clear()
-        got = self[part] = np.array(self.tok.encode(self.lead + part, add_special_tokens=False).ids, "<u4").tobytes()
+        if part.isascii():
+            if part.isalpha():
+                got = self[part] = _packed([t.id for t in self.model.tokenize(self.head + part)])
+                return got
+            if part[-1:] in self.stops and part[:-1].isalpha():
+                # a word and its stop are not kept twice
+                return self[part[:-1]] + self.stops[part[-1]]
+        got = self[part] = self._whole(self.lead + part)
         return got
 
 
