@@ -175,7 +175,7 @@ def _packed(ids: list[int]) -> bytes:
 
 
 class _Known(dict):
-    """Ids of chunks as bytes, encoded when first asked for; it starts over at `limit` chunks.
+    """Ids of chunks as bytes, encoded when first asked for. Of two generations of `limit` chunks the older goes, so frequent chunks stay.
 
     The pattern keeps ASCII letters, with the space before them, in one piece, and ends it at a stop: such pieces go straight to the tokenizer's model,
     in whose alphabet ASCII letters stand for themselves.
@@ -183,7 +183,7 @@ class _Known(dict):
 
     def __init__(self, tok, lead: str, limit: int):
         self.tok, self.model, self.lead, self.limit = tok, tok.model, lead, limit
-        self.head = "\u0120" if lead else ""
+        self.head, self.old = "\u0120" if lead else "", {}
         self.stops = {x: self._whole(x) for x in ".,;:!?"}
 
     def _whole(self, chunk: str) -> bytes:
@@ -191,7 +191,11 @@ class _Known(dict):
 
     def __missing__(self, part: str) -> bytes:
         if len(self) >= self.limit:
+            self.old = dict(self)
             self.clear()
+        if part in self.old:
+            got = self[part] = self.old[part]
+            return got
         if part.isascii():
             if part.isalpha():
                 got = self[part] = _packed([t.id for t in self.model.tokenize(self.head + part)])
@@ -207,7 +211,7 @@ class Encoder:
     """Texts to ids. Where the tokenizer allows it, chunks (a word with the space before it, or white space) are encoded once and looked up again.
     Texts with added tokens in them, and all texts of other tokenizers, are encoded whole."""
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 150_000):
         self.tok, self.chunks, self.added = _load(path)
         self.bare, self.spaced = _Known(self.tok, "", limit), _Known(self.tok, " ", limit)
 
