@@ -211,7 +211,7 @@ class Encoder:
     """Texts to ids. Where the tokenizer allows it, chunks (a word with the space before it, or white space) are encoded once and looked up again.
     Texts with added tokens in them, and all texts of other tokenizers, are encoded whole."""
 
-    def __init__(self, path: str, limit: int = 150_000):
+    def __init__(self, path: str, limit: int = 300_000):
         self.tok, self.chunks, self.added = _load(path)
         self.bare, self.spaced = _Known(self.tok, "", limit), _Known(self.tok, " ", limit)
 
