@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -95,16 +96,21 @@ def _paths(a: np.ndarray, b: np.ndarray, cell: int) -> list[tuple[str, np.ndarra
     return rows + [("ring", r) for walk in closed for r in P.loops(list(map(tuple, walk.tolist())))]
 
 
-def _cancel(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
-    """One border between two cells: what only one of them covers."""
-    p = np.array([(x[0], y[0]) for x, y in zip(df["xs"], df["ys"], strict=True)], np.int64)
-    q = np.array([(x[1], y[1]) for x, y in zip(df["xs"], df["ys"], strict=True)], np.int64)
-    base = p.min(axis=0)
-    a, b, m = P.node(p - base, q - base, np.ones(len(p), np.int64))
-    turn = m < 0
-    a, b = np.where(turn[:, None], b, a) + base, np.where(turn[:, None], a, b) + base
-    by = df["by"].iloc[0]
-    return _frame([(by, [x0, x1], [y0, y1]) for (x0, y0), (x1, y1) in zip(a.tolist(), b.tolist(), strict=True)], "by", "xs", "ys")
+def _cancelled(seams: DataFrame, cell: int) -> DataFrame:
+    """What only one side of each border covers: the pieces on a line, with their directions, summed up along it."""
+    x, y = F.col("xs"), F.col("ys")
+    level = y[0] == y[1]
+    a, b = F.when(level, x[0]).otherwise(y[0]), F.when(level, x[1]).otherwise(y[1])
+    way = F.when(a < b, 1).otherwise(-1)
+    ends = seams.select("by", level.alias("level"), F.when(level, y[0]).otherwise(x[0]).alias("line"), F.floor(F.least(a, b) / cell).alias("along"),
+                        F.explode(F.array(F.struct(F.least(a, b).alias("at"), way.alias("turn")), F.struct(F.greatest(a, b).alias("at"), (-way).alias("turn")))).alias("e"))
+    line = ["by", "level", "line", "along"]
+    steps = ends.groupBy(*line, "e.at").agg(F.sum("e.turn").alias("turn"))
+    ordered = W.partitionBy(*line).orderBy("at")
+    net = steps.withColumn("net", F.sum("turn").over(ordered)).withColumn("to", F.lead("at").over(ordered)).filter("net <> 0 and to is not null")
+    along = F.when(F.col("net") > 0, F.array("at", "to")).otherwise(F.array("to", "at"))
+    across = F.array("line", "line")
+    return net.select("by", F.when(F.col("level"), along).otherwise(across).alias("xs"), F.when(F.col("level"), across).otherwise(along).alias("ys"))
 
 
 def _labelled(arcs: DataFrame) -> DataFrame:
@@ -120,27 +126,30 @@ def _labelled(arcs: DataFrame) -> DataFrame:
             return now.drop("to")
 
 
-def _assemble(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
-    """One ring from its paths: from the smallest id along `next`."""
-    path = {(i["x"], i["y"], i["u"], i["v"]): (list(zip(x, y, strict=True)), (n["x"], n["y"], n["u"], n["v"])) for i, n, x, y in zip(df["id"], df["next"], df["xs"], df["ys"], strict=True)}
-    at, walk = min(path), []
-    while at in path:
-        points, onward = path.pop(at)
-        walk += points[:-1]
-        at = onward
-    found = P.loops([(int(x), int(y)) for x, y in walk]) if walk else []
-    return _frame([(df["by"].iloc[0], r[:, 0].tolist(), r[:, 1].tolist()) for r in found], "by", "xs", "ys")
+def _assemble(batches):
+    """Each row's paths put together from the smallest id along `next`, and cut into rings where they meet themselves."""
+    for batch in batches:
+        by, xs, ys = [], [], []
+        for k, parts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            name = lambda i: (i["x"], i["y"], i["u"], i["v"])
+            path = {name(p["id"]): p for p in parts}
+            at, walk = min(path), []
+            while at in path:
+                p = path.pop(at)
+                walk += zip(p["xs"][:-1], p["ys"][:-1], strict=True)
+                at = name(p["next"])
+            for r in P.loops(walk):
+                by.append(k)
+                xs.append(r[:, 0].tolist())
+                ys.append(r[:, 1].tolist())
+        yield pa.record_batch([pa.array(by, batch.schema.field(0).type), pa.array(xs, pa.list_(pa.int64())), pa.array(ys, pa.list_(pa.int64()))], names=["by", "xs", "ys"])
 
 
 def link_paths(found: DataFrame, cell: int, kind: str) -> DataFrame:
     """Rings (by, xs, ys) from what the cells left (by, kind, xs, ys; kind: ring, seam or path). kind (the argument): the type of `by`."""
     found = settled(found, "paths")
     x, y = F.col("xs"), F.col("ys")
-    level = y[0] == y[1]
-    line = F.when(level, y[0]).otherwise(x[0])
-    along = F.floor(F.when(level, F.least(x[0], x[1])).otherwise(F.least(y[0], y[1])) / cell)
-    seams = found.filter("kind = 'seam'").select("by", "xs", "ys", level.alias("level"), line.alias("line"), along.alias("along"))
-    seams = seams.groupBy("by", "level", "line", "along").applyInPandas(_cancel, f"by {kind}, xs array<bigint>, ys array<bigint>")
+    seams = _cancelled(found.filter("kind = 'seam'"), cell)
     arcs = found.filter("kind = 'path'").select("by", "xs", "ys").unionByName(seams)
     n = F.size("xs")
     end = lambda k: F.struct(F.element_at("xs", k).alias("x"), F.element_at("ys", k).alias("y"))
@@ -158,7 +167,9 @@ def link_paths(found: DataFrame, cell: int, kind: str) -> DataFrame:
     labels = _labelled(pairs.filter("next is not null"))
     same = lambda a, b: a["by"].eqNullSafe(b["by"]) & (a["id"] == b["id"])
     whole = arcs.join(pairs, same(arcs, pairs)).join(labels, same(arcs, labels)).select(arcs["by"], arcs["id"], "next", "label", "xs", "ys")
-    rings = whole.groupBy("by", "label").applyInPandas(_assemble, f"by {kind}, xs array<bigint>, ys array<bigint>")
+    # a ring is one row, as it has to be returned
+    parts = whole.groupBy("by", "label").agg(F.collect_list(F.struct("id", "next", "xs", "ys")).alias("parts")).select("by", "parts")
+    rings = parts.mapInArrow(_assemble, f"by {kind}, xs array<bigint>, ys array<bigint>")
     return found.filter("kind = 'ring'").select("by", "xs", "ys").unionByName(rings)
 
 
@@ -174,15 +185,20 @@ def _measured(grid: float, kind: str):
     return run, f"by {kind}, size double, x0 bigint, y0 bigint, x1 bigint, y1 bigint, xs array<bigint>, ys array<bigint>"
 
 
-def _around(key: tuple, shells: pd.DataFrame, holes: pd.DataFrame) -> pd.DataFrame:
-    """One shell and holes that may lie in it: those that do."""
-    if not len(shells) or not len(holes):
-        return _frame([], "hole", "shell", "size")
-    ring = np.stack((np.asarray(shells["xs"].iloc[0], np.int64), np.asarray(shells["ys"].iloc[0], np.int64)), axis=1)
-    base = ring.min(axis=0)
-    mid = np.stack((holes["mx"], holes["my"]), axis=1).astype(np.int64) - 2 * base
-    inside = P.holds(ring - base, mid)
-    return _frame([(h, shells["shell"].iloc[0], float(shells["size"].iloc[0])) for h in holes["hole"][inside]], "hole", "shell", "size")
+def _around(batches):
+    """Shells and holes that may lie in them: those that do."""
+    for batch in batches:
+        out = {"hole": [], "shell": [], "size": []}
+        for shell, size, xs, ys, near in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            ring = np.stack((np.array(xs, np.int64), np.array(ys, np.int64)), axis=1)
+            base = ring.min(axis=0)
+            mid = np.array([(h["mx"], h["my"]) for h in near], np.int64) - 2 * base
+            for h, inside in zip(near, P.holds(ring - base, mid).tolist(), strict=True):
+                if inside:
+                    out["hole"].append(h["hole"])
+                    out["shell"].append(shell)
+                    out["size"].append(size)
+        yield pa.record_batch([pa.array(out["hole"], pa.string()), pa.array(out["shell"], pa.string()), pa.array(out["size"], pa.float64())], names=list(out))
 
 
 def polygons(rings: DataFrame, cell: int, grid: float, kind: str) -> DataFrame:
@@ -197,9 +213,9 @@ def polygons(rings: DataFrame, cell: int, grid: float, kind: str) -> DataFrame:
     h = h.withColumns({"_gx": F.floor(F.col("x0") / cell), "_gy": F.floor(F.col("y0") / cell)})
     near = h.join(s, (F.col("gx") == F.col("_gx")) & (F.col("gy") == F.col("_gy")) & F.col("by").eqNullSafe(F.col("_by")))
     near = near.filter("x0 >= _x0 and y0 >= _y0 and x1 <= _x1 and y1 <= _y1 and _s > -size").select("hole", "shell", "mx", "my")
-    left = shells.select(F.to_json("id").alias("k"), F.to_json("id").alias("shell"), "size", "xs", "ys").groupBy("k")
-    right = near.select(F.to_json("shell").alias("k"), F.to_json("hole").alias("hole"), "mx", "my").groupBy("k")
-    inside = left.cogroup(right).applyInPandas(_around, "hole string, shell string, size double")
+    asked = near.groupBy(F.to_json("shell").alias("shell")).agg(F.collect_list(F.struct(F.to_json("hole").alias("hole"), "mx", "my")).alias("near"))
+    pairs = shells.select(F.to_json("id").alias("shell"), "size", "xs", "ys").join(asked, "shell")
+    inside = pairs.select("shell", "size", "xs", "ys", "near").mapInArrow(_around, "hole string, shell string, size double")
     owner = inside.groupBy("hole").agg(F.min_by("shell", "size").alias("shell"))
     scale = lambda c: F.transform(F.concat(F.col(c), F.slice(F.col(c), 1, 1)), lambda v: v * F.lit(float(grid)))
     shown = F.zip_with(scale("xs"), scale("ys"), lambda x, y: F.struct(x.alias("x"), y.alias("y")))

@@ -70,12 +70,12 @@ def e8(spark, d):
     return got.select("field_id", "part", F.size("holes").alias("n_holes"), F.round("area", 4).alias("area"))
 
 
-@query("e16_regions", sql("rasters", """&n as (select chip, r, c, r * 8 + c as at, bad from rasters),
-reach(chip, at, low) as (
-  select chip, at, at from n union
-  select a.chip, b.at, a.low from reach a join n f on f.chip = a.chip and f.at = a.at join n b on b.chip = a.chip and b.bad = f.bad and abs(b.r - f.r) + abs(b.c - f.c) = 1),
-l as (select chip, at, min(low) as low from reach group by 1, 2),
-z as (select n.chip, n.bad, l.low, count(*) as area from n join l using (chip, at) group by all)
+@query("e16_regions", sql("rasters", """&n as (select chip, r, c, r * 8 + c as pos, bad from rasters),
+reach(chip, pos, low) as (
+  select chip, pos, pos from n union
+  select a.chip, b.pos, a.low from reach a join n f on f.chip = a.chip and f.pos = a.pos join n b on b.chip = a.chip and b.bad = f.bad and abs(b.r - f.r) + abs(b.c - f.c) = 1),
+l as (select chip, pos, min(low) as low from reach group by 1, 2),
+z as (select n.chip, n.bad, l.low, count(*) as area from n join l using (chip, pos) group by all)
 select chip, bad::double as value, count(*) as n_regions, sum(area)::double as area, max(area)::double as largest from z group by 1, 2"""))
 def e16(spark, d):
     band = F.transform(F.array_sort(F.collect_list(F.struct("r", "c", F.col("bad").cast("double").alias("bad")))), lambda s: s["bad"])
