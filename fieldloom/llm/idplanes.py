@@ -174,21 +174,36 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+#: Signs that end a run of letters; one of them after another stays in one piece.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: The byte-level alphabet: bytes that are not printable in Latin-1 are numbered from 256 on.
+PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+ALPHABET = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in PRINTED)}
+
+
 class _Known(dict):
     """Ids of chunks as bytes, encoded when first asked for. Of two generations of `limit` chunks the older goes, so frequent chunks stay.
 
-    The pattern keeps ASCII letters, with the space before them, in one piece, and ends it at a stop: such pieces go straight to the tokenizer's model,
-    in whose alphabet ASCII letters stand for themselves.
+    The pattern keeps a run of letters, with the space before it, in one piece, and the signs after it in another: such letters (Latin ones, which all
+    versions of Unicode know) go straight to the tokenizer's model, written in its alphabet of bytes.
     """
 
     def __init__(self, tok, lead: str, limit: int):
         self.tok, self.model, self.lead, self.limit = tok, tok.model, lead, limit
-        self.head, self.old = "\u0120" if lead else "", {}
-        self.stops = {x: self._whole(x) for x in ".,;:!?"}
+        self.space = ALPHABET[0x20] if lead else ""
+        self.old: dict = {}
+        self.signs: dict = {}
 
     def _whole(self, chunk: str) -> bytes:
         return _packed(self.tok.encode(chunk, add_special_tokens=False).ids)
 
+    def _tail(self, signs: str) -> bytes:
+        if signs not in self.signs:
+            if len(self.signs) >= 10_000:
+                self.signs.clear()
+            self.signs[signs] = self._whole(signs)
+        return self.signs[signs]
+
     def __missing__(self, part: str) -> bytes:
         if len(self) >= self.limit:
             self.old = dict(self)
@@ -196,13 +211,20 @@ class _Known(dict):
         if part in self.old:
             got = self[part] = self.old[part]
             return got
-        if part.isascii():
-            if part.isalpha():
-                got = self[part] = _packed([t.id for t in self.model.tokenize(self.head + part)])
+        letters = part.rstrip(SIGNS)
+        if letters.isalpha():
+            if letters.isascii():
+                spelt = self.space + letters
+            elif max(letters) < "\u0250":
+                spelt = (self.lead + letters).encode().decode("latin-1").translate(ALPHABET)
+            else:
+                spelt = None
+            if spelt is not None:
+                if len(letters) < len(part):
+                    got = self[part] = self[letters] + self._tail(part[len(letters) :])
+                else:
+                    got = self[part] = _packed([t.id for t in self.model.tokenize(spelt)])
                 return got
-            if part[-1:] in self.stops and part[:-1].isalpha():
-                # a word and its stop are not kept twice
-                return self[part[:-1]] + self.stops[part[-1]]
         got = self[part] = self._whole(self.lead + part)
         return got
 
@@ -211,7 +233,7 @@ class Encoder:
     """Texts to ids. Where the tokenizer allows it, chunks (a word with the space before it, or white space) are encoded once and looked up again.
     Texts with added tokens in them, and all texts of other tokenizers, are encoded whole."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 450_000):
         self.tok, self.chunks, self.added = _load(path)
         self.bare, self.spaced = _Known(self.tok, "", limit), _Known(self.tok, " ", limit)
 
