@@ -189,33 +189,73 @@ def signed_area(p: np.ndarray) -> float:
     return float((p[:, 0] * q[:, 1] - q[:, 0] * p[:, 1]).sum() / 2)
 
 
-def shared_area(a: np.ndarray, b: np.ndarray) -> float:
-    """Area common to two simple polygons: signed triangle fans of both, clipped pair by pair."""
+def _flat_edges(rings: list[np.ndarray], origin: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Edges of all rings, those straight up left out: ring, x from left to right, y at both ends, and the sign with which the area below counts."""
+    # a ring without three points has no area
+    size = np.array([len(r) if len(r) > 2 else 0 for r in rings], np.int64)
+    if not size.sum():
+        return tuple(np.zeros(0) for _ in range(6))
+    p = np.concatenate([r for r in rings if len(r) > 2])
+    ring = np.repeat(np.arange(len(rings)), size)
+    p = p - origin[ring]
+    last = np.cumsum(size)[size > 0] - 1
+    after = np.arange(len(p)) + 1
+    after[last] -= size[size > 0]
+    q = p[after]
+    turn = np.sign(np.bincount(ring, p[:, 0] * q[:, 1] - q[:, 0] * p[:, 1], len(rings)))[ring]
+    right = q[:, 0] > p[:, 0]
+    keep = q[:, 0] != p[:, 0]
+    l, r = np.where(right[:, None], p, q)[keep], np.where(right[:, None], q, p)[keep]
+    # of a ring that turns left, edges to the right have the area above them
+    return ring[keep], l[:, 0], r[:, 0], l[:, 1], r[:, 1], (np.where(right, -1.0, 1.0) * turn)[keep]
+
+
+def shared_areas(a: list[np.ndarray], b: list[np.ndarray], block: int = 1_000_000) -> np.ndarray:
+    """Areas common to pairs of simple polygons, all pairs at once.
+
+    A polygon is the signed sum of what lies below its edges, so what two share is the sum over pairs of their edges of what lies below both: the integral of
+    the lower of two straight lines.
+    """
+    n = len(a)
+    first = [r if len(r) else np.zeros((1, 2)) for r in a]
+    origin = np.array([np.minimum(r.min(axis=0), s.min(axis=0)) if len(s) else r.min(axis=0) for r, s in zip(first, b, strict=True)]).reshape(-1, 2)
+    out = np.zeros(n)
+    ka, al, ar, ayl, ayr, sa = _flat_edges(a, origin)
+    kb, bl, br, byl, byr, sb = _flat_edges(b, origin)
+    if not len(ka) or not len(kb):
+        return out
+    lo, hi = np.searchsorted(kb, ka, side="left"), np.searchsorted(kb, ka, side="right")
+    done = np.cumsum(hi - lo)
+    start = 0
+    while start < len(ka):
+        stop = max(start + 1, int(np.searchsorted(done, (done[start - 1] if start else 0) + block, side="right")))
+        count = (hi - lo)[start:stop]
+        i = np.repeat(np.arange(start, stop), count)
+        j = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + lo[i]
+        l, r = np.maximum(al[i], bl[j]), np.minimum(ar[i], br[j])
+        meet = r > l
+        i, j, l, r = i[meet], j[meet], l[meet], r[meet]
+        fa = lambda x: ayl[i] + (ayr[i] - ayl[i]) * ((x - al[i]) / (ar[i] - al[i]))  # noqa: B023, E731
+        fb = lambda x: byl[j] + (byr[j] - byl[j]) * ((x - bl[j]) / (br[j] - bl[j]))  # noqa: B023, E731
+        a0, a1, b0, b1 = fa(l), fa(r), fb(l), fb(r)
+        d0, d1 = a0 - b0, a1 - b1
+        cross = d0 * d1 < 0
+        t = np.where(cross, d0 / np.where(cross, d0 - d1, 1.0), 1.0)
+        at = a0 + (a1 - a0) * t
+        low = (r - l) * ((np.minimum(a0, b0) + np.where(cross, at, np.minimum(a1, b1))) * t + np.where(cross, (at + np.minimum(a1, b1)) * (1 - t), 0.0)) / 2
+        out += np.bincount(ka[i], sa[i] * sb[j] * low, n)
+        start = stop
+    return np.maximum(out, 0.0)
 
-    def fan(p: np.ndarray):
-        p = p[:-1] if len(p) > 1 and (p[0] == p[-1]).all() else p
-        for i in range(1, len(p) - 1):
-            t = np.array([p[0], p[i], p[i + 1]])
-            s = signed_area(t)
-            if s:
-                yield (1, t) if s > 0 else (-1, t[::-1])
-
-    total = 0.0
-    fb = list(fan(b))
-    if not fb:
-        return 0.0
-    low, high = np.array([t.min(0) for _, t in fb]), np.array([t.max(0) for _, t in fb])
-    for sa, ta in fan(a):
-        # triangles whose bounds meet
-        for k in np.flatnonzero((ta.max(0) >= low).all(axis=1) & (high >= ta.min(0)).all(axis=1)):
-            sb, tb = fb[k]
-            total += sa * sb * signed_area(clip_convex(ta, tb))
-    return abs(total)
+
+def shared_area(a: np.ndarray, b: np.ndarray) -> float:
+    """Area common to two simple polygons."""
+    return float(shared_areas([a], [b])[0])
 
 
 @F.pandas_udf(T.DoubleType())
 def polygon_shared_area(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([shared_area(_points(p), _points(q)) for p, q in zip(a, b, strict=True)], dtype=float)
+    return pd.Series(shared_areas([_points(p) for p in a], [_points(q) for q in b]))
 
 
 @F.pandas_udf(T.DoubleType())

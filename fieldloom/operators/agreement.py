@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldloom.functions import geometry as G
 
-from .joins import box_join
+from .joins import box_join, ring_join
 
 BOX = ("x0", "y0", "x1", "y1")
 
@@ -23,6 +23,30 @@ def pair_measures(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
     return pairs.select("l_id", "r_id", shared.alias("shared_area"), *[v.alias(k) for k, v in m.items()], G.centroid_distance(la, rb).alias("centroid_distance"))
 
 
+def ring_measures(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
+    """The measures of pair_measures for polygons (id, ring): touching pairs by their edges, shared areas exact."""
+    a = left.select(F.col("id").alias("l_id"), F.col("ring").alias("l_ring"))
+    b = right.select(F.col("id").alias("r_id"), F.col("ring").alias("r_ring"))
+    pairs = ring_join(a, b, cell).withColumn("shared_area", G.polygon_shared_area(F.col("l_ring"), F.col("r_ring")))
+    m = G.agreement(G.ring_area(F.col("l_ring")), G.ring_area(F.col("r_ring")), F.col("shared_area"))
+    p, q = G.ring_centroid(F.col("l_ring")), G.ring_centroid(F.col("r_ring"))
+    return pairs.select("l_id", "r_id", "shared_area", *[v.alias(k) for k, v in m.items()], F.hypot(p["x"] - q["x"], p["y"] - q["y"]).alias("centroid_distance"))
+
+
+def labelled_fields(labels: DataFrame, fields: DataFrame, cell: float) -> DataFrame:
+    """Left join of labels to the fields that they touch (both id, ring): a row for each pair, and one with nulls for a label that touches none."""
+    pairs = ring_measures(labels, fields, cell)
+    return labels.select(F.col("id").alias("label_id")).join(pairs, F.col("label_id") == F.col("l_id"), "left").drop("l_id").withColumnRenamed("r_id", "field_id")
+
+
+def object_counts(true: DataFrame, predicted: DataFrame, pairs: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """One row: tp (true shapes with a match), fp (predictions without a true shape), fn (true shapes without a match)."""
+    met = matches(pairs, threshold).agg(F.count(F.lit(1)).alias("tp"), F.countDistinct("r_id").alias("used"))
+    n, m = true.agg(F.count(F.lit(1)).alias("n")), predicted.agg(F.count(F.lit(1)).alias("m"))
+    # one row each
+    return met.crossJoin(n).crossJoin(m).selectExpr("tp", "m - used as fp", "n - tp as fn")
+
+
 def best_overlap(pairs: DataFrame) -> DataFrame:
     """For each left shape the right one of greatest iou above 0, the smallest r_id among equals. A right shape may serve several."""
     best = F.max_by(F.struct(*pairs.columns), F.struct("iou", (-F.col("r_id")).alias("r"))).alias("m")

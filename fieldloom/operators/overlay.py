@@ -256,11 +256,17 @@ def repaired(fields: DataFrame, ring: str = "ring", grid: float = 1e-5) -> DataF
     becomes a hole; a ring that runs several times round counts once. Rows that have no area are dropped (null, empty and flat rings too).
     """
 
+    return _with_parts(fields, ring, lambda points: _parts(points, grid))
+
+
+def _with_parts(fields: DataFrame, ring: str, parts) -> DataFrame:
+    """fields with a row for each part that a function makes of a ring: (ring, holes, area), and their number from 0."""
+
     def run(frames):
         for df in frames:
             at, rows = [], []
             for i, points in enumerate(df[ring]):
-                found = _parts(points, grid)
+                found = parts(points)
                 at += [i] * len(found)
                 rows += [(k, *part) for k, part in enumerate(found)]
             out = df.drop(columns=[ring]).iloc[at].reset_index(drop=True)
@@ -270,6 +276,12 @@ def repaired(fields: DataFrame, ring: str = "ring", grid: float = 1e-5) -> DataF
     return fields.select(*[c for c in fields.columns if c != ring], ring).mapInPandas(run, ", ".join([*rest, "part int", f"{ring} {RINGS}", f"holes array<{RINGS}>", "area double"]))
 
 
+def _shown(found, base: np.ndarray, grid: float) -> list[tuple]:
+    """Shells with holes in map units, by falling area."""
+    sized = [(_points(s + base, grid), [_points(h + base, grid) for h in holes], (P.area(s) + sum(P.area(h) for h in holes)) * grid * grid) for s, holes in found]
+    return sorted(sized, key=lambda x: -x[2])
+
+
 def _parts(points, grid: float) -> list[tuple]:
     if points is None or len(points) < 3 or any(p is None for p in points):
         return []
@@ -281,9 +293,42 @@ def _parts(points, grid: float) -> list[tuple]:
     if (p.max(axis=0) - base >= P.LIMIT).any():
         raise ValueError("a polygon is wider than 2^29 grid steps; choose a coarser grid")
     a, b = P.boundary(p - base, np.roll(p, -1, axis=0) - base, odd=True)
-    found = P.with_holes(P.rings(a, b))
-    sized = [(_points(s + base, grid), [_points(h + base, grid) for h in holes], (P.area(s) + sum(P.area(h) for h in holes)) * grid * grid) for s, holes in found]
-    return sorted(sized, key=lambda x: -x[2])
+    return _shown(P.with_holes(P.rings(a, b)), base, grid)
+
+
+def _capsule(a: np.ndarray, b: np.ndarray, distance: float, quarter: int) -> np.ndarray:
+    """All points within a distance of a straight line, its ends in `quarter` steps a quarter turn."""
+    along = np.arctan2(b[1] - a[1], b[0] - a[0])
+    turn = along - np.pi / 2 + np.arange(2 * quarter + 1) * (np.pi / 2 / quarter)
+    arc = distance * np.stack((np.cos(turn), np.sin(turn)), axis=1)
+    return np.concatenate((b + arc, a - arc))
+
+
+def ribbons(fields: DataFrame, distance: float, ring: str = "ring", grid: float = 1e-5, quarter: int = 8) -> DataFrame:
+    """fields with what lies within a distance of each polygon's outline: a row for each part, with `part`, `ring`, `holes`, `area`.
+
+    The outline is buffered edge by edge, ends and corners round in `quarter` steps a quarter turn (so the area falls short by
+    1 - sin(t) / t of the round parts, t = pi / 2 / quarter), and the pieces united. Null, empty and single-point rings are dropped.
+    """
+    if not distance > 0:
+        raise ValueError("a ribbon has a width above 0")
+
+    def parts(points) -> list[tuple]:
+        if points is None or any(p is None for p in points):
+            return []
+        xy = np.array([(p["x"], p["y"]) for p in points], dtype=float).reshape(-1, 2)
+        if len(xy) < 2 or not np.isfinite(xy).all():
+            return []
+        pieces = [np.rint(_capsule(a, b, distance, quarter) / grid).astype(np.int64) for a, b in zip(xy[:-1], xy[1:], strict=True) if (a != b).any()]
+        if not pieces:
+            return []
+        base = np.concatenate(pieces).min(axis=0)
+        if (np.concatenate(pieces).max(axis=0) - base >= P.LIMIT).any():
+            raise ValueError("a polygon is wider than 2^29 grid steps; choose a coarser grid")
+        a, b = P.boundary(np.concatenate(pieces) - base, np.concatenate([np.roll(r, -1, axis=0) for r in pieces]) - base)
+        return _shown(P.with_holes(P.rings(a, b)), base, grid)
+
+    return _with_parts(fields, ring, parts)
 
 
 #: The sides of a pixel: the neighbour across (row, column) and both ends (x, y); the pixel lies to the left of each.

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fieldloom.functions import geometry as G
-from fieldloom.operators import joins, overlay
+from fieldloom.operators import agreement as A
+from fieldloom.operators import batches, joins, metrics, overlay, simplify
 
 from .registry import query
 from .views import SHAPE_HOLDS, fields, rasters, shapes, sql, table
@@ -89,3 +90,98 @@ def e16_mosaic(spark, d):
     band = F.transform(F.array_sort(F.collect_list(F.struct("r", "c", F.col("bad").cast("double").alias("bad")))), lambda s: s["bad"])
     bands = rasters(spark, d).groupBy("chip").agg(band.alias("band")).selectExpr("chip % 16 as gx", "chip div 16 as gy", "band")
     return overlay.mosaic_regions(bands, 8).groupBy(F.col("by").alias("value")).agg(F.sum("area").alias("area"))
+
+
+# pairs of shapes and of the same shapes moved: what lies below both edges, edge by edge
+MOVED = """&moved as (select field_id, px + field_id % 37 as px, py + field_id % 23 as py, qx + field_id % 37 as qx, qy + field_id % 23 as qy from edges),
+box as (select field_id, min(px) as lx, max(px) as hx, min(py) as ly, max(py) as hy from edges group by 1),
+near as (select a.field_id as l_id, b.field_id as r_id from box a join box b on a.lx <= b.hx + b.field_id % 37 and b.lx + b.field_id % 37 <= a.hx and a.ly <= b.hy + b.field_id % 23 and b.ly + b.field_id % 23 <= a.hy),
+up as (select a.l_id, a.r_id, s.px as apx, s.py as apy, s.qx as aqx, s.qy as aqy, t.px as bpx, t.py as bpy, t.qx as bqx, t.qy as bqy,
+    greatest(least(s.px, s.qx), least(t.px, t.qx)) as l, least(greatest(s.px, s.qx), greatest(t.px, t.qx)) as r
+  from near a join edges s on s.field_id = a.l_id join moved t on t.field_id = a.r_id where s.px <> s.qx and t.px <> t.qx),
+f as (select *, apy + (aqy - apy) * (l - apx) / (aqx - apx) as a0, apy + (aqy - apy) * (r - apx) / (aqx - apx) as a1, bpy + (bqy - bpy) * (l - bpx) / (bqx - bpx) as b0, bpy + (bqy - bpy) * (r - bpx) / (bqx - bpx) as b1 from up where r > l),
+w as (select *, case when (a0 - b0) * (a1 - b1) < 0 then (a0 - b0) / (a0 - b0 - a1 + b1) else 1 end as t from f),
+i as (select l_id, r_id, case when (aqx > apx) = (bqx > bpx) then 1 else -1 end * (r - l) * case when t = 1 then (least(a0, b0) + least(a1, b1)) / 2
+    else ((least(a0, b0) + a0 + (a1 - a0) * t) * t + (a0 + (a1 - a0) * t + least(a1, b1)) * (1 - t)) / 2 end as v from w),
+c as (select l_id, r_id, sum(v) as shared from i group by 1, 2),
+area as (select field_id, abs(sum(px * qy - qx * py)) / 2 as area from edges group by 1),
+pairs as (select l_id, r_id, round(shared, 3) as shared, round(shared / (a.area + b.area - shared), 6) as iou from c join area a on a.field_id = l_id join area b on b.field_id = r_id where shared > 0.001)
+"""
+
+
+def _moved(spark, d):
+    point = lambda p: F.struct((p["x"] + F.col("field_id") % 37).alias("x"), (p["y"] + F.col("field_id") % 23).alias("y"))
+    return shapes(spark, d).withColumn("ring", F.transform("ring", point))
+
+
+def _measures(spark, d):
+    a, b = (f.select(F.col("field_id").alias("id"), "ring") for f in (shapes(spark, d), _moved(spark, d)))
+    return A.ring_measures(a, b, 700).withColumn("iou", F.round("iou", 6)).filter("shared_area > 0.001")
+
+
+@query("j9_shape_measures", sql("shapes", MOVED + "select l_id, r_id, round(shared, 1) as shared_area, iou from pairs"))
+def j9_shapes(spark, d):
+    return _measures(spark, d).select("l_id", "r_id", F.round("shared_area", 1).alias("shared_area"), "iou")
+
+
+@query("j10_shape_overlap", sql("shapes", MOVED + "select l_id, arg_min(r_id, [-iou, r_id]) as r_id, max(iou) as iou from pairs where iou > 0 group by 1"))
+def j10_shapes(spark, d):
+    return A.best_overlap(_measures(spark, d)).select("l_id", "r_id", "iou")
+
+
+@query("j11_shape_matches", sql("shapes", MOVED + "select l_id, min(r_id) as r_id from pairs where iou > 0.5 group by 1"))
+def j11_shapes(spark, d):
+    return A.matches(_measures(spark, d), 0.5).select("l_id", "r_id")
+
+
+@query("g16_shape_scores", sql("shapes", MOVED + """, m as (select l_id, min(r_id) as r_id from pairs where iou > 0.5 group by 1),
+n as (select (select count(*) from m) as tp, (select count(*) from shapes) - (select count(distinct r_id) from m) as fp, (select count(*) from shapes) - (select count(*) from m) as fn)
+select tp, fp, fn, coalesce(tp::double / nullif(tp + fp, 0), 0) as precision, coalesce(tp::double / nullif(tp + fn, 0), 0) as recall, coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0)::double as f1 from n"""))
+def g16_shapes(spark, d):
+    c = A.object_counts(shapes(spark, d), _moved(spark, d), _measures(spark, d))
+    return c.withColumns(metrics.object_scores(F.col("tp"), F.col("fp"), F.col("fn")))
+
+
+@query("u3_shape_false_positives", sql("shapes", MOVED + "select field_id from shapes where field_id not in (select min(r_id) from pairs where iou > 0.5 group by l_id)"))
+def u3_shapes(spark, d):
+    m = A.matches(_measures(spark, d), 0.5).select(F.col("r_id").alias("field_id"))
+    return _moved(spark, d).select("field_id").join(m, "field_id", "left_anti")
+
+
+@query("j16_shape_pixels", sql("shapes", f"&px as (select event_id, (event_id * 37) % 20000 + 0.25::double as x, (event_id * 91) % 20000 + 0.125::double as y, cast(floor(value * 100) as bigint) as q from events) select s.field_id, count(*) as n, sum(q)::bigint as total from px join shapes s on {SHAPE_HOLDS} group by 1"))
+def j16_shapes(spark, d):
+    p = table(spark, d, "events").selectExpr("(event_id * 37) % 20000 + 0.25D as x", "(event_id * 91) % 20000 + 0.125D as y", "cast(floor(value * 100) as bigint) as q")
+    return joins.points_in_rings(p, shapes(spark, d), 700).groupBy("field_id").agg(F.count(F.lit(1)).alias("n"), F.sum("q").alias("total"))
+
+
+@query("s31_batches", "select doc_id, row_number() over (order by doc_id) - 1 as position, (row_number() over (order by doc_id) - 1) // 32 as batch, ((row_number() over (order by doc_id) - 1) % 32)::int as place from labels where quality = 1")
+def s31(spark, d):
+    s = table(spark, d, "labels").selectExpr("doc_id", "if(quality = 1, 'val', 'train') as split")
+    return batches.batches(s, "validate", "doc_id", 32).drop("split")
+
+
+# customers as cells of a crooked lattice, 40 a row, each side with a point a little off its middle that neighbours share
+CORNER = ("100.0::double * ({i}) + (({i}) * 7 + ({j}) * 13) % 10", "100.0::double * ({j}) + (({i}) * 11 + ({j}) * 5) % 10")
+
+
+@query("e12_shared_borders", "with c as (select c_custkey as id, c_custkey % 40 as i, c_custkey // 40 as j from customer), p as (select id, unnest([0, 1, 2, 3]) as k, unnest([i, i + 1, i + 1, i]) as i, unnest([j, j, j + 1, j + 1]) as j from c), x as (select id, k, "
+       + CORNER[0].format(i="i", j="j") + " as x, " + CORNER[1].format(i="i", j="j") + " as y from p) select u.id, 5 as n, round(abs(sum(u.x * v.y - v.x * u.y)) / 2, 3)::double as area from x u join x v on u.id = v.id and v.k = (u.k + 1) % 4 group by 1")
+def e12_shared(spark, d):
+    x = lambda i, j: 100.0 * i + (i * 7 + j * 13) % 10
+    y = lambda i, j: 100.0 * j + (i * 11 + j * 5) % 10
+    i, j = F.col("i"), F.col("j")
+    corners = [(i, j), (i + 1, j), (i + 1, j + 1), (i, j + 1), (i, j)]
+    points = []
+    for (a, b), (u, v) in zip(corners[:-1], corners[1:], strict=True):
+        points += [(x(a, b), y(a, b)), ((x(a, b) + x(u, v)) / 2 + 1.0, (y(a, b) + y(u, v)) / 2 + 1.0)]
+    ring = F.array(*[F.struct(p.alias("x"), q.alias("y")) for p, q in [*points, points[0]]])
+    cells = table(spark, d, "customer").selectExpr("c_custkey as id", "c_custkey % 40 as i", "c_custkey div 40 as j").select("id", ring.alias("ring"))
+    done = simplify.simplify_shared(cells, "id", "ring", 5.0)
+    return done.select("id", F.size("ring").alias("n"), F.round(G.ring_area(F.col("ring")), 3).alias("area"))
+
+
+@query("e11_ribbons", sql("fields", "select field_id, 1 as n_holes, round((2.0 * (x1 - x0 + y1 - y0) * 20 - 400 + 4 * 8 * 100 * sin(pi() / 16) / 2) / 10)::double as area from fields"))
+def e11(spark, d):
+    """Within 10 of each box's outline: bands along four sides, four inner corners once, and quarter rounds of 8 steps outside."""
+    got = overlay.ribbons(_boxes(spark, d).select("field_id", "ring"), 10.0, quarter=8)
+    return got.select("field_id", F.size("holes").alias("n_holes"), F.round(F.col("area") / 10).alias("area"))

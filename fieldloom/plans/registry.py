@@ -20,7 +20,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _load() -> dict[str, tuple[Callable, str | None]]:
-    from . import queries_chips, queries_overlay, queries_projection, queries_raster, queries_scenes, queries_sets  # noqa: F401
+    from . import queries_chips, queries_overlay, queries_projection, queries_raster, queries_scenes, queries_sets, queries_sources  # noqa: F401
 
     return _FOUND
 
