@@ -76,7 +76,7 @@ class Writer:
 
     def __init__(self, out, block: int, planes: int):
         self.out, self.block, self.planes = out, block, planes
-        self.zip = zstandard.ZstdCompressor(level=3)
+        self.zip = zstandard.ZstdCompressor(level=1)
         self.held, self.n_held, self.ids = [], 0, 0
         self.docs, self.index = [], []
         self.at = 0
@@ -233,7 +233,7 @@ class Encoder:
     """Texts to ids. Where the tokenizer allows it, chunks (a word with the space before it, or white space) are encoded once and looked up again.
     Texts with added tokens in them, and all texts of other tokenizers, are encoded whole."""
 
-    def __init__(self, path: str, limit: int = 450_000):
+    def __init__(self, path: str, limit: int = 300_000):
         self.tok, self.chunks, self.added = _load(path)
         self.bare, self.spaced = _Known(self.tok, "", limit), _Known(self.tok, " ", limit)
 
@@ -272,8 +272,7 @@ def _write(root: str, tokenizer: str, end_id: int, block: int, planes: int, file
                 if now is None:
                     path = f"{root}/{part:06d}-{seq:04d}-{uuid.uuid4().hex}.ids"
                     now = Writer(open_write(path), block, planes)
-                body = (text.as_py() or b"").decode("utf-8", "replace")
-                now.add(key.as_py(), np.concatenate((encoder.encode(body), end)))
+                now.add(key.as_py(), np.concatenate((encoder.encode(text.as_py()), end)))
                 if now.ids >= file_ids:
                     yield done()
                     now, seq = None, seq + 1
@@ -290,7 +289,7 @@ def write_ids(docs: DataFrame, key: str, text: str, tokenizer: str, root: str, e
     hold the documents in order. A task names its files anew, so one that runs again leaves at most files that no row names. Write the result
     down before reading from it.
     """
-    given = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")).withColumn("h", F.xxhash64("text"))
+    given = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
     dealt = given.repartitionByRange(F.col("key").asc_nulls_first(), F.col("h")).sortWithinPartitions(F.col("key").asc_nulls_first(), "h", "text").drop("h")
     return dealt.mapInArrow(_write(root, tokenizer, end_id, block, PLANES[planes], file_ids), FILES)
 
