@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -220,3 +221,36 @@ def projected(df: DataFrame, ring: str, crs: str | None, if_missing: str | None
         target = crs if b.x0 is None else zone_of((b.x0 + b.x1) / 2, (b.y0 + b.y1) / 2)
     target = target or crs
     return df.withColumn(ring, convert_ring(F.col(ring), crs, target)), target
+
+
+def convert_rings(source: str):
+    """A function of (ring, system) to the ring in that system, each row with its own; rows of one system are converted together. Null stays null."""
+
+    def work(rings: pd.Series, systems: pd.Series) -> pd.Series:
+        out = pd.Series([None] * len(rings), index=rings.index, dtype=object)
+        for crs, rows in rings[rings.notna() & systems.notna()].groupby(systems):
+            size = np.array([len(r) for r in rows])
+            x, y = (np.array([p[c] for r in rows for p in r], dtype=float) for c in "xy")
+            x, y = convert(x, y, source, crs, ARRAYS)
+            flat = [{"x": a, "y": b} for a, b in zip(np.broadcast_to(x, y.shape).tolist(), y.tolist(), strict=True)]
+            for i, a, n in zip(rows.index, np.cumsum(size) - size, size, strict=True):
+                out[i] = flat[a : a + n]
+        return out
+
+    return F.pandas_udf(work, "array<struct<x:double,y:double>>")
+
+
+def bounds_in(target: str, steps: int = 21):
+    """A function of (x0, y0, x1, y1, system) to the bounds (x0, y0, x1, y1) of that box in another system, from points along its sides."""
+
+    def work(x0: pd.Series, y0: pd.Series, x1: pd.Series, y1: pd.Series, systems: pd.Series) -> pd.DataFrame:
+        out = pd.DataFrame(np.nan, index=x0.index, columns=["x0", "y0", "x1", "y1"])
+        t = np.linspace(0, 1, steps + 1)
+        for crs, rows in systems.groupby(systems):
+            a, b, c, d = (v[rows.index].to_numpy(float)[:, None] for v in (x0, y0, x1, y1))
+            xs, ys = a + (c - a) * t, b + (d - b) * t
+            x, y = convert(np.concatenate((xs, xs, a + 0 * t, c + 0 * t), axis=1), np.concatenate((b + 0 * t, d + 0 * t, ys, ys), axis=1), crs, target, ARRAYS)
+            out.loc[rows.index] = np.stack((x.min(axis=1), y.min(axis=1), x.max(axis=1), y.max(axis=1)), axis=1)
+        return out
+
+    return F.pandas_udf(work, "x0 double, y0 double, x1 double, y1 double")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fieldloom.functions import geometry as G
+from fieldloom.functions.shared import settled
 
 from .joins import box_join, ring_join
 
@@ -81,51 +83,46 @@ def points_to_fields(points: DataFrame, fields: DataFrame, cell: float) -> DataF
     return both.groupBy("field_id").agg(F.min("point_id").alias("point_id"))
 
 
-def quantiles(df: DataFrame, value: str, at: list[float], cells: int = 4096, few: int = 10_000) -> list[float | None]:
-    """Exact quantiles, interpolated between neighbours as usual; None without values.
+def quantiles(df: DataFrame, value: str, at: list[float], cells: int = 4096) -> DataFrame:
+    """One row with the exact quantiles q0, q1, ... interpolated between neighbours as usual; null without values.
 
-    The two order statistics of each quantile are narrowed down by histograms of equal cells: one row for each cell goes through a shuffle, the cell
-    of the rank is cut again, and at most `few` different values with their counts come to the driver in the end.
+    The values are written down once. All order statistics are narrowed down together: a histogram of equal cells over each rank's interval (one row a
+    cell, counted before the shuffle) gives the cell that holds the rank and the smallest and largest value in it, until every interval is one value. The driver
+    receives the intervals alone, two numbers a rank.
     """
-    v = df.select(F.col(value).cast("double").alias("v")).filter("v is not null and not isnan(v)")
+    v = settled(df.select(F.col(value).cast("double").alias("v")).filter("v is not null and not isnan(v)"), "values")
     n, low, high = v.agg(F.count(F.lit(1)), F.min("v"), F.max("v")).first()
+    names = [f"q{i}" for i in range(len(at))]
     if not n:
-        return [None] * len(at)
-
-    def order(k: int) -> float:
-        """The value with k smaller ones before it."""
-        lo, hi, before = low, high, 0
-        while lo < hi:
-            inside = v.filter(F.col("v").between(lo, hi))
-            some = inside.groupBy("v").agg(F.count(F.lit(1)).alias("n")).orderBy("v").limit(few + 1).collect()
-            if len(some) <= few:
-                for x, c in some:
-                    before += c
-                    if k < before:
-                        return x
-            cell = F.least(F.floor((F.col("v") - lo) / (hi - lo) * cells), F.lit(cells - 1))
-            for r in sorted(inside.groupBy(cell.alias("c")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()):
-                if k < before + r.n:
-                    lo, hi = r.lo, r.hi
-                    break
-                before += r.n
-        return lo
-
-    found: dict[int, float] = {}
-    out = []
-    for p in at:
-        k, part = divmod(p * (n - 1), 1)
-        a, b = (found.setdefault(i, order(i)) if i not in found else found[i] for i in (int(k), min(int(k) + 1, n - 1)))
-        out.append(a + (b - a) * part)
-    return out
+        return df.sparkSession.range(1).select(*[F.lit(None).cast("double").alias(c) for c in names])
+    places = [divmod(p * (n - 1), 1) for p in at]
+    ranks = sorted({int(k) for k, _ in places} | {min(int(k) + 1, n - 1) for k, _ in places})
+    # of each rank: the interval that holds it and the number of values before that interval
+    held = {k: (low, high, 0) for k in ranks}
+    while open_ranks := {k: x for k, x in held.items() if x[0] < x[1]}:
+        spans = sorted(set(open_ranks.values()))
+        # intervals of different ranks are equal or apart
+        span = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for i, (lo, hi, _) in enumerate(spans)])
+        hit = F.filter(span, lambda s: F.col("v").between(s["lo"], s["hi"]))[0]
+        cell = F.least(F.floor((F.col("v") - F.col("s.lo")) / (F.col("s.hi") - F.col("s.lo")) * cells), F.lit(cells - 1))
+        counted = v.withColumn("s", hit).filter("s is not null").groupBy("s.i", cell.alias("c")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        # `cells` rows an interval
+        before = F.coalesce(F.sum("n").over(W.partitionBy("i").orderBy("c").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+        wanted = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(spans.index(x)).alias("i"), F.lit(x[2]).alias("b")) for k, x in open_ranks.items()])
+        found = counted.withColumn("before", before).withColumn("w", F.explode(F.filter(wanted, lambda w: (w["i"] == F.col("i")) & (w["k"] >= w["b"] + F.col("before")) & (w["k"] < w["b"] + F.col("before") + F.col("n")))))
+        for r in found.select("w.k", "lo", "hi", (F.col("w.b") + F.col("before")).alias("b")).collect():
+            held[r.k] = (r.lo, r.hi, r.b)
+    out = [held[int(k)][0] + (held[min(int(k) + 1, n - 1)][0] - held[int(k)][0]) * part for k, part in places]
+    return df.sparkSession.range(1).select(*[F.lit(float(x)).alias(c) for c, x in zip(names, out, strict=True)])
 
 
 def quartiles(df: DataFrame, value: str) -> DataFrame:
     """df plus quartile 0..3 by interpolated edges, closed on the right, the lowest included; null outside (no value)."""
-    cuts = quantiles(df, value, [0.25, 0.5, 0.75])
+    # one row
+    cuts = F.broadcast(quantiles(df, value, [0.25, 0.5, 0.75]))
     v = F.col(value)
-    q = F.when(v.isNull() | F.lit(cuts[0] is None), None).when(v <= cuts[0], 0).when(v <= cuts[1], 1).when(v <= cuts[2], 2).otherwise(3)
-    return df.withColumn("quartile", q)
+    q = F.when(v.isNull() | F.col("q0").isNull(), None).when(v <= F.col("q0"), 0).when(v <= F.col("q1"), 1).when(v <= F.col("q2"), 2).otherwise(3)
+    return df.join(cuts, F.lit(True)).withColumn("quartile", q).drop("q0", "q1", "q2")
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldloom.functions import geometry as G
+from fieldloom.functions import projection as J
 
 
 def _bins(df: DataFrame, prefix: str, cell: float) -> DataFrame:
@@ -51,6 +52,20 @@ def ring_join(left: DataFrame, right: DataFrame, cell: float, lr: str = "l_ring"
     return met.drop(*[f"_{s}_{k}" for s in "lr" for k in ("x0", "y0", "x1", "y1")])
 
 
+def fields_in_chips(fields: DataFrame, chips: DataFrame, crs: str, cell: float) -> DataFrame:
+    """Fields (ring, more) with the chips (x0, y0, x1, y1, crs, more) that they touch, each field's ring in the system of its chip.
+
+    crs is the fields' system and cell a bin's side in it. Chips are found by their bounds in that system; a pair that is left is decided on the ring as
+    projected to the chip. All other names distinct.
+    """
+    around = chips.withColumn("_b", J.bounds_in(crs)("x0", "y0", "x1", "y1", "crs"))
+    around = around.select("*", *[F.col(f"_b.{k}").alias(f"_c_{k}") for k in ("x0", "y0", "x1", "y1")]).drop("_b")
+    met = box_join(with_bounds(fields, "ring", "_f_"), around, cell, "_f_", "_c_")
+    met = met.drop(*[f"_{s}_{k}" for s in "fc" for k in ("x0", "y0", "x1", "y1")])
+    moved = met.withColumn("ring", J.convert_rings(crs)("ring", "crs"))
+    return moved.filter(G.rings_touch(F.col("ring"), G.box_ring(*G.box())))
+
+
 def points_in_rings(points: DataFrame, fields: DataFrame, cell: float, ring: str = "ring") -> DataFrame:
     """Points (x, y, more) with the polygons that hold them (inner join, even-odd rule)."""
     p = points.withColumns({"_p_x0": F.col("x"), "_p_y0": F.col("y"), "_p_x1": F.col("x"), "_p_y1": F.col("y")})

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from fieldloom.functions import planar as P
 from fieldloom.functions.shared import settled
 
-PIECES = 2_000
+PIECES = 2_000  # polygons of one cell that are solved together
+LEVELS = 30  # doublings of a cell's side
 RINGS = "array<struct<x:double,y:double>>"
 PARTS = f"ring {RINGS}, holes array<{RINGS}>, area double"
 PATH = "kind string, xs array<bigint>, ys array<bigint>"
@@ -206,12 +207,16 @@ def polygons(rings: DataFrame, cell: int, grid: float, kind: str) -> DataFrame:
     run, schema = _measured(grid, kind)
     rings = settled(rings.mapInPandas(run, schema).withColumn("id", F.struct("by", "size", "x0", "y0", "x1", "y1", F.xxhash64("xs", "ys").alias("h"))), "rings")
     shells, holes = rings.filter("size > 0"), rings.filter("size < 0")
-    bins = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / cell), F.floor(F.col(b) / cell)))
+    # bins of cell * 2^level: a shell goes to the level of its own width, where it covers two bins a side at most; a hole asks all levels
+    wide = F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0")).cast("double")
+    level = F.least(F.greatest(F.ceil(F.log2(wide / cell)), F.lit(0)), F.lit(LEVELS)).cast("int")
+    bins = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / F.col("width")), F.floor(F.col(b) / F.col("width"))))
     s = shells.select(F.col("id").alias("shell"), F.col("by").alias("_by"), F.col("size").alias("_s"), *[F.col(c).alias(f"_{c}") for c in ("x0", "y0", "x1", "y1")])
-    s = s.withColumn("gx", bins("_x0", "_x1")).withColumn("gy", bins("_y0", "_y1"))
+    s = s.withColumn("level", level).withColumn("width", F.lit(cell) * F.pow(F.lit(2.0), F.col("level"))).withColumn("gx", bins("_x0", "_x1")).withColumn("gy", bins("_y0", "_y1"))
     h = holes.select(F.col("id").alias("hole"), "by", "size", "x0", "y0", "x1", "y1", (F.col("xs")[0] + F.col("xs")[1]).alias("mx"), (F.col("ys")[0] + F.col("ys")[1]).alias("my"))
-    h = h.withColumns({"_gx": F.floor(F.col("x0") / cell), "_gy": F.floor(F.col("y0") / cell)})
-    near = h.join(s, (F.col("gx") == F.col("_gx")) & (F.col("gy") == F.col("_gy")) & F.col("by").eqNullSafe(F.col("_by")))
+    h = h.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS)))).withColumn("_width", F.lit(cell) * F.pow(F.lit(2.0), F.col("_level")))
+    h = h.withColumns({"_gx": F.floor(F.col("x0") / F.col("_width")), "_gy": F.floor(F.col("y0") / F.col("_width"))})
+    near = h.join(s, (F.col("level") == F.col("_level")) & (F.col("gx") == F.col("_gx")) & (F.col("gy") == F.col("_gy")) & F.col("by").eqNullSafe(F.col("_by")))
     near = near.filter("x0 >= _x0 and y0 >= _y0 and x1 <= _x1 and y1 <= _y1 and _s > -size").select("hole", "shell", "mx", "my")
     asked = near.groupBy(F.to_json("shell").alias("shell")).agg(F.collect_list(F.struct(F.to_json("hole").alias("hole"), "mx", "my")).alias("near"))
     pairs = shells.select(F.to_json("id").alias("shell"), "size", "xs", "ys").join(asked, "shell")

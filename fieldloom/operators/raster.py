@@ -224,6 +224,27 @@ def resample(rows: int, cols: int, new_rows: int, new_cols: int):
     return _band_udf(lambda b: bilinear(b.reshape(rows, cols), new_rows, new_cols).ravel())
 
 
+def scaled_places(n: int, new: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For `new` samples of n pixels, pixel middles on pixel middles: the pixels on either side and the share of the second."""
+    at = np.maximum((np.arange(new) + 0.5) * (n / new) - 0.5, 0)
+    low = np.minimum(at.astype(int), n - 1)
+    return low, np.minimum(low + 1, n - 1), at - low
+
+
+def rescale(rows: int, cols: int, new_rows: int, new_cols: int, nearest: bool = False):
+    """Bands on a finer or coarser grid of the same extent: linear between pixel middles, or (for classes) the pixel at the start of each new one."""
+
+    def work(b: np.ndarray) -> np.ndarray:
+        v = b.reshape(rows, cols)
+        if nearest:
+            return v[np.arange(new_rows) * rows // new_rows][:, np.arange(new_cols) * cols // new_cols].ravel()
+        (r0, r1, fr), (c0, c1, fc) = scaled_places(rows, new_rows), scaled_places(cols, new_cols)
+        fr, fc = fr[:, None], fc[None]
+        return ((v[r0][:, c0] * (1 - fc) + v[r0][:, c1] * fc) * (1 - fr) + (v[r1][:, c0] * (1 - fc) + v[r1][:, c1] * fc) * fr).ravel()
+
+    return _band_udf(work)
+
+
 def fill(rows: int, cols: int, nodata: float, reach: int = 50):
     def work(b: np.ndarray) -> np.ndarray:
         v = b.reshape(rows, cols)

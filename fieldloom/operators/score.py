@@ -9,6 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldloom.functions import geometry as G
+
 
 def zonal_mode(pixels: DataFrame, zone: str, value: str) -> DataFrame:
     """The most frequent positive value of each zone (the smallest among equals)."""
@@ -16,6 +18,18 @@ def zonal_mode(pixels: DataFrame, zone: str, value: str) -> DataFrame:
     return counts.groupBy(zone).agg(F.max_by(value, F.struct("n", -F.col(value))).alias("mode"))
 
 
+def zonal_or_sampled(pixels: DataFrame, zones: DataFrame, cells: DataFrame, value: str, x_start: float, y_start: float, step: float) -> DataFrame:
+    """The mode of each zone (zone, mode, sampled); of a zone without any positive pixel the raster's value at its centroid, null if that is not positive either.
+
+    pixels: zone, value; zones: zone, ring; cells: row, col, value, one row a pixel of the raster whose first one starts at x_start, y_start.
+    """
+    modes = zonal_mode(pixels, "zone", value)
+    empty = zones.join(modes, "zone", "left_anti").withColumn("_c", G.ring_centroid(F.col("ring"))).select("zone", F.col("_c.x").alias("_x"), F.col("_c.y").alias("_y"))
+    at = empty.withColumns({"row": F.floor((F.col("_y") - y_start) / step).cast("bigint"), "col": F.floor((F.col("_x") - x_start) / step).cast("bigint")})
+    found = at.join(cells.filter(F.col(value) > 0).select(F.col("row").cast("bigint").alias("row"), F.col("col").cast("bigint").alias("col"), F.col(value).alias("mode")), ["row", "col"], "left")
+    return modes.select("zone", "mode", F.lit(False).alias("sampled")).unionByName(found.select("zone", "mode", F.lit(True).alias("sampled")))
+
+
 def cloud_fraction(pixels: DataFrame, zone: str, scl: str = "scl") -> DataFrame:
     """Share of cloud classes 8 and 9 among valid pixels (class not 0); null where none is valid."""
     valid = F.count_if(F.col(scl) != 0)

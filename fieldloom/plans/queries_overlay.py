@@ -105,7 +105,7 @@ i as (select l_id, r_id, case when (aqx > apx) = (bqx > bpx) then 1 else -1 end
     else ((least(a0, b0) + a0 + (a1 - a0) * t) * t + (a0 + (a1 - a0) * t + least(a1, b1)) * (1 - t)) / 2 end as v from w),
 c as (select l_id, r_id, sum(v) as shared from i group by 1, 2),
 area as (select field_id, abs(sum(px * qy - qx * py)) / 2 as area from edges group by 1),
-pairs as (select l_id, r_id, round(shared, 3) as shared, round(shared / (a.area + b.area - shared), 6) as iou from c join area a on a.field_id = l_id join area b on b.field_id = r_id where shared > 0.001)
+pairs as (select l_id, r_id, shared, round(shared / (a.area + b.area - shared), 6) as iou from c join area a on a.field_id = l_id join area b on b.field_id = r_id where shared > 0.001)
 """
 
 
@@ -119,9 +119,9 @@ def _measures(spark, d):
     return A.ring_measures(a, b, 700).withColumn("iou", F.round("iou", 6)).filter("shared_area > 0.001")
 
 
-@query("j9_shape_measures", sql("shapes", MOVED + "select l_id, r_id, round(shared, 1) as shared_area, iou from pairs"))
+@query("j9_shape_measures", sql("shapes", MOVED + "select l_id, r_id, round(shared, 4) as shared_area, iou from pairs"))
 def j9_shapes(spark, d):
-    return _measures(spark, d).select("l_id", "r_id", F.round("shared_area", 1).alias("shared_area"), "iou")
+    return _measures(spark, d).select("l_id", "r_id", F.round("shared_area", 4).alias("shared_area"), "iou")
 
 
 @query("j10_shape_overlap", sql("shapes", MOVED + "select l_id, arg_min(r_id, [-iou, r_id]) as r_id, max(iou) as iou from pairs where iou > 0 group by 1"))

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from fieldloom.functions import geometry as G
 from fieldloom.functions import projection as J
+from fieldloom.operators import joins
 from fieldloom.operators import warp as W
 
 from .queries_chips import UTM_X, UTM_Y
 from .registry import query
-from .views import fields, rasters, shapes, sql
+from .views import chips, fields, rasters, shapes, sql
 
 # points and shapes over Brazil: 20,000 units are 30 degrees, from (-70, -30)
 LON, LAT = "({x} * 0.0015::double - 70)", "({y} * 0.0015::double - 30)"
@@ -88,3 +89,26 @@ def r2_warp(spark, d):
     tiles = b.groupBy("chip").agg(band.alias("band")).selectExpr("chip % 16 as gx", "chip div 16 as gy", "transform(band, v -> v + 1000000) as band")
     done = W.warp(tiles, W.Grid("EPSG:32723", 400000.0, 8700000.0, 10.0, -10.0), 8, W.Grid("EPSG:4326", -45.9175, -11.7565, 0.00009, -0.00009), 128, int(height), block=32)
     return W.pixels_of(done, 32).filter("v <> 0").select("row", "col", F.round(F.col("v") - 1000000, 3).alias("v"))
+
+
+# fields in degrees, chips of 14.5 km in UTM zone 23 south; boxes become four corners, and two convex shapes are apart if a side of one has the other beyond it
+J17 = """&ell as (select e2, e2 / (1 - e2) as ep from (select (1 / 298.257223563::double) * (2 - 1 / 298.257223563::double) as e2)),
+g as (select field_id, unnest([0, 1, 2, 3]) as k, unnest([x0, x1, x1, x0]) / 20000.0::double - 47 as lon, unnest([y0, y0, y1, y1]) / 20000.0::double - 12 as lat from fields),
+p as (select field_id, k, {x} as x, {y} as y from g, ell),
+c as (select chip_id, 280000 + x0 // 2560 * 14500.0::double as x0, 8672000 + y0 // 2560 * 14500.0::double as y0, 280000 + x1 // 2560 * 14500.0::double as x1, 8672000 + y1 // 2560 * 14500.0::double as y1 from chips),
+b as (select field_id, min(x) as lx, min(y) as ly, max(x) as hx, max(y) as hy from p group by 1),
+n as (select field_id, c.* from b join c on lx <= x1 and x0 <= hx and ly <= y1 and y0 <= hy),
+s as (select n.field_id, n.chip_id, max(case when greatest((v.x - u.x) * (y0 - u.y) - (v.y - u.y) * (x0 - u.x), (v.x - u.x) * (y0 - u.y) - (v.y - u.y) * (x1 - u.x), (v.x - u.x) * (y1 - u.y) - (v.y - u.y) * (x0 - u.x), (v.x - u.x) * (y1 - u.y) - (v.y - u.y) * (x1 - u.x)) < 0 then 1 else 0 end) as apart
+  from n join p u on u.field_id = n.field_id join p v on v.field_id = n.field_id and v.k = (u.k + 1) % 4 group by 1, 2),
+a as (select u.field_id, abs(sum(u.x * v.y - v.x * u.y)) / 2 as area from p u join p v on v.field_id = u.field_id and v.k = (u.k + 1) % 4 group by 1)
+select field_id, chip_id, round(area / 10000, 3) as hectares from s join a using (field_id) where apart = 0"""
+
+
+@query("j17_projected_fields", sql("fields chips", J17.format(x=UTM_X.format(lon="lon", lat="lat"), y=UTM_Y.format(lon="lon", lat="lat"))))
+def j17_projected(spark, d):
+    degrees = F.transform(G.box_ring(*G.box()), lambda p: F.struct((p["x"] / 20000.0 - 47).alias("x"), (p["y"] / 20000.0 - 12).alias("y")))
+    f = fields(spark, d).select("field_id", degrees.alias("ring"))
+    side = lambda c, at: f"{at} + {c} div 2560 * 14500.0D as {c}"
+    c = chips(spark, d).selectExpr("chip_id", side("x0", 280000), side("y0", 8672000), side("x1", 280000), side("y1", 8672000), "'EPSG:32723' as crs")
+    met = joins.fields_in_chips(f, c, "EPSG:4326", 0.05)
+    return met.select("field_id", "chip_id", F.round(G.ring_area(F.col("ring")) / 10000, 3).alias("hectares"))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fieldloom.functions import expressions as X
+from fieldloom.functions import geometry as G
 from fieldloom.operators import agreement as A
 from fieldloom.operators import merge, metrics, raster, score
 
 from .registry import query
-from .views import pixels, rasters, sql, table, weights
+from .views import fields, pixels, rasters, sql, table, weights
 
 
 @query("g5_zonal_mode", sql("pixels", "select chip, arg_max(doy, n * 1000 - doy) as mode from (select chip, doy, count(*) as n from pixels where doy > 0 group by 1, 2) group by 1"))
@@ -17,6 +18,18 @@ def g5(spark, d):
     return score.zonal_mode(pixels(spark, d), "chip", "doy")
 
 
+@query("g5_mode_or_sample", sql("pixels fields", """&p as (select chip as zone, doy from pixels where chip % 2 = 0),
+m as (select zone, arg_max(doy, n * 1000 - doy) as mode from (select zone, doy, count(*) as n from p where doy > 0 group by 1, 2) group by 1),
+z as (select field_id as zone, cast(floor((x0 + x1) / 2.0 / 100) as bigint) as col, cast(floor((y0 + y1) / 2.0 / 100) as bigint) as row from fields where field_id not in (select zone from m)),
+c as (select event_id % 210 as row, event_id // 210 as col, max(doy) as doy from pixels group by 1, 2)
+select zone, mode, false as sampled from m union all select z.zone, c.doy, true from z left join c on c.row = z.row and c.col = z.col and c.doy > 0"""))
+def g5b(spark, d):
+    p = pixels(spark, d)
+    cells = p.groupBy((F.col("event_id") % 210).alias("row"), F.expr("event_id div 210").alias("col")).agg(F.max("doy").alias("doy"))
+    zones = fields(spark, d).select(F.col("field_id").alias("zone"), G.box_ring(*G.box()).alias("ring"))
+    return score.zonal_or_sampled(p.filter("chip % 2 = 0").select(F.col("chip").alias("zone"), "doy"), zones, cells, "doy", 0.0, 0.0, 100.0)
+
+
 @query("g6_cloud_fraction", sql("pixels", "select chip, count(*) filter (scl in (8, 9)) / nullif(count(*) filter (scl <> 0), 0)::double as cloud_fraction from pixels group by 1"))
 def g6(spark, d):
     return score.cloud_fraction(pixels(spark, d), "chip")
@@ -162,6 +175,14 @@ def r13(spark, d):
     return e.withColumn("o", raster.confidence(F.col("z"))).select("chip", F.col("o.class").alias("cls"), F.round("o.confidence", 9).alias("confidence"))
 
 
+@query("r13_rescaled", sql("rasters", """select chip, r // 2 * 4 + c // 2 as pos, avg(q)::double as confidence, max(case when r % 2 = 0 and c % 2 = 0 then abs(q) % 3 end)::int as cls from rasters group by 1, 2"""))
+def r13b(spark, d):
+    """Confidence and classes of a model at twice the resolution, brought back to the chip's."""
+    half = lambda f, how: raster.rescale(8, 8, 4, 4, how)(F.transform("band", f))
+    both = _bands(spark, d).select("chip", half(lambda x: x.cast("double"), False).alias("a"), half(lambda x: (F.abs(x) % 3).cast("double"), True).alias("b"))
+    return both.select("chip", F.posexplode(F.arrays_zip("a", "b")).alias("pos", "v")).select("chip", F.col("pos").cast("bigint").alias("pos"), F.col("v.a").alias("confidence"), F.col("v.b").cast("int").alias("cls"))
+
+
 @query("r14_normalize", sql("rasters", "select chip, r, c, q / 3000.0::double as v from rasters"))
 def r14(spark, d):
     return rasters(spark, d).select("chip", "r", "c", raster.normalize(F.col("q"), "by_3000").alias("v"))

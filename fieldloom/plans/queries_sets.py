@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from fieldloom.functions import expressions as X
+from fieldloom.functions import geometry as G
+from fieldloom.functions.shared import shared_folder
 from fieldloom.operators import ledger, manifest, score
+from fieldloom.sources import vector
 
 from .registry import query
-from .views import table
+from .views import fields, sql, table
 
 STEM = "regexp_replace(list_last(string_split(replace(url, '\\', '/'), '/')), '(?i)\\.tiff?$', '')"
 
@@ -271,11 +276,15 @@ def s24(spark, d):
     return ledger.checksums_ok(listed, p.select(F.col("page_id").cast("string").alias("path"), F.col("html").cast("binary").alias("content")))
 
 
-@query("s12_unique_check", "select c_custkey as aoi_id, 'train' as split, true as has_fields, 1 as n_fields from customer")
+@query("s12_unique_check", sql("fields", "select field_id as aoi_id, 'train' as split, true as has_fields, 1 as n_fields, x0::double as x0, y0::double as y0, x1::double as x1, y1::double as y1 from fields"))
 def s12(spark, d):
-    c = table(spark, d, "customer").selectExpr("c_custkey as aoi_id", "'train' as split", "true as has_fields", "1 as n_fields")
-    manifest.check_manifest(c)
-    return c
+    """A manifest with polygons, written as GeoParquet, read back and validated."""
+    m = fields(spark, d).select(F.col("field_id").alias("aoi_id"), F.lit("train").alias("split"), F.lit(True).alias("has_fields"), F.lit(1).alias("n_fields"), F.array(F.array(G.box_ring(*G.box()))).alias("parts"))
+    path = f"{shared_folder(spark)}/manifest-{uuid.uuid4().hex}.parquet"
+    vector.write_geoparquet(m, path)
+    back = vector.read_geoparquet(spark, path)
+    manifest.check_manifest(back)
+    return back.drop("parts")
 
 
 @query("s14_score_json", """select doc_id, '{"doc_id":' || doc_id || ',"lang":"' || lang || '","n":' || n_chars || ',"mean":' || case when n_chars % 3 = 0 then 'NaN' else (n_chars // 3) || '.5' end || '}' as line from documents""")

@@ -145,3 +145,74 @@ def test_farthest_points_are_the_greedy_loop(spark):
 
 def test_columns_of_the_results(spark):
     assert overlay.repaired(spark.createDataFrame([(1, closed((0, 0), (4, 0), (4, 4)), 2.5)], f"part_of int, ring {RING}, w double")).select("part_of", "w", F.size("ring").alias("n")).first() == (1, 2.5, 4)
+
+
+def test_ribbons_are_what_is_near_the_outline(spark):
+    rng = random.Random(12)
+    rings = [closed((0, 0), (40, 0), (40, 30), (0, 30)), closed((0, 0), (40, 5), (20, 30), (15, 12)), closed((0, 0), (3, 0), (3, 3), (0, 3))]
+    rows = [*enumerate(rings), (7, None), (8, closed((1, 1), (1, 1))), (9, [])]
+    got = {}
+    for r in overlay.ribbons(spark.createDataFrame(rows, f"id int, ring {RING}"), 4.0, quarter=32).collect():
+        got.setdefault(r.id, []).append(r)
+    assert set(got) == {0, 1, 2} and [len(got[i]) for i in range(3)] == [1, 1, 1] and not got[2][0].holes
+
+    def gap(ring, x, y):
+        best = 1e9
+        for p, q in zip(ring[:-1], ring[1:], strict=True):
+            dx, dy = q["x"] - p["x"], q["y"] - p["y"]
+            t = max(0.0, min(1.0, ((x - p["x"]) * dx + (y - p["y"]) * dy) / (dx * dx + dy * dy)))
+            best = min(best, ((x - p["x"] - t * dx) ** 2 + (y - p["y"] - t * dy) ** 2) ** 0.5)
+        return best
+
+    for i, ring in enumerate(rings):
+        for _ in range(300):
+            x, y = rng.uniform(-6, 46), rng.uniform(-6, 36)
+            d = gap(ring, x, y)
+            if abs(d - 4.0) > 0.01:
+                part = got[i][0]
+                assert (d < 4.0) == (inside(part.ring, x, y) and not any(inside(h, x, y) for h in part.holes))
+
+
+def test_simplified_neighbours_share_their_border(spark):
+    from fieldloom.operators.simplify import simplify_shared
+
+    rng, n = random.Random(5), 5
+    corner = {(i, j): (100.0 * i + rng.uniform(-20, 20), 100.0 * j + rng.uniform(-20, 20)) for i in range(n + 1) for j in range(n + 1)}
+    sides = {}
+
+    def side(a, b):
+        key = (min(a, b), max(a, b))
+        if key not in sides:
+            (px, py), (qx, qy) = corner[key[0]], corner[key[1]]
+            sides[key] = [(px + (qx - px) * t / 9 + rng.uniform(-6, 6), py + (qy - py) * t / 9 + rng.uniform(-6, 6)) for t in range(1, 9)]
+        return sides[key] if key[0] == a else sides[key][::-1]
+
+    rows = []
+    for i in range(n):
+        for j in range(n):
+            c = [(i, j), (i + 1, j), (i + 1, j + 1), (i, j + 1)]
+            p = [x for a, b in zip(c, [*c[1:], c[0]], strict=True) for x in [corner[a], *side(a, b)]]
+            k = rng.randrange(len(p))
+            p = p[k:] + p[:k]
+            rows.append((i * n + j, closed(*(p if rng.random() < 0.5 else p[::-1]))))
+    island = closed(*[(2000 + 30 * np.cos(t), 30 * np.sin(t)) for t in np.arange(40) * np.pi / 20])
+    rows += [(900, island), (901, [*island[7:-1], *island[:8]]), (902, None)]
+    got = {r.id: r.ring for r in simplify_shared(spark.createDataFrame(rows, f"id int, ring {RING}").repartition(5), "id", "ring", 10.0).collect()}
+    assert got[902] is None and {(p.x, p.y) for p in got[900]} == {(p.x, p.y) for p in got[901]} and 4 < len(got[900]) < 20
+    was, now = sum(len(r) for k, r in rows if k < 900), sum(len(r) for k, r in got.items() if k < 900)
+    assert now < was * 0.6
+    # every edge inside the lattice belongs to two cells, so the cells cover the same without gaps or overlaps
+    count = {}
+    for k in range(n * n):
+        for p, q in zip(got[k][:-1], got[k][1:], strict=True):
+            e = tuple(sorted([(p.x, p.y), (q.x, q.y)]))
+            count[e] = count.get(e, 0) + 1
+    assert max(count.values()) == 2
+    lone = {e for e, c in count.items() if c == 1}
+    ends = {}
+    for p, q in lone:
+        ends[p], ends[q] = ends.get(p, 0) + 1, ends.get(q, 0) + 1
+    assert set(ends.values()) == {2}
+    # corners where three or more sides meet stay
+    points = {(p.x, p.y) for k in range(n * n) for p in got[k]}
+    assert all(corner[i, j] in points for i in range(n + 1) for j in range(n + 1) if not (i in (0, n) and j in (0, n)))
