@@ -103,7 +103,7 @@ def quantiles(df: DataFrame, value: str, at: list[float], cells: int = 4096) ->
         spans = sorted(set(open_ranks.values()))
         # intervals of different ranks are equal or apart
         span = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for i, (lo, hi, _) in enumerate(spans)])
-        hit = F.filter(span, lambda s: F.col("v").between(s["lo"], s["hi"]))[0]
+        hit = F.get(F.filter(span, lambda s: F.col("v").between(s["lo"], s["hi"])), F.lit(0))
         cell = F.least(F.floor((F.col("v") - F.col("s.lo")) / (F.col("s.hi") - F.col("s.lo")) * cells), F.lit(cells - 1))
         counted = v.withColumn("s", hit).filter("s is not null").groupBy("s.i", cell.alias("c")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
         # `cells` rows an interval

@@ -213,3 +213,65 @@ def test_labels_keep_their_row_without_a_field(spark):
     assert got == [(1, 7, 50.0, 1 / 3), (1, 8, 100.0, 1.0), (1, 9, 0.0, 0.0), (2, None, None, None)]
     pairs = agreement.ring_measures(labels, fields, 50)
     assert agreement.object_counts(labels, fields, pairs).first() == (1, 2, 1)
+
+
+def test_fields_meet_chips_of_other_systems(spark):
+    from fieldloom.operators import joins
+
+    lonlat = lambda x, y, s: [{"x": float(u), "y": float(v)} for u, v in ((x, y), (x + s, y), (x + s, y + s), (x, y + s), (x, y))]
+    rng = random.Random(9)
+    rows = [(k, lonlat(rng.uniform(-48.3, -47.7), rng.uniform(-12.1, -11.9), rng.uniform(0.001, 0.03))) for k in range(60)] + [(99, None)]
+    chips = []
+    for k in range(12):
+        zone = 22 if k % 2 else 23
+        x, y = J.utm(np.array([rng.uniform(-48.2, -47.8)]), np.array([rng.uniform(-12.05, -11.95)]), zone, True, J.ARRAYS)
+        chips.append((k, float(x[0]), float(y[0]), float(x[0]) + 2560, float(y[0]) + 2560, f"EPSG:327{zone}"))
+    f = spark.createDataFrame(rows, "field_id int, ring array<struct<x:double,y:double>>")
+    c = spark.createDataFrame(chips, "chip_id int, x0 double, y0 double, x1 double, y1 double, crs string")
+    got = {(r.field_id, r.chip_id): r.ring for r in joins.fields_in_chips(f, c, "EPSG:4326", 0.05).collect()}
+    want = {}
+    for k, ring in rows[:-1]:
+        for chip, x0, y0, x1, y1, crs in chips:
+            x, y = J.convert(np.array([p["x"] for p in ring]), np.array([p["y"] for p in ring]), "EPSG:4326", crs, J.ARRAYS)
+            p = np.stack((x, y), axis=1)
+            box = np.array([(x0, y0), (x1, y0), (x1, y1), (x0, y1)])
+            if G.shared_area(p, box) > 1e-6:
+                want[k, chip] = p
+    assert set(got) == set(want) and len(want) > 10
+    assert all(np.abs(np.array([(p.x, p.y) for p in got[k]]) - want[k]).max() < 1e-6 for k in want)
+
+
+@pytest.mark.parametrize("reach", [2, 50])
+def test_gaps_are_filled_from_four_sides(reach):
+    from fieldloom.operators.raster import fill_gaps
+
+    rng = np.random.default_rng(reach)
+    v = rng.uniform(0, 100, (9, 11))
+    bad = rng.random((9, 11)) < 0.6
+    bad[4] = True
+    got = fill_gaps(v, bad, reach)
+    for r in range(9):
+        for c in range(11):
+            if not bad[r, c]:
+                assert got[r, c] == v[r, c]
+                continue
+            total = weight = 0.0
+            for dr, dc in ((0, 1), (0, -1), (1, 0), (-1, 0)):
+                for d in range(1, reach + 1):
+                    y, x = r + dr * d, c + dc * d
+                    if not (0 <= y < 9 and 0 <= x < 11):
+                        break
+                    if not bad[y, x]:
+                        total, weight = total + v[y, x] / d, weight + 1 / d
+                        break
+            assert math.isclose(got[r, c], total / weight if weight else v[r, c])
+
+
+def test_zones_without_pixels_are_sampled(spark):
+    from fieldloom.operators import score
+
+    box = lambda x, y, s: [{"x": float(u), "y": float(v)} for u, v in ((x, y), (x + s, y), (x + s, y + s), (x, y + s), (x, y))]
+    zones = spark.createDataFrame([(1, box(0, 0, 10)), (2, box(20, 20, 4)), (3, box(40, 40, 4)), (4, box(60, 60, 4))], "zone int, ring array<struct<x:double,y:double>>")
+    pixels = spark.createDataFrame([(1, 7), (1, 7), (1, 3), (2, 0)], "zone int, doy int")
+    cells = spark.createDataFrame([(2, 2, 99), (4, 4, 0), (0, 0, 5)], "row int, col int, doy int")
+    assert sorted(tuple(r) for r in score.zonal_or_sampled(pixels, zones, cells, "doy", 0.0, 0.0, 10.0).collect()) == [(1, 7, False), (2, 99, True), (3, None, True), (4, None, True)]
