@@ -104,9 +104,11 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def human_bytes(n: Column) -> Column:
-    out = F.format_string("%.2f TB", n / F.lit(1024.0**4))
+    # halves go to the even digit, as they do in C and Python; Java's format sends them up
+    shown = lambda power, unit: F.format_string(f"%.2f {unit}", F.bround(n / F.lit(1024.0**power), 2))
+    out = shown(4, "TB")
     for power, unit in ((3, "GB"), (2, "MB"), (1, "KB"), (0, "B")):
-        out = F.when(n < 1024 ** (power + 1), F.format_string(f"%.2f {unit}", n / F.lit(1024.0**power))).otherwise(out)
+        out = F.when(n < 1024 ** (power + 1), shown(power, unit)).otherwise(out)
     return out
 
 
