@@ -30,3 +30,8 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     fs.deleteOnExit(at)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, times: int = 4) -> DataFrame:
+    """df dealt evenly over the cores, before work that costs far more than reading: a file of one row group is read by one task."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism * times)
