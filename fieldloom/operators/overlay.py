@@ -8,6 +8,8 @@ rounds grows with the logarithm of their number.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -16,7 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fieldloom.functions import planar as P
-from fieldloom.functions.shared import settled
+from fieldloom.functions.shared import settled, spread
 
 PIECES = 2_000  # polygons of one cell that are solved together
 LEVELS = 30  # doublings of a cell's side
@@ -63,9 +65,20 @@ def _cut(cell: int, grid: float):
     return run
 
 
-def _edges(df: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    rings = [np.stack((np.asarray(x, np.int64), np.asarray(y, np.int64)), axis=1) for x, y in zip(df["xs"], df["ys"], strict=True)]
-    return np.concatenate(rings), np.concatenate([np.roll(r, -1, axis=0) for r in rings])
+#: Polygons that are united at first, and unions at each further step.
+FIRST, NEXT = 32, 6
+
+
+def _united(df: pd.DataFrame, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The boundary of the union: of some at a time, then of what these leave, so that what lies deep inside is dropped before it meets the rest."""
+    rings = sorted({(tuple(x), tuple(y)) for x, y in zip(df["xs"], df["ys"], strict=True)})
+    rings = [np.array(r, np.int64).T - base for r in rings]
+    found, n = [(r, np.roll(r, -1, axis=0)) for r in rings], FIRST
+    while True:
+        found = [P.boundary(np.concatenate([a for a, _ in found[k : k + n]]), np.concatenate([b for _, b in found[k : k + n]])) for k in range(0, len(found), n)]
+        if len(found) == 1:
+            return found[0]
+        n = NEXT
 
 
 def _solve(cell: int, last: bool):
@@ -74,8 +87,7 @@ def _solve(cell: int, last: bool):
     def run(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
         gx, gy = int(df["gx"].iloc[0]), int(df["gy"].iloc[0])
         base = np.array([gx, gy], np.int64) * cell
-        p, q = _edges(df)
-        a, b = P.boundary(p - base, q - base)
+        a, b = _united(df, base)
         rows = []
         if not last:
             rows = [("ring", r) for r in P.rings(a, b)]
@@ -243,7 +255,8 @@ def dissolve(fields: DataFrame, ring: str = "ring", by: str | Column | None = No
     by = F.lit(None).cast("int") if by is None else F.col(by) if isinstance(by, str) else by
     given = fields.select(by.alias("by"), F.col(ring).alias("ring"))
     kind = given.schema["by"].dataType.simpleString()
-    pieces = settled(given.mapInPandas(_cut(side, grid), f"by {kind}, gx bigint, gy bigint, xs array<bigint>, ys array<bigint>"), "pieces")
+    # copies add nothing to a union
+    pieces = settled(spread(given.distinct()).mapInPandas(_cut(side, grid), f"by {kind}, gx bigint, gy bigint, xs array<bigint>, ys array<bigint>"), "pieces")
     count = pieces.groupBy(F.col("by").alias("_b"), F.col("gx").alias("_x"), F.col("gy").alias("_y")).agg(F.ceil(F.count(F.lit(1)) / PIECES).alias("shares")).filter("shares > 1")
     full = pieces.join(count, F.col("by").eqNullSafe(F.col("_b")) & (F.col("gx") == F.col("_x")) & (F.col("gy") == F.col("_y")), "left").drop("_b", "_x", "_y")
     schema = f"by {kind}, gx bigint, gy bigint, {PATH}"
@@ -261,13 +274,28 @@ def repaired(fields: DataFrame, ring: str = "ring", grid: float = 1e-5) -> DataF
     becomes a hole; a ring that runs several times round counts once. Rows that have no area are dropped (null, empty and flat rings too).
     """
 
-    return _with_parts(fields, ring, lambda points: _parts(points, grid))
+    def form_parts():
+        @lru_cache(FORMS)
+        def solve(form: bytes) -> list:
+            p = np.frombuffer(form, np.int64).reshape(-1, 2)
+            a, b = P.boundary(p, np.roll(p, -1, axis=0), odd=True)
+            return P.with_holes(P.rings(a, b))
+
+        return lambda points: _parts(points, grid, solve)
+
+    return _with_parts(fields, ring, form_parts)
 
 
-def _with_parts(fields: DataFrame, ring: str, parts) -> DataFrame:
-    """fields with a row for each part that a function makes of a ring: (ring, holes, area), and their number from 0."""
+#: Forms that a task remembers.
+FORMS = 2_000
+
+
+def _with_parts(fields: DataFrame, ring: str, form_parts) -> DataFrame:
+    """fields with a row for each part that a function makes of a ring: (ring, holes, area), and their number from 0. form_parts makes that function, for a task."""
 
     def run(frames):
+        # a form that comes again, wherever it lies, is solved once
+        parts = form_parts()
         for df in frames:
             at, rows = [], []
             for i, points in enumerate(df[ring]):
@@ -278,7 +306,7 @@ def _with_parts(fields: DataFrame, ring: str, parts) -> DataFrame:
             yield pd.concat([out, _frame(rows, "part", ring, "holes", "area")], axis=1)
 
     rest = [f"{f.name} {f.dataType.simpleString()}" for f in fields.schema.fields if f.name != ring]
-    return fields.select(*[c for c in fields.columns if c != ring], ring).mapInPandas(run, ", ".join([*rest, "part int", f"{ring} {RINGS}", f"holes array<{RINGS}>", "area double"]))
+    return spread(fields.select(*[c for c in fields.columns if c != ring], ring)).mapInPandas(run, ", ".join([*rest, "part int", f"{ring} {RINGS}", f"holes array<{RINGS}>", "area double"]))
 
 
 def _shown(found, base: np.ndarray, grid: float) -> list[tuple]:
@@ -287,7 +315,7 @@ def _shown(found, base: np.ndarray, grid: float) -> list[tuple]:
     return sorted(sized, key=lambda x: -x[2])
 
 
-def _parts(points, grid: float) -> list[tuple]:
+def _parts(points, grid: float, solve) -> list[tuple]:
     if points is None or len(points) < 3 or any(p is None for p in points):
         return []
     xy = np.array([(p["x"], p["y"]) for p in points], dtype=float)
@@ -297,8 +325,7 @@ def _parts(points, grid: float) -> list[tuple]:
     base = p.min(axis=0)
     if (p.max(axis=0) - base >= P.LIMIT).any():
         raise ValueError("a polygon is wider than 2^29 grid steps; choose a coarser grid")
-    a, b = P.boundary(p - base, np.roll(p, -1, axis=0) - base, odd=True)
-    return _shown(P.with_holes(P.rings(a, b)), base, grid)
+    return _shown(solve((p - base).tobytes()), base, grid)
 
 
 def _capsule(a: np.ndarray, b: np.ndarray, distance: float, quarter: int) -> np.ndarray:
@@ -318,7 +345,7 @@ def ribbons(fields: DataFrame, distance: float, ring: str = "ring", grid: float
     if not distance > 0:
         raise ValueError("a ribbon has a width above 0")
 
-    def parts(points) -> list[tuple]:
+    def parts(points, solve) -> list[tuple]:
         if points is None or any(p is None for p in points):
             return []
         xy = np.array([(p["x"], p["y"]) for p in points], dtype=float).reshape(-1, 2)
@@ -330,10 +357,21 @@ def ribbons(fields: DataFrame, distance: float, ring: str = "ring", grid: float
         base = np.concatenate(pieces).min(axis=0)
         if (np.concatenate(pieces).max(axis=0) - base >= P.LIMIT).any():
             raise ValueError("a polygon is wider than 2^29 grid steps; choose a coarser grid")
-        a, b = P.boundary(np.concatenate(pieces) - base, np.concatenate([np.roll(r, -1, axis=0) for r in pieces]) - base)
-        return _shown(P.with_holes(P.rings(a, b)), base, grid)
+        return _shown(solve((np.concatenate(pieces) - base).tobytes()), base, grid)
+
+    # every piece has as many points
+    points = 2 * (2 * quarter + 1)
+
+    def form_parts():
+        @lru_cache(FORMS)
+        def solve(form: bytes) -> list:
+            p = np.frombuffer(form, np.int64).reshape(-1, points, 2)
+            a, b = P.boundary(p.reshape(-1, 2), np.roll(p, -1, axis=1).reshape(-1, 2))
+            return P.with_holes(P.rings(a, b))
+
+        return lambda ring: parts(ring, solve)
 
-    return _with_parts(fields, ring, parts)
+    return _with_parts(fields, ring, form_parts)
 
 
 #: The sides of a pixel: the neighbour across (row, column) and both ends (x, y); the pixel lies to the left of each.

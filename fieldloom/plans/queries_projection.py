@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fieldloom.functions import geometry as G
 from fieldloom.functions import projection as J
+from fieldloom.functions.shared import spread
 from fieldloom.operators import joins
 from fieldloom.operators import warp as W
 
@@ -36,7 +37,7 @@ def _back(crs):
     def run(spark, d):
         to, back = J.system(crs)
         x, y = to(F.col("lon"), F.col("lat"))
-        p = _points(spark, d).select("field_id", x.alias("x"), y.alias("y"))
+        p = spread(_points(spark, d)).select("field_id", x.alias("x"), y.alias("y"))
         lon, lat = back(F.col("x"), F.col("y"))
         # 0.000001 degrees, without -0
         return p.select("field_id", (F.round(lon, 6) + 0.0).alias("lon"), (F.round(lat, 6) + 0.0).alias("lat"))
