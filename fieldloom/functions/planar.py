@@ -162,20 +162,27 @@ def boundary(p: np.ndarray, q: np.ndarray, m: np.ndarray | None = None, odd: boo
     return np.where(inl[:, None], a, b), np.where(inl[:, None], b, a)
 
 
-def following(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each boundary edge the next one of its ring: at their common point both bound the same wedge of the area. -1: none starts there."""
+def following(a: np.ndarray, b: np.ndarray, plane: np.ndarray | None = None) -> np.ndarray:
+    """For each boundary edge the next one of its ring: at their common point both bound the same wedge of the area. -1: none starts there.
+
+    plane: edges of different numbers (from 0) do not meet; numbers times the extents stay below 2^63."""
     n = len(a)
+    if not n:
+        return np.zeros(0, np.int64)
     place = np.concatenate((a, b))
     out = np.concatenate((np.ones(n, bool), np.zeros(n, bool)))
     away = np.concatenate((b - a, a - b)).astype(float)
     angle = np.arctan2(away[:, 1], away[:, 0])
-    vertex = np.unique(place, axis=0, return_inverse=True)[1].reshape(-1)
+    at, extent = place - place.min(axis=0), np.ptp(place, axis=0) + 1
+    vertex = at[:, 0] * extent[1] + at[:, 1]
+    if plane is not None:
+        vertex += np.concatenate((plane, plane)) * extent.prod()
     order = np.lexsort((angle, vertex))
-    v, o, e = vertex[order], out[order], order % max(n, 1)
+    v, o, e = vertex[order], out[order], order % n
     # the last edge that starts before this one ends, turning left; round the point if there is none
     at = np.maximum.accumulate(np.where(o, np.arange(2 * n), -1))
     begin = np.searchsorted(v, v, side="left")
-    final = at[np.searchsorted(v, v, side="right") - 1] if n else at
+    final = at[np.searchsorted(v, v, side="right") - 1]
     use = np.where(at >= begin, at, np.where(final >= begin, final, -1))
     nxt = np.full(n, -1, np.int64)
     ends = ~o
@@ -232,6 +239,20 @@ def chains(a: np.ndarray, b: np.ndarray, stop: np.ndarray) -> tuple[list[np.ndar
     return paths, closed
 
 
+def walks(nxt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges in the order of their closed walks, where each has a next one, and the length of each walk."""
+    step, used, order, size = nxt.tolist(), bytearray(len(nxt)), [], []
+    for first in range(len(step)):
+        if not used[first]:
+            begun, e = len(order), first
+            while not used[e]:
+                used[e] = 1
+                order.append(e)
+                e = step[e]
+            size.append(len(order) - begun)
+    return np.array(order, np.int64), np.array(size, np.int64)
+
+
 def rings(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
     """The rings of a boundary: shells turn left (positive area), holes right."""
     closed = chains(a, b, np.zeros(len(a), bool))[1]

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from fieldloom.functions import planar as P
 from fieldloom.functions.shared import settled, spread
 
+from .raster import least_labels
+
 PIECES = 2_000  # polygons of one cell that are solved together
 LEVELS = 30  # doublings of a cell's side
 RINGS = "array<struct<x:double,y:double>>"
@@ -378,6 +380,103 @@ def ribbons(fields: DataFrame, distance: float, ring: str = "ring", grid: float
 SIDES = [((-1, 0), (0, 0), (1, 0)), ((0, 1), (1, 0), (1, 1)), ((1, 0), (1, 1), (0, 1)), ((0, -1), (0, 1), (0, 0))]
 
 
+#: Pixels that are outlined at once.
+PIXELS = 65_536
+
+
+def _sides(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The directed edges around the regions of a stack of bands (bands, rows, cols): pixel (its place in the stack) and both ends (x, y in its band). NaN pixels have none."""
+    around = np.pad(v, ((0, 0), (1, 1), (1, 1)), constant_values=np.nan)
+    rows, cols = v.shape[1:]
+    pixel, a, b = [], [], []
+    for (dr, dc), p, q in SIDES:
+        edge = np.flatnonzero((v != around[:, 1 + dr : 1 + dr + rows, 1 + dc : 1 + dc + cols]) & ~np.isnan(v))
+        at = np.stack((edge % cols, edge // cols % rows), axis=1)
+        pixel.append(edge)
+        a.append(at + p)
+        b.append(at + q)
+    return tuple(np.concatenate(k).astype(np.int64) for k in (pixel, a, b))
+
+
+def _whole_rings(a: np.ndarray, b: np.ndarray, region: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rings of pixel edges (one plane a region): the points of all, and the number of points, the region and the signed area of each; points within straight lines go."""
+    if not len(a):
+        return np.zeros((0, 2), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    order, size = P.walks(P.following(a, b, region))
+    xy, ring = a[order], np.repeat(np.arange(len(size)), size)
+    begin = np.cumsum(size) - size
+    # a walk that meets itself is cut there
+    extent = xy.max(axis=0) + 1
+    spot = np.sort((ring * extent[0] + xy[:, 0]) * extent[1] + xy[:, 1])
+    again = np.zeros(len(size), bool)
+    again[spot[1:][spot[1:] == spot[:-1]] // extent.prod()] = True
+    found = region[order[begin]]
+    cut = [(found[k], r) for k in np.flatnonzero(again).tolist() for r in P.loops(list(map(tuple, xy[begin[k] : begin[k] + size[k]].tolist())))]
+    before = np.arange(len(order)) - 1
+    before[begin] += size
+    way = b[order] - xy
+    keep = (way != way[before]).any(axis=1) & ~again[ring]
+    xy = np.concatenate([xy[keep], *[r for _, r in cut]])
+    number = np.concatenate((np.bincount(ring[keep], minlength=len(size))[~again], [len(r) for _, r in cut])).astype(np.int64)
+    found = np.concatenate((found[~again], [k for k, _ in cut])).astype(np.int64)
+    after = np.arange(len(xy)) + 1
+    after[np.cumsum(number) - 1] -= number
+    cross = xy[:, 0] * xy[after, 1] - xy[after, 0] * xy[:, 1]
+    return xy, number, found, np.add.reduceat(cross, np.cumsum(number) - number) / 2
+
+
+def _closed(xy: np.ndarray, number: np.ndarray) -> pa.Array:
+    """Open rings as an Arrow column of closed ones."""
+    begin = np.cumsum(number) - number
+    at = np.insert(np.arange(len(xy)), np.cumsum(number), begin)
+    points = pa.StructArray.from_arrays([pa.array(xy[at, k].astype(float)) for k in (0, 1)], names=["x", "y"])
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(number + 1))), pa.int32()), points)
+
+
+def _picked(xy: np.ndarray, number: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rings of these numbers, in this order."""
+    begin, n = (np.cumsum(number) - number)[order], number[order]
+    return xy[np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())], n
+
+
+def _region_parts(xy: np.ndarray, number: np.ndarray, region: np.ndarray, area: np.ndarray) -> tuple[np.ndarray, pa.Array, pa.Array, pa.Array]:
+    """Regions with their one shell each: region, ring, holes, area. All edges of a region are its own pixels', so its holes need no search."""
+    shells, holes = np.flatnonzero(area > 0), np.flatnonzero(area < 0)
+    shells, holes = shells[np.argsort(region[shells], kind="stable")], holes[np.argsort(region[holes], kind="stable")]
+    of = region[shells]
+    held = np.bincount(np.searchsorted(of, region[holes]), minlength=len(of))
+    total = np.bincount(np.searchsorted(of, region), area, len(of))
+    gaps = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(held))), pa.int32()), _closed(*_picked(xy, number, holes)))
+    return of, _closed(*_picked(xy, number, shells)), gaps, pa.array(total)
+
+
+def _stack(column: pa.Array, rows: int, cols: int) -> np.ndarray:
+    """An Arrow column of bands, none of them null, as one array."""
+    if any(n != rows * cols for n in column.value_lengths().to_pylist()):
+        raise ValueError(f"a band has {rows} x {cols} pixels")
+    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, rows, cols)
+
+
+def region_polygons(bands: DataFrame, rows: int, cols: int, key: str = "chip", band: str = "band") -> DataFrame:
+    """Outlines of the regions of equal values, each band alone: key, value, ring, holes, area in pixels (x: columns, y: rows).
+
+    Regions join by edges, not by corners. NaN pixels are in none, null bands have none. A task holds one band, or as many as have PIXELS pixels.
+    """
+    many = max(1, PIXELS // (rows * cols))
+
+    def run(batches):
+        for batch in batches:
+            batch = batch.filter(batch.column(1).is_valid())
+            for at in range(0, batch.num_rows, many):
+                keys, v = batch.column(0).slice(at, many), _stack(batch.column(1).slice(at, many), rows, cols)
+                pixel, a, b = _sides(v)
+                of, ring, holes, area = _region_parts(*_whole_rings(a, b, least_labels(v).ravel()[pixel]))
+                yield pa.record_batch([keys.take(pa.array(of // (rows * cols))), pa.array(v.ravel()[of]), ring, holes, area], names=[key, "value", "ring", "holes", "area"])
+
+    kind = bands.schema[key].dataType.simpleString()
+    return bands.select(key, F.col(band).cast("array<double>")).mapInArrow(run, f"{key} {kind}, value double, {PARTS}")
+
+
 def _values(band, rows: int, cols: int):
     """Each value of a band with the directed edges around its pixels, all of them at once."""
     v = np.asarray(band, dtype=float).reshape(rows, cols)
@@ -393,25 +492,6 @@ def _values(band, rows: int, cols: int):
         yield float(value), np.concatenate(a).astype(np.int64), np.concatenate(b).astype(np.int64)
 
 
-def region_polygons(bands: DataFrame, rows: int, cols: int, key: str = "chip", band: str = "band") -> DataFrame:
-    """Outlines of the regions of equal values, each band alone: key, value, ring, holes, area in pixels (x: columns, y: rows).
-
-    Regions join by edges, not by corners. NaN pixels are in none. A band is one row, and so what a task holds.
-    """
-
-    def run(frames):
-        for df in frames:
-            out = []
-            for k, cells in zip(df[key], df[band], strict=True):
-                for value, a, b in _values(cells, rows, cols):
-                    for shell, holes in P.with_holes(P.rings(a, b)):
-                        out.append((k, value, _points(shell, 1.0), [_points(h, 1.0) for h in holes], P.area(shell) + sum(P.area(h) for h in holes)))
-            yield _frame(out, key, "value", "ring", "holes", "area")
-
-    kind = bands.schema[key].dataType.simpleString()
-    return bands.select(key, band).mapInPandas(run, f"{key} {kind}, value double, {PARTS}")
-
-
 def mosaic_regions(bands: DataFrame, side: int, band: str = "band") -> DataFrame:
     """Outlines of the regions of equal values over a mosaic of square bands (gx, gy: column and row of the band): by (the value), ring, holes, area.
 

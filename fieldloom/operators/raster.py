@@ -289,16 +289,15 @@ def augment(rows: int, cols: int, turn: int = 0, flip_h: bool = False, flip_v: b
     return _band_udf(work)
 
 
-def regions(values: np.ndarray) -> np.ndarray:
-    """Labels of connected 4-neighbour regions of one value, numbered in row-major order of their first pixel from 1.
+def least_labels(values: np.ndarray) -> np.ndarray:
+    """For each pixel of a stack of bands (bands, rows, cols) the number of the first pixel of its 4-neighbour region of one value; a NaN pixel is alone.
 
     Every pixel takes the least label of its equal neighbours and then that label's own, until nothing changes.
     """
-    rows, cols = values.shape
-    label = np.arange(rows * cols).reshape(rows, cols)
-    across, down = values[:, 1:] == values[:, :-1], values[1:] == values[:-1]
-    a = np.r_[label[:, :-1][across], label[:-1][down]]
-    b = np.r_[label[:, 1:][across], label[1:][down]]
+    label = np.arange(values.size).reshape(values.shape)
+    across, down = values[:, :, 1:] == values[:, :, :-1], values[:, 1:] == values[:, :-1]
+    a = np.r_[label[:, :, :-1][across], label[:, :-1][down]]
+    b = np.r_[label[:, :, 1:][across], label[:, 1:][down]]
     flat = label.ravel()
     while True:
         low = np.minimum(flat[a], flat[b])
@@ -309,10 +308,14 @@ def regions(values: np.ndarray) -> np.ndarray:
         while (deeper := new[new]).tobytes() != new.tobytes():
             new = deeper
         if (new == flat).all():
-            break
+            return flat.reshape(values.shape)
         flat = new
-    _, place = np.unique(flat, return_inverse=True)
-    return (place + 1).reshape(rows, cols)
+
+
+def regions(values: np.ndarray) -> np.ndarray:
+    """Labels of connected 4-neighbour regions of one value, numbered in row-major order of their first pixel from 1."""
+    _, place = np.unique(least_labels(values[None]), return_inverse=True)
+    return (place + 1).reshape(values.shape)
 
 
 def polygonize(rows: int, cols: int):

@@ -126,6 +126,28 @@ def test_regions_of_one_band(spark):
     assert sorted((p.chip, p.value, p.area, len(p.holes)) for p in got if p.value == 1) == [(7, 1.0, 1.0, 0), (7, 1.0, 8.0, 1)]
 
 
+def test_regions_of_many_bands_are_outlined_together(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    bands = [rng.choice([0.0, 1.0, 2.0, np.nan], 25).tolist() for _ in range(40)]
+    kind = "chip long, band array<double>"
+    rows = [(k, b) for k, b in enumerate(bands)] + [(99, None)]
+    got = {}
+    for p in overlay.region_polygons(spark.createDataFrame(rows, kind).coalesce(1), 5, 5).collect():
+        got.setdefault(p.chip, []).append(p)
+    monkeypatch.setattr(overlay, "PIXELS", 1)
+    alone = {}
+    for p in overlay.region_polygons(spark.createDataFrame(rows, kind).coalesce(1), 5, 5).collect():
+        alone.setdefault(p.chip, []).append(p)
+    # a null band has no regions
+    assert got == alone and set(got) == set(range(40))
+    for k, b in enumerate(bands):
+        v = np.array(b).reshape(5, 5)
+        for r in range(5):
+            for c in range(5):
+                hits = [p.value for p in got[k] if inside(p.ring, c + 0.5, r + 0.5) and not any(inside(h, c + 0.5, r + 0.5) for h in p.holes)]
+                assert hits == ([] if np.isnan(v[r, c]) else [v[r, c]])
+
+
 def test_farthest_points_are_the_greedy_loop(spark):
     rng = random.Random(8)
     rows = [(f, rng.randrange(50), rng.randrange(50)) for f in range(6) for _ in range(rng.randint(1, 40))]
