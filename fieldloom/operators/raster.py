@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -181,13 +182,15 @@ def median_composite(pixels: DataFrame, by: list[str], value: str) -> DataFrame:
 
 
 def bilinear(values: np.ndarray, rows: int, cols: int) -> np.ndarray:
-    """Linear re-interpolation to rows x cols samples from the first to the last coordinate."""
-    r, c = np.linspace(0, values.shape[0] - 1, rows), np.linspace(0, values.shape[1] - 1, cols)
-    r0, c0 = np.minimum(r.astype(int), max(values.shape[0] - 2, 0)), np.minimum(c.astype(int), max(values.shape[1] - 2, 0))
-    r1, c1 = np.minimum(r0 + 1, values.shape[0] - 1), np.minimum(c0 + 1, values.shape[1] - 1)
+    """Linear re-interpolation of a band (or a stack of them: bands, rows, cols) to rows x cols samples from the first to the last coordinate."""
+    height, width = values.shape[-2:]
+    r, c = np.linspace(0, height - 1, rows), np.linspace(0, width - 1, cols)
+    r0, c0 = np.minimum(r.astype(int), max(height - 2, 0)), np.minimum(c.astype(int), max(width - 2, 0))
+    r1, c1 = np.minimum(r0 + 1, height - 1), np.minimum(c0 + 1, width - 1)
     fr, fc = (r - r0)[:, None], (c - c0)[None]
     v = values.astype(float)
-    return (v[r0][:, c0] * (1 - fc) + v[r0][:, c1] * fc) * (1 - fr) + (v[r1][:, c0] * (1 - fc) + v[r1][:, c1] * fc) * fr
+    up, low = v[..., r0, :], v[..., r1, :]
+    return (up[..., c0] * (1 - fc) + up[..., c1] * fc) * (1 - fr) + (low[..., c0] * (1 - fc) + low[..., c1] * fc) * fr
 
 
 def fill_gaps(values: np.ndarray, bad: np.ndarray, reach: int = 50) -> np.ndarray:
@@ -220,8 +223,41 @@ def _band_udf(work):
     return run
 
 
+def _stack_udf(work, rows: int, cols: int):
+    """work on stacks of bands (bands, rows, cols) of some STACKED pixels, all bands of a stack at once; null for a null band."""
+    many = max(1, STACKED // (rows * cols))
+
+    @F.arrow_udf("array<double>")
+    def run(band: pa.Array) -> pa.Array:
+        given = band.is_valid()
+        held = band.filter(given)
+        done = []
+        for k in range(0, len(held), many):
+            out = work(stacked(held.slice(k, many), rows, cols))
+            out = out.reshape(len(out), -1)
+            done.append(pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1) * out.shape[1], pa.int32()), pa.array(out.ravel())))
+        found = pa.concat_arrays(done) if done else pa.array([], pa.list_(pa.float64()))
+        if len(held) == len(band):
+            return found
+        place = np.cumsum(given.to_numpy(zero_copy_only=False)) - 1
+        return found.take(pa.array(place, mask=~given.to_numpy(zero_copy_only=False)))
+
+    return lambda band: run(band.cast("array<double>"))
+
+
+#: Pixels that are worked on at once.
+STACKED = 65_536
+
+
+def stacked(bands: pa.Array, rows: int, cols: int) -> np.ndarray:
+    """An Arrow column of bands, none of them null, as one array; a null pixel is NaN."""
+    if any(n != rows * cols for n in bands.value_lengths().to_pylist()):
+        raise ValueError(f"a band has {rows} x {cols} pixels")
+    return bands.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, rows, cols)
+
+
 def resample(rows: int, cols: int, new_rows: int, new_cols: int):
-    return _band_udf(lambda b: bilinear(b.reshape(rows, cols), new_rows, new_cols).ravel())
+    return _stack_udf(lambda b: bilinear(b, new_rows, new_cols), rows, cols)
 
 
 def scaled_places(n: int, new: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

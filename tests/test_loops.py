@@ -491,3 +491,13 @@ def test_regions_are_the_flood_fill():
                     want[i, j] = k
                     todo += [(i + 1, j), (i - 1, j), (i, j + 1), (i, j - 1)]
         assert raster.regions(v).tolist() == want.tolist()
+
+
+def test_stacks_of_bands_are_resampled_together(spark, monkeypatch):
+    v = np.random.default_rng(6).normal(size=(9, 3, 4))
+    assert np.array_equal(raster.bilinear(v, 5, 7), np.array([raster.bilinear(b, 5, 7) for b in v]))
+    rows = [(k, None if k in (0, 4) else b.ravel().tolist()) for k, b in enumerate(v)]
+    for most in (raster.STACKED, 24):
+        monkeypatch.setattr(raster, "STACKED", most)
+        got = spark.createDataFrame(rows, "k int, band array<double>").coalesce(1).select("k", raster.resample(3, 4, 5, 7)(F.col("band")).alias("v")).collect()
+        assert all(r.v is None if rows[r.k][1] is None else np.array_equal(r.v, raster.bilinear(v[r.k], 5, 7).ravel()) for r in got) and len(got) == 9
