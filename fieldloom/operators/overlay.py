@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from fieldloom.functions import planar as P
 from fieldloom.functions.shared import settled, spread
 
-from .raster import least_labels
+from .raster import least_labels, stacked
 
 PIECES = 2_000  # polygons of one cell that are solved together
 LEVELS = 30  # doublings of a cell's side
@@ -380,8 +380,8 @@ def ribbons(fields: DataFrame, distance: float, ring: str = "ring", grid: float
 SIDES = [((-1, 0), (0, 0), (1, 0)), ((0, 1), (1, 0), (1, 1)), ((1, 0), (1, 1), (0, 1)), ((0, -1), (0, 1), (0, 0))]
 
 
-#: Pixels that are outlined at once.
-PIXELS = 65_536
+#: Pixels that are outlined at once, and pixels a side of the blocks of a mosaic.
+PIXELS, BLOCK = 65_536, 128
 
 
 def _sides(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -445,18 +445,12 @@ def _region_parts(xy: np.ndarray, number: np.ndarray, region: np.ndarray, area:
     shells, holes = shells[np.argsort(region[shells], kind="stable")], holes[np.argsort(region[holes], kind="stable")]
     of = region[shells]
     held = np.bincount(np.searchsorted(of, region[holes]), minlength=len(of))
-    total = np.bincount(np.searchsorted(of, region), area, len(of))
+    # without rings bincount gives whole numbers
+    total = np.bincount(np.searchsorted(of, region), area, len(of)).astype(float)
     gaps = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(held))), pa.int32()), _closed(*_picked(xy, number, holes)))
     return of, _closed(*_picked(xy, number, shells)), gaps, pa.array(total)
 
 
-def _stack(column: pa.Array, rows: int, cols: int) -> np.ndarray:
-    """An Arrow column of bands, none of them null, as one array."""
-    if any(n != rows * cols for n in column.value_lengths().to_pylist()):
-        raise ValueError(f"a band has {rows} x {cols} pixels")
-    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, rows, cols)
-
-
 def region_polygons(bands: DataFrame, rows: int, cols: int, key: str = "chip", band: str = "band") -> DataFrame:
     """Outlines of the regions of equal values, each band alone: key, value, ring, holes, area in pixels (x: columns, y: rows).
 
@@ -468,7 +462,7 @@ def region_polygons(bands: DataFrame, rows: int, cols: int, key: str = "chip", b
         for batch in batches:
             batch = batch.filter(batch.column(1).is_valid())
             for at in range(0, batch.num_rows, many):
-                keys, v = batch.column(0).slice(at, many), _stack(batch.column(1).slice(at, many), rows, cols)
+                keys, v = batch.column(0).slice(at, many), stacked(batch.column(1).slice(at, many), rows, cols)
                 pixel, a, b = _sides(v)
                 of, ring, holes, area = _region_parts(*_whole_rings(a, b, least_labels(v).ravel()[pixel]))
                 yield pa.record_batch([keys.take(pa.array(of // (rows * cols))), pa.array(v.ravel()[of]), ring, holes, area], names=[key, "value", "ring", "holes", "area"])
@@ -477,35 +471,50 @@ def region_polygons(bands: DataFrame, rows: int, cols: int, key: str = "chip", b
     return bands.select(key, F.col(band).cast("array<double>")).mapInArrow(run, f"{key} {kind}, value double, {PARTS}")
 
 
-def _values(band, rows: int, cols: int):
-    """Each value of a band with the directed edges around its pixels, all of them at once."""
-    v = np.asarray(band, dtype=float).reshape(rows, cols)
-    for value in np.unique(v[~np.isnan(v)]):
-        m = np.pad(v == value, 1)
-        r, c = np.nonzero(m[1:-1, 1:-1])
-        a, b = [], []
-        for (dr, dc), p, q in SIDES:
-            edge = ~m[r + 1 + dr, c + 1 + dc]
-            at = np.stack((c[edge], r[edge]), axis=1)
-            a.append(at + p)
-            b.append(at + q)
-        yield float(value), np.concatenate(a).astype(np.int64), np.concatenate(b).astype(np.int64)
-
-
 def mosaic_regions(bands: DataFrame, side: int, band: str = "band") -> DataFrame:
     """Outlines of the regions of equal values over a mosaic of square bands (gx, gy: column and row of the band): by (the value), ring, holes, area.
 
-    A region goes on from band to band: each band leaves paths from border to border, which are linked as those of `dissolve` are.
+    Bands are gathered to blocks of some BLOCK pixels a side. A region that stays off the border of its block is outlined there; of one that goes on from block
+    to block each leaves paths from border to border, which are linked as those of `dissolve` are.
     """
+    many = max(1, BLOCK // side)
+    wide = many * side
 
-    def run(frames):
-        for df in frames:
-            out = []
-            for gx, gy, cells in zip(df["gx"], df["gy"], df[band], strict=True):
-                x, y = int(gx) * side, int(gy) * side
-                for value, a, b in _values(cells, side, side):
-                    out += [(value, k, (w[:, 0] + x).tolist(), (w[:, 1] + y).tolist()) for k, w in _paths(a, b, side)]
-            yield _frame(out, "by", "kind", "xs", "ys")
-
-    found = bands.select("gx", "gy", band).mapInPandas(run, f"by double, {PATH}")
-    return polygons(link_paths(found, side, "double"), side, 1.0, "double")
+    def run(batches):
+        for batch in batches:
+            for gx, gy, cells in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                v = np.full((1, wide, wide), np.nan)
+                held = cells.values
+                for x, y, w in zip(held.field("x").to_pylist(), held.field("y").to_pylist(), stacked(held.field("band"), side, side), strict=True):
+                    v[0, y * side : (y + 1) * side, x * side : (x + 1) * side] = w
+                pixel, a, b = _sides(v)
+                label, v = least_labels(v)[0], v.ravel()
+                border = np.unique(np.concatenate((label[0], label[-1], label[:, 0], label[:, -1])))
+                region, base = label.ravel()[pixel], np.array([gx, gy], np.int64) * wide
+                open_ = np.isin(region, border)
+                inner = ~open_
+                xy, *more = _whole_rings(a[inner], b[inner], region[inner])
+                of, ring, holes, area = _region_parts(xy + base, *more)
+                none = pa.nulls(len(of), pa.list_(pa.int64()))
+                yield pa.record_batch([pa.array(v[of]), pa.array(["part"] * len(of), pa.string()), none, none, ring, holes, area], names=FOUND)
+                rows = []
+                for value in np.unique(v[pixel[open_]]).tolist():
+                    mine = open_ & (v[pixel] == value)
+                    rows += [(value, k, w + base) for k, w in _paths(a[mine], b[mine], wide)]
+                number = pa.array(np.concatenate(([0], np.cumsum([len(w) for *_, w in rows]))), pa.int32())
+                points = np.concatenate([np.zeros((0, 2), np.int64), *[w for *_, w in rows]])
+                xs, ys = (pa.ListArray.from_arrays(number, pa.array(points[:, k])) for k in (0, 1))
+                none = [pa.nulls(len(rows), t) for t in (ring.type, holes.type, area.type)]
+                yield pa.record_batch([pa.array([k for k, *_ in rows], pa.float64()), pa.array([k for _, k, _ in rows], pa.string()), xs, ys, *none], names=FOUND)
+
+    block = lambda c: F.floor(F.col(c) / many).alias(c)
+    place = lambda c: F.pmod(F.col(c), F.lit(many)).cast("bigint")
+    held = F.struct(place("gx").alias("x"), place("gy").alias("y"), F.col(band).cast("array<double>").alias("band"))
+    blocks = bands.filter(F.col(band).isNotNull()).groupBy(block("gx"), block("gy")).agg(F.collect_list(held).alias("cells"))
+    found = settled(blocks.mapInArrow(run, f"by double, {PATH}, {PARTS}"), "blocks")
+    inside = found.filter("kind = 'part'").select("by", "ring", "holes", "area")
+    return inside.unionByName(polygons(link_paths(found.filter("kind <> 'part'").select("by", "kind", "xs", "ys"), wide, "double"), wide, 1.0, "double"))
+
+
+#: Columns of what a block of a mosaic leaves.
+FOUND = ["by", "kind", "xs", "ys", "ring", "holes", "area"]

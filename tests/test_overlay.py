@@ -120,6 +120,22 @@ def test_regions_are_the_flood_fill_across_bands(spark, side):
             assert hits == ([] if np.isnan(whole[r, c]) else [whole[r, c]])
 
 
+@pytest.mark.parametrize("block", [4, 8])
+def test_regions_go_on_from_block_to_block(spark, monkeypatch, block):
+    rng = np.random.default_rng(block)
+    whole = rng.integers(0, 2, (16, 16)).astype(float)
+    whole[2:14, 2:14] = 1.0
+    whole[5:11, 5:11] = 0.0
+    whole[7:9, 7:9] = 1.0
+    rows = [(gx, gy, whole[gy * 4 + 4 : gy * 4 + 8, gx * 4 + 4 : gx * 4 + 8].ravel().tolist()) for gx in range(-1, 3) for gy in range(-1, 3)]
+    bands = spark.createDataFrame([*rows, (9, 9, None)], "gx int, gy int, band array<double>")
+    named = lambda found: sorted((p.by, p.area, sorted(min((q.x, q.y) for q in h) for h in p.holes), min((q.x, q.y) for q in p.ring)) for p in found)
+    at_once = named(overlay.mosaic_regions(bands, 4).collect())
+    monkeypatch.setattr(overlay, "BLOCK", block)
+    assert named(overlay.mosaic_regions(bands, 4).collect()) == at_once
+    assert sum(a for _, a, *_ in at_once) == 256 and any(h for *_, h, _ in at_once)
+
+
 def test_regions_of_one_band(spark):
     band = [0.0, 1, 1, 0, 1, 0, 1, 1, 1, 1, 1, 0, 0, 0, 0, 1]
     got = overlay.region_polygons(spark.createDataFrame([(7, [float(x) for x in band])], "chip long, band array<double>"), 4, 4).collect()
@@ -130,7 +146,7 @@ def test_regions_of_many_bands_are_outlined_together(spark, monkeypatch):
     rng = np.random.default_rng(3)
     bands = [rng.choice([0.0, 1.0, 2.0, np.nan], 25).tolist() for _ in range(40)]
     kind = "chip long, band array<double>"
-    rows = [(k, b) for k, b in enumerate(bands)] + [(99, None)]
+    rows = [(98, [float("nan")] * 25), *enumerate(bands), (99, None)]
     got = {}
     for p in overlay.region_polygons(spark.createDataFrame(rows, kind).coalesce(1), 5, 5).collect():
         got.setdefault(p.chip, []).append(p)
@@ -138,7 +154,7 @@ def test_regions_of_many_bands_are_outlined_together(spark, monkeypatch):
     alone = {}
     for p in overlay.region_polygons(spark.createDataFrame(rows, kind).coalesce(1), 5, 5).collect():
         alone.setdefault(p.chip, []).append(p)
-    # a null band has no regions
+    # a null band has no regions, nor has one without values
     assert got == alone and set(got) == set(range(40))
     for k, b in enumerate(bands):
         v = np.array(b).reshape(5, 5)
