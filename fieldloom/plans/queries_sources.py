@@ -41,7 +41,7 @@ def s16(spark, d):
     chips = rasters(spark, d).groupBy("chip").agg(band("q").alias("image"), band("bad").alias("mask"))
     placed = batches.positions(chips, [F.col("chip")]).withColumn("meta", F.concat(F.lit("chip "), F.col("chip").cast("string")))
     root = f"{shared_folder(spark)}/cube-{uuid.uuid4().hex}"
-    cube.write_cube(placed, root, 1, 8, 8, text=32)
+    cube.write_cube(placed, root, 1, 8, 8, text=32, each=256)
     total = lambda c: F.aggregate(c, F.lit(0.0), lambda s, v: s + F.abs(v))
     images, masks, meta = (cube.read_cube(spark, root, a) for a in ("images", "masks", "meta"))
     both = images.select("position", total("values").alias("total")).join(masks.select("position", total("values").alias("inside")), "position")

@@ -275,3 +275,22 @@ def test_zones_without_pixels_are_sampled(spark):
     pixels = spark.createDataFrame([(1, 7), (1, 7), (1, 3), (2, 0)], "zone int, doy int")
     cells = spark.createDataFrame([(2, 2, 99), (4, 4, 0), (0, 0, 5)], "row int, col int, doy int")
     assert sorted(tuple(r) for r in score.zonal_or_sampled(pixels, zones, cells, "doy", 0.0, 0.0, 10.0).collect()) == [(1, 7, False), (2, 99, True), (3, None, True), (4, None, True)]
+
+
+def test_cube_with_several_samples_a_chunk(spark, tmp_path):
+    rows = [(n, [float(n * 10 + k) for k in range(8)], [n % 3, 1, 0, n % 2], None if n == 5 else f"s{n}") for n in range(11)]
+    kind = "position bigint, image array<double>, mask array<int>, meta string"
+    path = f"file://{tmp_path}/cube"
+    cube.write_cube(spark.createDataFrame(rows, kind).repartition(5), path, 2, 2, 2, text=6, each=4)
+    assert len([f for f in os.listdir(tmp_path / "cube" / "images") if f[0].isdigit()]) == 3
+    with open(tmp_path / "cube" / "masks" / "0.0.0", "rb") as f:
+        assert np.frombuffer(zlib.decompress(f.read()), "u1").reshape(4, 2, 2)[2].ravel().tolist() == rows[2][2]
+    with open(tmp_path / "cube" / "images" / ".zarray") as f:
+        assert json.load(f)["chunks"] == [4, 2, 2, 2]
+    read = {a: {r.position: r["values"] for r in cube.read_cube(spark, path, a).collect()} for a in ("images", "masks", "meta")}
+    assert read["images"] == {n: i for n, i, _, _ in rows} and read["masks"] == {n: [float(x) for x in m] for n, _, m, _ in rows}
+    assert read["meta"] == {n: [t or ""] for n, _, _, t in rows}
+    for wrong in ([r for r in rows if r[0] != 2], [*rows, rows[3]]):
+        with pytest.raises(Exception):  # noqa: B017
+            cube.write_cube(spark.createDataFrame(wrong, kind), f"file://{tmp_path}/wrong", 2, 2, 2, text=6, each=4)
+        assert not os.path.exists(tmp_path / "wrong")
