@@ -328,14 +328,49 @@ def rings_overlap(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(np.where(apart, -1.0, area))
 
 
+@F.arrow_udf(T.BooleanType())
+def rings_meet(a: pa.Array, b: pa.Array) -> pa.Array:
+    """rings_touch for a batch of pairs at once; a null ring touches none."""
+    return pa.array(_touching(arrow_rings(a), arrow_rings(b)))
+
+
+def _in_and_near(x: np.ndarray, y: np.ndarray, xy: np.ndarray, size: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """Whether points lie inside closed rings, and whether within reach of their outlines: a point and a ring each."""
+    n = len(size)
+    begins = np.ones(len(xy), bool)
+    begins[np.cumsum(size)[size > 0] - 1] = False
+    k = np.flatnonzero(begins)
+    of, px, py, qx, qy = np.repeat(np.arange(n), size)[k], xy[k, 0], xy[k, 1], xy[k + 1, 0], xy[k + 1, 1]
+    u, v, dx, dy = x[of] - px, y[of] - py, qx - px, qy - py
+    with np.errstate(divide="ignore", invalid="ignore"):
+        cut = ((py > y[of]) != (qy > y[of])) & (x[of] < dx * v / dy + px)
+        long = dx * dx + dy * dy
+        t = np.where(long > 0, np.clip((u * dx + v * dy) / long, 0.0, 1.0), 0.0)
+    near = np.zeros(n, bool)
+    near[of[np.round(np.hypot(u - t * dx, v - t * dy), 6) <= reach]] = True
+    return np.bincount(of[cut], minlength=n) % 2 == 1, near
+
+
+def ring_places(reach: float):
+    """For a point (x, y) and a ring: 1 if it lies inside, plus 2 if it lies within reach of the outline (to six digits); a batch at once."""
+
+    @F.arrow_udf(T.IntegerType())
+    def run(x: pa.Array, y: pa.Array, ring: pa.Array) -> pa.Array:
+        number = lambda c: c.to_numpy(zero_copy_only=False).astype(float)
+        inside, near = _in_and_near(number(x), number(y), *arrow_rings(ring), reach)
+        return pa.array(inside + 2 * near, pa.int32())
+
+    return lambda x, y, ring: run(x.cast("double"), y.cast("double"), ring)
+
+
 def shared_area(a: np.ndarray, b: np.ndarray) -> float:
     """Area common to two simple polygons."""
     return float(shared_areas([a], [b])[0])
 
 
-@F.pandas_udf(T.DoubleType())
-def polygon_shared_area(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series(shared_areas([_points(p) for p in a], [_points(q) for q in b]))
+@F.arrow_udf(T.DoubleType())
+def polygon_shared_area(a: pa.Array, b: pa.Array) -> pa.Array:
+    return pa.array(_shared(arrow_rings(a), arrow_rings(b)))
 
 
 @F.pandas_udf(T.DoubleType())

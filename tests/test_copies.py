@@ -92,3 +92,18 @@ def test_points_with_copies(spark):
         for f in held or [None]:
             least[f] = min(least.get(f, k), k)
     assert {r.field_id: r.point_id for r in outside.collect()} == least
+
+
+def test_rings_meet_as_they_touch(spark):
+    r = random.Random(13)
+
+    def shape():
+        x, y = r.randint(0, 12), r.randint(0, 12)
+        return ring(x, y, x + r.randint(1, 6), y + r.randint(1, 6))
+
+    rows = [(k, shape(), shape()) for k in range(300)] + [(900, None, shape()), (901, shape(), None)]
+    df = spark.createDataFrame(rows, "id int, l_ring array<struct<x:double,y:double>>, r_ring array<struct<x:double,y:double>>")
+    got = df.select("id", F.coalesce(G.rings_touch(F.col("l_ring"), F.col("r_ring")), F.lit(False)).alias("t"), G.rings_meet(F.col("l_ring"), F.col("r_ring")).alias("m"), G.polygon_shared_area(F.col("l_ring"), F.col("r_ring")).alias("a")).collect()
+    assert all(x.t == x.m and (x.m or x.a < 1e-9) for x in got) and len({x.m for x in got}) == 2
+    pairs = joins.ring_join(df.select("id", "l_ring"), df.select(F.col("id").alias("other"), "r_ring"), 4)
+    assert "arrow" in pairs._jdf.queryExecution().toString().lower()
