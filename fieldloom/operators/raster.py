@@ -121,36 +121,41 @@ def rasterize(chip_pixels: DataFrame, fields: DataFrame, cell: float) -> DataFra
     return p.join(f, on, "left").groupBy("chip", "r", "c").agg(F.coalesce(F.max("instance"), F.lit(0)).alias("instance"))
 
 
-def _met_by_bins(chip_pixels: DataFrame, fields: DataFrame, cell: float, reach: float, how: str, exact: Column) -> DataFrame:
-    """Pixels joined to the fields of their chip whose bounds, widened by reach, hold the centre, and for which `exact` is true."""
+def _places(chip_pixels: DataFrame, fields: DataFrame, cell: float, reach: float) -> DataFrame:
+    """For each pixel that lies in a polygon of its chip or within reach of its outline: chip, r, c, instance (the highest that holds it, else null) and edge.
+
+    Pixels meet the polygons whose bounds, widened by reach, hold their centres. Equal polygons of a chip meet once."""
     b = G.ring_bounds(F.col("ring"))
-    f = fields.select(F.col("chip").alias("_chip"), "instance", "ring", b.alias("b")).select("*", *[(F.col(f"b.{k}") + (reach if k[1] == "1" else -reach)).alias(f"z_{k}") for k in ("x0", "y0", "x1", "y1")])
+    forms = fields.groupBy(F.col("chip").alias("_chip"), "ring").agg(F.max("instance").alias("instance"))
+    f = forms.select("*", b.alias("b")).select("_chip", "instance", "ring", *[(F.col(f"b.{k}") + (reach if k[1] == "1" else -reach)).alias(f"z_{k}") for k in ("x0", "y0", "x1", "y1")])
     p = chip_pixels.withColumns({"_gx": F.floor(F.col("x") / cell), "_gy": F.floor(F.col("y") / cell)})
     cover = lambda a, b: F.explode(F.sequence(F.floor(a / cell), F.floor(b / cell)))
     f = f.withColumn("_hx", cover(F.col("z_x0"), F.col("z_x1"))).withColumn("_hy", cover(F.col("z_y0"), F.col("z_y1")))
     on = (F.col("chip") == F.col("_chip")) & (F.col("_gx") == F.col("_hx")) & (F.col("_gy") == F.col("_hy"))
     on = on & (F.col("x") >= F.col("z_x0")) & (F.col("x") <= F.col("z_x1")) & (F.col("y") >= F.col("z_y0")) & (F.col("y") <= F.col("z_y1"))
-    return p.join(f, on & exact, how)
+    met = p.join(f, on).select("chip", "r", "c", "instance", G.ring_places(reach)(F.col("x"), F.col("y"), F.col("ring")).alias("_place"))
+    return met.groupBy("chip", "r", "c").agg(F.max(F.when(F.col("_place") % 2 == 1, F.col("instance"))).alias("instance"), F.max(F.col("_place") >= 2).alias("edge")).filter("instance is not null or edge")
+
+
+def _placed(chip_pixels: DataFrame, fields: DataFrame, cell: float, reach: float) -> DataFrame:
+    found = _places(chip_pixels, fields, cell, reach)
+    return chip_pixels.select("chip", "r", "c").join(found, ["chip", "r", "c"], "left").select("chip", "r", "c", F.coalesce("instance", F.lit(0)).alias("instance"), F.coalesce("edge", F.lit(False)).alias("edge"))
 
 
 def rasterize_rings(chip_pixels: DataFrame, fields: DataFrame, cell: float) -> DataFrame:
     """Instance id of each pixel by its centre (x, y): the highest id among the polygons (chip, instance, ring) that hold it, 0 without any."""
-    inside = G.point_in_ring(F.col("x").cast("double"), F.col("y").cast("double"), F.col("ring"))
-    return _met_by_bins(chip_pixels, fields, cell, 0.0, "left", inside).groupBy("chip", "r", "c").agg(F.coalesce(F.max("instance"), F.lit(0)).alias("instance"))
+    return _placed(chip_pixels, fields, cell, 0.0).select("chip", "r", "c", "instance")
 
 
 def ribbon(chip_pixels: DataFrame, fields: DataFrame, cell: float, reach: float) -> DataFrame:
     """Pixels (chip, r, c) whose centre lies within reach of the outline of a polygon of their chip; corners are round."""
-    away = F.round(G.distance_to_ring(F.col("x").cast("double"), F.col("y").cast("double"), F.col("ring")), 6) <= reach
-    return _met_by_bins(chip_pixels, fields, cell, reach, "inner", away).select("chip", "r", "c").distinct()
+    return _places(chip_pixels, fields, cell, reach).filter("edge").select("chip", "r", "c")
 
 
 def three_class_mask(chip_pixels: DataFrame, fields: DataFrame, cell: float, reach: float, inner_first: bool = False) -> DataFrame:
     """Background 0, interior 1 and boundary ribbon 2 of polygons, the boundary over the interior or, with inner_first, under it."""
-    edge = ribbon(chip_pixels, fields, cell, reach).withColumn("edge", F.lit(True))
-    both = rasterize_rings(chip_pixels, fields, cell).join(edge, ["chip", "r", "c"], "left").withColumn("edge", F.coalesce("edge", F.lit(False)))
     mask = (mask_three_inner if inner_first else mask_three)(F.col("instance"), F.col("edge"))
-    return both.select("chip", "r", "c", mask.alias("cls"))
+    return _placed(chip_pixels, fields, cell, reach).select("chip", "r", "c", mask.alias("cls"))
 
 
 def edge_crops(side: int, crop: int) -> dict[str, tuple[int, int]]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from fieldloom.functions import expressions as X
 from fieldloom.functions import geometry as G
 from fieldloom.operators import agreement as A
-from fieldloom.operators import joins
+from fieldloom.operators import joins, raster
 
 BOXES = "id bigint, x0 bigint, y0 bigint, x1 bigint, y1 bigint"
 RINGS = "id bigint, ring array<struct<x:double,y:double>>"
@@ -94,6 +94,30 @@ def test_points_with_copies(spark):
     assert {r.field_id: r.point_id for r in outside.collect()} == least
 
 
+def test_masks_with_copies(spark):
+    r = random.Random(12)
+    forms = [[{"x": float(x), "y": float(y)} for x, y in ((a, b), (a + w, b + 1), (a + w // 2, b + h), (a, b))] for a, b, w, h in ((r.randint(-5, 30), r.randint(-5, 30), r.randint(4, 15), r.randint(4, 15)) for _ in range(7))]
+    fields = spark.createDataFrame([(k % 2, k + 1, forms[r.randrange(7)]) for k in range(60)] + [(0, 99, None)], "chip int, instance int, ring array<struct<x:double,y:double>>")
+    pixels = spark.createDataFrame([(chip, y, x, x * 2 + 0.25, y * 2 + 0.5) for chip in range(3) for y in range(18) for x in range(18)], "chip int, r int, c int, x double, y double")
+    pairs = pixels.join(fields.filter("ring is not null"), "chip")
+    inside, away = G.point_in_ring(F.col("x"), F.col("y"), F.col("ring")), G.distance_to_ring(F.col("x"), F.col("y"), F.col("ring"))
+    top, edge = {}, set()
+    for p in pairs.select("chip", "r", "c", "instance", inside.alias("i"), (F.round(away, 6) <= 1.5).alias("n")).collect():
+        if p.i:
+            top[p.chip, p.r, p.c] = max(top.get((p.chip, p.r, p.c), 0), p.instance)
+        if p.n:
+            edge.add((p.chip, p.r, p.c))
+    every = [(k, y, x) for k in range(3) for y in range(18) for x in range(18)]
+    found = lambda df: sorted(map(tuple, df.collect()))
+    assert found(raster.rasterize_rings(pixels, fields, 8)) == [(*k, top.get(k, 0)) for k in every]
+    assert found(raster.ribbon(pixels, fields, 8, 1.5)) == sorted(edge)
+    assert found(raster.three_class_mask(pixels, fields, 8, 1.5)) == [(*k, 2 if k in edge else int(k in top)) for k in every]
+    assert found(raster.three_class_mask(pixels, fields, 8, 1.5, inner_first=True)) == [(*k, 1 if k in top else 2 * (k in edge)) for k in every]
+    # pixels meet a form once, whoever has it
+    met = raster._places(pixels, fields, 8, 1.5)
+    assert "max(instance" in met._jdf.queryExecution().optimizedPlan().toString() and top and edge - set(top)
+
+
 def test_rings_meet_as_they_touch(spark):
     r = random.Random(13)
 
