@@ -5,7 +5,6 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fieldloom.functions.geometry import simplify_points
@@ -44,12 +43,11 @@ def simplify_shared(polygons: DataFrame, key: str, ring: str, tolerance: float)
     point = lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))
     rows = polygons.filter(F.col(ring).isNotNull()).select(F.col(key).alias("_k"), F.posexplode(F.zip_with(F.slice(ring, 1, F.size(ring) - 1), F.slice(ring, F.lit(2), F.size(ring) - 1), lambda p, q: F.struct(point(p).alias("p"), point(q).alias("q")))).alias("_i", "_e"))
     rows = rows.filter("_e.p <> _e.q").select("_k", "_i", "_e.p", "_e.q", F.least("_e.p", "_e.q").alias("_a"), F.greatest("_e.p", "_e.q").alias("_b"))
-    # the polygons along an edge, as one number
-    owners = F.sum(F.xxhash64("_k").bitwiseAND(F.lit(0xFFFFFFFFFFFF))).over(W.partitionBy("_a", "_b"))
-    edges = rows.withColumn("_own", owners)
-    ends = edges.select(F.explode(F.array(F.struct(F.col("p").alias("v"), F.col("q").alias("w")), F.struct(F.col("q").alias("v"), F.col("p").alias("w")))).alias("m"), "_own").select("m.v", "m.w", "_own").distinct()
+    # one row an edge; the polygons along it, as one number
+    edges = rows.groupBy("_a", "_b").agg(F.sum(F.xxhash64("_k").bitwiseAND(F.lit(0xFFFFFFFFFFFF))).alias("_own"))
+    ends = edges.select(F.explode(F.array("_a", "_b")).alias("v"), "_own")
     junctions = ends.groupBy("v").agg(((F.count(F.lit(1)) != 2) | (F.min("_own") != F.max("_own"))).alias("fixed"))
-    held = edges.join(junctions, F.col("p") == F.col("v")).groupBy("_k").agg(F.array_sort(F.collect_list(F.struct("_i", "p", "fixed"))).alias("_ps"))
+    held = rows.select("_k", "_i", "p").join(junctions, F.col("p") == F.col("v")).groupBy("_k").agg(F.array_sort(F.collect_list(F.struct("_i", "p", "fixed"))).alias("_ps"))
 
     def run(frames):
         for df in frames:

@@ -254,3 +254,13 @@ def test_simplified_neighbours_share_their_border(spark):
     # corners where three or more sides meet stay
     points = {(p.x, p.y) for k in range(n * n) for p in got[k]}
     assert all(corner[i, j] in points for i in range(n + 1) for j in range(n + 1) if not (i in (0, n) and j in (0, n)))
+
+
+def test_shared_borders_are_found_without_a_window(spark):
+    from fieldloom.operators.simplify import simplify_shared
+
+    cells = [(10 * j + i, closed((i, j), (i + 0.5, j + 0.01 * (i + j)), (i + 1, j), (i + 1, j + 1), (i, j + 1))) for i in range(4) for j in range(4)]
+    done = simplify_shared(spark.createDataFrame(cells, f"id int, ring {RING}"), "id", "ring", 0.2)
+    # edges are counted before the shuffle, and no task sorts all of them
+    assert "Window" not in done._jdf.queryExecution().toString()
+    assert sorted(r.id for r in done.collect() if r.ring) == sorted(k for k, _ in cells)
