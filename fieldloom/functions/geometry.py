@@ -312,20 +312,126 @@ def _touching(a: tuple, b: tuple, block: int = 1_000_000) -> np.ndarray:
     return out
 
 
-@F.arrow_udf(T.DoubleType())
-def rings_overlap(a: pa.Array, b: pa.Array) -> pa.Array:
-    """The area that two polygons share, 0 if they only touch, -1 if they are apart: for a batch of pairs at once."""
-    a, b = arrow_rings(a), arrow_rings(b)
-    area = _shared(a, b)
-    # an area far above the error of rounding needs no test of edges
-    top = lambda xy, size: -_corners(-xy, size)
-    with np.errstate(invalid="ignore"):
-        extent = np.maximum(top(*a), top(*b)) - np.minimum(_corners(*a), _corners(*b))
-        open_ = ~(area > 1e-6 * extent.prod(axis=1))
-    some = lambda xy, size: (xy[np.repeat(open_, size)], size[open_])
-    apart = np.zeros(len(area), bool)
-    apart[open_] = ~_touching(some(*a), some(*b))
-    return pa.array(np.where(apart, -1.0, area))
+def _at(rings: tuple[np.ndarray, np.ndarray], places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rings at these places."""
+    xy, size = rings
+    n = size[places]
+    return xy[np.repeat((np.cumsum(size) - size)[places] - np.cumsum(n) + n, n) + np.arange(n.sum())], n
+
+
+#: What bounds leave open by rounding, relative and absolute.
+SLACK = 1e-6
+
+
+def _near(a: dict, b: dict, spot: tuple[int, int], cell: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of polygons of two blocks whose bounds share a point, in the bin that holds the lower-left corner of what they share."""
+    met = True
+    for lo, hi, at in (("x0", "x1", spot[0]), ("y0", "y1", spot[1])):
+        met &= (a[lo][:, None] <= b[hi]) & (b[lo] <= a[hi][:, None])
+        # neither begins after the bin, one begins in it
+        met &= (np.floor(a[lo] / cell) == at)[:, None] | (np.floor(b[lo] / cell) == at)
+    return np.nonzero(met)
+
+
+def _most(a: dict, b: dict, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Upper bound of the iou of pairs of polygons: they share no more than their bounds do, nor more than the smaller of them."""
+    w, h = (np.minimum(a[hi][i], b[hi][j]) - np.maximum(a[lo][i], b[lo][j]) for lo, hi in (("x0", "x1"), ("y0", "y1")))
+    p, q = a["area"][i], b["area"][j]
+    shared = np.minimum(np.maximum(w, 0) * np.maximum(h, 0), np.minimum(p, q))
+    union = p + q - shared
+    known = union > 0
+    return np.where(known, shared / np.where(known, union, 1.0), 1.0) * (1 + SLACK) + SLACK
+
+
+def _outlines(rings: tuple, corner: np.ndarray) -> tuple[np.ndarray, ...]:
+    """_flat_edges of a block from one corner: where each ring's edges begin and how many they are, then of each edge both x, the y on the left, slope and sign."""
+    xy, size = rings
+    ring, l, r, yl, yr, sign = _flat_edges(xy, size, np.broadcast_to(corner, (len(size), 2)))
+    count = np.bincount(ring.astype(np.int64), minlength=len(size))
+    return np.cumsum(count) - count, count, l, r, yl, (yr - yl) / (r - l), sign
+
+
+def _shared_at(a: tuple, b: tuple, u: np.ndarray, v: np.ndarray, block: int = 16_384) -> np.ndarray:
+    """shared_areas of the pairs of rings at u and v of two blocks (`_outlines`), some `block` pairs of edges at a time: few enough to stay near the processor."""
+    (abegin, acount, al, ar, ay, am, sa), (bbegin, bcount, bl, br, by, bm, sb) = a, b
+    out = np.zeros(len(u))
+    done = np.cumsum(acount[u] * bcount[v])
+    start = 0
+    while start < len(u):
+        stop = max(start + 1, int(np.searchsorted(done, (done[start - 1] if start else 0) + block, side="right")))
+        na, nb = acount[u[start:stop]], bcount[v[start:stop]]
+        # each edge of the left one, then with each of the right one
+        of = np.repeat(np.arange(stop - start), na)
+        i = np.arange(len(of)) + np.repeat(abegin[u[start:stop]] - np.cumsum(na) + na, na)
+        n = nb[of]
+        j = np.arange(n.sum()) + np.repeat(bbegin[v[start:stop]][of] - np.cumsum(n) + n, n)
+        of, i = np.repeat(of, n), np.repeat(i, n)
+        l, r = np.maximum(al[i], bl[j]), np.minimum(ar[i], br[j])
+        meet = np.flatnonzero(r > l)
+        of, i, j, l, r = of[meet], i[meet], j[meet], l[meet], r[meet]
+        wide, ma, mb = r - l, am[i], bm[j]
+        a0, b0 = ay[i] + ma * (l - al[i]), by[j] + mb * (l - bl[j])
+        a1, b1 = a0 + ma * wide, b0 + mb * wide
+        d0, d1 = a0 - b0, a1 - b1
+        # the lower one of both ends; where they cross, the triangle above as well
+        low = np.minimum(a0, b0) + np.minimum(a1, b1)
+        cross = np.flatnonzero(d0 * d1 < 0)
+        p, q = np.abs(d0[cross]), np.abs(d1[cross])
+        low[cross] += p * q / (p + q)
+        out[start:stop] = np.bincount(of, sa[i] * sb[j] * low * wide / 2, stop - start)
+        start = stop
+    return np.maximum(out, 0.0)
+
+
+def block_overlaps(cell: float, left: list[str], right: list[str], low: str | None, first: bool, touch: bool, far: bool, rows: int = 65_536):
+    """For rows of two blocks of polygons in one bin: the pairs that share an area, or only touch (touch), with columns of either side, both areas, the shared one and the distance of their middles (far).
+
+    Bounds are compared for the blocks at once, what is left by its edges. low, first: see `agreement._ring_pairs`."""
+
+    def side(column: pa.Array, p: str) -> tuple[pa.StructArray, dict, tuple]:
+        held = column.flatten()
+        number = lambda c: c.to_numpy(zero_copy_only=False).astype(float)
+        known = {k: number(held.field(f"_{p}{k}")) for k in ("x0", "y0", "x1", "y1", "area")}
+        if far:
+            known["mx"], known["my"] = map(number, held.field(f"_{p}mid").flatten())
+        return held, known, arrow_rings(held.field(f"{p}ring"))
+
+    def pairs(spot, l, r):
+        (lheld, a, lrings), (rheld, b, rrings) = side(l, "l_"), side(r, "r_")
+        i, j = _near(a, b, spot, cell)
+        if first:
+            order = np.lexsort((-_most(a, b, i, j), i))
+            order = order[np.diff(i[order], prepend=-1) > 0]
+            i, j = i[order], j[order]
+        elif low:
+            some = _most(a, b, i, j) >= lheld.field(low).to_numpy(zero_copy_only=False)[i]
+            i, j = i[some], j[some]
+        corner = np.array(spot) * cell
+        a["edges"], b["edges"] = _outlines(lrings, corner), _outlines(rrings, corner)
+        for start in range(0, len(i), rows):
+            u, v = i[start : start + rows], j[start : start + rows]
+            area = _shared_at(a["edges"], b["edges"], u, v)
+            met = area > 0
+            if touch:
+                # an area far above the error of rounding needs no test of edges
+                extent = [np.maximum(a[hi][u], b[hi][v]) - np.minimum(a[lo][u], b[lo][v]) for lo, hi in (("x0", "x1"), ("y0", "y1"))]
+                met = area > 1e-6 * extent[0] * extent[1]
+                open_ = np.flatnonzero(~met)
+                met[open_] = _touching(_at(lrings, u[open_]), _at(rrings, v[open_]))
+            u, v, area = u[met], v[met], area[met]
+            of = lambda held, names, at: [held.field(c).take(pa.array(at)) for c in names]
+            columns = [*of(lheld, left, u), *of(rheld, right, v), *of(lheld, ["_l_area"], u), *of(rheld, ["_r_area"], v), pa.array(area)]
+            if far:
+                columns.append(pa.array(np.hypot(a["mx"][u] - b["mx"][v], a["my"][u] - b["my"][v]), from_pandas=True))
+            yield pa.RecordBatch.from_arrays(columns, names=[*left, *right, "_l_area", "_r_area", "shared_area", *["centroid_distance"] * far])
+
+    def run(batches):
+        for batch in batches:
+            x, y = (batch.column(k).to_pylist() for k in ("_gx", "_gy"))
+            for k in range(batch.num_rows):
+                yield from pairs((x[k], y[k]), batch.column("_l_block").slice(k, 1), batch.column("_r_block").slice(k, 1))
+
+    return run
 
 
 @F.arrow_udf(T.BooleanType())

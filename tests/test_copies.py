@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from fieldloom.functions import expressions as X
@@ -71,6 +72,29 @@ def test_rings_with_copies(spark):
     assert sorted(A.ring_matches(left, right, 16).collect()) == sorted(A.matches(pairs, 0.5).select("l_id", "r_id", "iou").collect())
 
 
+def test_rings_meet_in_blocks(spark, monkeypatch):
+    a, b = ([(k, ring(*form[1:])) for k, form in enumerate(boxes(seed, 40))] for seed in (21, 22))
+    b += [(40 + k, ring(x, 0, x + 9, 7)) for k, x in enumerate(range(0, 130, 10))]
+    # its right corner is a corner of the first
+    x, y = (int(a[0][1][0][k]) for k in "xy")
+    b.append((90, ring(x - 9, y, x, y + 7)))
+    left, right = spark.createDataFrame(a, RINGS), spark.createDataFrame(b, RINGS)
+    points = lambda r: np.array([(p["x"], p["y"]) for p in r])
+    shared = {(k, m): G.shared_area(points(p), points(q)) for k, p in a for m, q in b}
+    met = left.crossJoin(right.select(F.col("id").alias("r"), F.col("ring").alias("s"))).filter(G.rings_touch(F.col("ring"), F.col("s")))
+    touch = sorted((r.id, r.r) for r in met.collect())
+    found = lambda df: sorted((r.l_id, r.r_id, round(r.shared_area, 6)) for r in df.collect())
+    # all in one bin: one row has them all
+    forms = A._ring_forms(left, right)
+    assert A.block_pairs(*forms, 1000).count() == 1
+    monkeypatch.setattr(A, "POINTS", 16)
+    assert A.block_pairs(*forms, 1000).count() > 8
+    for cell in (1000, 32):
+        assert found(A.ring_measures(left, right, cell)) == [(*k, round(shared[k], 6)) for k in touch]
+        assert found(A.ring_measures(left, right, cell, 0.001)) == [(*k, round(v, 6)) for k, v in sorted(shared.items()) if v > 0.001]
+    assert any(shared[k] < 1e-9 for k in touch)
+
+
 def test_points_with_copies(spark):
     b = boxes(5, 40)
     points = [(k, (k * 7) % 50 + 0.25, (k * 3) % 50 + 0.5, k) for k in range(400)]
