@@ -7,6 +7,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from fieldloom.functions import expressions as X
 from fieldloom.functions import geometry as G
 from fieldloom.operators import agreement as A
@@ -59,6 +60,34 @@ def test_boxes_with_copies(spark):
     assert A.quantiles(areas, "shared_area", [0.1, 0.5], weight="n").first() == A.quantiles(pairs, "shared_area", [0.1, 0.5]).first()
 
 
+def _steps(df):
+    """Names of the plan's steps, the last one first, and the whole line of each."""
+    df.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        df.sparkSession.conf.unset("spark.sql.adaptive.enabled")
+    return [line.lstrip(" :+-*()0123456789") for line in lines]
+
+
+def test_label_measures_are_rounded_once_for_all_copies(spark, data):
+    steps = _steps(entry.queries()["j9_label_measures"](spark, data))
+    told_apart = max(k for k, line in enumerate(steps) if line.startswith("Generate explode(l_ids"))
+    assert all(k > told_apart for k, line in enumerate(steps) if "round(" in line) and any("round(" in line for line in steps)
+    # no side is held whole, and what is met goes on pair by pair
+    assert any(line.startswith("SortMergeJoin") for line in steps) and not any(line.startswith("Broadcast") for line in steps)
+    assert steps[told_apart + 1].startswith("Coalesce")
+
+
+def test_rounded_is_round(spark):
+    rng = np.random.default_rng(7)
+    some = [*(rng.random(2000) * 10.0 ** rng.integers(-9, 12, 2000)), *(rng.integers(0, 10**7, 2000) / 2e6), *((rng.integers(0, 10**9, 2000) + 0.5) / 1e6), 0.0, 1e-300, 1e300, 0.0000125, 2.5e-7, 5e-7]
+    values = [float(v) for v in (*some, *(-v for v in some))] + [float("inf"), float("-inf"), float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (2, 6):
+        assert df.filter(~X.rounded(F.col("v"), digits).eqNullSafe(F.round("v", digits))).count() == 0
+
+
 def test_rings_with_copies(spark):
     a = [(b[0], ring(*b[1:])) for b in boxes(3, 60)]
     b = [(b[0], ring(*(v + 3 for v in b[1:]))) for b in boxes(4, 50) + boxes(3, 60)]
