@@ -79,6 +79,14 @@ def test_label_measures_are_rounded_once_for_all_copies(spark, data):
     assert steps[told_apart + 1].startswith("Coalesce")
 
 
+def test_overlay_areas_are_measured_before_copies_are_told_apart(spark, data):
+    steps = _steps(entry.queries()["e3_overlay_areas"](spark, data))
+    told_apart = max(k for k, line in enumerate(steps) if line.startswith("Generate explode(l_ids"))
+    # only columns that are shown go through it
+    assert "symdiff_area" in steps[told_apart] and "iou" not in steps[told_apart]
+    assert any(line.startswith("SortMergeJoin") for line in steps) and not any(line.startswith("Broadcast") for line in steps)
+
+
 def test_rounded_is_round(spark):
     rng = np.random.default_rng(7)
     some = [*(rng.random(2000) * 10.0 ** rng.integers(-9, 12, 2000)), *(rng.integers(0, 10**7, 2000) / 2e6), *((rng.integers(0, 10**9, 2000) + 0.5) / 1e6), 0.0, 1e-300, 1e300, 0.0000125, 2.5e-7, 5e-7]
