@@ -87,6 +87,14 @@ def test_overlay_areas_are_measured_before_copies_are_told_apart(spark, data):
     assert any(line.startswith("SortMergeJoin") for line in steps) and not any(line.startswith("Broadcast") for line in steps)
 
 
+def test_shape_measures_are_rounded_once_for_all_copies(spark, data):
+    steps = _steps(entry.queries()["j9_shape_measures"](spark, data))
+    told_apart = max(k for k, line in enumerate(steps) if line.startswith("Generate explode(l_ids"))
+    assert all(k > told_apart for k, line in enumerate(steps) if "round(" in line) and any("round(" in line for line in steps)
+    # middles, which it does not show, are not worked out
+    assert not any("_mid" in line or "centroid" in line for line in steps)
+
+
 def test_rounded_is_round(spark):
     rng = np.random.default_rng(7)
     some = [*(rng.random(2000) * 10.0 ** rng.integers(-9, 12, 2000)), *(rng.integers(0, 10**7, 2000) / 2e6), *((rng.integers(0, 10**9, 2000) + 0.5) / 1e6), 0.0, 1e-300, 1e300, 0.0000125, 2.5e-7, 5e-7]
