@@ -95,6 +95,18 @@ def test_shape_measures_are_rounded_once_for_all_copies(spark, data):
     assert not any("_mid" in line or "centroid" in line for line in steps)
 
 
+def test_rings_are_gathered_by_their_text(spark):
+    forms = [ring(0, 0, 5, 5), ring(0, 0, 5, 5 + 2**-50), ring(0, 0, 5, 1e17), ring(0, 0, 5, 1e17 + 16), None]
+    rows = [(10 * k + m, forms[m]) for k in range(70) for m in range(len(forms))]
+    got = joins.gathered(spark.createDataFrame(rows, RINGS), ["ring"], "id", "ids")
+    assert got.columns == ["ring", "ids"] and max(len(r.ids) for r in got.collect()) == 64
+    key = lambda r: None if r is None else tuple((p["x"], p["y"]) for p in r)
+    assert sorted((i, key(r.ring)) for r in got.collect() for i in r.ids) == sorted((i, key(r)) for i, r in rows)
+    assert got.count() == 10
+    # arrays of numbers would be made normal for each comparison
+    assert not any("transform(" in line for line in _steps(got) if line.startswith("Sort"))
+
+
 def test_rounded_is_round(spark):
     rng = np.random.default_rng(7)
     some = [*(rng.random(2000) * 10.0 ** rng.integers(-9, 12, 2000)), *(rng.integers(0, 10**7, 2000) / 2e6), *((rng.integers(0, 10**9, 2000) + 0.5) / 1e6), 0.0, 1e-300, 1e300, 0.0000125, 2.5e-7, 5e-7]
